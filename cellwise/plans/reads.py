@@ -32,3 +32,154 @@ def latest_user_state(spark, sf_dir):
     """Flagship (A1 + E6 + A6): newest value per (user, event type), one row
     per user, row time = newest cell."""
     return scan.scan_table(tc.ev_cells(spark, sf_dir), tc.EV_MAPPING)
+
+
+def _user_newest(cols: list[str], any_type: bool) -> str:
+    sel = ",\n  ".join(
+        f"max(CASE WHEN rn = 1 AND event_type = '{c}' THEN value END) AS {c}" for c in cols)
+    where = "" if any_type else "WHERE event_type IN (" + ", ".join(f"'{c}'" for c in cols) + ")"
+    return f"""
+WITH c AS ({_EV_RANKED})
+SELECT user_key,
+  {sel}
+FROM c {where} GROUP BY user_key
+"""
+
+
+@query("a2_projected_read", _user_newest(["click", "purchase"], any_type=False))
+def a2_projected_read(spark, sf_dir):
+    """A2 with the store's row rule: only users with a click or purchase cell;
+    only those two qualifiers are read."""
+    return scan.scan_table(tc.ev_cells(spark, sf_dir), tc.EV_MAPPING, ["click", "purchase"],
+                           projected_only=True)
+
+
+@query("a2_projected_all_rows", _user_newest(["click", "purchase"], any_type=True))
+def a2_projected_all_rows(spark, sf_dir):
+    """A2 with the relational row rule: every user with any mapped cell."""
+    return scan.scan_table(tc.ev_cells(spark, sf_dir), tc.EV_MAPPING, ["click", "purchase"])
+
+
+@query("e6_latest_cells", f"""
+WITH c AS ({_EV_RANKED})
+SELECT user_key AS row_key, 'e' AS family, event_type AS qualifier, ms AS ts,
+       event_id AS seq, value
+FROM c WHERE rn = 1
+""")
+def e6_latest_cells(spark, sf_dir):
+    """Newest version of every cell, value decoded."""
+    from ..functions.codec import decode_text
+    cells = scan.latest(tc.ev_cells(spark, sf_dir))
+    return cells.withColumn("value", decode_text(F.col("value"), "double"))
+
+
+@query("a3_row_count", """
+SELECT count(*) AS rows,
+       count(o_custkey) + count(o_orderstatus) + count(o_totalprice)
+         + count(o_orderpriority) AS cells
+FROM orders
+""")
+def a3_row_count(spark, sf_dir):
+    """A3: row and cell count without decoding any value."""
+    return scan.row_count(tc.or_cells(spark, sf_dir))
+
+
+@query("a3_scan_keys", """
+SELECT DISTINCT lpad(CAST(user_id AS VARCHAR), 8, '0') AS row_key FROM events
+""")
+def a3_scan_keys(spark, sf_dir):
+    """A3: key-only read."""
+    return scan.scan_keys(tc.ev_cells(spark, sf_dir))
+
+
+@query("a4_family_map", f"""
+WITH c AS ({_EV_RANKED})
+SELECT user_key AS row_key, count(*) AS n_entries,
+       string_agg(event_type || '=' || printf('%.2f', value), ',' ORDER BY event_type) AS entries
+FROM c WHERE rn = 1 GROUP BY user_key
+""")
+def a4_family_map(spark, sf_dir):
+    """A4: family ``e`` as map<string,double> of the newest value per event type."""
+    m = scan.scan_family_map(tc.ev_cells(spark, sf_dir), "e", "string", "double", name="events")
+    return m.select(
+        "row_key", F.size("events").alias("n_entries"),
+        map_text(F.col("events"), lambda v: F.format_string("%.2f", v)).alias("entries"))
+
+
+def map_text(m, fmt=lambda v: v):
+    """A map as ``k=v`` entries sorted by key, comma-joined (for comparing)."""
+    return F.array_join(F.transform(F.array_sort(F.map_entries(m)),
+                                    lambda e: F.concat(e["key"].cast("string"), F.lit("="),
+                                                       fmt(e["value"]).cast("string"))), ",")
+
+
+_LI_KEY_SQL = "lpad(CAST(l_orderkey AS VARCHAR), 10, '0') || '$$' || CAST(l_linenumber AS VARCHAR)"
+# lineitem as stored: of copies sharing (orderkey, linenumber) the newest wins
+LI_NEWEST = """(SELECT * FROM (SELECT *, row_number() OVER (
+    PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey * 1000000 + l_suppkey DESC) AS li_rn
+  FROM lineitem) WHERE li_rn = 1)"""
+
+
+@query("a5_prefix_map", f"""
+SELECT {_LI_KEY_SQL} AS row_key,
+       'ship=' || strftime(l_shipdate, '%Y-%m-%d') || ',status=' || l_linestatus AS shown,
+       'hip=' || strftime(l_shipdate, '%Y-%m-%d') || ',tatus=' || l_linestatus AS hidden
+FROM {LI_NEWEST}
+""")
+def a5_prefix_map(spark, sf_dir):
+    """A5: qualifiers starting with ``s`` as a map, with and without the prefix."""
+    from ..mapping import Field, Mapping
+    both = Mapping((Field("row_key", "string", "key"),
+                    Field("shown", "map<string,string>", "prefix", "l", "s"),
+                    Field("hidden", "map<string,string>", "prefix", "l", "s", hide_prefix=True)))
+    t = scan.scan_table(tc.li_cells(spark, sf_dir), both, raw_key=True)
+    return t.select("row_key", map_text(F.col("shown")).alias("shown"),
+                    map_text(F.col("hidden")).alias("hidden"))
+
+
+@query("a6_row_timestamp", """
+SELECT lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS order_key, o_orderstatus AS status,
+       o_orderdate AS order_ts, epoch_us(o_orderdate) // 1000 AS order_ms
+FROM orders
+""")
+def a6_row_timestamp(spark, sf_dir):
+    """Row timestamp pseudo-column, as timestamp and as bigint."""
+    from ..mapping import Mapping
+    m = Mapping.parse(":key,o:status,:timestamp", ["order_key", "status", "order_ts"],
+                      ["string", "string", "timestamp_ntz"])
+    cells = tc.or_cells(spark, sf_dir)
+    t = scan.scan_table(cells, m)
+    from ..functions.time import epoch_millis
+    from pyspark.sql import types as T
+    return t.withColumn("order_ms", epoch_millis("order_ts", T.TimestampNTZType()))
+
+
+@query("a9_two_views", """
+SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS cust_key,
+       CAST(c_nationkey AS VARCHAR) AS nation_text,
+       CAST(c_acctbal AS DECIMAL(12, 2)) AS acctbal_dec,
+       CAST(NULL AS INTEGER) AS name_as_int,
+       c_name AS name, c_mktsegment AS segment
+FROM customer
+""")
+def a9_two_views(spark, sf_dir):
+    """A second mapping over the same customer cells, other types: text
+    that is not a number reads NULL instead of failing."""
+    from ..mapping import Mapping
+    v2 = Mapping.parse(":key,n:nation,n:acctbal,p:name,p:name,p:segment",
+                       ["cust_key", "nation_text", "acctbal_dec", "name_as_int", "name", "segment"],
+                       ["string", "string", "decimal(12,2)", "int", "string", "string"])
+    return scan.scan_table(tc.cu_cells(spark, sf_dir), v2)
+
+
+@query("a10_versions", f"""
+WITH c AS ({_EV_RANKED})
+SELECT user_key AS row_key, 'e' AS family, event_type AS qualifier, ms AS ts, event_id AS seq,
+       value, CAST(rn AS INTEGER) AS version
+FROM c WHERE rn <= 3
+""")
+def a10_versions(spark, sf_dir):
+    """A10: the three newest versions of every cell."""
+    from ..functions.codec import decode_text
+    v = scan.scan_versions(tc.ev_cells(spark, sf_dir), 3)
+    return v.withColumn("value", decode_text(F.col("value"), "double"))

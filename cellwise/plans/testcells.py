@@ -20,6 +20,7 @@ USER_KEY_WIDTH = 8
 CUST_KEY_WIDTH = 10
 ORDER_KEY_WIDTH = 12
 CU_WRITE_TS = 1_700_000_000_000   # one write time for the customer table
+LI_SEQ_SCALE = 1_000_000
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,8 +117,15 @@ def li_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag").alias("flag"),
         F.col("l_linestatus").alias("status"),
         F.col("l_shipdate").cast("date").alias("ship"),
+        li_seq().alias("li_seq"),
     )
 
 
+def li_seq():
+    """Version order of lineitem copies sharing (orderkey, linenumber)."""
+    return F.col("l_partkey") * LI_SEQ_SCALE + F.col("l_suppkey")
+
+
 def li_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table_to_cells(li_rows(spark, sf_dir), LI_MAPPING, ts=CU_WRITE_TS)
+    return table_to_cells(li_rows(spark, sf_dir), LI_MAPPING, ts=CU_WRITE_TS,
+                          seq=F.col("li_seq"))

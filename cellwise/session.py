@@ -19,6 +19,7 @@ def get_spark(master: str | None = None, app: str = "cellwise", **conf) -> Spark
         builder = builder.master(master)
     defaults = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
