@@ -48,6 +48,30 @@ def key_op(cells: DataFrame, op: str, value) -> DataFrame:
     return cells.where(key_predicate(op, value))
 
 
+def binary_key_range(cells: DataFrame, dtype, lo=None, hi=None, lo_inclusive: bool = False,
+                     hi_inclusive: bool = False, decoded: str = "_key") -> DataFrame:
+    """Range on a binary-stored numeric key.
+
+    The typed predicate on the decoded key is always applied.  Byte bounds on
+    ``row_key`` are added only when both bounds have the same sign: two's
+    complement bytes sort negatives after positives, so a mixed-sign byte range
+    would be wrong.
+    """
+    from ..functions.codec import decode_binary, encode_binary
+    key = decode_binary(F.col("row_key").cast("binary"), dtype)
+    conds = []
+    if lo is not None:
+        conds.append(key >= lo if lo_inclusive else key > lo)
+    if hi is not None:
+        conds.append(key <= hi if hi_inclusive else key < hi)
+    same_sign = lo is not None and hi is not None and (lo >= 0) == (hi >= 0)
+    if same_sign:
+        rk = F.col("row_key").cast("binary")
+        conds.append(rk >= encode_binary(F.lit(lo), dtype))
+        conds.append(rk <= encode_binary(F.lit(hi), dtype))
+    return cells.where(reduce(and_, conds)) if conds else cells
+
+
 def time_predicate(op: str, t_ms: int, col: str = "ts") -> Column:
     """Half-open millisecond ranges: ``=`` → [t, t+1), ``<`` → [0, t),
     ``<=`` → [0, t+1), ``>`` → [t+1, ∞), ``>=`` → [t, ∞)."""
@@ -115,5 +139,5 @@ def composite_key_filter(cells: DataFrame, key_codec: KeyCodec,
     return out.where(reduce(and_, conds)) if conds else out
 
 
-__all__ = ["key_eq", "key_range", "key_op", "key_predicate", "time_range", "time_op",
+__all__ = ["binary_key_range", "key_eq", "key_range", "key_op", "key_predicate", "time_range", "time_op",
            "time_predicate", "as_of", "row_filter", "composite_key_filter"]

@@ -1,5 +1,5 @@
 """Registered queries over the driver's test tables."""
-from . import reads  # noqa: F401  (registers)
+from . import filters, reads  # noqa: F401  (registers)
 from .registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
