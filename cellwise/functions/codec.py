@@ -78,13 +78,24 @@ def encode_float_bytes(col, double: bool) -> Column:
 
 
 def decode_float_bytes(col, double: bool) -> Column:
+    """IEEE-754 bits → value with deterministic arithmetic (exact: the
+    mantissa is an integer below 2^53 and the scale a power of two)."""
     if double:
-        bits = decode_int_bytes(col, 8)
-        return F.call_function("reflect", F.lit("java.lang.Double"), F.lit("longBitsToDouble"),
-                               bits).cast("double")
-    bits = decode_int_bytes(col, 4).cast("int")
-    return F.call_function("reflect", F.lit("java.lang.Float"), F.lit("intBitsToFloat"),
-                           bits).cast("float")
+        bits, ebits, mbits, bias = decode_int_bytes(col, 8), 11, 52, 1023
+    else:
+        bits, ebits, mbits, bias = decode_int_bytes(col, 4).cast("bigint"), 8, 23, 127
+    emax = (1 << ebits) - 1
+    exp = F.shiftright(bits, mbits).bitwiseAND(F.lit(emax))
+    mant = bits.bitwiseAND(F.lit((1 << mbits) - 1))
+    sign = F.when(bits < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
+    normal = (mant + F.lit(float(1 << mbits))) * F.pow(F.lit(2.0), exp - (bias + mbits))
+    sub = mant * F.pow(F.lit(2.0), F.lit(1 - bias - mbits))
+    v = (F.when(exp == emax, F.when(mant == 0, sign * F.lit(float("inf")))
+                .otherwise(F.lit(float("nan"))))
+         .when(exp == 0, sign * sub)
+         .otherwise(sign * normal))
+    v = F.when(bits.isNotNull(), v)
+    return v if double else v.cast("float")
 
 
 def encode_binary(col, dt: T.DataType) -> Column:

@@ -92,7 +92,7 @@ def fixed_width(fields, width: int = FIXED_FIELD_WIDTH) -> KeyCodec:
     def dec(k: Column) -> Column:
         s = k.cast("string")
         return _cast_fields(
-            lambda i: F.trim(F.substring(s, i * step + 1, width), nul), st)
+            lambda i: F.trim(F.substring(s, i * step + 1, width), F.lit(nul)), st)
 
     def prefix(vals):
         return "".join(str(v)[:width].ljust(step, nul) for v in vals)
