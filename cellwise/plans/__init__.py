@@ -1,5 +1,5 @@
 """Registered queries over the driver's test tables."""
-from . import codecs, filters, reads, writes  # noqa: F401  (registers)
+from . import codecs, filters, reads, storage, writes  # noqa: F401  (registers)
 from .registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
