@@ -84,8 +84,9 @@ def _read_type(s: str):
                 return T.MapType(as_type(parts[0]), as_type(parts[1])), rest
             fields = []
             for p in parts:
-                name, _, typ = p.partition(":")
-                fields.append(T.StructField(name.strip(), as_type(typ)))
+                p = p.strip()
+                cut = min([i for i in (p.find(":"), p.find(" ")) if i > 0] or [len(p)])
+                fields.append(T.StructField(p[:cut].strip(), as_type(p[cut + 1:])))
             return T.StructType(fields), rest
     if low.startswith("decimal"):
         if "(" in s:
