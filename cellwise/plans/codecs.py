@@ -365,3 +365,41 @@ def k2_value_codec(spark, sf_dir):
                     F.col("o_totalprice").alias("total"))
     return scan.scan_table(table_to_cells(rows, OR_CENTS, ts=tc.CU_WRITE_TS), OR_CENTS)
 
+
+
+CU_AS_NUMBERS = Mapping.parse(
+    ":key,p:name,p:name,p:name,p:segment,n:nation,n:acctbal",
+    ["cust_key", "name_int", "name_bool", "name_date", "segment_double", "nation", "acctbal"],
+    ["string", "int", "boolean", "date", "double", "bigint", "double"])
+
+
+@query("i1_text_decode", f"""
+SELECT {_CKEY} AS cust_key, CAST(NULL AS INTEGER) AS name_int, CAST(NULL AS BOOLEAN) AS name_bool,
+       CAST(NULL AS DATE) AS name_date, CAST(NULL AS DOUBLE) AS segment_double,
+       CAST(c_nationkey AS BIGINT) AS nation, c_acctbal AS acctbal
+FROM customer
+""")
+def i1_text_decode(spark, sf_dir):
+    """Text cells decoded to other types: text that is not a number,
+    boolean or date reads NULL, never an error; numbers widen."""
+    return scan.scan_table(tc.cu_cells(spark, sf_dir), CU_AS_NUMBERS)
+
+
+B2_TS = Mapping.parse(":key,o:status,:timestamp", ["order_key", "status", "order_ts"],
+                      ["string", "string", "timestamp_ntz"])
+
+
+@query("b2_write_timestamp", f"""
+SELECT {_OKEY} AS row_key, 'o' AS family, 'status' AS qualifier,
+       epoch_us(o_orderdate) // 1000 AS ts_from_column, 1234567890123 AS ts_fixed
+FROM orders
+""")
+def b2_write_timestamp(spark, sf_dir):
+    """B2: the write timestamp of a cell comes from the row's :timestamp
+    column, or from a fixed value given for the whole write."""
+    rows = tc.or_rows(spark, sf_dir).select("order_key", "status", "order_ts")
+    a = table_to_cells(rows, B2_TS).select("row_key", "family", "qualifier",
+                                           F.col("ts").alias("ts_from_column"))
+    b = table_to_cells(rows, B2_TS, ts=1234567890123).select(
+        "row_key", F.col("ts").alias("ts_fixed"))
+    return a.join(b, "row_key")
