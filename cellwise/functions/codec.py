@@ -197,7 +197,7 @@ def _complex_from_text(s, dt, null_format, ts_formats, seps, level) -> Column:
             F.filter(F.split(s, _lit_regex(sep), -1), lambda e: e != ""),
             lambda e: F.struct(
                 elem(F.split(e, _lit_regex(kv), 2).getItem(0), dt.keyType, level + 2).alias("key"),
-                elem(F.element_at(F.split(e, _lit_regex(kv), 2), 2), dt.valueType, level + 2)
+                elem(F.try_element_at(F.split(e, _lit_regex(kv), 2), F.lit(2)), dt.valueType, level + 2)
                 .alias("value"),
             ),
         )
@@ -208,7 +208,7 @@ def _complex_from_text(s, dt, null_format, ts_formats, seps, level) -> Column:
     if isinstance(dt, T.StructType):
         parts = F.split(s, _lit_regex(sep), -1)
         fields = [
-            elem(F.element_at(parts, i + 1), f.dataType, level + 1).alias(f.name)
+            elem(F.try_element_at(parts, F.lit(i + 1)), f.dataType, level + 1).alias(f.name)
             for i, f in enumerate(dt.fields)
         ]
         return F.when(s.isNull(), F.lit(None)).otherwise(F.struct(*fields).cast(dt))

@@ -62,7 +62,7 @@ def delimited(fields, sep: str = DOLLAR_DELIMITER) -> KeyCodec:
 
     def dec(k: Column) -> Column:
         parts = F.split(k.cast("string"), re.escape(sep), -1)
-        return _cast_fields(lambda i: F.element_at(parts, i + 1), st)
+        return _cast_fields(lambda i: F.try_element_at(parts, F.lit(i + 1)), st)
 
     def prefix(vals):
         return sep.join(str(v) for v in vals) + (sep if len(vals) < len(st.fields) else "")
