@@ -140,18 +140,20 @@ class CellStore:
         ntasks = tasks or max(n, shuffle)
         df = cells.select("row_key", "family", "qualifier", "ts", "seq", "value") \
             .withColumn("region", region_expr(F.col("row_key"), points))
-        order = [F.col("region"), F.col("row_key"), F.col("family"), F.col("qualifier"),
-                 F.col("ts").desc(), F.col("seq").desc()]
+        # range / exact partitioning is by region then key; within a task the
+        # sort starts with the writer's partition columns (family, region), so
+        # the file writer keeps this order instead of re-sorting
         if mode == "range":
-            df = df.repartitionByRange(ntasks, *order[:5])
+            df = df.repartitionByRange(ntasks, F.col("region"), F.col("row_key"),
+                                       F.col("family"), F.col("qualifier"), F.col("ts").desc())
         elif mode == "exact":
             df = df.repartitionById(n, F.col("region"))
         elif mode == "hash":
             df = df.repartition(ntasks, "row_key")
-            order = order[1:]
         else:
             raise StoreError(f"unknown mode {mode!r}")
-        df = df.sortWithinPartitions(*order)
+        df = df.sortWithinPartitions(F.col("family"), F.col("region"), F.col("row_key"),
+                                     F.col("qualifier"), F.col("ts").desc(), F.col("seq").desc())
 
         per_family = isinstance(layout, dict) and layout and all(
             isinstance(v, dict) for v in layout.values())
