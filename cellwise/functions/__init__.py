@@ -1,0 +1 @@
+"""Column-expression codecs: values, keys, records, epoch conversions."""

@@ -1,0 +1 @@
+"""DataFrame → DataFrame operators on cells and typed rows."""

@@ -135,26 +135,34 @@ def mapping_check(cells: DataFrame, m: Mapping, *, strict: bool = False) -> Data
 def decode_audit(cells: DataFrame, m: Mapping) -> DataFrame:
     """Per mapped scalar column: cells, values equal to the null sequence,
     empty values, undecodable values (read as NULL although present) and, for
-    binary storage, values of the wrong width."""
-    out = None
+    binary storage, values of the wrong width.
+
+    One pass over the cells: each cell is tagged with every column that maps
+    it (a cell may feed several), then one grouped count by column.
+    """
+    raw = codec.to_text(F.col("value"))
+    is_nullseq = raw == F.lit(m.null_format)
+    is_empty = F.length("value") == 0
+    tags = []
     for f in m.cell_fields:
-        sel = cells.where(_match(f))
         decoded = decode_field(F.col("value"), f, m)
-        raw = codec.to_text(F.col("value"))
-        is_nullseq = raw == F.lit(m.null_format)
-        is_empty = F.length("value") == 0
         w = codec.width_of(f.dtype) if f.storage == "binary" else None
         wrong = (F.length("value") != w) if w is not None else F.lit(False)
-        part = sel.agg(
-            F.count(F.lit(1)).alias("cells"),
-            F.count_if(is_nullseq).alias("null_seq"),
-            F.count_if(is_empty).alias("empty"),
-            F.count_if(decoded.isNull() & ~is_nullseq & ~is_empty).alias("undecodable"),
-            F.count_if(wrong).alias("wrong_width"),
-        ).select(F.lit(f.name).alias("column"), F.lit(f.family).alias("family"),
-                 F.lit(f.qualifier).alias("qualifier"), "*")
-        out = part if out is None else out.unionByName(part)
-    return out
+        tags.append(F.when(_match(f), F.struct(
+            F.lit(f.name).alias("column"), F.lit(f.family).alias("family"),
+            F.lit(f.qualifier).alias("qualifier"),
+            (decoded.isNull() & ~is_nullseq & ~is_empty).alias("bad"),
+            wrong.alias("wrong"))))
+    tagged = (cells.where(cell_filter(m.cell_fields))
+              .select(is_nullseq.alias("nullseq"), is_empty.alias("empty_v"),
+                      F.inline(F.filter(F.array(*tags), lambda t: t.isNotNull()))))
+    return tagged.groupBy("column", "family", "qualifier").agg(
+        F.count(F.lit(1)).alias("cells"),
+        F.count_if("nullseq").alias("null_seq"),
+        F.count_if("empty_v").alias("empty"),
+        F.count_if("bad").alias("undecodable"),
+        F.count_if("wrong").alias("wrong_width"),
+    )
 
 
 def decode_rejects(cells: DataFrame, m: Mapping) -> DataFrame:

@@ -1,0 +1 @@
+"""Sources and sinks: the versioned Parquet cell store and delimited text."""
