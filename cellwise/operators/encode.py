@@ -96,8 +96,10 @@ def table_to_cells(
                 encode_field(e["value"], vf, m).alias("value"))))
     allc = arrays[0] if len(arrays) == 1 else F.concat(*[F.coalesce(a, F.array().cast(
         "array<struct<family:string,qualifier:string,value:binary>>")) for a in arrays])
-    out = (df.select(key.alias("row_key"), ts_col.cast("bigint").alias("ts"),
-                     seq_col.cast("bigint").alias("seq"), F.inline(allc))
+    # key, ts and seq are computed once per row, before the rows fan out to cells
+    pre = df.select(key.alias("row_key"), ts_col.cast("bigint").alias("ts"),
+                    seq_col.cast("bigint").alias("seq"), allc.alias("_cells"))
+    out = (pre.select("row_key", "ts", "seq", F.inline("_cells"))
            .where(F.col("value").isNotNull()))
     if not strict_keys:
         out = out.where(F.col("row_key").isNotNull())

@@ -107,7 +107,7 @@ class CellStore:
         *,
         points: Sequence | None = None,
         regions: int | None = None,
-        mode: str = "range",
+        mode: str = "split",
         tasks: int | None = None,
         layout: TMapping[str, dict] | dict | None = None,
     ) -> WriteResult:
@@ -116,10 +116,15 @@ class CellStore:
         Split points come from ``points``, else from the data (``regions``
         pieces), else from the last commit.  ``mode``:
 
+        * ``"split"`` – every region is written by ``k = tasks / regions`` tasks
+          (``repartitionById`` on ``region * k + hash(cell) % k``): files are
+          sorted and never cross a region, and a hot region, row or cell is
+          spread over k tasks.  No sampling pass; files of one region overlap
+          in key range (reads merge them anyway).
         * ``"range"`` – range-partition on (region, row_key, family, qualifier,
-          ts desc) over ``tasks`` tasks: every file is sorted and files of a
-          region hold consecutive key ranges, and a hot region or hot key is
-          split across tasks instead of landing in one.
+          ts desc) over ``tasks`` tasks: files of a region also hold
+          consecutive key ranges (a total order across files), at the price of
+          Spark's sampling job, which reads the input once more.
         * ``"exact"`` – one task per region (``repartitionById``).
         * ``"hash"`` – hash layout by row key, sorted within files only
           (regions' files overlap; kept for comparison).
@@ -143,7 +148,11 @@ class CellStore:
         # range / exact partitioning is by region then key; within a task the
         # sort starts with the writer's partition columns (family, region), so
         # the file writer keeps this order instead of re-sorting
-        if mode == "range":
+        if mode == "split":
+            k = max(1, -(-ntasks // n))
+            sub = F.pmod(F.xxhash64("row_key", "family", "qualifier", "ts"), F.lit(k))
+            df = df.repartitionById(n * k, (F.col("region") * k + sub).cast("int"))
+        elif mode == "range":
             df = df.repartitionByRange(ntasks, F.col("region"), F.col("row_key"),
                                        F.col("family"), F.col("qualifier"), F.col("ts").desc())
         elif mode == "exact":
