@@ -49,6 +49,18 @@ def _map_key_text(k: Column, f: Field) -> Column:
     return q
 
 
+def _entry_to_cell(f: Field, m: Mapping):
+    """Map entry → (family, qualifier, value) struct; a one-argument lambda,
+    as ``transform`` reads a second argument as the element index."""
+    vf = Field("v", f.dtype.valueType, "column", f.family, "v", storage=f.storage)
+
+    def cell(e: Column) -> Column:
+        return F.struct(F.lit(f.family).alias("family"),
+                        _map_key_text(e["key"], f).alias("qualifier"),
+                        encode_field(e["value"], vf, m).alias("value"))
+    return cell
+
+
 def table_to_cells(
     df: DataFrame,
     m: Mapping,
@@ -88,12 +100,7 @@ def table_to_cells(
     for f in m.map_fields:
         if f.name not in schema:
             continue
-        vf = Field("v", f.dtype.valueType, "column", f.family, "v", storage=f.storage)
-        arrays.append(F.transform(
-            F.map_entries(F.col(f.name)),
-            lambda e, f=f, vf=vf: F.struct(
-                F.lit(f.family).alias("family"), _map_key_text(e["key"], f).alias("qualifier"),
-                encode_field(e["value"], vf, m).alias("value"))))
+        arrays.append(F.transform(F.map_entries(F.col(f.name)), _entry_to_cell(f, m)))
     allc = arrays[0] if len(arrays) == 1 else F.concat(*[F.coalesce(a, F.array().cast(
         "array<struct<family:string,qualifier:string,value:binary>>")) for a in arrays])
     # key, ts and seq are computed once per row, before the rows fan out to cells

@@ -131,3 +131,18 @@ def test_mapping_errors_and_names():
     assert m.key.name == "key" and m.field("a").storage == "binary"
     assert m.field("m").key_storage == "string" and m.field("m").storage == "binary"
     assert generated_names(":key,cf:Qual-1,cf:,cf:p_.*") == ["key", "cf_qual1", "cf_col2", "cf_prefix3"]
+
+
+@pytest.mark.parametrize("storage", ["#s:s", "#b:b", "#b:s", "#s:b"])
+def test_typed_family_map_round_trip(spark, storage):
+    m = Mapping.parse(f":key,cf-int:{storage},cf-dbl:#b,cf-bool:", ["key", "ints", "dbls", "flags"],
+                      ["string", "map<int,int>", "map<string,double>", "map<string,boolean>"])
+    df = spark.createDataFrame(
+        [("k1", {1: -5, -2: 7, 300000: None}, {"x": -0.5, "y": 1e300}, {"t": True, "f": False}),
+         ("k2", {}, None, {"n": None, "z": True})],
+        "key string, ints map<int,int>, dbls map<string,double>, flags map<string,boolean>")
+    back = {r.key: r for r in scan.scan_table(table_to_cells(df, m, ts=1), m).collect()}
+    assert back["k1"].ints == {1: -5, -2: 7}          # a NULL map value writes no cell
+    assert back["k1"].dbls == {"x": -0.5, "y": 1e300}
+    assert back["k1"].flags == {"t": True, "f": False}
+    assert back["k2"].ints == {} and back["k2"].dbls == {}   # no cells → empty map
