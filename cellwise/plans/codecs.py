@@ -403,3 +403,26 @@ def b2_write_timestamp(spark, sf_dir):
     b = table_to_cells(rows, B2_TS, ts=1234567890123).select(
         "row_key", F.col("ts").alias("ts_fixed"))
     return a.join(b, "row_key")
+
+
+OR_MAPCOL = Mapping.parse(":key,m:#s:b,o:status", ["order_key", "nums", "status"],
+                          ["string", "map<string,double>", "string"])
+
+
+@query("b1_map_column_write", f"""
+SELECT {_OKEY} AS order_key, o_orderstatus AS status,
+       'cust=' || printf('%.2f', CAST(o_custkey AS DOUBLE)) || ',total='
+         || printf('%.2f', o_totalprice) AS nums
+FROM orders
+""")
+def b1_map_column_write(spark, sf_dir):
+    """B1 with a map column: each entry becomes one cell of family ``m``
+    (text qualifier, binary double value), read back as a family map."""
+    o = tc.load(spark, sf_dir, "orders")
+    rows = o.select(tc.padded("o_orderkey", tc.ORDER_KEY_WIDTH).alias("order_key"),
+                    F.create_map(F.lit("cust"), F.col("o_custkey").cast("double"),
+                                 F.lit("total"), F.col("o_totalprice")).alias("nums"),
+                    F.col("o_orderstatus").alias("status"))
+    t = scan.scan_table(table_to_cells(rows, OR_MAPCOL, ts=tc.CU_WRITE_TS), OR_MAPCOL)
+    return t.select("order_key", "status",
+                    map_text(F.col("nums"), lambda v: F.format_string("%.2f", v)).alias("nums"))
