@@ -75,6 +75,12 @@ def main() -> None:
         q[name], stores[name] = timed(write_once)     # a fresh table per run
     li.unpersist()
 
+    def write_bucketed():
+        stb = CellStore(spark, scratch_path(spark, "bench-bucketed"), buckets=8)
+        stb.write(li)
+        return stb
+    q["write_bucketed_8"], stores["bucketed"] = timed(write_bucketed)
+
     st = stores["write_split_8regions"]
     q["read_full"], _ = timed(lambda: run(scan.scan_table(st.read(), tc.LI_MAPPING)))
     q["read_2_columns"], _ = timed(lambda: run(
@@ -83,6 +89,8 @@ def main() -> None:
     q["read_key_range"], _ = timed(lambda: run(
         scan.scan_table(st.read(key_lo=lo, key_hi=hi), tc.LI_MAPPING)))
     q["read_keys_only"], _ = timed(lambda: run(scan.scan_keys(st.read())))
+    stb = stores["bucketed"]
+    q["read_full_bucketed"], _ = timed(lambda: run(scan.scan_table(stb.read(), tc.LI_MAPPING)))
 
     q["flagship_latest_user_state"], _ = timed(
         lambda: run(QUERIES["latest_user_state"](spark, sf_dir)))
@@ -108,6 +116,7 @@ def main() -> None:
             "exact8_over_exact1_write": round(q["write_exact_8regions"] / q["write_exact_1region"], 3),
             "two_columns_over_full_read": round(q["read_2_columns"] / q["read_full"], 3),
             "key_range_over_full_read": round(q["read_key_range"] / q["read_full"], 3),
+            "bucketed_over_region_full_read": round(q["read_full_bucketed"] / q["read_full"], 3),
         },
         "cpus": cpus,
     }

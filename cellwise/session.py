@@ -63,4 +63,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(hconf).exists(p))
 
 
-__all__ = ["get_spark", "checkpoint_root", "scratch_path", "path_exists"]
+def list_file_sizes(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(file, bytes) of every data file below ``path``, from file-system
+    metadata only (no data is read)."""
+    jvm = spark.sparkContext._jvm
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(hconf)
+    if not fs.exists(p):
+        return []
+    out = []
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        st = it.next()
+        name = st.getPath().getName()
+        if not name.startswith((".", "_")):
+            out.append((st.getPath().toString(), int(st.getLen())))
+    return out
+
+
+__all__ = ["get_spark", "checkpoint_root", "scratch_path", "path_exists", "list_file_sizes"]

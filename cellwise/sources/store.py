@@ -27,10 +27,15 @@ from ..mapping import Mapping
 from ..operators.encode import key_type as mapping_key_type
 from ..operators.encode import table_to_cells
 from ..operators.regions import region_bounds, region_expr, split_points
-from ..session import path_exists
+from ..session import list_file_sizes, path_exists
 
 MANIFEST_DDL = ("id long, kind string, name string, version int, versions array<int>, "
-                "points array<string>, key_type string, created_ms long")
+                "points array<string>, key_type string, created_ms long, buckets int, "
+                "bucket_skew double")
+
+# A bucketed version whose largest bucket holds more than this multiple of the
+# mean bucket size is read without the bucketed scan (see ``read``).
+BUCKET_SKEW_LIMIT = 2.0
 
 # Parquet writer options a family layout may set.
 LAYOUT_OPTIONS = ("compression", "parquet.block.size", "parquet.page.size",
@@ -51,13 +56,26 @@ class WriteResult:
 
 
 class CellStore:
-    def __init__(self, spark: SparkSession, path: str):
+    """``buckets=n`` selects the bucketed layout: each version is written
+    ``bucketBy(n, row_key)`` (sorted within files) instead of by region, so a
+    full pivot read needs no shuffle at all — each task reads all files of one
+    bucket.  Because one bucket is one task, a version whose largest bucket
+    is more than ``BUCKET_SKEW_LIMIT`` times the mean (a dominant key) is read
+    through the plain, skew-safe path instead (partial aggregation, then a
+    shuffle); the check uses file sizes recorded at publish time.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
         if not path:
             raise StoreError("a table path is required")
         self.spark = spark
         self.path = path.rstrip("/")
         self.data = f"{self.path}/data"
         self.manifest_path = f"{self.path}/_manifest"
+        recorded = self._recorded_buckets()
+        if buckets and recorded and buckets != recorded:
+            raise StoreError(f"table is bucketed into {recorded}, not {buckets}")
+        self.buckets = recorded or buckets
 
     # ------------------------------------------------------------ manifest
     def _manifest(self) -> list:
@@ -71,10 +89,30 @@ class CellStore:
         nid = (rows[-1]["id"] + 1) if rows else 1
         rec = {"id": nid, "kind": kind, "name": kw.get("name"), "version": kw.get("version"),
                "versions": kw.get("versions"), "points": kw.get("points"),
-               "key_type": kw.get("key_type"), "created_ms": int(time.time() * 1000)}
+               "key_type": kw.get("key_type"), "created_ms": int(time.time() * 1000),
+               "buckets": kw.get("buckets"), "bucket_skew": kw.get("bucket_skew")}
         (self.spark.createDataFrame([rec], MANIFEST_DDL).coalesce(1)
          .write.mode("append").json(self.manifest_path))
 
+    def _recorded_buckets(self) -> int | None:
+        for r in self._manifest():
+            if r["kind"] == "commit" and r["buckets"]:
+                return int(r["buckets"])
+        return None
+
+    def _table(self, key_type: str) -> str:
+        """Register the bucketed layout as a catalog table over ``data`` (once
+        per session) and pick up partitions written since."""
+        import hashlib
+        name = "cellwise_" + hashlib.md5(self.data.encode()).hexdigest()[:16]
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} (row_key {key_type}, qualifier string, ts bigint, "
+            f"seq bigint, value binary, v int, family string) USING parquet "
+            f"PARTITIONED BY (v, family) CLUSTERED BY (row_key) "
+            f"SORTED BY (row_key, qualifier, ts) INTO {self.buckets} BUCKETS "
+            f"LOCATION '{self.data}'")
+        return name
+
     def committed(self) -> list[int]:
         """Live versions: commits in order; a commit that lists ``versions``
         (a compaction) replaces everything before it."""
@@ -135,6 +173,8 @@ class CellStore:
         for c in ("row_key", "family", "qualifier", "ts", "seq", "value"):
             if c not in fams_needed:
                 raise StoreError(f"cells need column {c!r}")
+        if self.buckets:
+            return self._stage_bucketed(cells, tasks)
         if points is None:
             points = split_points(cells, "row_key", regions) if regions else self.points()
         points = list(points)
@@ -181,6 +221,35 @@ class CellStore:
             self._write(df, stage, ["family", "region"], dict(layout or {}))
         return WriteResult(version, stage, points, fams or [])
 
+    def _stage_bucketed(self, cells: DataFrame, tasks: int | None) -> WriteResult:
+        """Each bucket is written by k tasks (hash of the cell within the
+        bucket), so a hot key's bucket is still spread over k writers."""
+        version = self._next_version()
+        kt = dict(cells.dtypes)["row_key"]
+        name = self._table(kt)
+        shuffle = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        n = self.buckets
+        k = max(1, -(-(tasks or max(n, shuffle)) // n))
+        bucket = F.pmod(F.hash("row_key"), F.lit(n))       # Spark's own bucket id
+        sub = F.pmod(F.xxhash64("row_key", "family", "qualifier", "ts"), F.lit(k))
+        df = (cells.withColumn("v", F.lit(version))
+              .select("row_key", "qualifier", "ts", "seq", "value", "v", "family")
+              .repartitionById(n * k, (bucket * k + sub).cast("int")))
+        df.write.insertInto(name)
+        return WriteResult(version, f"{self.data}/v={version}", [], [])
+
+    def _bucket_skew(self, stage: str) -> float:
+        import re
+        sizes: dict[int, int] = {}
+        for f, b in list_file_sizes(self.spark, stage):
+            m = re.search(r"_(\d{5})\.", f.rsplit("/", 1)[-1])
+            if m:
+                sizes[int(m.group(1))] = sizes.get(int(m.group(1)), 0) + b
+        if not sizes:
+            return 0.0
+        mean = sum(sizes.values()) / self.buckets
+        return max(sizes.values()) / mean if mean else 0.0
+
     def _write(self, df: DataFrame, path: str, parts: list, opts: dict) -> None:
         for k in opts:
             if k not in LAYOUT_OPTIONS:
@@ -196,8 +265,9 @@ class CellStore:
             raise StoreError(f"stage {result.stage} does not exist")
         if result.version in self.committed():
             raise StoreError(f"version {result.version} already published")
+        skew = self._bucket_skew(result.stage) if self.buckets else None
         self._append("commit", version=result.version, points=[str(p) for p in result.points],
-                     key_type=key_type)
+                     key_type=key_type, buckets=self.buckets, bucket_skew=skew)
         return result.version
 
     def write(self, cells: DataFrame, key_type: str = "string", **kw) -> int:
@@ -210,7 +280,8 @@ class CellStore:
 
     # ---------------------------------------------------------------- read
     def read(self, *, snapshot: str | None = None, versions: Sequence[int] | None = None,
-             key_lo=None, key_hi=None, families: Sequence[str] | None = None) -> DataFrame:
+             key_lo=None, key_hi=None, families: Sequence[str] | None = None,
+             bucketed: bool | None = None) -> DataFrame:
         """All cells of the published versions (or of a snapshot), with
         ``region`` and ``v`` columns.  Key bounds add region pruning from the
         split points on top of the row-key filter; families prune directories.
@@ -228,19 +299,43 @@ class CellStore:
                   f"v int, family string, region int")
         if not versions:
             return self.spark.createDataFrame([], schema).select(*_CELL_READ)
-        df = (self.spark.read.schema(schema).option("basePath", self.data)
-              .parquet(*[f"{self.data}/v={v}" for v in versions]))
+        if self.buckets:
+            df = self._read_bucketed(versions, kt, bucketed)
+        else:
+            df = (self.spark.read.schema(schema).option("basePath", self.data)
+                  .parquet(*[f"{self.data}/v={v}" for v in versions]))
         if families:
             df = df.where(F.col("family").isin(list(families)))
         if key_lo is not None or key_hi is not None:
-            r_lo, r_hi = region_bounds(self.points(), key_lo, key_hi)
-            df = df.where(F.col("region").between(r_lo, r_hi))
+            if not self.buckets:
+                r_lo, r_hi = region_bounds(self.points(), key_lo, key_hi)
+                df = df.where(F.col("region").between(r_lo, r_hi))
             if key_lo is not None:
                 df = df.where(F.col("row_key") >= key_lo)
             if key_hi is not None:
                 df = df.where(F.col("row_key") <= key_hi)
         return df.select(*_CELL_READ)
 
+    def _read_bucketed(self, versions: list, kt: str, bucketed: bool | None) -> DataFrame:
+        skews = {r["version"]: r["bucket_skew"] for r in self._manifest() if r["kind"] == "commit"}
+        balanced = all((skews.get(v) or 0.0) <= BUCKET_SKEW_LIMIT for v in versions)
+        use = balanced if bucketed is None else bucketed
+        if use:
+            name = self._table(kt)
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            df = self.spark.table(name).where(F.col("v").isin(versions))
+        else:
+            schema = (f"row_key {kt}, qualifier string, ts bigint, seq bigint, value binary, "
+                      f"v int, family string")
+            df = (self.spark.read.schema(schema).option("basePath", self.data)
+                  .parquet(*[f"{self.data}/v={v}" for v in versions]))
+        return df.withColumn("region", F.lit(None).cast("int"))
+
+    def bucket_skew(self) -> dict[int, float]:
+        """Largest bucket over the mean bucket, per published version."""
+        return {r["version"]: r["bucket_skew"] for r in self._manifest()
+                if r["kind"] == "commit" and r["buckets"]}
+
     # ----------------------------------------------------------- snapshots
     def _snapshots(self) -> dict[str, list[int]]:
         out: dict[str, list[int]] = {}
@@ -276,8 +371,10 @@ class CellStore:
         from ..operators.scan import latest
         cells = latest(self.read().drop("region", "v"))
         res = self.stage(cells, points=self.points(), **kw)
+        skew = self._bucket_skew(res.stage) if self.buckets else None
         self._append("commit", version=res.version, versions=[res.version],
-                     points=[str(p) for p in res.points], key_type=self._key_type())
+                     points=[str(p) for p in res.points], key_type=self._key_type(),
+                     buckets=self.buckets, bucket_skew=skew)
         return res.version
 
 
