@@ -381,15 +381,31 @@ class CellStore:
 _CELL_READ = ("row_key", "family", "qualifier", "ts", "seq", "value", "region", "v")
 
 
-def multi_insert(df: DataFrame, sinks: Sequence[tuple], persist: bool = True) -> list:
+def multi_insert(df: DataFrame, sinks: Sequence[tuple], materialize: str = "persist") -> list:
     """One source, several sinks (B11): ``sinks`` is ``[(condition, fn)]``;
-    each ``fn`` receives ``df.where(condition)``.  The source is computed once
-    (persisted; lost blocks are recomputed from lineage)."""
-    src = df.persist() if persist else df
+    each ``fn`` receives ``df.where(condition)``.  The source is computed once:
+
+    * ``"persist"`` – cached on the executors; a lost executor's blocks are
+      recomputed from the source.
+    * ``"checkpoint"`` – written once to the session's ``spark.checkpoint.dir``
+      (a shared folder on a cluster), cutting the lineage: a lost executor
+      costs a re-read of the checkpoint, never a recompute of the source.
+    * ``"none"`` – each sink recomputes the source.
+    """
+    if materialize == "checkpoint":
+        from ..session import checkpoint_root
+        checkpoint_root(df.sparkSession)          # set only where unset (tests)
+        src = df.checkpoint(eager=True)
+    elif materialize == "persist":
+        src = df.persist()
+    elif materialize == "none":
+        src = df
+    else:
+        raise StoreError(f"unknown materialize {materialize!r}")
     try:
         return [fn(src.where(cond)) for cond, fn in sinks]
     finally:
-        if persist:
+        if materialize == "persist":
             src.unpersist()
 
 

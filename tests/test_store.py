@@ -143,3 +143,12 @@ def test_export_formats(spark, fmt):
     out = export_table(tc.or_cells(spark, SF_SMALL), tc.OR_MAPPING, scratch_path(spark, "t-exp"),
                        columns=["status"], key_lo="000000000100", key_hi="000000000199", fmt=fmt)
     assert out.count() == 100 and set(out.columns) == {"order_key", "status"}
+
+
+@pytest.mark.parametrize("how", ["persist", "checkpoint", "none"])
+def test_multi_insert_materialize(spark, how):
+    from cellwise.sources.store import multi_insert
+    rows = tc.or_rows(spark, SF_SMALL).select("order_key", "status")
+    out = multi_insert(rows, [(F.col("status") == "F", lambda d: d.count()),
+                              (F.col("status") != "F", lambda d: d.count())], materialize=how)
+    assert sum(out) == rows.count()
