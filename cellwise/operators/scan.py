@@ -143,8 +143,10 @@ def scan_table(
     maps = [f for f in data_fields if f.role != "column"]
     scalars = [f for f in data_fields if f.role == "column"]
     if not maps:
-        aggs = [F.max_by("value", F.when(_match(f), F.struct("ts", "seq"))).alias(f"_v{i}")
-                for i, f in enumerate(scalars)]
+        # order by (ts, seq, value): an exact (ts, seq) tie is decided by the
+        # value, so the result never depends on the order tasks meet the cells
+        aggs = [F.max_by("value", F.when(_match(f), F.struct("ts", "seq", "value")))
+                .alias(f"_v{i}") for i, f in enumerate(scalars)]
         aggs.append(F.max("ts").alias("_ts"))
         grouped = src.groupBy("row_key").agg(*aggs)
         map_cols: dict[str, Column] = {}
@@ -155,7 +157,7 @@ def scan_table(
         for j, f in enumerate(maps):
             entry = F.struct(
                 _map_key(F.col("qualifier"), f, m).alias("key"),
-                F.col("ts"), F.col("seq"),
+                F.col("ts"), F.col("seq"), F.col("value").alias("raw"),
                 _map_value(F.col("value"), f, m).alias("value"),
             )
             keep = _match(f) & (F.length("value") > 0)      # empty values are dropped
@@ -192,12 +194,14 @@ def _needs_dedup(f: Field) -> bool:
 
 
 def _sorted_entries(entries: Column) -> Column:
-    """Entries by key, newest first within a key; NULL keys removed."""
+    """Entries by key, newest first within a key (ties: larger raw value
+    first, as everywhere else); NULL keys removed."""
     e = F.filter(entries, lambda x: x["key"].isNotNull())
     return F.array_sort(e, lambda a, b: F.when(a["key"] < b["key"], -1)
                         .when(a["key"] > b["key"], 1)
                         .when(a["ts"] > b["ts"], -1).when(a["ts"] < b["ts"], 1)
                         .when(a["seq"] > b["seq"], -1).when(a["seq"] < b["seq"], 1)
+                        .when(a["raw"] > b["raw"], -1).when(a["raw"] < b["raw"], 1)
                         .otherwise(0))
 
 

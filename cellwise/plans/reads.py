@@ -116,7 +116,8 @@ def map_text(m, fmt=lambda v: v):
 _LI_KEY_SQL = "lpad(CAST(l_orderkey AS VARCHAR), 10, '0') || '$$' || CAST(l_linenumber AS VARCHAR)"
 # lineitem as stored: of copies sharing (orderkey, linenumber) the newest wins
 LI_NEWEST = """(SELECT * FROM (SELECT *, row_number() OVER (
-    PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey * 1000000 + l_suppkey DESC) AS li_rn
+    PARTITION BY l_orderkey, l_linenumber
+    ORDER BY (l_partkey * 1000000 + l_suppkey) * 100 + CAST(l_quantity AS BIGINT) DESC) AS li_rn
   FROM lineitem) WHERE li_rn = 1)"""
 
 

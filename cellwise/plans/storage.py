@@ -11,6 +11,7 @@ from ..session import scratch_path
 from ..sources.store import CellStore, export_table
 from ..sources.text import cells_to_lines, text_to_cells
 from . import testcells as tc
+from .reads import LI_NEWEST
 from .registry import query
 
 N_REGIONS = 8
@@ -250,12 +251,10 @@ def a8_text_source(spark, sf_dir):
         F.count_if(F.length("value") == 0).alias("empty_values"))
 
 
-@query("a1_bucketed_read", """
+@query("a1_bucketed_read", f"""
 SELECT lpad(CAST(l_orderkey AS VARCHAR), 10, '0') AS orderkey, l_linenumber AS linenumber,
        CAST(l_quantity AS INTEGER) AS qty, l_linestatus AS status, CAST(l_shipdate AS DATE) AS ship
-FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                                   ORDER BY l_partkey * 1000000 + l_suppkey DESC) AS rn
-      FROM lineitem) WHERE rn = 1
+FROM {LI_NEWEST}
 """)
 def a1_bucketed_read(spark, sf_dir):
     """A1 over the bucketed store layout: lineitem cells written

@@ -122,8 +122,10 @@ def li_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def li_seq():
-    """Version order of lineitem copies sharing (orderkey, linenumber)."""
-    return F.col("l_partkey") * LI_SEQ_SCALE + F.col("l_suppkey")
+    """Version order of lineitem copies sharing (orderkey, linenumber):
+    part, then supplier, then quantity (whole numbers 1-50)."""
+    return (F.col("l_partkey") * LI_SEQ_SCALE + F.col("l_suppkey")) * 100 \
+        + F.col("l_quantity").cast("bigint")
 
 
 def li_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
