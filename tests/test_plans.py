@@ -40,3 +40,12 @@ def test_versions_group_limit_before_shuffle(spark):
     p = plan(scan.scan_versions(tc.ev_cells(spark, SF_SMALL), 3))
     before_exchange = p.split("Exchange")[1]
     assert "WindowGroupLimit" in before_exchange and "Partial" in before_exchange
+
+
+def test_composite_prefix_pushed_to_parquet(spark, tmp_path):
+    from cellwise.operators.predicates import composite_key_filter
+    path = str(tmp_path / "li")
+    tc.li_cells(spark, SF_SMALL).write.parquet(path)
+    df = composite_key_filter(spark.read.parquet(path), tc.LI_KEY, equal=[("orderkey", "0000000042")])
+    pushed = plan(df).split("PushedFilters")[1][:500]
+    assert "StringStartsWith(row_key,0000000042$$)" in pushed

@@ -138,3 +138,14 @@ def test_versions_keep_n_newest(spark):
     c = cells(spark, [("k", "cf", "name", t, f"v{t}") for t in range(10)])
     got = scan.scan_versions(c, 3).orderBy("version").collect()
     assert [r.ts for r in got] == [9, 8, 7] and [r.version for r in got] == [1, 2, 3]
+
+
+def test_exact_ties_decided_by_value_whatever_the_partitioning(spark):
+    base = [("k", "cf", "name", 5, v, 3) for v in ("b", "a", "c")] + \
+           [("k", "cf", "age", 5, v, 3) for v in ("1", "9", "5")]
+    c = cells(spark, base)
+    for parts in (1, 3, 6):
+        r = scan.scan_table(c.repartition(parts), KV).first()
+        assert (r.name, r.age) == ("c", 9)
+        assert {x.qualifier: bytes(x.value) for x in scan.latest(c.repartition(parts)).collect()} \
+            == {"name": b"c", "age": b"9"}
