@@ -149,3 +149,27 @@ def test_exact_ties_decided_by_value_whatever_the_partitioning(spark):
         assert (r.name, r.age) == ("c", 9)
         assert {x.qualifier: bytes(x.value) for x in scan.latest(c.repartition(parts)).collect()} \
             == {"name": b"c", "age": b"9"}
+
+
+def test_validate_keys_split_and_strict(spark):
+    import pytest
+    from cellwise.operators.quality import key_report, validate_keys
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), ("", 4), (None, 5)], "k string, x int")
+    good, bad = validate_keys(df, "k")
+    assert [r.k for r in good.collect()] == ["a"]
+    assert sorted((r.reason, r.x) for r in bad.collect()) == [
+        ("duplicate", 2), ("duplicate", 3), ("empty", 4), ("null", 5)]
+    rep = {(r.key, r.reason): r.copies for r in key_report(df, "k").collect()}
+    assert rep == {("b", "duplicate"): 2, ("", "empty"): 1, (None, "null"): 1}
+    g2, _ = validate_keys(df, "k", strict=True)
+    with pytest.raises(Exception, match="bad row key"):
+        g2.collect()
+
+
+def test_write_time_defaults_to_now(spark):
+    import time
+    m = Mapping.parse(":key,cf:v", ["key", "v"])
+    df = spark.createDataFrame([("k", "x")], "key string, v string")
+    t0 = int(time.time() * 1000)
+    ts = table_to_cells(df, m).first().ts
+    assert t0 - 60_000 <= ts <= int(time.time() * 1000) + 60_000
