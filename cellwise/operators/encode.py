@@ -89,6 +89,11 @@ def table_to_cells(
         ts_col = F.unix_millis(F.current_timestamp())
     seq_col = seq if isinstance(seq, Column) else F.lit(int(seq))
 
+    scalar_fields = [f for f in m.cell_fields if f.name in schema]
+    map_fields = [f for f in m.map_fields if f.name in schema]
+    if scalar_fields and not map_fields:
+        return _unpivot_cells(df, m, scalar_fields, key, ts_col, seq_col, schema, strict_keys)
+
     arrays = []
     scalars = [
         F.struct(F.lit(f.family).alias("family"), F.lit(f.qualifier).alias("qualifier"),
@@ -113,6 +118,25 @@ def table_to_cells(
     return out.select("row_key", "family", "qualifier", "ts", "seq", "value")
 
 
+def _unpivot_cells(df, m, fields, key, ts_col, seq_col, schema, strict_keys) -> DataFrame:
+    """Scalar columns only: encode each column once, then ``unpivot`` (an
+    Expand operator: compact generated code however wide the mapping is)."""
+    enc = [encode_field(F.col(f.name), f, m, schema.get(f.name)).alias(f"_c{i}")
+           for i, f in enumerate(fields)]
+    pre = df.select(key.alias("row_key"), ts_col.cast("bigint").alias("ts"),
+                    seq_col.cast("bigint").alias("seq"), *enc)
+    long = pre.unpivot(["row_key", "ts", "seq"], [f"_c{i}" for i in range(len(fields))],
+                       "_var", "value")
+    idx = F.substring("_var", 3, 9).cast("int") + 1
+    fams = F.array(*[F.lit(f.family) for f in fields])
+    quals = F.array(*[F.lit(f.qualifier) for f in fields])
+    out = long.where(F.col("value").isNotNull())
+    if not strict_keys:
+        out = out.where(F.col("row_key").isNotNull())
+    return out.select("row_key", F.element_at(fams, idx).alias("family"),
+                      F.element_at(quals, idx).alias("qualifier"), "ts", "seq", "value")
+
+
 def key_type(m: Mapping) -> str:
     k = m.key
     if m.key_codec is None and (

@@ -143,12 +143,27 @@ def scan_table(
     maps = [f for f in data_fields if f.role != "column"]
     scalars = [f for f in data_fields if f.role == "column"]
     if not maps:
-        # order by (ts, seq, value): an exact (ts, seq) tie is decided by the
-        # value, so the result never depends on the order tasks meet the cells
-        aggs = [F.max_by("value", F.when(_match(f), F.struct("ts", "seq", "value")))
-                .alias(f"_v{i}") for i, f in enumerate(scalars)]
+        # One slot per distinct (family, qualifier); a cell finds its slot with
+        # one CASE, and each slot keeps max(struct(ts, seq, value)): the newest
+        # version, an exact (ts, seq) tie decided by the value, so the result
+        # never depends on the order tasks meet the cells.  One buffer field
+        # per slot keeps whole-stage codegen within its field limit.
+        slots: dict[tuple, int] = {}
+        for f in scalars:
+            slots.setdefault((f.family, f.qualifier), len(slots))
+        slot = None
+        for (fam, qual), j in slots.items():
+            cond = (F.col("family") == F.lit(fam)) & (F.col("qualifier") == F.lit(qual))
+            slot = F.when(cond, F.lit(j)) if slot is None else slot.when(cond, F.lit(j))
+        pre = src.select("row_key", "ts", F.struct("ts", "seq", "value").alias("_o"),
+                         (slot if slot is not None else F.lit(None).cast("int")).alias("_slot"))
+        aggs = [F.max(F.when(F.col("_slot") == j, F.col("_o"))).alias(f"_s{j}")
+                for j in range(len(slots))]
         aggs.append(F.max("ts").alias("_ts"))
-        grouped = src.groupBy("row_key").agg(*aggs)
+        grouped = pre.groupBy("row_key").agg(*aggs).select(
+            "row_key", "_ts",
+            *[F.col(f"_s{slots[(f.family, f.qualifier)]}.value").alias(f"_v{i}")
+              for i, f in enumerate(scalars)])
         map_cols: dict[str, Column] = {}
     else:
         newest = latest(src)

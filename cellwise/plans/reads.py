@@ -184,3 +184,24 @@ def a10_versions(spark, sf_dir):
     from ..functions.codec import decode_text
     v = scan.scan_versions(tc.ev_cells(spark, sf_dir), 3)
     return v.withColumn("value", decode_text(F.col("value"), "double"))
+
+
+def _wide_sql() -> str:
+    base = ("concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), "
+            "CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR))")
+    h = f"(md5({base}) || md5({base} || '#'))"
+    cols = ",\n  ".join(
+        f"substr({h}, {1 + i % 14}, CAST((l_orderkey + l_linenumber + {i * 7}) % 50 + 1 AS INTEGER))"
+        f" AS c{i:02d}" for i in range(1, tc.WIDE_COLUMNS + 1))
+    return f"""
+SELECT lpad(CAST(l_orderkey AS VARCHAR), 10, '0') || '$$' || CAST(l_linenumber AS VARCHAR) AS li_key,
+  {cols}
+FROM {LI_NEWEST}
+"""
+
+
+@query("a1_wide_50_columns", _wide_sql())
+def a1_wide_50_columns(spark, sf_dir):
+    """A1 on the reference's benchmark shape: 50 text columns per row, one
+    cell each, pivoted back into rows."""
+    return scan.scan_table(tc.wide_cells(spark, sf_dir), tc.WIDE_MAPPING)

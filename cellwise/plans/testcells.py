@@ -13,6 +13,7 @@ from ..functions.keys import delimited
 from ..functions.time import df_epoch_millis
 from ..mapping import Field, Mapping
 from ..operators.encode import table_to_cells
+from ..session import list_file_sizes
 
 # Fixed values of the test layouts.
 EVENT_TYPES = ("click", "view", "purchase", "signup", "error")
@@ -23,8 +24,23 @@ CU_WRITE_TS = 1_700_000_000_000   # one write time for the customer table
 LI_SEQ_SCALE = 1_000_000
 
 
+# A table at most this large is spread over all cores when read (see load).
+SMALL_TABLE_BYTES = 1 << 30
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One driver table.  The test files hold a single row group each, which
+    Spark reads in one task however the splits are sized; a small table is
+    therefore spread round-robin over the cores before any work fans its
+    rows out to cells.  Large inputs have many row groups and are read as is
+    (file sizes come from file-system metadata)."""
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    size = sum(b for _, b in list_file_sizes(spark, path))
+    cores = spark.sparkContext.defaultParallelism
+    if 0 < size <= SMALL_TABLE_BYTES and cores > 1:
+        df = df.repartition(cores)
+    return df
 
 
 def padded(col: str, width: int):
@@ -131,3 +147,39 @@ def li_seq():
 def li_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_to_cells(li_rows(spark, sf_dir), LI_MAPPING, ts=CU_WRITE_TS,
                           seq=F.col("li_seq"))
+
+
+# ------------------------------------------- W: 50 text columns per row
+WIDE_COLUMNS = 50
+WIDE_MAPPING = Mapping(
+    (Field("li_key", "string", "key"),)
+    + tuple(Field(f"c{i:02d}", "string", "column", "f", f"c{i:02d}")
+            for i in range(1, WIDE_COLUMNS + 1))
+)
+
+
+def wide_text(i: int):
+    """Column i of the wide table: 1–50 characters of the row's 64-character
+    digest ``_h`` (offset and length vary by column and row)."""
+    length = (F.col("l_orderkey") + F.col("l_linenumber") + i * 7) % 50 + 1
+    return F.substring(F.col("_h"), F.lit(1 + i % 14), length.cast("int"))
+
+
+def wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's benchmark shape (a key and 50 columns of 1–50 letters
+    and digits), derived row by row from lineitem."""
+    li = load(spark, sf_dir, "lineitem")
+    base = F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    # the digest is computed once per row, in its own projection
+    hashed = li.select("l_orderkey", "l_linenumber", li_seq().alias("li_seq"),
+                       F.concat(F.md5(base), F.md5(F.concat(base, F.lit("#")))).alias("_h"))
+    return hashed.select(
+        F.concat_ws("$$", padded("l_orderkey", CUST_KEY_WIDTH),
+                    F.col("l_linenumber").cast("string")).alias("li_key"),
+        *[wide_text(i).alias(f"c{i:02d}") for i in range(1, WIDE_COLUMNS + 1)],
+        "li_seq")
+
+
+def wide_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table_to_cells(wide_rows(spark, sf_dir), WIDE_MAPPING, ts=CU_WRITE_TS,
+                          seq=F.col("li_seq"))
