@@ -16,6 +16,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from cellwise.operators import scan  # noqa: E402
 from cellwise.operators.predicates import time_range  # noqa: E402
 from cellwise.operators.upsert import upsert_cells  # noqa: E402
@@ -92,6 +94,21 @@ def main() -> None:
     stb = stores["bucketed"]
     q["read_full_bucketed"], _ = timed(lambda: run(scan.scan_table(stb.read(), tc.LI_MAPPING)))
 
+    # the reference's own benchmark shape: 50 text columns of 1-50 characters
+    wide = tc.wide_rows(spark, sf_dir).persist()
+    n_wide = wide.count()
+
+    def write_wide():
+        stw = CellStore(spark, scratch_path(spark, "bench-wide"))
+        stw.write_table(wide, tc.WIDE_MAPPING, ts=tc.CU_WRITE_TS, seq=F.col("li_seq"),
+                        points=pts8)
+        return stw
+    q["write_wide_50cols_split8"], stw = timed(write_wide)
+    wide.unpersist()
+    q["read_wide_50cols_full"], _ = timed(lambda: run(scan.scan_table(stw.read(), tc.WIDE_MAPPING)))
+    q["read_wide_2cols"], _ = timed(lambda: run(
+        scan.scan_table(stw.read(), tc.WIDE_MAPPING, ["c01", "c02"], projected_only=True)))
+
     q["flagship_latest_user_state"], _ = timed(
         lambda: run(QUERIES["latest_user_state"](spark, sf_dir)))
     ev = tc.ev_cells(spark, sf_dir)
@@ -110,6 +127,9 @@ def main() -> None:
         "cells_written": n_cells,
         "write_cells_per_sec_split8": round(n_cells / q["write_split_8regions"]),
         "read_cells_per_sec_full": round(n_cells / q["read_full"]),
+        "wide_rows": n_wide,
+        "wide_write_rows_per_sec": round(n_wide / q["write_wide_50cols_split8"]),
+        "wide_read_rows_per_sec": round(n_wide / q["read_wide_50cols_full"]),
         "ratios": {
             "hash_over_split_write": round(q["write_hash_8regions"] / q["write_split_8regions"], 3),
             "range_over_split_write": round(q["write_range_8regions"] / q["write_split_8regions"], 3),
