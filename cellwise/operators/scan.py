@@ -91,6 +91,25 @@ def _map_value(v: Column, f: Field, m: Mapping) -> Column:
     return decode_field(v, vf, m)
 
 
+# ------------------------------------------------------------ version order
+_SIGN = -(1 << 63)
+
+
+def version_key() -> Column:
+    """One binary whose unsigned byte order is the (ts, seq, value) order of
+    a cell's versions: ts and seq as 8 big-endian bytes with the sign bit
+    flipped, then the value bytes.  ``max`` of it picks the newest version
+    (ties by value) with a single binary aggregate buffer per column."""
+    return F.concat(codec.encode_int_bytes(F.col("ts").bitwiseXOR(F.lit(_SIGN)), 8),
+                    codec.encode_int_bytes(F.col("seq").bitwiseXOR(F.lit(_SIGN)), 8),
+                    F.col("value").cast("binary"))
+
+
+def version_value(key: Column) -> Column:
+    """The value part of :func:`version_key`."""
+    return F.substring(key, 17, 1 << 30)
+
+
 # ---------------------------------------------------------------------- E6
 def latest(cells: DataFrame, by: Sequence[str] = ("row_key", "family", "qualifier")) -> DataFrame:
     """Newest version of every cell: max of (ts, seq), value as last tie break."""
@@ -155,14 +174,14 @@ def scan_table(
         for (fam, qual), j in slots.items():
             cond = (F.col("family") == F.lit(fam)) & (F.col("qualifier") == F.lit(qual))
             slot = F.when(cond, F.lit(j)) if slot is None else slot.when(cond, F.lit(j))
-        pre = src.select("row_key", "ts", F.struct("ts", "seq", "value").alias("_o"),
+        pre = src.select("row_key", "ts", version_key().alias("_o"),
                          (slot if slot is not None else F.lit(None).cast("int")).alias("_slot"))
         aggs = [F.max(F.when(F.col("_slot") == j, F.col("_o"))).alias(f"_s{j}")
                 for j in range(len(slots))]
         aggs.append(F.max("ts").alias("_ts"))
         grouped = pre.groupBy("row_key").agg(*aggs).select(
             "row_key", "_ts",
-            *[F.col(f"_s{slots[(f.family, f.qualifier)]}.value").alias(f"_v{i}")
+            *[version_value(F.col(f"_s{slots[(f.family, f.qualifier)]}")).alias(f"_v{i}")
               for i, f in enumerate(scalars)])
         map_cols: dict[str, Column] = {}
     else:
