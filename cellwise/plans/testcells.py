@@ -24,8 +24,10 @@ CU_WRITE_TS = 1_700_000_000_000   # one write time for the customer table
 LI_SEQ_SCALE = 1_000_000
 
 
-# A table at most this large is spread over all cores when read (see load).
-SMALL_TABLE_BYTES = 1 << 30
+# A table between these sizes is spread over all cores when read (see load):
+# smaller ones are not worth an exchange, larger ones have many row groups.
+SPREAD_MIN_BYTES = 128 << 10
+SPREAD_MAX_BYTES = 1 << 30
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,7 +40,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(path)
     size = sum(b for _, b in list_file_sizes(spark, path))
     cores = spark.sparkContext.defaultParallelism
-    if 0 < size <= SMALL_TABLE_BYTES and cores > 1:
+    if SPREAD_MIN_BYTES <= size <= SPREAD_MAX_BYTES and cores > 1:
         df = df.repartition(cores)
     return df
 
