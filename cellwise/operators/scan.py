@@ -174,14 +174,24 @@ def scan_table(
         for (fam, qual), j in slots.items():
             cond = (F.col("family") == F.lit(fam)) & (F.col("qualifier") == F.lit(qual))
             slot = F.when(cond, F.lit(j)) if slot is None else slot.when(cond, F.lit(j))
-        pre = src.select("row_key", "ts", version_key().alias("_o"),
+        # Both version forms pick the same cell.  struct(ts, seq, value) is the
+        # cheaper one while 3 fields per slot fit whole-stage codegen's field
+        # budget; beyond it the single binary key keeps the stage compiled.
+        budget = int(cells.sparkSession.conf.get("spark.sql.codegen.maxFields", "100"))
+        as_struct = 3 * len(slots) + 4 <= budget
+        order = F.struct("ts", "seq", "value") if as_struct else version_key()
+        pre = src.select("row_key", "ts", order.alias("_o"),
                          (slot if slot is not None else F.lit(None).cast("int")).alias("_slot"))
         aggs = [F.max(F.when(F.col("_slot") == j, F.col("_o"))).alias(f"_s{j}")
                 for j in range(len(slots))]
         aggs.append(F.max("ts").alias("_ts"))
+
+        def value_of(j: int) -> Column:
+            c = F.col(f"_s{j}")
+            return c["value"] if as_struct else version_value(c)
         grouped = pre.groupBy("row_key").agg(*aggs).select(
             "row_key", "_ts",
-            *[version_value(F.col(f"_s{slots[(f.family, f.qualifier)]}")).alias(f"_v{i}")
+            *[value_of(slots[(f.family, f.qualifier)]).alias(f"_v{i}")
               for i, f in enumerate(scalars)])
         map_cols: dict[str, Column] = {}
     else:
