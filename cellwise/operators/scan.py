@@ -100,9 +100,9 @@ def version_key() -> Column:
     a cell's versions: ts and seq as 8 big-endian bytes with the sign bit
     flipped, then the value bytes.  ``max`` of it picks the newest version
     (ties by value) with a single binary aggregate buffer per column."""
-    return F.concat(codec.encode_int_bytes(F.col("ts").bitwiseXOR(F.lit(_SIGN)), 8),
-                    codec.encode_int_bytes(F.col("seq").bitwiseXOR(F.lit(_SIGN)), 8),
-                    F.col("value").cast("binary"))
+    def part(c: str) -> Column:          # NULL orders first, as in a struct
+        return codec.encode_int_bytes(F.coalesce(F.col(c), F.lit(_SIGN)).bitwiseXOR(F.lit(_SIGN)), 8)
+    return F.concat(part("ts"), part("seq"), F.col("value").cast("binary"))
 
 
 def version_value(key: Column) -> Column:
