@@ -79,10 +79,16 @@ class CellStore:
 
     # ------------------------------------------------------------ manifest
     def _manifest(self) -> list:
+        """Manifest rows in commit order (one small read, kept until this
+        object appends; another writer's commits show up on a new object)."""
+        cached = getattr(self, "_manifest_rows", None)
+        if cached is not None:
+            return cached
         if not path_exists(self.spark, self.manifest_path):
             return []
         rows = self.spark.read.schema(MANIFEST_DDL).json(self.manifest_path).collect()
-        return sorted(rows, key=lambda r: r["id"])
+        self._manifest_rows = sorted(rows, key=lambda r: r["id"])
+        return self._manifest_rows
 
     def _append(self, kind: str, **kw) -> None:
         rows = self._manifest()
@@ -93,6 +99,7 @@ class CellStore:
                "buckets": kw.get("buckets"), "bucket_skew": kw.get("bucket_skew")}
         (self.spark.createDataFrame([rec], MANIFEST_DDL).coalesce(1)
          .write.mode("append").json(self.manifest_path))
+        self._manifest_rows = None
 
     def _recorded_buckets(self) -> int | None:
         for r in self._manifest():
