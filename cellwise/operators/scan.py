@@ -151,7 +151,6 @@ def scan_table(
     """
     wanted = [f for f in m.fields if columns is None or f.name in columns or f.role == "key"]
     data_fields = [f for f in wanted if f.role in ("column", "family", "prefix")]
-    ts_field = next((f for f in wanted if f.role == "timestamp"), None)
     presence = data_fields if (projected_only or columns is None) else \
         [f for f in m.fields if f.role in ("column", "family", "prefix")]
     if not presence:
@@ -163,10 +162,9 @@ def scan_table(
     scalars = [f for f in data_fields if f.role == "column"]
     if not maps:
         # One slot per distinct (family, qualifier); a cell finds its slot with
-        # one CASE, and each slot keeps max(struct(ts, seq, value)): the newest
-        # version, an exact (ts, seq) tie decided by the value, so the result
-        # never depends on the order tasks meet the cells.  One buffer field
-        # per slot keeps whole-stage codegen within its field limit.
+        # one CASE, and each slot keeps the max of the (ts, seq, value) version
+        # order: the newest version, an exact (ts, seq) tie decided by the
+        # value, so the result never depends on the order tasks meet the cells.
         slots: dict[tuple, int] = {}
         for f in scalars:
             slots.setdefault((f.family, f.qualifier), len(slots))
