@@ -161,6 +161,8 @@ class CellStore:
         Split points come from ``points``, else from the data (``regions``
         pieces), else from the last commit.  ``mode``:
 
+        ``tasks`` defaults to the session's cores (at least one per region).
+
         * ``"split"`` – every region is written by ``k = tasks / regions`` tasks
           (``repartitionById`` on ``region * k + hash(cell) % k``): files are
           sorted and never cross a region, and a hot region, row or cell is
@@ -188,8 +190,7 @@ class CellStore:
         n = len(points) + 1
         version = self._next_version()
         stage = f"{self.data}/v={version}"
-        shuffle = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        ntasks = tasks or max(n, shuffle)
+        ntasks = tasks or max(n, self._cores())
         df = cells.select("row_key", "family", "qualifier", "ts", "seq", "value") \
             .withColumn("region", region_expr(F.col("row_key"), points))
         # range / exact partitioning is by region then key; within a task the
@@ -228,15 +229,19 @@ class CellStore:
             self._write(df, stage, ["family", "region"], dict(layout or {}))
         return WriteResult(version, stage, points, fams or [])
 
+    def _cores(self) -> int:
+        """Default number of write tasks: the cores the session has.  At scale
+        pass ``tasks`` of about input bytes / 1 GB instead."""
+        return max(1, self.spark.sparkContext.defaultParallelism)
+
     def _stage_bucketed(self, cells: DataFrame, tasks: int | None) -> WriteResult:
         """Each bucket is written by k tasks (hash of the cell within the
         bucket), so a hot key's bucket is still spread over k writers."""
         version = self._next_version()
         kt = dict(cells.dtypes)["row_key"]
         name = self._table(kt)
-        shuffle = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         n = self.buckets
-        k = max(1, -(-(tasks or max(n, shuffle)) // n))
+        k = max(1, -(-(tasks or max(n, self._cores())) // n))
         bucket = F.pmod(F.hash("row_key"), F.lit(n))       # Spark's own bucket id
         sub = F.pmod(F.xxhash64("row_key", "family", "qualifier", "ts"), F.lit(k))
         df = (cells.withColumn("v", F.lit(version))
