@@ -196,7 +196,9 @@ class CellStore:
         # range / exact partitioning is by region then key; within a task the
         # sort starts with the writer's partition columns (family, region), so
         # the file writer keeps this order instead of re-sorting
-        if mode == "split":
+        if mode == "rebalance":
+            df = df.hint("rebalance", "region")
+        elif mode == "split":
             k = max(1, -(-ntasks // n))
             sub = F.pmod(F.xxhash64("row_key", "family", "qualifier", "ts"), F.lit(k))
             df = df.repartitionById(n * k, (F.col("region") * k + sub).cast("int"))

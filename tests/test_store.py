@@ -152,3 +152,11 @@ def test_multi_insert_materialize(spark, how):
     out = multi_insert(rows, [(F.col("status") == "F", lambda d: d.count()),
                               (F.col("status") != "F", lambda d: d.count())], materialize=how)
     assert sum(out) == rows.count()
+
+
+def test_rebalance_mode_writes_everything(spark):
+    store = CellStore(spark, scratch_path(spark, "t-rebal"))
+    cells = tc.or_cells(spark, SF_SMALL)
+    store.write(cells, points=["000000000500", "000000001000"], mode="rebalance")
+    assert store.read().count() == cells.count()
+    assert scan.scan_table(store.read(), tc.OR_MAPPING).count() == 1500
