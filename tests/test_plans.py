@@ -49,3 +49,18 @@ def test_composite_prefix_pushed_to_parquet(spark, tmp_path):
     df = composite_key_filter(spark.read.parquet(path), tc.LI_KEY, equal=[("orderkey", "0000000042")])
     pushed = plan(df).split("PushedFilters")[1][:500]
     assert "StringStartsWith(row_key,0000000042$$)" in pushed
+
+
+def test_broadcast_only_under_the_bound(spark):
+    from cellwise.operators.joins import broadcast_if_small, estimated_bytes
+    c = tc.cu_rows(spark, SF_SMALL)
+    o = tc.or_rows(spark, SF_SMALL)
+    assert estimated_bytes(c) > 0
+    small = o.join(broadcast_if_small(c, 1 << 40), o["cust"] == c["nation"])
+    assert "BroadcastHashJoin" in plan(small)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = o.join(broadcast_if_small(c, 1), o["cust"] == c["nation"])
+        assert "BroadcastHashJoin" not in plan(big)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
