@@ -49,13 +49,22 @@ def uniform_split_points(df: DataFrame, key: str, n: int, width: int) -> list[st
 
 
 # ---------------------------------------------------------------------- B7
+# Up to this many split points the search is a CASE tree; above it, a loop
+# over one array literal (expression size stays constant).
+CASE_TREE_MAX_POINTS = 256
+
+
 def region_expr(key: Column, points: Sequence) -> Column:
-    """Region number of ``key``: a balanced binary search over the split
-    points written as nested CASE WHEN (log2(n) comparisons per row,
-    codegen-able; no join and no broadcast)."""
+    """Region number of ``key``: a binary search over the split points, log2(n)
+    comparisons per row, no join and no broadcast.  Up to 256 points it is a
+    balanced nested CASE WHEN (codegen-able); above, the points are one array
+    literal searched by an ``aggregate`` loop, so the expression stays small
+    for thousands of regions."""
     pts = list(points)
     if any(pts[i] >= pts[i + 1] for i in range(len(pts) - 1)):
         raise ValueError("split points must be strictly increasing")
+    if len(pts) > CASE_TREE_MAX_POINTS:
+        return _array_search(key, pts)
 
     def build(lo: int, hi: int) -> Column:
         if lo == hi:
@@ -66,6 +75,24 @@ def region_expr(key: Column, points: Sequence) -> Column:
     return build(0, len(pts)).cast("int")
 
 
+def _array_search(key: Column, pts: list) -> Column:
+    """Number of points <= key by bisection over an array literal."""
+    arr = F.array(*[F.lit(p) for p in pts])
+    n = len(pts)
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.floor((lo + hi) / 2).cast("int")
+        right = F.element_at(arr, F.least(mid + 1, F.lit(n))) <= key
+        return (F.when(lo >= hi, acc)
+                .when(right, F.struct((mid + 1).alias("lo"), hi.alias("hi")))
+                .otherwise(F.struct(lo.alias("lo"), mid.alias("hi"))))
+
+    init = F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(n.bit_length() + 1)), init, step)["lo"]
+    return F.when(key.isNotNull(), found).cast("int")
+
+
 def assign_region(df: DataFrame, key: str | Column, points: Sequence,
                   name: str = "region") -> DataFrame:
     return df.withColumn(name, region_expr(_key_col(df, key), points))

@@ -160,3 +160,13 @@ def test_rebalance_mode_writes_everything(spark):
     store.write(cells, points=["000000000500", "000000001000"], mode="rebalance")
     assert store.read().count() == cells.count()
     assert scan.scan_table(store.read(), tc.OR_MAPPING).count() == 1500
+
+
+def test_region_search_for_many_points(spark):
+    import random
+    random.seed(7)
+    pts = sorted({f"{random.randrange(10**6):06d}" for _ in range(1500)})
+    keys = [f"{random.randrange(10**6):06d}" for _ in range(3000)] + pts[:5] + ["", "999999", "000000"]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    got = {r.k: r.region for r in assign_region(df, "k", pts).collect()}
+    assert got == {k: bisect.bisect_right(pts, k) for k in keys}
