@@ -8,6 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from cellwise.mapping import Mapping
 from cellwise.operators import scan
 from cellwise.operators.regions import (assign_region, refine_splits, region_expr, region_skew,
                                         split_points)
@@ -170,3 +171,29 @@ def test_region_search_for_many_points(spark):
     df = spark.createDataFrame([(k,) for k in keys], "k string")
     got = {r.k: r.region for r in assign_region(df, "k", pts).collect()}
     assert got == {k: bisect.bisect_right(pts, k) for k in keys}
+
+
+def test_bucketed_compaction_keeps_layout_and_values(spark):
+    store = CellStore(spark, scratch_path(spark, "t-bcompact"), buckets=4)
+    rows = tc.cu_rows(spark, SF_SMALL)
+    store.write_table(rows, tc.CU_MAPPING, ts=1)
+    store.write_table(rows.select("cust_key", F.lit("z").alias("name")),
+                      Mapping.parse(":key,p:name", ["cust_key", "name"]), ts=2)
+    before = sorted(tuple(r) for r in scan.scan_table(store.read(), tc.CU_MAPPING).collect())
+    v = store.compact()
+    assert store.committed() == [v]
+    after = scan.scan_table(store.read(), tc.CU_MAPPING)
+    assert "Bucketed: true" in after._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in after.collect()) == before
+    assert store.read().count() == rows.count() * 4        # one version per cell left
+
+
+def test_family_filter_prunes_directories(spark):
+    store = CellStore(spark, scratch_path(spark, "t-fam"))
+    store.write(tc.cu_cells(spark, SF_SMALL), points=[])
+    df = store.read(families=["n"])
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "family" in plan.split("PartitionFilters")[1][:200]
+    assert {r.family for r in df.select("family").distinct().collect()} == {"n"}
+
