@@ -146,3 +146,38 @@ def test_typed_family_map_round_trip(spark, storage):
     assert back["k1"].dbls == {"x": -0.5, "y": 1e300}
     assert back["k1"].flags == {"t": True, "f": False}
     assert back["k2"].ints == {} and back["k2"].dbls == {}   # no cells → empty map
+
+
+def test_text_source_padding_and_nulls(spark):
+    from cellwise.sources.text import lines_to_cells
+    lines = spark.createDataFrame([("k1\x01a\x01b",), ("k2\x01\\N\x01c",), ("k3\x01d",), ("\x01x",)],
+                                  "value string")
+    got = sorted((r.row_key, r.qualifier, bytes(r.value)) for r in
+                 lines_to_cells(lines, "cf", ["q1", "q2"]).collect())
+    assert got == [("k1", "q1", b"a"), ("k1", "q2", b"b"), ("k2", "q2", b"c"),
+                   ("k3", "q1", b"d"), ("k3", "q2", b"")]      # missing trailing field → ''
+
+
+def test_records_reader_schema_evolution(spark):
+    from cellwise.functions.records import decode_records
+    c = cells(spark, [
+        ("r1", "cola", "rec", 1, '{"int1": 5, "boolean1": true, "long1": 7, "dropped": "x"}'),
+        ("r2", "cola", "rec", 1, '{"int1": 6, "boolean1": false, "long1": 8, "string1": "given"}'),
+        ("r3", "cola", "rec", 1, '{"aRecord": {"int1": 1}, "int1": 2}')])
+    out = {r.row_key: r.record for r in decode_records(
+        c, "cola", "rec", "int1 int, boolean1 boolean, long1 bigint, string1 string",
+        defaults={"string1": "test"}).collect()}
+    assert out["r1"].string1 == "test" and out["r1"].long1 == 7 and "dropped" not in out["r1"]
+    assert out["r2"].string1 == "given"
+    nested = decode_records(c, "cola", "rec", "aRecord struct<int1:int>, int1 int")
+    assert {r.row_key: r.record.aRecord for r in nested.collect()}["r3"].int1 == 1
+
+
+def test_mapping_check_strict_raises(spark):
+    from cellwise.operators.quality import mapping_check
+    m = Mapping.parse(":key,cf:a,cf:b", ["key", "a", "b"])
+    c = cells(spark, [("k", "cf", "a", 1, "x"), ("k", "cf", "zz", 1, "y")])
+    rows_ = {(r.problem, r.qualifier) for r in mapping_check(c, m).collect()}
+    assert rows_ == {("unmapped", "zz"), ("no_cells", "b")}
+    with pytest.raises(Exception, match="mapping check failed"):
+        mapping_check(c, m, strict=True).collect()
