@@ -188,3 +188,15 @@ def test_both_version_forms_agree(spark):
     finally:
         spark.conf.unset("spark.sql.codegen.maxFields")
     assert tuple(a) == tuple(b) == ("k", "b", 7, 5)
+
+
+def test_row_time_over_requested_cells_and_bad_operator(spark):
+    import pytest
+    from cellwise.operators.predicates import key_op
+    c = cells(spark, [("k", "cf", "name", 10, "n"), ("k", "cf", "age", 99, "3")])
+    full = scan.scan_table(c, KV).first()
+    only = scan.scan_table(c, KV, ["name", "time"], projected_only=True).first()
+    assert full.time == 99 and only.time == 10      # max over the cells actually read
+    with pytest.raises(ValueError):
+        key_op(c, "!=", "k")
+    assert rows(scan.row_count(c), False) == [(1, 2)]

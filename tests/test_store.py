@@ -197,3 +197,20 @@ def test_family_filter_prunes_directories(spark):
     assert "family" in plan.split("PartitionFilters")[1][:200]
     assert {r.family for r in df.select("family").distinct().collect()} == {"n"}
 
+
+
+def test_publish_errors_and_unpublished_stage(spark):
+    store = CellStore(spark, scratch_path(spark, "t-pub"))
+    cells = tc.or_cells(spark, SF_SMALL)
+    res = store.stage(cells, points=[])
+    v = store.publish(res)
+    with pytest.raises(StoreError):
+        store.publish(res)                       # a version is published once
+    res2 = store.stage(cells.where("qualifier = 'status'"), points=[])
+    assert res2.version == v + 1
+    assert store.committed() == [v]              # the second stage stays invisible
+    assert store.read().count() == cells.count()
+    with pytest.raises(StoreError):
+        store.stage(cells.drop("seq"), points=[])
+    with pytest.raises(StoreError):
+        CellStore(spark, "")
