@@ -181,3 +181,18 @@ def test_mapping_check_strict_raises(spark):
     assert rows_ == {("unmapped", "zz"), ("no_cells", "b")}
     with pytest.raises(Exception, match="mapping check failed"):
         mapping_check(c, m, strict=True).collect()
+
+
+def test_float32_specials_and_boolean_bytes(spark):
+    df = spark.createDataFrame([(float("inf"), True), (float("-inf"), False), (float("nan"), None),
+                                (1.401298464324817e-45, True), (-3.4028234663852886e38, False)],
+                               "f float, b boolean")
+    r = df.select(codec.decode_binary(codec.encode_binary(F.col("f"), "float"), "float").alias("f"),
+                  F.hex(codec.encode_binary(F.col("b"), "boolean")).alias("hb"),
+                  codec.decode_binary(codec.encode_binary(F.col("b"), "boolean"), "boolean").alias("b")
+                  ).collect()
+    fs = [x.f for x in r]
+    assert fs[0] == math.inf and fs[1] == -math.inf and math.isnan(fs[2])
+    assert fs[3] == 1.401298464324817e-45 and fs[4] == -3.4028234663852886e38   # subnormal, extreme
+    assert [x.hb for x in r] == ["FF", "00", None, "FF", "00"]
+    assert [x.b for x in r] == [True, False, None, True, False]
