@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontam, exact_dedup, token_files
+from . import bpe, decontam, exact_dedup, near_dedup, token_files
 from .common import read_table
 from .registry import ORACLE, QUERIES, query
 
@@ -67,3 +67,30 @@ FROM documents
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equal texts of all documents; the largest id stays."""
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"), keep="max")
+
+
+@query("op6_near_dedup", """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) = 1 THEN ws ELSE
+             list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+df AS (SELECT g, count(*) AS df FROM s GROUP BY g),
+r AS (SELECT s.doc_id, s.g, n.n, row_number() OVER (PARTITION BY s.doc_id ORDER BY df.df, s.g) AS pos
+      FROM s JOIN df USING (g) JOIN n USING (doc_id)),
+p AS (SELECT doc_id, g, n FROM r WHERE pos <= n - (80 * n + 99) // 100 + 1),
+c AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb FROM p a JOIN p b USING (g)
+      WHERE a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+l AS (SELECT a, b FROM (SELECT c.a, c.b, any_value(na) AS na, any_value(nb) AS nb, count(*) AS i
+      FROM c JOIN s x ON x.doc_id = c.a JOIN s y ON y.doc_id = c.b AND y.g = x.g GROUP BY c.a, c.b)
+      WHERE 100 * i >= 80 * (na + nb - i)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+t AS (SELECT doc_id AS id, doc_id AS m FROM documents UNION SELECT e.b, t.m FROM t JOIN e ON e.a = t.id),
+m AS (SELECT id, min(m) AS m FROM t GROUP BY id)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, m.m AS component_id, doc_id = m.m AS kept
+FROM documents LEFT JOIN n USING (doc_id) JOIN m ON m.id = doc_id
+""")
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: 2-word shingles, Jaccard 0.8."""
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), w=2, percent=80)
