@@ -27,6 +27,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def prefilter(df: DataFrame, key, keys: DataFrame, buckets: int = 1 << 20) -> DataFrame:
+    """Rows of ``df`` whose ``key`` may occur in the one column of ``keys``.
+
+    Both sides are hashed into ``buckets`` values; the set of values that occur,
+    never more than ``buckets`` rows, is broadcast. No row with a matching key
+    is lost, so a join on the key itself may follow with fewer rows to shuffle.
+    """
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets))
+    seen = keys.select(bucket(F.col(keys.columns[0])).alias("_bucket")).distinct()
+    return df.withColumn("_bucket", bucket(key)).join(F.broadcast(seen), "_bucket", "left_semi").drop("_bucket")
+
+
 def doc_crc_mod(col, m: int):
     """crc32 of the id's decimal text, modulo ``m``."""
     return F.pmod(F.crc32(col.cast("string").cast("binary")), F.lit(m))

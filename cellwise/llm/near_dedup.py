@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialise, mix, shingles, slices, space_words, word_hashes
+from .common import components, materialise, mix, prefilter, shingles, slices, space_words, word_hashes
 
 DIMS = 128          # of the exact count sketch
 
@@ -140,8 +140,8 @@ def confirm(pairs: DataFrame, docs: DataFrame, w: int, percent: int) -> DataFram
     each pair's two texts then meet under the pair.
     """
     ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "near-ids")
-    texts = materialise(docs.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text"))
-                        if ids.first() else docs.limit(0), "near-texts")
+    texts = materialise(prefilter(docs, F.col("doc_id"), ids).join(ids, "doc_id", "left_semi")
+                        .groupBy("doc_id").agg(F.first("text").alias("text")), "near-texts")
     ta = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     tb = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(ta, "a").join(tb, "b").filter(_linked(w, percent)("text_a", "text_b")).select("a", "b")

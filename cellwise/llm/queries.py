@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontam, exact_dedup, near_dedup, token_files
+from . import bpe, decontam, exact_dedup, line_dedup, near_dedup, token_files
 from .common import read_table
 from .registry import ORACLE, QUERIES, query
 
@@ -94,3 +94,29 @@ FROM documents LEFT JOIN n USING (doc_id) JOIN m ON m.id = doc_id
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 2-word shingles, Jaccard 0.8."""
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), w=2, percent=80)
+
+
+@query("op7_line_dedup", """
+WITH RECURSIVE l AS (
+  SELECT doc_id, unnest(range(0, len(ls))) AS line_no, unnest(ls) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)),
+d AS (SELECT row_number() OVER (ORDER BY line) AS id, line, place FROM (
+        SELECT line, min(struct_pack(doc_id := doc_id, line_no := line_no)) AS place FROM l WHERE length(line) >= 20 GROUP BY line)),
+v AS (SELECT id, md5(left(line, i - 1) || chr(10) || substr(line, i + 1)) AS changed, md5(left(line, i - 1) || substr(line, i + 1)) AS cut
+      FROM (SELECT id, line, unnest(range(1, length(line) + 1)) AS i FROM d)),
+h AS (SELECT id, md5(line) AS whole FROM d),
+e AS (SELECT a.id AS a, b.id AS b FROM v a JOIN v b USING (changed) WHERE a.id <> b.id
+      UNION SELECT v.id, h.id FROM v JOIN h ON v.cut = h.whole
+      UNION SELECT h.id, v.id FROM v JOIN h ON v.cut = h.whole),
+t AS (SELECT a AS id, a AS m FROM e UNION SELECT e.b, t.m FROM t JOIN e ON e.a = t.id),
+c AS (SELECT t.id, min(d.place) AS first FROM t JOIN d ON d.id = t.m GROUP BY t.id),
+n AS (SELECT a AS id, count(*) AS n_links FROM e GROUP BY a),
+k AS (SELECT d.line, coalesce(c.first, d.place) AS first, coalesce(n.n_links, 0) AS n_links
+      FROM d LEFT JOIN c USING (id) LEFT JOIN n USING (id)),
+r AS (SELECT l.doc_id, l.line_no, coalesce(k.first.doc_id, l.doc_id) AS class_doc, coalesce(k.first.line_no, l.line_no) AS class_line,
+             coalesce(k.n_links, 0) AS n_links FROM l LEFT JOIN k USING (line))
+SELECT *, doc_id = class_doc AND line_no = class_line AS kept FROM r
+""")
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of equal and nearly equal lines (one edit) over all documents."""
+    return line_dedup.line_classes(read_table(spark, sf_dir, "documents"), max_edits=1, min_chars=20)
