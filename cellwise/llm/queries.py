@@ -5,8 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontam, exact_dedup, line_dedup, near_dedup, token_files
-from .common import read_table
+from . import bpe, decontam, exact_dedup, line_dedup, lm, near_dedup, token_files
+from .common import doc_crc_mod, read_table
 from .registry import ORACLE, QUERIES, query
 
 __all__ = ["QUERIES", "ORACLE"]
@@ -120,3 +120,9 @@ SELECT *, doc_id = class_doc AND line_no = class_line AS kept FROM r
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of equal and nearly equal lines (one edit) over all documents."""
     return line_dedup.line_classes(read_table(spark, sf_dir, "documents"), max_edits=1, min_chars=20)
+
+
+@query("op4_lm_score")
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document; a seventh of them is held out."""
+    return lm.lm_scores(read_table(spark, sf_dir, "documents"), train=doc_crc_mod(F.col("doc_id"), 7) != 2)
