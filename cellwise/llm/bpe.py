@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import map_arrow, slices
 
 # fixed values: the published pre-tokenizer pattern of the byte-level vocabulary
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -216,7 +216,7 @@ def encode(docs: DataFrame, vocab: str | None = None, id_col: str = "doc_id", te
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "ids", "decoded"][: len(cols)])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(run, "doc_id long, ids binary" + ", decoded string" * decoded)
+    return src.transform(map_arrow, run, "doc_id long, ids binary" + ", decoded string" * decoded)
 
 
 def decode(ids: DataFrame, vocab: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -228,4 +228,4 @@ def decode(ids: DataFrame, vocab: str | None = None, id_col: str = "doc_id", ids
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.string())], names=["doc_id", "text"])
 
     src = ids.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).alias("ids"))
-    return src.mapInArrow(run, "doc_id long, text string")
+    return src.transform(map_arrow, run, "doc_id long, text string")

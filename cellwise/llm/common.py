@@ -1,11 +1,14 @@
 """Shared helpers: scratch tables, word hashing, Arrow batch loops, components."""
 from __future__ import annotations
 
+import os
+import zipfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,32 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's source to the Python workers, once per session, so
+    that tasks can import it wherever they run."""
+    sc = spark.sparkContext
+    if getattr(sc, "_cellwise_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if os.path.isdir(top):                       # else the package came in a zip, as shipped code does
+        made = os.path.join(SparkFiles.getRootDirectory(), "made")
+        os.makedirs(made, exist_ok=True)
+        path = os.path.join(made, "cellwise_source.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for d, _, names in os.walk(top):
+                for n in names:
+                    if n.endswith(".py"):
+                        z.write(os.path.join(d, n), os.path.relpath(os.path.join(d, n), os.path.dirname(top)))
+        sc.addPyFile(path)
+    sc._cellwise_shipped = True
+
+
+def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
+    """``df.mapInArrow(fn, schema)`` with this package at hand on the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def prefilter(df: DataFrame, key, keys: DataFrame, buckets: int = 1 << 20) -> DataFrame:
     """Rows of ``df`` whose ``key`` may occur in the one column of ``keys``.
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import map_arrow, slices
 
 # words are runs of 0-9, a-z and bytes from 0x80; all else separates
 _KEEP = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -176,7 +176,7 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_c
         part = items.filter(F.pmod(F.xxhash64("k"), F.lit(blocks)) == i)
         rows = sorted((r.k, r.t) for r in part.filter("t is not null").toLocalIterator())
         held = spark.sparkContext.broadcast(ItemAutomaton(((k, item_words(t)) for k, t in rows), window))
-        passes.append(src.mapInArrow(_scan_fn(held, i), OUT))
+        passes.append(src.transform(map_arrow, _scan_fn(held, i), OUT))
     if blocks == 1:
         return passes[0]
     out = passes[0]
@@ -273,4 +273,4 @@ def _cut(docs: DataFrame, held, min_words: int, max_cover: float, text_col: str)
             keep = pa.array([x or y for x, y in zip(was.to_pylist(), new.column(1).is_valid().to_pylist())])
             arrays = [new.column(1) if j == at else c for j, c in enumerate(b.columns)]
             yield pa.RecordBatch.from_arrays(arrays, schema=b.schema).filter(keep)
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(map_arrow, run, docs.schema)

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HashCache, doc_crc_mod, materialise, pair_hash, slices, space_words
+from .common import HashCache, doc_crc_mod, map_arrow, materialise, pair_hash, ship, slices, space_words
 
 END, START = np.uint64(0x0E0D), np.uint64(0x57A7)        # the hashes of the end and of the start mark
 _WORDS = HashCache()
@@ -285,10 +285,11 @@ def lm_scores(docs: DataFrame, train=None, id_col: str = "doc_id", text_col: str
     learn = F.lit(True) if train is None else train
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                       F.coalesce(learn, F.lit(False)).alias("train"))
-    blocks = materialise(src.mapInArrow(_block_fn(block_tokens), BLOCK), "lm-blocks")
+    blocks = materialise(src.transform(map_arrow, _block_fn(block_tokens), BLOCK), "lm-blocks")
     tokens = blocks.agg(F.sum("n_tokens")).first()[0] or 0
     ranges = max(1, math.ceil(tokens / range_keys))
-    asked = blocks.mapInArrow(_ask_fn(ranges), "bin int, block long, kind int, keys binary, counts binary")
+    ship(spark)
+    asked = blocks.transform(map_arrow, _ask_fn(ranges), "bin int, block long, kind int, keys binary, counts binary")
     answers = materialise(asked.groupBy("bin").applyInPandas(
         _answer, "block long, kind int, bin int, totals binary, known long, held long"), "lm-answers")
     known, n = answers.filter("kind = 0").agg(F.coalesce(F.sum("known"), F.lit(0)), F.coalesce(F.sum("held"), F.lit(0))).first()
@@ -316,5 +317,5 @@ def lm_scores(docs: DataFrame, train=None, id_col: str = "doc_id", text_col: str
                 r = b.slice(i, 1).to_pylist()[0]
                 yield _scored(_Block(r), _unpack(r["words"], np.int64), _unpack(r["pairs"], np.int64), weights, n, known, n_docs)
 
-    return full.drop("cells", "cell_counts").mapInArrow(
-        score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return full.drop("cells", "cell_counts").transform(
+            map_arrow, score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

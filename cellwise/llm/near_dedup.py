@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialise, mix, prefilter, shingles, slices, space_words, word_hashes
+from .common import components, map_arrow, materialise, mix, prefilter, shingles, slices, space_words, word_hashes
 
 DIMS = 128          # of the exact count sketch
 
@@ -242,13 +242,13 @@ def near_duplicates(docs: DataFrame, w: int = 5, percent: int = 80, index: Index
     """
     ix = index or Index()
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sets = materialise(src.mapInArrow(_sketch_rows(ix, w), "doc_id long, n_shingles long, lo long, hi long, sig binary, hist binary"),
+    sets = materialise(src.transform(map_arrow, _sketch_rows(ix, w), "doc_id long, n_shingles long, lo long, hi long, sig binary, hist binary"),
                        "near-sets")
     usable = sets.filter("n_shingles > 0 and doc_id is not null")
     reps = materialise(usable.groupBy("lo", "hi", "n_shingles")
                        .agg(F.min(F.struct(F.col("doc_id").alias("id"), "sig", "hist")).alias("r"))
                        .select("lo", "hi", F.col("n_shingles").alias("n"), "r.id", "r.sig", "r.hist"), "near-reps")
-    keys = reps.select("id", "sig").mapInArrow(_key_rows(ix), "id long, slot int, k long")
+    keys = reps.select("id", "sig").transform(map_arrow, _key_rows(ix), "id long, slot int, k long")
     shared = materialise(keys.groupBy("k").agg(F.min("id").alias("rep"), F.count("*").alias("size"))
                          .filter("size > 1"), "near-keys")
     members = materialise(keys.join(shared, "k"), "near-members")
@@ -277,7 +277,7 @@ def near_duplicates(docs: DataFrame, w: int = 5, percent: int = 80, index: Index
             .join(reps.select("id", "n", "sig", "hist"), "id"))
     # block (u, v) with u < v needs both sides; (u, u) is a block against itself
     cross = (rows.repartition("k", "u", "v").sortWithinPartitions("k", "u", "v", "side")
-             .mapInArrow(_cross_fn(ix, percent), "a long, b long"))
+             .transform(map_arrow, _cross_fn(ix, percent), "a long, b long"))
     cross = materialise(cross.distinct(), "near-cross")
     more = materialise(confirm(cross, src, w, percent), "near-links")
     joined = components(links.union(more))

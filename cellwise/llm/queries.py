@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontam, exact_dedup, line_dedup, lm, near_dedup, token_files
+from . import bpe, decontam, exact_dedup, langid, line_dedup, lm, near_dedup, quality, token_files, toxicity
 from .common import doc_crc_mod, read_table
 from .registry import ORACLE, QUERIES, query
 
@@ -126,3 +126,36 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probability of every document; a seventh of them is held out."""
     return lm.lm_scores(read_table(spark, sf_dir, "documents"), train=doc_crc_mod(F.col("doc_id"), 7) != 2)
+
+
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document; a third of them is held out of learning."""
+    docs = read_table(spark, sf_dir, "documents")
+    held = doc_crc_mod(F.col("doc_id"), 3) == 1
+    model = langid.fit(docs.filter(~F.coalesce(held, F.lit(False))))
+    return langid.identify(docs, model).select(
+        "doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def _held_fifth():
+    return F.coalesce(doc_crc_mod(F.col("doc_id"), 5) == 0, F.lit(False))
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, and its worst sentence."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"), train=~_held_fifth())
+    return toxicity.score(docs, model).select(
+        "doc_id", _held_fifth().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "worst_start", "worst_end", "worst_score")
+
+
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by compressed sizes."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.fit(docs, read_table(spark, sf_dir, "labels"), train=~_held_fifth())
+    return quality.score(docs, model).select(
+        "doc_id", _held_fifth().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "difference")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import map_arrow, slices
 
 SCHEMA = "part int, row_start long, doc_id long, n_tokens long, ids array<int>"
 
@@ -94,7 +94,7 @@ def write_tokens(docs: DataFrame, path: str, vocab: str | None = None, end_id: i
             start += int(ends[-1]) if len(rows) else 0
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    out = src.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(run, SCHEMA)
+    out = src.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").transform(map_arrow, run, SCHEMA)
     (out.write.option("parquet.block.size", row_group_bytes).option("parquet.page.size", page_bytes)
      .option("parquet.enable.dictionary", str(encoding == "dictionary").lower())
      .option("parquet.writer.version", "PARQUET_2_0").option("compression", "zstd").parquet(path))
@@ -134,8 +134,8 @@ def token_digests(spark: SparkSession, path: str) -> DataFrame:
                 [b.column(0), b.column(1), b.column(2), pa.array(np.diff(ends).astype(np.int64)),
                  pa.array(crc, pa.int64())], names=["part", "row_start", "doc_id", "n_tokens", "ids_crc32"])
 
-    rows = meta.select("part", "row_start", "doc_id", "n_tokens", "ids").mapInArrow(
-        run, "part int, row_start long, doc_id long, n_tokens long, ids_crc32 long")
+    rows = meta.select("part", "row_start", "doc_id", "n_tokens", "ids").transform(
+            map_arrow, run, "part int, row_start long, doc_id long, n_tokens long, ids_crc32 long")
     return (rows.join(F.broadcast(offsets), "part")            # one row per file
             .select("doc_id", (F.col("offset") + F.col("row_start")).alias("start"), "n_tokens", "ids_crc32"))
 
