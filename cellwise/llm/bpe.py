@@ -195,10 +195,10 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 def encode(docs: DataFrame, vocab: str | None = None, id_col: str = "doc_id", text_col: str = "text",
-           decoded: bool = False) -> DataFrame:
+           decoded: bool = False, source: bool = False) -> DataFrame:
     """``doc_id, ids``: the exact BPE ids of each whole text, as little-endian
     unsigned 32-bit integers in one binary value; with ``decoded``, also the
-    text decoded back from them.
+    text decoded back from them, and with ``source``, the text (NULL as empty).
 
     NULL and empty texts have no ids. Special tokens of the vocabulary file are
     recognised in the text. ``vocab`` is the vocabulary file's path on every
@@ -206,6 +206,8 @@ def encode(docs: DataFrame, vocab: str | None = None, id_col: str = "doc_id", te
     Map-only: each row is worked on alone, in batches of a few hundred; a worker
     keeps the ids of its first 800,000 distinct short units.
     """
+    names = ["doc_id", "ids", *["decoded"] * decoded, *["text"] * source]
+
     def run(batches):
         bpe = load(vocab or vocabulary_path())
         for b in slices(batches):
@@ -213,10 +215,12 @@ def encode(docs: DataFrame, vocab: str | None = None, id_col: str = "doc_id", te
             cols = [b.column(0), pa.array(ids, pa.binary())]
             if decoded:
                 cols.append(pa.array([bpe.decode(x) for x in ids], pa.string()))
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "ids", "decoded"][: len(cols)])
+            if source:
+                cols.append(pa.array([t or "" for t in b.column(1).to_pylist()], pa.string()))
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return src.transform(map_arrow, run, "doc_id long, ids binary" + ", decoded string" * decoded)
+    return src.transform(map_arrow, run, "doc_id long, ids binary" + ", decoded string" * decoded + ", text string" * source)
 
 
 def decode(ids: DataFrame, vocab: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

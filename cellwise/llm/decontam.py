@@ -8,7 +8,7 @@ end them.
 """
 from __future__ import annotations
 
-import hashlib
+import re
 from collections.abc import Iterable
 
 import numpy as np
@@ -134,7 +134,7 @@ class ItemAutomaton:
         return spans, found
 
 
-def _scan_fn(held, key: int):
+def _scan_fn(held):
     def run(batches):
         for b in slices(batches):
             ids, n, hits, items = b.column(0), [], [], []
@@ -151,6 +151,19 @@ def _scan_fn(held, key: int):
     return run
 
 
+def _automata(docs: DataFrame, benchmark: DataFrame, window: int, item_col: str, item_text: str, max_block_chars: int) -> list:
+    """Broadcast automata of the benchmark's blocks, each of a bounded size."""
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("k"), F.col(item_text).alias("t"))
+    chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
+    blocks = max(1, -(-int(chars) // max_block_chars))
+    out = []
+    for i in range(blocks):
+        part = items.filter("t is not null").filter(F.pmod(F.xxhash64("k"), F.lit(blocks)) == i)
+        rows = sorted((r.k, r.t) for r in part.toLocalIterator())
+        out.append(docs.sparkSession.sparkContext.broadcast(ItemAutomaton(((k, item_words(t)) for k, t in rows), window)))
+    return out
+
+
 def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id",
                    text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
                    max_block_chars: int = 16_000_000) -> DataFrame:
@@ -165,19 +178,10 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_c
     empty texts have no words. Rows that repeat an id come back once each (with
     several blocks, ids must be unique).
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("k"),
-                             F.col(item_text).alias("t"))
-    chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
-    blocks = max(1, -(-int(chars) // max_block_chars))
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    passes = []
-    for i in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("k"), F.lit(blocks)) == i)
-        rows = sorted((r.k, r.t) for r in part.filter("t is not null").toLocalIterator())
-        held = spark.sparkContext.broadcast(ItemAutomaton(((k, item_words(t)) for k, t in rows), window))
-        passes.append(src.transform(map_arrow, _scan_fn(held, i), OUT))
-    if blocks == 1:
+    passes = [src.transform(map_arrow, _scan_fn(held), OUT)
+              for held in _automata(docs, benchmark, window, item_col, item_text, max_block_chars)]
+    if len(passes) == 1:
         return passes[0]
     out = passes[0]
     for p in passes[1:]:
@@ -204,36 +208,29 @@ def report(scanned: DataFrame) -> DataFrame:
         (F.size("hits") > 0).alias("contaminated"))
 
 
-def _cut_fn(held, min_words: int, max_cover: float):
-    import re
-    word = re.compile(rb"[0-9a-z\x80-\xff]+")
+_WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
-    def run(batches):
-        for b in slices(batches):
-            text, n_words, n_cut = [], [], []
-            for t in b.column(1).to_pylist():
-                ws = item_words(t)
-                spans, _ = held.value.scan(ws)
-                cut = [s for s in spans if s[1] - s[0] >= min_words]
-                hit = sum(y - x for x, y in cut)
-                n_words.append(len(ws))
-                n_cut.append(hit)
-                if not cut:
-                    text.append(t)
-                elif hit > max_cover * len(ws):
-                    text.append(None)
-                else:
-                    raw = t.encode()
-                    at = [m.span() for m in word.finditer(raw.lower())]
-                    out, pos = [], 0
-                    for x, y in cut:
-                        out.append(raw[pos:at[x][0]])
-                        pos = at[y - 1][1]
-                    text.append(b"".join([*out, raw[pos:]]).decode())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(text, pa.string()), pa.array(n_words, pa.int64()), pa.array(n_cut, pa.int64())],
-                names=["doc_id", "text", "n_words", "n_cut"])
-    return run
+
+def cut_text(automaton: ItemAutomaton, text: str | None, min_words: int, max_cover: float) -> str | None:
+    """``text`` without the occurrences of at least ``min_words`` words, None if
+    they cover more than ``max_cover`` of its words. What is left is scanned
+    again, as two ends may meet in a new occurrence."""
+    total = gone = 0
+    while True:
+        words = item_words(text)
+        cut = [s for s in automaton.scan(words)[0] if s[1] - s[0] >= min_words]
+        if not cut:
+            return text
+        total, gone = total or len(words), gone + sum(y - x for x, y in cut)
+        if gone > max_cover * total:
+            return None
+        raw = text.encode()
+        at = [m.span() for m in _WORD.finditer(raw.lower())]
+        out, pos = [], 0
+        for x, y in cut:
+            out.append(raw[pos:at[x][0]])
+            pos = at[y - 1][1]
+        text = b"".join([*out, raw[pos:]]).decode()
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10, min_words: int | None = None,
@@ -245,32 +242,19 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10, min_wo
     words is dropped; one without a span keeps its row unchanged. Spans shorter
     than ``min_words`` (default: all occurrences) stay. Repeated for each block
     of the benchmark, as in :func:`scan_documents`."""
-    spark = docs.sparkSession
-    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("k"),
-                             F.col(item_text).alias("t"))
-    chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
-    blocks = max(1, -(-int(chars) // max_block_chars))
-    for i in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("k"), F.lit(blocks)) == i)
-        rows = sorted((r.k, r.t) for r in part.filter("t is not null").toLocalIterator())
-        held = spark.sparkContext.broadcast(ItemAutomaton(((k, item_words(t)) for k, t in rows), window))
+    for held in _automata(docs, benchmark, window, item_col, item_text, max_block_chars):
         docs = _cut(docs, held, min_words or 1, max_cover, text_col)
     return docs
 
 
 def _cut(docs: DataFrame, held, min_words: int, max_cover: float, text_col: str) -> DataFrame:
-    cols = docs.columns
-    at = cols.index(text_col)
-    cut = _cut_fn(held, min_words, max_cover)
+    at = docs.columns.index(text_col)
 
     def run(batches):
         for b in slices(batches):
-            pair = pa.RecordBatch.from_arrays([b.column(at), b.column(at)], names=["doc_id", "text"])
-            new = next(iter(cut([pair])), None)
-            if new is None:
-                continue
-            was = b.column(at).is_null()
-            keep = pa.array([x or y for x, y in zip(was.to_pylist(), new.column(1).is_valid().to_pylist())])
-            arrays = [new.column(1) if j == at else c for j, c in enumerate(b.columns)]
+            was = b.column(at).to_pylist()
+            new = [cut_text(held.value, t, min_words, max_cover) for t in was]
+            arrays = [pa.array(new, b.schema.field(j).type) if j == at else c for j, c in enumerate(b.columns)]
+            keep = pa.array([x is None or y is not None for x, y in zip(was, new)], pa.bool_())
             yield pa.RecordBatch.from_arrays(arrays, schema=b.schema).filter(keep)
     return docs.transform(map_arrow, run, docs.schema)

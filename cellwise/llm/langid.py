@@ -149,3 +149,17 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return src.transform(map_arrow, run, "doc_id long, lang_pred string, score double, rejected boolean")
+
+
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is not rejected, same columns. NULL texts
+    and texts without a letter go."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        m = held.value
+        for b in slices(batches):
+            yield b.filter(pa.array([not m.predict(t)[2] for t in b.column(at).to_pylist()], pa.bool_()))
+
+    return docs.transform(map_arrow, run, docs.schema)
