@@ -7,6 +7,7 @@ the tokens of a few, without reading the rest.
 """
 from __future__ import annotations
 
+import re
 import zlib
 from functools import lru_cache
 
@@ -15,39 +16,71 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .bpe import byte_chars
 from .common import map_arrow, slices
 
 SCHEMA = "part int, row_start long, doc_id long, n_tokens long, ids array<int>"
 
 
+#: Latin letters that lower-case one to one and that normalisation leaves alone, then ASCII signs
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+
+
 class UnitTokenizer:
     """The tokenizers library, asked once for each distinct white-space unit.
 
     The vocabulary's pre-tokenizer drops white space and its normalizer works
-    within a unit, so the ids of a text are those of its units in a row.
+    within a unit, so the ids of a text are those of its units in a row. A unit
+    of plain Latin letters and closing signs is cut between the two, as the
+    pre-tokenizer does; its letters go to the library's BPE model directly, in
+    lower case, as the normalizer makes them. All else goes through the whole
+    encoder. Ids of the first units and words are kept.
     """
 
-    def __init__(self, path: str, cap: int = 800_000):
+    def __init__(self, path: str, cap: int = 400_000):
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
         self.lib.no_truncation()
         self.lib.no_padding()
-        self.cap, self.units = cap, {}
-
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text, as little-endian uint32 bytes."""
-        split = [t.encode().split() if t else [] for t in texts]
-        have = self.units
-        new = list({u for ws in split for u in ws if u not in have})
-        for at in range(0, len(new), 4096):
-            part = new[at: at + 4096]
-            got = self.lib.encode_batch_fast([u.decode() for u in part], add_special_tokens=False)
-            for u, e in zip(part, got):
-                have[u] = np.array(e.ids, "<u4").tobytes()
-        out = [b"".join(map(have.__getitem__, ws)) for ws in split]
-        if len(have) > self.cap:               # keep the oldest, the common ones
-            self.units = dict(zip(list(have)[: self.cap], have.values()))
-        return out
+        self.model = self.lib.model
+        chars = byte_chars()
+        self.shown = {c: "".join(chars[b] for b in c.encode()) for c in map(chr, range(0xC0, 0x100))}
+        self.cap, self.units, self.words = cap, {}, {}
+
+    def word(self, letters: str) -> bytes:
+        got = self.words.get(letters)
+        if got is None:
+            shown = letters if letters.isascii() else "".join([self.shown.get(c, c) for c in letters])
+            got = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+            if len(self.words) < self.cap:
+                self.words[letters] = got
+        return got
+
+    def unit(self, raw: bytes) -> bytes:
+        got = self.units.get(raw)
+        if got is None:
+            text = raw.decode()
+            m = _PLAIN.fullmatch(text)
+            if m and m[2]:
+                got = self.word(m[1].lower()) + self.unit(m[2].encode())
+            elif m:
+                got = self.word(text.lower())
+            else:
+                got = np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            if len(self.units) < self.cap and len(raw) < 64:
+                self.units[raw] = got
+        return got
+
+    def encode(self, text: str | None) -> bytes:
+        """Ids of the whole text, as little-endian uint32 bytes."""
+        if not text:
+            return b""
+        ws = text.encode().split()
+        have, unit = self.units, self.unit
+        new = {w: unit(w) for w in set(ws) if w not in have}
+        if not new:
+            return b"".join(map(have.__getitem__, ws))
+        return b"".join([have[w] if w in have else new[w] for w in ws])
 
 
 @lru_cache(maxsize=4)
@@ -82,7 +115,7 @@ def write_tokens(docs: DataFrame, path: str, vocab: str | None = None, end_id: i
         part, start = TaskContext.get().partitionId(), 0
         tok = load(vocab or vocabulary_path())
         for b in slices(batches, 256):
-            rows = [x + tail for x in tok.encode_all(b.column(1).to_pylist())]
+            rows = [tok.encode(t) + tail for t in b.column(1).to_pylist()]
             n = np.array([len(x) // 4 for x in rows], np.int64)
             ends = np.cumsum(n)
             ids = pa.ListArray.from_arrays(
