@@ -67,14 +67,29 @@ def decode_int_bytes(col, width: int) -> Column:
 
 
 def encode_float_bytes(col, double: bool) -> Column:
+    """Value → IEEE-754 bits with arithmetic that is exact: all scaling is by
+    powers of two.  NaN is written as the canonical NaN, -0.0 keeps its sign."""
     c = _c(col)
-    if double:
-        bits = F.call_function("reflect", F.lit("java.lang.Double"), F.lit("doubleToRawLongBits"),
-                               c.cast("double")).cast("bigint")
-        return encode_int_bytes(bits, 8)
-    bits = F.call_function("reflect", F.lit("java.lang.Float"), F.lit("floatToRawIntBits"),
-                           c.cast("float")).cast("int")
-    return encode_int_bytes(bits, 4)
+    ebits, mbits, bias = (11, 52, 1023) if double else (8, 23, 127)
+    x = (c if double else c.cast("float")).cast("double")
+    size = F.abs(x)
+    two = lambda e: F.pow(F.lit(2.0), e)
+    guess = F.floor(F.log2(size))
+    # the logarithm may round across a power of two
+    e = guess + F.when(size >= two(guess + 1), 1).when(size < two(guess), -1).otherwise(0)
+    # in two steps, as a single factor may not be a double
+    fraction = (size * two(-F.floor(e / 2)) * two(-(e - F.floor(e / 2))) - 1.0) * float(1 << mbits)
+    normal = F.shiftleft((e + bias).cast("bigint"), mbits) + fraction.cast("bigint")
+    low = (bias - 1 + mbits) // 2
+    subnormal = (size * float(2.0 ** low) * float(2.0 ** (bias - 1 + mbits - low))).cast("bigint")
+    emax = F.lit(((1 << ebits) - 1) << mbits).cast("bigint")
+    bits = (F.when(F.isnan(x), emax + (1 << (mbits - 1)))
+            .when(size == float("inf"), emax)
+            .when(size < float(2.0 ** (1 - bias)), subnormal)
+            .otherwise(normal))
+    negative = (x < 0) | ((x == 0) & F.startswith(x.cast("string"), F.lit("-")))
+    signed = F.when(negative & ~F.isnan(x), bits.bitwiseOR(F.lit(-(1 << (ebits + mbits))).cast("bigint"))).otherwise(bits)
+    return F.when(x.isNotNull(), encode_int_bytes(signed, 8 if double else 4))
 
 
 def decode_float_bytes(col, double: bool) -> Column:
@@ -216,11 +231,15 @@ def _complex_from_text(s, dt, null_format, ts_formats, seps, level) -> Column:
 
 
 def _first_per_key(entries: Column) -> Column:
-    """Keep the first entry for every key of an array<struct<key,value>>."""
-    return F.filter(
-        entries,
-        lambda e, i: F.array_position(F.transform(entries, lambda x: x["key"]), e["key"]) == i + 1,
-    )
+    """Keep the first entry for every key of an array<struct<key,value>>: sorted
+    by (key, place) once, then one pass over neighbours."""
+    placed = F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"), e["value"].alias("value")))
+    ordered = F.array_sort(placed, lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1)
+                           .otherwise(a["i"] - b["i"]))
+    # bound to a name, so that the sort is not repeated for each entry
+    kept = F.transform(F.array(ordered), lambda s: F.filter(
+        s, lambda e, i: (i == 0) | (F.get(s, i - 1)["key"] != e["key"])))
+    return F.transform(F.get(kept, F.lit(0)), lambda e: F.struct(e["key"], e["value"]))
 
 
 def encode_text(

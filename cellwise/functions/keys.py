@@ -22,19 +22,43 @@ FIXED_FIELD_WIDTH = 10           # fixed-width composite key: 10 bytes + 1 pad b
 COLLECTION_DELIMITER = "\x02"    # struct key written with the collection separator
 
 
+# Above every character a key can hold, for the upper end of a key range.
+TOP = "\U0010ffff"
+
+
 @dataclass(frozen=True)
 class KeyCodec:
     """``encode``: struct Column → row-key Column; ``decode``: row key → struct.
 
     ``prefix`` maps the values of the leading key fields (all compared with
-    ``=``) to the row-key prefix every matching key starts with, or ``None``
-    when the layout allows no such prefix.
+    ``=``) to the row-key prefix every matching key starts with, as a constant
+    Column made by the codec's own field encoding, or ``None`` when the layout
+    allows no such prefix.  ``bounds`` maps leading equal values and the
+    comparisons ``(op, value)`` on the next field to inclusive row-key bounds
+    ``(lo, hi)`` (constant Columns or ``None``) that hold every matching key;
+    it may give bounds that are too wide, never too narrow.
     """
     struct_type: T.StructType
     encode: Callable[[Column], Column]
     decode: Callable[[Column], Column]
-    prefix: Callable[[Sequence[object]], str | None] | None = None
+    prefix: Callable[[Sequence[object]], Column | None] | None = None
     name: str = "custom"
+    bounds: Callable[[Sequence[object], Sequence[tuple[str, object]]],
+                     tuple[Column | None, Column | None]] | None = None
+
+
+def _text(value, dtype: T.DataType) -> Column:
+    """A constant as its field's text, cast by Spark as ``encode`` does."""
+    return F.lit(value).cast(dtype).cast("string")
+
+
+def _needed(c: Column, name: str, reserved: str | None = None) -> Column:
+    """A key field's text; NULL raises, and so does the codec's separator inside it."""
+    c = F.when(c.isNotNull(), c).otherwise(F.raise_error(F.lit(f"NULL key field {name}")).cast("string"))
+    if reserved:
+        c = F.when(~c.contains(reserved), c).otherwise(
+            F.raise_error(F.concat(F.lit(f"key field {name} holds the separator: "), c)).cast("string"))
+    return c
 
 
 def _struct_type(fields) -> T.StructType:
@@ -54,40 +78,68 @@ def _cast_fields(parts: Callable[[int], Column], st: T.StructType) -> Column:
 
 
 def delimited(fields, sep: str = DOLLAR_DELIMITER) -> KeyCodec:
-    """Fields joined by ``sep`` (``1000$$2000$$3000``)."""
+    """Fields joined by ``sep`` (``1000$$2000$$3000``).  A NULL field, and a field
+    that holds the separator or could run into it, raise on encode."""
     st = _struct_type(fields)
+    last = len(st.fields) - 1
 
     def enc(c: Column) -> Column:
-        return F.concat_ws(sep, *[c[f.name].cast("string") for f in st.fields])
+        # a field may not end with the separator's first character: "a$" + "$$"
+        out = []
+        for i, f in enumerate(st.fields):
+            t = _needed(c[f.name].cast("string"), f.name, sep)
+            if i < last and len(sep) > 1:
+                t = F.when(~t.endswith(sep[0]), t).otherwise(F.raise_error(
+                    F.concat(F.lit(f"key field {f.name} runs into the separator: "), t)).cast("string"))
+            out.append(t)
+        return F.concat_ws(sep, *out)
 
     def dec(k: Column) -> Column:
         parts = F.split(k.cast("string"), re.escape(sep), -1)
         return _cast_fields(lambda i: F.try_element_at(parts, F.lit(i + 1)), st)
 
     def prefix(vals):
-        return sep.join(str(v) for v in vals) + (sep if len(vals) < len(st.fields) else "")
+        texts = [_text(v, f.dataType) for v, f in zip(vals, st.fields)]
+        return F.concat(F.concat_ws(sep, *texts), F.lit(sep if len(vals) <= last else ""))
+
+    def bounds(equal, ops):
+        i = len(equal)
+        if i > last or not isinstance(st.fields[i].dataType, T.StringType):
+            return None, None                    # the text order of numbers is not theirs
+        head = prefix(equal) if equal else F.lit("")
+        lows = [F.concat(head, F.lit(v)) for op, v in ops if op in (">", ">=", "=")]
+        # a smaller value may be a prefix of v, with the separator after it
+        highs = [F.concat(head, F.lit(max(v + sep + TOP if op != "<" else v,
+                                          *(v[:n] + sep + TOP for n in range(len(v)))) if v else v + sep + TOP))
+                 for op, v in ops if op in ("<", "<=", "=")]
+        return _extreme(lows, F.greatest), _extreme(highs, F.least)
 
-    return KeyCodec(st, enc, dec, prefix, "delimited")
+    return KeyCodec(st, enc, dec, prefix, "delimited", bounds)
+
+
+def _extreme(cols: list, pick) -> Column | None:
+    return None if not cols else cols[0] if len(cols) == 1 else pick(*cols)
 
 
 def collection_delimited(fields) -> KeyCodec:
     """Struct key written like a text struct: fields split by the level-1
     collection separator."""
     codec = delimited(fields, COLLECTION_DELIMITER)
-    return KeyCodec(codec.struct_type, codec.encode, codec.decode, codec.prefix, "collection")
+    return KeyCodec(codec.struct_type, codec.encode, codec.decode, codec.prefix, "collection", codec.bounds)
 
 
 def fixed_width(fields, width: int = FIXED_FIELD_WIDTH) -> KeyCodec:
-    """Every field cut / padded with NUL to ``width`` bytes, plus one NUL byte."""
+    """Every field cut / padded with NUL to ``width`` characters, plus one NUL.
+    A NULL field, and a field that holds a NUL, raise on encode."""
     st = _struct_type(fields)
     nul = "\x00"
     step = width + 1
 
+    def padded(t: Column) -> Column:
+        return F.rpad(F.substring(t, 1, width), step, nul)
+
     def enc(c: Column) -> Column:
-        return F.concat(*[
-            F.rpad(F.substring(c[f.name].cast("string"), 1, width), step, nul)
-            for f in st.fields
-        ])
+        return F.concat(*[padded(_needed(c[f.name].cast("string"), f.name, nul)) for f in st.fields])
 
     def dec(k: Column) -> Column:
         s = k.cast("string")
@@ -95,25 +147,35 @@ def fixed_width(fields, width: int = FIXED_FIELD_WIDTH) -> KeyCodec:
             lambda i: F.trim(F.substring(s, i * step + 1, width), F.lit(nul)), st)
 
     def prefix(vals):
-        return "".join(str(v)[:width].ljust(step, nul) for v in vals)
+        return F.concat(*[padded(_text(v, f.dataType)) for v, f in zip(vals, st.fields)])
 
-    return KeyCodec(st, enc, dec, prefix, "fixed_width")
+    def bounds(equal, ops):
+        i = len(equal)
+        if i >= len(st.fields) or not isinstance(st.fields[i].dataType, T.StringType):
+            return None, None
+        head = prefix(equal) if equal else F.lit("")
+        lows = [F.concat(head, padded(F.lit(v))) for op, v in ops if op in (">", ">=", "=")]
+        highs = [F.concat(head, padded(F.lit(v)), F.lit(TOP)) for op, v in ops if op in ("<", "<=", "=")]
+        return _extreme(lows, F.greatest), _extreme(highs, F.least)
+
+    return KeyCodec(st, enc, dec, prefix, "fixed_width", bounds)
 
 
 def one_byte_fields(fields) -> KeyCodec:
-    """Field *i* is the *i*-th character of the key (no prefix bounds beyond
-    the leading characters)."""
+    """Field *i* is the *i*-th character of the key; a NULL or empty field raises
+    on encode."""
     st = _struct_type(fields)
 
     def enc(c: Column) -> Column:
-        return F.concat(*[F.substring(c[f.name].cast("string"), 1, 1) for f in st.fields])
+        return F.concat(*[F.substring(_needed(F.when(c[f.name].cast("string") != "", c[f.name].cast("string")),
+                                              f.name), 1, 1) for f in st.fields])
 
     def dec(k: Column) -> Column:
-        s = F.trim(k.cast("string"))
+        s = k.cast("string")
         return _cast_fields(lambda i: F.substring(s, i + 1, 1), st)
 
     def prefix(vals):
-        return "".join(str(v)[:1] for v in vals)
+        return F.concat(*[F.substring(_text(v, f.dataType), 1, 1) for v, f in zip(vals, st.fields)])
 
     return KeyCodec(st, enc, dec, prefix, "one_byte")
 
@@ -121,20 +183,20 @@ def one_byte_fields(fields) -> KeyCodec:
 def salted(inner_width: int = 12, buckets_hex: int = 2) -> KeyCodec:
     """A plain key with a hash prefix (``md5(k)[0:n] + '|' + k``): the usual way
     to spread a monotonically growing key over all regions.  The struct has one
-    field ``id`` (string)."""
+    field ``id`` (string), which may hold any text; NULL raises on encode."""
     st = T.StructType([T.StructField("id", T.StringType())])
 
+    def salt(k: Column) -> Column:
+        return F.concat(F.substring(F.md5(k.cast("binary")), 1, buckets_hex), F.lit("|"), k)
+
     def enc(c: Column) -> Column:
-        k = c["id"].cast("string")
-        return F.concat(F.substring(F.md5(k), 1, buckets_hex), F.lit("|"), k)
+        return salt(_needed(c["id"].cast("string"), "id"))
 
     def dec(k: Column) -> Column:
-        return F.struct(F.substring_index(k.cast("string"), "|", -1).alias("id"))
+        return F.struct(F.substring(k.cast("string"), buckets_hex + 2, 1 << 30).alias("id"))
 
     def prefix(vals):
-        import hashlib
-        v = str(vals[0])
-        return hashlib.md5(v.encode()).hexdigest()[:buckets_hex] + "|" + v
+        return salt(_text(vals[0], T.StringType()))
 
     return KeyCodec(st, enc, dec, prefix, "salted")
 

@@ -212,7 +212,7 @@ class Mapping:
     def parse(
         cls,
         spec: str,
-        names: Sequence[str],
+        names: Sequence[str] | None = None,
         types: Sequence[str | T.DataType] | None = None,
         *,
         default_storage: str = "string",
@@ -224,7 +224,9 @@ class Mapping:
         Entries are comma-separated and trimmed; each is ``family:qualifier``
         with an optional ``#storage`` (``#s``, ``#b``, ``#-``, or
         ``#key:value`` for maps).  The key may be implicit: when no entry is
-        ``:key`` the first column is the key.
+        ``:key`` the first column is the key.  Without ``names`` they are made
+        from the spec (:func:`generated_names`); a generated family or prefix
+        column without a type is ``map<string,string>``, all others are strings.
         """
         if default_storage not in ("string", "binary"):
             raise MappingError("default storage must be string or binary")
@@ -235,6 +237,10 @@ class Mapping:
             entries = [KEY_TOKEN] + entries
         if entries == [KEY_TOKEN]:
             raise MappingError("mapping with only the key")
+        if names is None:
+            names = generated_names(",".join(entries))
+            if types is None:
+                types = [_default_type(e) for e in entries]
         names = list(names)
         if len(names) != len(entries):
             raise MappingError(
@@ -271,6 +277,16 @@ class Mapping:
         return cls(tuple(fields), default_storage=default_storage, **kw)
 
 
+def _default_type(entry: str) -> str:
+    body = entry.split("#")[0]
+    qual = body.partition(":")[2]
+    if body == KEY_TOKEN:
+        return "string"
+    if body == TIMESTAMP_TOKEN:
+        return "timestamp"
+    return "map<string,string>" if qual == "" or qual.endswith(".*") else "string"
+
+
 def generated_names(spec: str) -> list[str]:
     """Column names made from a spec: ``key``, ``family_qualifier``,
     ``family_prefix<i>``, ``family_col<i>``; lower case, alphanumerics only."""

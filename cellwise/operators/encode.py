@@ -5,6 +5,8 @@ One narrow job: every input row becomes its non-NULL cells through
 """
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,17 +70,22 @@ def table_to_cells(
     seq: int | Column = 0,
     *,
     strict_keys: bool = True,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Cells of every mapped, non-NULL value of ``df`` (B1) with a write
     timestamp (B2): ``ts`` if given (ms or a Column), else the mapping's
     ``:timestamp`` column, else the current time.
 
-    A NULL row key raises (``strict_keys``) or drops the row.
+    A NULL or empty row key raises (``strict_keys``) or leaves the row out;
+    :func:`key_rejects` returns the rows that are left out.  ``carry`` names
+    columns of ``df`` that every cell of a row takes along.
     """
     schema = {f.name: f.dataType for f in df.schema.fields}
     key = encode_key(F.col(m.key.name), m)
     if strict_keys:
-        key = F.coalesce(key, F.raise_error(F.lit("NULL row key")).cast(key_type(m)))
+        key = (F.when(F.octet_length(key) > 0, key)
+               .otherwise(F.raise_error(F.when(key.isNull(), "NULL row key").otherwise("empty row key"))
+                          .cast(key_type(m))))
     tsf = m.timestamp
     if ts is not None:
         ts_col = ts if isinstance(ts, Column) else F.lit(int(ts))
@@ -92,7 +99,7 @@ def table_to_cells(
     scalar_fields = [f for f in m.cell_fields if f.name in schema]
     map_fields = [f for f in m.map_fields if f.name in schema]
     if scalar_fields and not map_fields:
-        return _unpivot_cells(df, m, scalar_fields, key, ts_col, seq_col, schema, strict_keys)
+        return _unpivot_cells(df, m, scalar_fields, key, ts_col, seq_col, schema, strict_keys, carry)
 
     arrays = []
     scalars = [
@@ -110,31 +117,39 @@ def table_to_cells(
         "array<struct<family:string,qualifier:string,value:binary>>")) for a in arrays])
     # key, ts and seq are computed once per row, before the rows fan out to cells
     pre = df.select(key.alias("row_key"), ts_col.cast("bigint").alias("ts"),
-                    seq_col.cast("bigint").alias("seq"), allc.alias("_cells"))
-    out = (pre.select("row_key", "ts", "seq", F.inline("_cells"))
+                    seq_col.cast("bigint").alias("seq"), allc.alias("_cells"), *carry)
+    out = (pre.select("row_key", "ts", "seq", *carry, F.inline("_cells"))
            .where(F.col("value").isNotNull()))
     if not strict_keys:
-        out = out.where(F.col("row_key").isNotNull())
-    return out.select("row_key", "family", "qualifier", "ts", "seq", "value")
+        out = out.where(F.octet_length("row_key") > 0)
+    return out.select("row_key", "family", "qualifier", "ts", "seq", "value", *carry)
+
+
+def key_rejects(df: DataFrame, m: Mapping) -> DataFrame:
+    """The rows of ``df`` whose row key is NULL or empty, with a ``reason``:
+    those that ``table_to_cells(strict_keys=False)`` leaves out."""
+    key = encode_key(F.col(m.key.name), m)
+    return (df.withColumn("reason", F.when(key.isNull(), "null").when(F.octet_length(key) == 0, "empty"))
+            .where(F.col("reason").isNotNull()))
 
 
-def _unpivot_cells(df, m, fields, key, ts_col, seq_col, schema, strict_keys) -> DataFrame:
+def _unpivot_cells(df, m, fields, key, ts_col, seq_col, schema, strict_keys, carry) -> DataFrame:
     """Scalar columns only: encode each column once, then ``unpivot`` (an
     Expand operator: compact generated code however wide the mapping is)."""
     enc = [encode_field(F.col(f.name), f, m, schema.get(f.name)).alias(f"_c{i}")
            for i, f in enumerate(fields)]
     pre = df.select(key.alias("row_key"), ts_col.cast("bigint").alias("ts"),
-                    seq_col.cast("bigint").alias("seq"), *enc)
-    long = pre.unpivot(["row_key", "ts", "seq"], [f"_c{i}" for i in range(len(fields))],
+                    seq_col.cast("bigint").alias("seq"), *carry, *enc)
+    long = pre.unpivot(["row_key", "ts", "seq", *carry], [f"_c{i}" for i in range(len(fields))],
                        "_var", "value")
     idx = F.substring("_var", 3, 9).cast("int") + 1
     fams = F.array(*[F.lit(f.family) for f in fields])
     quals = F.array(*[F.lit(f.qualifier) for f in fields])
     out = long.where(F.col("value").isNotNull())
     if not strict_keys:
-        out = out.where(F.col("row_key").isNotNull())
+        out = out.where(F.octet_length("row_key") > 0)
     return out.select("row_key", F.element_at(fams, idx).alias("family"),
-                      F.element_at(quals, idx).alias("qualifier"), "ts", "seq", "value")
+                      F.element_at(quals, idx).alias("qualifier"), "ts", "seq", "value", *carry)
 
 
 def key_type(m: Mapping) -> str:
@@ -147,4 +162,4 @@ def key_type(m: Mapping) -> str:
     return "string"
 
 
-__all__ = ["table_to_cells", "encode_field", "encode_key", "key_type"]
+__all__ = ["table_to_cells", "key_rejects", "encode_field", "encode_key", "key_type"]

@@ -112,32 +112,49 @@ def row_filter(cells: DataFrame, preds: Sequence[Column]) -> DataFrame:
 
 def composite_key_filter(cells: DataFrame, key_codec: KeyCodec,
                          equal: Sequence[tuple[str, object]] = (),
-                         residual: Column | None = None) -> DataFrame:
+                         residual: Column | None = None,
+                         ranges: Sequence[tuple[str, str, object]] = ()) -> DataFrame:
     """Filter on decoded composite-key fields.
 
     ``equal`` lists leading fields compared with ``=``, in key order; they
-    become a row-key prefix filter (pushed into the scan).  ``residual`` is any
-    predicate on the decoded struct, referenced as column ``key``.  The decoded
-    predicate is always kept, so the prefix is only an extra that prunes.
+    become a row-key prefix filter (pushed into the scan).  ``ranges`` lists
+    ``(field, op, value)`` comparisons with ``=, <, <=, >, >=`` on any field;
+    those on the field after the equal ones become row-key bounds where the
+    codec has them.  ``residual`` is any predicate on the decoded struct,
+    referenced as column ``key``.  The decoded predicates are always kept, so
+    prefix and bounds are only extras that prune.
     """
     names = [f.name for f in key_codec.struct_type.fields]
     for i, (n, _) in enumerate(equal):
-        if names[i] != n:
+        if i >= len(names) or names[i] != n:
             raise ValueError("equal fields must be the leading key fields, in order")
+    for n, op, _ in ranges:
+        if n not in names or op not in _OPS:
+            raise ValueError(f"cannot compare key field {n!r} with {op!r}")
     out = cells
+    values = [v for _, v in equal]
     if equal and key_codec.prefix is not None:
-        p = key_codec.prefix([v for _, v in equal])
-        if p:
+        p = key_codec.prefix(values)
+        if p is not None:
             out = out.where(F.col("row_key").startswith(p))
+    following = names[len(equal)] if len(equal) < len(names) else None
+    ops = [(op, v) for n, op, v in ranges if n == following]
+    if ops and key_codec.bounds is not None:
+        lo, hi = key_codec.bounds(values, ops)
+        if lo is not None:
+            out = out.where(F.col("row_key") >= lo)
+        if hi is not None:
+            out = out.where(F.col("row_key") <= hi)
     decoded = key_codec.decode(F.col("row_key"))
-    conds = [decoded[n] == F.lit(v) for n, v in equal]
+    conds = [decoded[n] == F.lit(v) for n, v in equal] + [_compare(decoded[n], op, v) for n, op, v in ranges]
     if residual is not None:
-        out = out.withColumn("key", decoded)
-        conds.append(residual)
-        out = out.where(reduce(and_, conds)).drop("key")
-        return out
+        return out.withColumn("key", decoded).where(reduce(and_, [*conds, residual])).drop("key")
     return out.where(reduce(and_, conds)) if conds else out
 
 
+def _compare(c: Column, op: str, value) -> Column:
+    return {"=": c == value, "<": c < value, "<=": c <= value, ">": c > value, ">=": c >= value}[op]
+
+
 __all__ = ["binary_key_range", "key_eq", "key_range", "key_op", "key_predicate", "time_range", "time_op",
            "time_predicate", "as_of", "row_filter", "composite_key_filter"]

@@ -6,13 +6,16 @@ results that reach the driver are report-sized.
 """
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codec
-from ..mapping import Mapping
-from .encode import encode_field
-from .scan import _match, cell_filter, decode_field, scan_table
+from ..mapping import Field, Mapping
+from .encode import _map_key_text, encode_field, encode_key
+from .scan import _map_key, _map_value, _match, cell_filter, decode_field, decode_key, scan_table
 
 
 # ---------------------------------------------------------------------- B3
@@ -30,29 +33,43 @@ def key_report(df: DataFrame, key: str) -> DataFrame:
     return counts.select("key", reason.alias("reason"), "copies").where(F.col("reason").isNotNull())
 
 
+def tag_keys(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with a ``reason``: null, empty, duplicate, or NULL for a good key.
+
+    Rows without a key are set apart first, so that they do not meet in one
+    task; duplicates are found with a grouped count joined back on the key, and
+    AQE's skew join splits a hot key's partition.
+    """
+    k = F.col(key)
+    keyed = k.isNotNull() & (k.cast("string") != "")
+    dup = (df.where(keyed).groupBy(k.alias("_cw_k")).agg(F.count(F.lit(1)).alias("_cw_n"))
+           .where(F.col("_cw_n") > 1))
+    held = df.where(keyed).join(dup, k == F.col("_cw_k"), "left")
+    tagged = held.withColumn("reason", F.when(F.col("_cw_n").isNotNull(), "duplicate")).drop("_cw_k", "_cw_n")
+    lacking = df.where(F.coalesce(~keyed, F.lit(True))).withColumn(
+        "reason", F.when(k.isNull(), "null").otherwise("empty"))
+    return tagged.unionByName(lacking)
+
+
 def validate_keys(df: DataFrame, key: str, *, strict: bool = False):
     """Split ``df`` into rows with a good key (non-null, non-empty, unique)
     and rejected rows with a ``reason`` column.
 
-    Duplicates are found with a grouped count joined back on the key; AQE's
-    skew join splits a hot key's partition.  ``strict`` raises on the first
-    bad row instead (inside the job, no driver round trip).
+    The tagged rows are written once below the shared checkpoint folder, split
+    by outcome, and each returned frame reads its part.  ``strict`` raises on
+    the first bad row instead (inside the job, no driver round trip).
     """
-    k = F.col(key)
-    dup = (df.where(k.isNotNull()).groupBy(k.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > 1))
-    tagged = (df.join(dup, k == F.col("_k"), "left")
-              .withColumn("reason", F.when(k.isNull(), "null")
-                          .when(k.cast("string") == "", "empty")
-                          .when(F.col("_n").isNotNull(), "duplicate"))
-              .drop("_k", "_n"))
+    from ..session import scratch_path
+    tagged = tag_keys(df, key)
     if strict:
-        tagged = tagged.withColumn(
-            "reason", F.when(F.col("reason").isNull(), F.col("reason"))
-            .otherwise(F.raise_error(F.concat(F.lit("bad row key: "), F.col("reason")))))
-    good = tagged.where(F.col("reason").isNull()).drop("reason")
-    rejects = tagged.where(F.col("reason").isNotNull())
-    return good, rejects
+        bad = F.raise_error(F.concat(F.lit("bad row key: "), F.col("reason"))).cast("boolean")
+        good = tagged.where(F.when(F.col("reason").isNull(), True).otherwise(bad)).drop("reason")
+        return good, tagged.where(F.lit(False))
+    path = scratch_path(df.sparkSession, "validated-keys")
+    tagged.withColumn("_cw_good", F.col("reason").isNull()).write.partitionBy("_cw_good").parquet(path)
+    held = df.sparkSession.read.schema(f"{tagged.schema.toDDL()}, _cw_good boolean").parquet(path)
+    return (held.where(F.col("_cw_good")).drop("reason", "_cw_good"),
+            held.where(~F.col("_cw_good")).drop("_cw_good"))
 
 
 # ---------------------------------------------------------------------- E7
@@ -63,7 +80,8 @@ def table_stats(cells: DataFrame, m: Mapping) -> DataFrame:
     cols = [f for f in m.cell_fields]
     cstats = cells.where(cell_filter(m.cell_fields + m.map_fields)).agg(
         F.count(F.lit(1)).alias("cells"),
-        F.sum(F.length("value") + F.length("row_key") + F.length("qualifier")).alias("bytes"))
+        F.sum(F.octet_length("value") + F.octet_length("row_key") + F.octet_length("qualifier"))
+        .alias("bytes"))
     rstats = scanned.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count(f.name).alias(f"{f.name}_nonnull") for f in cols])
@@ -87,7 +105,7 @@ def qualifier_profile(cells: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("cells"),
         F.min("ts").alias("first_ts"),
         F.max("ts").alias("last_ts"),
-        F.sum(F.length("value")).alias("bytes"),
+        F.sum(F.octet_length("value")).alias("bytes"),
     )
 
 
@@ -132,74 +150,127 @@ def mapping_check(cells: DataFrame, m: Mapping, *, strict: bool = False) -> Data
 
 
 # --------------------------------------------------------------------- I12
-def decode_audit(cells: DataFrame, m: Mapping) -> DataFrame:
-    """Per mapped scalar column: cells, values equal to the null sequence,
-    empty values, undecodable values (read as NULL although present) and, for
-    binary storage, values of the wrong width.
-
-    One pass over the cells: each cell is tagged with every column that maps
-    it (a cell may feed several), then one grouped count by column.
-    """
+def _faults(cells: DataFrame, m: Mapping, columns: list) -> DataFrame:
+    """``columns`` of each cell once for every column that maps it, with what is
+    wrong with it there: one pass over the cells (a cell may feed several
+    columns)."""
     raw = codec.to_text(F.col("value"))
-    is_nullseq = raw == F.lit(m.null_format)
-    is_empty = F.length("value") == 0
+    is_nullseq = F.coalesce(raw == F.lit(m.null_format), F.lit(False))
+    is_empty = F.octet_length("value") == 0
     tags = []
-    for f in m.cell_fields:
-        decoded = decode_field(F.col("value"), f, m)
-        w = codec.width_of(f.dtype) if f.storage == "binary" else None
-        wrong = (F.length("value") != w) if w is not None else F.lit(False)
+    for f in [*m.cell_fields, *m.map_fields]:
+        is_map = f.role != "column"
+        dtype = f.dtype.valueType if is_map else f.dtype
+        decoded = _map_value(F.col("value"), f, m) if is_map else decode_field(F.col("value"), f, m)
+        w = codec.width_of(dtype) if f.storage == "binary" else None
+        wrong = (F.octet_length("value") != w) if w is not None else F.lit(False)
+        bad_key = _map_key(F.col("qualifier"), f, m).isNull() if is_map else F.lit(False)
         tags.append(F.when(_match(f), F.struct(
             F.lit(f.name).alias("column"), F.lit(f.family).alias("family"),
-            F.lit(f.qualifier).alias("qualifier"),
+            F.lit(f.qualifier or "").alias("qualifier"),
             (decoded.isNull() & ~is_nullseq & ~is_empty).alias("bad"),
-            wrong.alias("wrong"))))
-    tagged = (cells.where(cell_filter(m.cell_fields))
-              .select(is_nullseq.alias("nullseq"), is_empty.alias("empty_v"),
-                      F.inline(F.filter(F.array(*tags), lambda t: t.isNotNull()))))
-    return tagged.groupBy("column", "family", "qualifier").agg(
+            wrong.alias("wrong"), bad_key.alias("bad_key"))))
+    found = F.filter(F.array(*tags), lambda t: t.isNotNull())
+    return (cells.where(cell_filter([*m.cell_fields, *m.map_fields]))
+            .select(*columns, is_nullseq.alias("_cw_nullseq"), is_empty.alias("_cw_empty"), F.explode(found).alias("_cw_t")))
+
+
+def decode_audit(cells: DataFrame, m: Mapping) -> DataFrame:
+    """Per mapped column, maps included: cells, values equal to the null
+    sequence, empty values, undecodable values (read as NULL although present),
+    for binary storage values of the wrong width, and for maps entries whose key
+    does not decode (a map cannot hold them).  ``qualifier`` is a map's prefix,
+    empty for a whole family."""
+    return _faults(cells, m, []).groupBy("_cw_t.column", "_cw_t.family", "_cw_t.qualifier").agg(
         F.count(F.lit(1)).alias("cells"),
-        F.count_if("nullseq").alias("null_seq"),
-        F.count_if("empty_v").alias("empty"),
-        F.count_if("bad").alias("undecodable"),
-        F.count_if("wrong").alias("wrong_width"),
+        F.count_if("_cw_nullseq").alias("null_seq"),
+        F.count_if("_cw_empty").alias("empty"),
+        F.count_if("_cw_t.bad").alias("undecodable"),
+        F.count_if("_cw_t.wrong").alias("wrong_width"),
+        F.count_if("_cw_t.bad_key").alias("bad_keys"),
     )
 
 
 def decode_rejects(cells: DataFrame, m: Mapping) -> DataFrame:
-    """The cells behind the ``undecodable`` counts, with their column name."""
-    parts = []
-    for f in m.cell_fields:
-        decoded = decode_field(F.col("value"), f, m)
-        raw = codec.to_text(F.col("value"))
-        parts.append(cells.where(_match(f))
-                     .where(decoded.isNull() & (raw != F.lit(m.null_format))
-                            & (F.length("value") > 0))
-                     .withColumn("column", F.lit(f.name)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """The cells behind the ``undecodable`` and ``bad_keys`` counts, with their
+    column's name and the ``fault`` ("value" or "key")."""
+    t = F.col("_cw_t")
+    return (_faults(cells, m, cells.columns).where(t["bad"] | t["bad_key"])
+            .select(*cells.columns, t["column"].alias("column"),
+                    F.when(t["bad_key"], "key").otherwise("value").alias("fault")))
 
 
 # --------------------------------------------------------------------- I11
-def migrate_storage(cells: DataFrame, m_from: Mapping, m_to: Mapping) -> DataFrame:
-    """Re-encode every mapped cell from ``m_from``'s storage to ``m_to``'s.
+def _moved(cells: DataFrame, m_from: Mapping, m_to: Mapping):
+    """(row key, qualifier, value) of each cell under ``m_to``, and whether each
+    of them could be decoded under ``m_from``."""
+    to = {f.name: f for f in m_to.fields}
+    raw = codec.to_text(F.col("value"))
+    # the null sequence stays a NULL that overrides older versions: an empty
+    # value in binary storage
+    is_null = F.coalesce(raw == F.lit(m_from.null_format), F.lit(False))
+    value, value_ok = F.col("value"), F.lit(True)
+    qualifier, qualifier_ok = F.col("qualifier"), F.lit(True)
+    for f in reversed([*m_from.cell_fields, *m_from.map_fields]):
+        g = to.get(f.name)
+        if g is None or g.role != f.role:
+            continue
+        is_map = f.role != "column"
+        vg = Field("v", g.dtype.valueType, "column", g.family, "v", storage=g.storage) if is_map else g
+        null = F.lit(b"") if vg.storage == "binary" else F.lit(m_to.null_format).cast("binary")
+        decoded = _map_value(F.col("value"), f, m_from) if is_map else decode_field(F.col("value"), f, m_from)
+        empty = F.octet_length("value") == 0
+        new = F.when(is_null, null).when(empty & decoded.isNull(), F.col("value")).otherwise(encode_field(decoded, vg, m_to))
+        value = F.when(_match(f), new).otherwise(value)
+        value_ok = F.when(_match(f), is_null | empty | decoded.isNotNull()).otherwise(value_ok)
+        if is_map:
+            key = _map_key(F.col("qualifier"), f, m_from)
+            qualifier = F.when(_match(f), _map_key_text(key, g)).otherwise(qualifier)
+            qualifier_ok = F.when(_match(f), key.isNotNull()).otherwise(qualifier_ok)
+    key = decode_key(F.col("row_key"), m_from)
+    same = (m_from.key_codec is m_to.key_codec and m_from.key.storage == m_to.key.storage
+            and m_from.key.dtype == m_to.key.dtype)
+    row_key = F.col("row_key") if same else encode_key(key, m_to)
+    key_ok = F.lit(True) if same else _all_decoded(key, m_from)
+    return row_key, qualifier, value, key_ok, qualifier_ok, value_ok
+
+
+def _all_decoded(key: Column, m: Mapping) -> Column:
+    if m.key_codec is None:
+        return key.isNotNull()
+    return reduce(and_, [key[f.name].isNotNull() for f in m.key_codec.struct_type.fields])
 
-    Cell-wise (no pivot, no shuffle) as long as the key codec is unchanged:
-    each cell is decoded with its column's old codec and encoded with the new
-    one.  Cells no column maps pass through unchanged.
+
+def migrate_storage(cells: DataFrame, m_from: Mapping, m_to: Mapping, *, strict: bool = True) -> DataFrame:
+    """Re-encode every cell from ``m_from``'s storage to ``m_to``'s: values, map
+    keys and row keys (one key codec to another).
+
+    Cell-wise (no pivot, no shuffle).  Cells no column maps, and columns that
+    only one mapping has, keep their value.  A cell that does not decode
+    raises, or with ``strict=False`` is left out and returned, unchanged, by
+    :func:`migrate_rejects`.  The null sequence stays NULL.
     """
-    to_by_name = {f.name: f for f in m_to.cell_fields}
-    expr: Column | None = None
-    for f in m_from.cell_fields:
-        g = to_by_name.get(f.name)
-        if g is None:
-            continue
-        conv = encode_field(decode_field(F.col("value"), f, m_from), g, m_to)
-        expr = F.when(_match(f), conv) if expr is None else expr.when(_match(f), conv)
-    value = expr.otherwise(F.col("value")) if expr is not None else F.col("value")
-    return cells.withColumn("value", value).where(F.col("value").isNotNull())
+    row_key, qualifier, value, key_ok, qualifier_ok, value_ok = _moved(cells, m_from, m_to)
+    ok = F.coalesce(key_ok & qualifier_ok & value_ok, F.lit(False))
+    if strict:
+        where = F.concat_ws(" ", F.hex(F.col("row_key").cast("binary")), "family", "qualifier")
+        bad = F.raise_error(F.concat(F.lit("cell does not decode: "), where)).cast("binary")
+        value = F.when(ok, value).otherwise(bad)
+    else:
+        cells = cells.where(ok)
+    # keys are only encoded where they decode, as encoding a NULL raises
+    row_key = F.when(ok, row_key)
+    return cells.withColumns({"row_key": row_key, "qualifier": qualifier, "value": value})
+
+
+def migrate_rejects(cells: DataFrame, m_from: Mapping, m_to: Mapping) -> DataFrame:
+    """The cells that ``migrate_storage(strict=False)`` leaves out, unchanged,
+    with the ``fault``: "row key", "map key" or "value"."""
+    _, _, _, key_ok, qualifier_ok, value_ok = _moved(cells, m_from, m_to)
+    no = lambda c: ~F.coalesce(c, F.lit(False))
+    return (cells.withColumn("fault", F.when(no(key_ok), "row key").when(no(qualifier_ok), "map key")
+                             .when(no(value_ok), "value")).where(F.col("fault").isNotNull()))
 
 
-__all__ = ["key_report", "validate_keys", "table_stats", "qualifier_profile", "mapping_check",
-           "mapping_frame", "decode_audit", "decode_rejects", "migrate_storage"]
+__all__ = ["key_report", "tag_keys", "validate_keys", "table_stats", "qualifier_profile", "mapping_check",
+           "mapping_frame", "decode_audit", "decode_rejects", "migrate_storage", "migrate_rejects"]

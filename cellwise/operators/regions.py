@@ -19,66 +19,71 @@ def _key_col(df: DataFrame, key: str | Column) -> Column:
 
 
 # ---------------------------------------------------------------------- B6
+# Keys sampled for each range wanted: the standard error of a range's size is
+# then about 1 / sqrt(2000), 2.2 percent.
+SAMPLE_PER_RANGE = 2000
+_GRAIN = 1 << 30
+
+
+def _key_sample(keys: DataFrame, share: float) -> DataFrame:
+    """Distinct keys of the column ``k`` whose hash falls in the first ``share``
+    of the hash range: a uniform sample of the distinct keys, the same on every
+    run; all keys for a share of 1 or more."""
+    k = keys.where(F.col("k").isNotNull())
+    if share < 1:
+        k = k.where(F.pmod(F.xxhash64("k", F.lit("sample")), F.lit(_GRAIN)) < int(share * _GRAIN) + 1)
+    return k.distinct()
+
+
 def split_points(df: DataFrame, key: str | Column, n: int) -> list:
     """Up to ``n - 1`` split points that cut ``df``'s distinct keys into ``n``
     ranges of about equal row count.
 
-    Spark's range partitioner samples the keys and cuts them into ``n``
-    ranges; the smallest key of each range (except the first) is a split
-    point.  Only ``n`` keys reach the driver.
+    One pass estimates the number of distinct keys, a second takes a hash sample
+    of about ``SAMPLE_PER_RANGE * n`` of them (all, if there are fewer), and only
+    the sample is range-partitioned; the smallest key of each range but the
+    first is a split point.  At most ``n`` keys reach the driver.
     """
     if n <= 1:
         return []
-    k = df.select(_key_col(df, key).alias("k")).where(F.col("k").isNotNull())
-    firsts = (k.repartitionByRange(n, "k")
+    k = df.select(_key_col(df, key).alias("k"))
+    total = k.agg(F.approx_count_distinct("k")).first()[0]
+    sample = _key_sample(k, SAMPLE_PER_RANGE * n / max(1, total))
+    firsts = (sample.repartitionByRange(n, "k")
               .groupBy(F.spark_partition_id().alias("p")).agg(F.min("k").alias("k"))
               .collect())
-    keys = sorted({r["k"] for r in firsts})
-    return keys[1:]
+    return sorted({_plain(r["k"]) for r in firsts})[1:]
+
+
+def _plain(k):
+    return bytes(k) if isinstance(k, bytearray) else k
 
 
 def uniform_split_points(df: DataFrame, key: str, n: int, width: int) -> list[str]:
-    """Split points for zero-padded numeric text keys: ``n`` equal-width
+    """Split points for zero-padded numeric text keys: up to ``n`` equal-width
     ranges between the smallest and largest key (one aggregate row to the
-    driver)."""
+    driver); fewer where the key range holds fewer than ``n`` numbers."""
     r = df.agg(F.min(F.col(key)).alias("lo"), F.max(F.col(key)).alias("hi")).first()
     if r["lo"] is None:
         return []
     lo, hi = int(r["lo"]), int(r["hi"])
-    return [str(lo + (hi - lo + 1) * i // n).zfill(width) for i in range(1, n)]
+    points = {lo + (hi - lo + 1) * i // n for i in range(1, n)} - {lo}
+    return [str(p).zfill(width) for p in sorted(points)]
 
 
 # ---------------------------------------------------------------------- B7
-# Up to this many split points the search is a CASE tree; above it, a loop
-# over one array literal (expression size stays constant).
-CASE_TREE_MAX_POINTS = 256
-
-
 def region_expr(key: Column, points: Sequence) -> Column:
-    """Region number of ``key``: a binary search over the split points, log2(n)
-    comparisons per row, no join and no broadcast.  Up to 256 points it is a
-    balanced nested CASE WHEN (codegen-able); above, the points are one array
-    literal searched by an ``aggregate`` loop, so the expression stays small
-    for thousands of regions."""
-    pts = list(points)
+    """Region number of ``key``: the split points that are not above it, NULL
+    for a NULL key.  The points are one array literal, searched by bisection:
+    log2(n) comparisons per key for any number of regions, no join and no
+    broadcast."""
+    pts = [_plain(p) for p in points]
     if any(pts[i] >= pts[i + 1] for i in range(len(pts) - 1)):
         raise ValueError("split points must be strictly increasing")
-    if len(pts) > CASE_TREE_MAX_POINTS:
-        return _array_search(key, pts)
-
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(key >= F.lit(pts[mid - 1]), build(mid, hi)).otherwise(build(lo, mid - 1))
-
-    return build(0, len(pts)).cast("int")
-
-
-def _array_search(key: Column, pts: list) -> Column:
-    """Number of points <= key by bisection over an array literal."""
-    arr = F.array(*[F.lit(p) for p in pts])
     n = len(pts)
+    if not n:
+        return F.when(key.isNotNull(), F.lit(0)).cast("int")
+    arr = F.array(*[F.lit(p) for p in pts])
 
     def step(acc, _):
         lo, hi = acc["lo"], acc["hi"]
@@ -100,7 +105,7 @@ def assign_region(df: DataFrame, key: str | Column, points: Sequence,
 
 def region_of(points: Sequence, key) -> int:
     """Driver-side region of one key (for pruning bounds)."""
-    return bisect.bisect_right(list(points), key)
+    return bisect.bisect_right([_plain(p) for p in points], _plain(key))
 
 
 def region_bounds(points: Sequence, lo=None, hi=None) -> tuple[int, int]:
@@ -121,7 +126,8 @@ def region_skew(cells: DataFrame, region: str = "region") -> DataFrame:
     per = cells.groupBy(region).agg(
         F.count_distinct("row_key").alias("rows"),
         F.count(F.lit(1)).alias("cells"),
-        F.sum(F.length("value") + F.length("row_key") + F.length("qualifier")).alias("bytes"),
+        F.sum(F.octet_length("value") + F.octet_length("row_key") + F.octet_length("qualifier"))
+        .alias("bytes"),
         F.min("row_key").alias("first_key"),
         F.max("row_key").alias("last_key"),
     )
@@ -142,26 +148,27 @@ def refine_splits(cells: DataFrame, points: Sequence, max_rows: int,
     """Add split points inside every region holding more than ``max_rows``
     rows, so that each heavy region is cut into ``ceil(rows / max_rows)``
     pieces; other regions keep their bounds.  A single row key is never split
-    (it may exceed ``max_rows`` alone)."""
-    keys = cells.select(region, "row_key").distinct()
-    heavy = (keys.groupBy(region).agg(F.count(F.lit(1)).alias("rows"))
-             .where(F.col("rows") > max_rows).collect())
-    if not heavy:
+    (it may exceed ``max_rows`` alone).
+
+    Row counts and cuts come from a hash sample of the distinct keys, about
+    ``SAMPLE_PER_RANGE`` for every ``max_rows`` (all keys where ``max_rows`` is
+    less than that)."""
+    share = min(1.0, SAMPLE_PER_RANGE / max(1, max_rows))
+    keys = cells.select(F.col(region).alias("r"), F.col("row_key").alias("k"))
+    sample = _key_sample(keys, share)
+    counts = sample.groupBy("r").agg(F.count(F.lit(1)).alias("n")).collect()
+    pieces = {r["r"]: math.ceil(r["n"] / share / max_rows) for r in counts
+              if r["n"] / share > max_rows}
+    if not pieces:
         return list(points)
-    pieces = {r[region]: math.ceil(r["rows"] / max_rows) for r in heavy}
-    total = sum(pieces.values())
-    hk = keys.where(F.col(region).isin(list(pieces)))
-    firsts = (hk.repartitionByRange(total, region, "row_key")
-              .groupBy(F.spark_partition_id().alias("p"), F.col(region))
-              .agg(F.min("row_key").alias("k"))
-              .collect())
-    starts = {}
-    for r in firsts:
-        starts.setdefault(r[region], set()).add(r["k"])
-    new = set(points)
-    for reg, ks in starts.items():
-        new |= set(sorted(ks)[1:])          # the region's own first key is not a new bound
-    return sorted(new)
+    size = sum((F.when(F.col("r") == reg, F.lit(n)).otherwise(0) for reg, n in pieces.items()), F.lit(0))
+    heavy = sample.where(F.col("r").isin(list(pieces)))
+    # equal pieces of each heavy region: by rank within it
+    place = Window.partitionBy("r").orderBy("k")
+    cut = F.floor((F.row_number().over(place) - 1) * size / F.count(F.lit(1)).over(Window.partitionBy("r")))
+    firsts = (heavy.withColumn("piece", cut).groupBy("r", "piece").agg(F.min("k").alias("k"))
+              .where("piece > 0").collect())
+    return sorted({_plain(p) for p in points} | {_plain(r["k"]) for r in firsts})
 
 
 __all__ = ["split_points", "uniform_split_points", "region_expr", "assign_region", "region_of",

@@ -74,7 +74,7 @@ def decode_key(row_key: Column, m: Mapping) -> Column:
         return codec.decode_binary(row_key.cast("binary"), k.dtype)
     if isinstance(k.dtype, T.BinaryType):
         return row_key.cast("binary")
-    return codec.decode_text(row_key, k.dtype, null_format=None)
+    return codec.decode_text(row_key, k.dtype, null_format=m.null_format)
 
 
 def _map_key(q: Column, f: Field, m: Mapping) -> Column:
@@ -98,16 +98,19 @@ _SIGN = -(1 << 63)
 def version_key() -> Column:
     """One binary whose unsigned byte order is the (ts, seq, value) order of
     a cell's versions: ts and seq as 8 big-endian bytes with the sign bit
-    flipped, then the value bytes.  ``max`` of it picks the newest version
-    (ties by value) with a single binary aggregate buffer per column."""
+    flipped, then 00 for a NULL value, or 01 and the value bytes.  ``max`` of it
+    picks the newest version (ties by value, NULL lowest) with a single binary
+    aggregate buffer per column."""
     def part(c: str) -> Column:          # NULL orders first, as in a struct
         return codec.encode_int_bytes(F.coalesce(F.col(c), F.lit(_SIGN)).bitwiseXOR(F.lit(_SIGN)), 8)
-    return F.concat(part("ts"), part("seq"), F.col("value").cast("binary"))
+    value = F.col("value").cast("binary")
+    return F.concat(part("ts"), part("seq"),
+                    F.coalesce(F.concat(F.lit(b"\x01"), value), F.lit(b"\x00")))
 
 
 def version_value(key: Column) -> Column:
     """The value part of :func:`version_key`."""
-    return F.substring(key, 17, 1 << 30)
+    return F.when(F.substring(key, 17, 1) == F.lit(b"\x01"), F.substring(key, 18, 1 << 30))
 
 
 # ---------------------------------------------------------------------- E6

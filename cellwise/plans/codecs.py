@@ -317,7 +317,7 @@ SELECT 'bal', 'b', 'bal', count(*), 0, 0, count(*) FILTER (WHERE c_mktsegment =
 """)
 def i12_decode_audit(spark, sf_dir):
     """Per column, the faults a read would silently turn into NULL."""
-    return quality.decode_audit(_cu_audit_cells(spark, sf_dir), CU_AUDIT)
+    return quality.decode_audit(_cu_audit_cells(spark, sf_dir), CU_AUDIT).drop("bad_keys")
 
 
 # ------------------------------------------------------------- plug-ins

@@ -6,32 +6,59 @@ from pyspark.sql import functions as F
 from ..functions.records import decode_records
 from ..mapping import Mapping
 from ..operators import quality, scan
+from ..operators.encode import table_to_cells
 from ..session import scratch_path
 from . import testcells as tc
 from .registry import query
 
 
+CU_TEXT = Mapping.parse(":key,p:name,p:segment,n:nation", ["cust_key", "name", "segment", "nation"],
+                        ["string", "string", "string", "int"])
+
+
 @query("e7_table_stats", """
-SELECT count(*) AS rows, count(*) * 4 AS cells,
-       count(c_name) AS name_nonnull, count(c_mktsegment) AS segment_nonnull,
-       count(c_nationkey) AS nation_nonnull, count(c_acctbal) AS acctbal_nonnull,
-       0.0::DOUBLE AS name_null_rate, 0.0::DOUBLE AS segment_null_rate,
-       0.0::DOUBLE AS nation_null_rate, 0.0::DOUBLE AS acctbal_null_rate
-FROM customer
+WITH c AS (SELECT c_name AS name, c_nationkey AS nation,
+             CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS segment FROM customer)
+SELECT count(*) AS rows, count(name) + count(segment) + count(nation) AS cells,
+       sum(strlen(name) + 14) + sum(strlen(segment) + 17) + sum(strlen(CAST(nation AS VARCHAR)) + 16) AS bytes,
+       count(name) AS name_nonnull, count(segment) AS segment_nonnull, count(nation) AS nation_nonnull,
+       0.0::DOUBLE AS name_null_rate,
+       round(1 - count(segment)::DOUBLE / count(*), 6) AS segment_null_rate,
+       0.0::DOUBLE AS nation_null_rate
+FROM c
 """)
 def e7_table_stats(spark, sf_dir):
-    """Rows, cells and per-column fill of the customer cell table (the
-    byte total depends on the text of doubles, so it is left out here)."""
-    return quality.table_stats(tc.cu_cells(spark, sf_dir), tc.CU_MAPPING).drop("bytes")
+    """Rows, cells, bytes and per-column fill of customer cells, where
+    BUILDING customers have no segment."""
+    rows = tc.cu_rows(spark, sf_dir).withColumn(
+        "segment", F.when(F.col("segment") != "BUILDING", F.col("segment")))
+    return quality.table_stats(table_to_cells(rows.select("cust_key", "name", "segment", "nation"), CU_TEXT,
+                                              ts=tc.CU_WRITE_TS), CU_TEXT)
 
 
 @query("e8_qualifier_profile", """
+SELECT 'p' AS family, 'name' AS qualifier, count(*) AS rows, count(*) AS cells, 1700000000000 AS first_ts,
+       1700000000000 AS last_ts, sum(strlen(c_name)) AS bytes FROM customer
+UNION ALL
+SELECT 'p', 'segment', count(*), count(*), 1700000000000, 1700000000000, sum(strlen(c_mktsegment)) FROM customer
+UNION ALL
+SELECT 'n', 'nation', count(*), count(*), 1700000000000, 1700000000000,
+       sum(strlen(CAST(c_nationkey AS VARCHAR))) FROM customer
+""")
+def e8_qualifier_profile(spark, sf_dir):
+    """Qualifier census of the customer cells, with their bytes."""
+    return quality.qualifier_profile(table_to_cells(
+        tc.cu_rows(spark, sf_dir).select("cust_key", "name", "segment", "nation"), CU_TEXT, ts=tc.CU_WRITE_TS))
+
+
+@query("e8_event_profile", """
 SELECT 'e' AS family, event_type AS qualifier, count(DISTINCT user_id) AS rows,
        count(*) AS cells, min(epoch_us(ts) // 1000) AS first_ts, max(epoch_us(ts) // 1000) AS last_ts
 FROM events GROUP BY event_type
 """)
-def e8_qualifier_profile(spark, sf_dir):
-    """Qualifier census of the events cells."""
+def e8_event_profile(spark, sf_dir):
+    """Qualifier census of the events cells (their values are doubles, whose
+    text length is not compared)."""
     return quality.qualifier_profile(tc.ev_cells(spark, sf_dir)).drop("bytes")
 
 
@@ -87,11 +114,10 @@ def i10_records(spark, sf_dir):
 
 @query("k3_schema_lookup", _PROPS_SQL.format(extra="NULL::VARCHAR"))
 def k3_schema_lookup(spark, sf_dir):
-    """K3: the reader schema is looked up from a schema file, once, on the
+    """K3: the reader schema is looked up from a schema file of two lines, once, on the
     driver; no default for the new field, so it reads NULL."""
     path = scratch_path(spark, "k3-schema")
-    spark.createDataFrame([("struct<k:int,extra:string>",)], "ddl string").coalesce(1) \
-        .write.text(path)
+    spark.createDataFrame([("k int,\n  extra string",)], "ddl string").coalesce(1).write.text(path)
     r = decode_records(_props_cells(spark, sf_dir), "r", "props", path)
     return r.select("row_key", "record.k", "record.extra")
 

@@ -22,8 +22,8 @@ bounds AS (SELECT min(l_orderkey) AS lo, max(l_orderkey) AS hi FROM lineitem),
 pts AS (SELECT lpad(CAST(lo + (hi - lo + 1) * i // {N_REGIONS} AS VARCHAR), 10, '0') AS p
         FROM bounds, range(1, {N_REGIONS}) t(i)),
 keyed AS (SELECT lpad(CAST(l_orderkey AS VARCHAR), 10, '0') || '$$'
-                 || CAST(l_linenumber AS VARCHAR) AS row_key FROM lineitem),
-reg AS (SELECT row_key, CAST((SELECT count(*) FROM pts WHERE p <= row_key) AS INTEGER) AS region
+                 || CAST(l_linenumber AS VARCHAR) AS row_key, l_returnflag, l_linestatus FROM lineitem),
+reg AS (SELECT *, CAST((SELECT count(*) FROM pts WHERE p <= row_key) AS INTEGER) AS region
         FROM keyed)"""
 
 
@@ -32,16 +32,25 @@ def li_points(spark, sf_dir):
     return uniform_split_points(li, "l_orderkey", N_REGIONS, 10)
 
 
-@query("b6_split_points")
+@query("b6_split_points", f"""
+WITH keyed AS (SELECT DISTINCT lpad(CAST(l_orderkey AS VARCHAR), 10, '0') || '$$'
+                      || CAST(l_linenumber AS VARCHAR) AS row_key FROM lineitem)
+SELECT {N_REGIONS} AS regions, count(*) AS rows, true AS points_inside, true AS ordered,
+       true AS balanced FROM keyed
+""")
 def b6_split_points(spark, sf_dir):
-    """Split points from the data (sampled): lineitem keys cut into 8
-    regions; rows per region.  Sampling makes the exact cut engine-specific,
-    so this has no SQL oracle (tests compare against an exact brute force)."""
-    cells = tc.li_cells(spark, sf_dir)
-    keys = scan.scan_keys(cells)
+    """Split points from a hash sample of the lineitem keys.  The exact cut
+    depends on the sample, so the result states what must hold: the number of
+    regions, all rows assigned, points inside the key range and increasing, and
+    no region above 1.2 times its share."""
+    keys = scan.scan_keys(tc.li_cells(spark, sf_dir))
     pts = split_points(keys, "row_key", N_REGIONS)
-    return (assign_region(keys, "row_key", pts).groupBy("region")
-            .agg(F.count(F.lit(1)).alias("rows")))
+    per = (assign_region(keys, "row_key", pts).groupBy("region")
+           .agg(F.count(F.lit(1)).alias("n"), F.min("row_key").alias("lo"), F.max("row_key").alias("hi")))
+    return per.agg(F.count(F.lit(1)).cast("int").alias("regions"), F.sum("n").alias("rows"),
+                   ((F.min("lo") < pts[0]) & (F.max("hi") >= pts[-1])).alias("points_inside"),
+                   F.lit(pts == sorted(set(pts))).alias("ordered"),
+                   (F.max("n") <= 1.2 * F.sum("n") / N_REGIONS).alias("balanced"))
 
 
 @query("b7_assign_region", f"""
@@ -108,48 +117,62 @@ CU_LAYOUT = {
 
 
 @query("b10_layout", """
-SELECT 'p' AS family, count(*) * 2 AS cells, sum(10) * 2 AS key_bytes FROM customer
+SELECT 'p' AS family, 'zstd' AS codec, count(*) * 2 AS cells, sum(10) * 2 AS key_bytes FROM customer
 UNION ALL
-SELECT 'n', count(*) * 2, sum(10) * 2 FROM customer
+SELECT 'n', 'snappy', count(*) * 2, sum(10) * 2 FROM customer
 """)
 def b10_layout(spark, sf_dir):
     """Per-family physical layout (codec, row-group size, bloom filter on
-    the key, dictionary) on write; the data read back is the same."""
+    the key, dictionary) on write; the codec of the files the cells are read
+    from, and the data, which is the same."""
     store = CellStore(spark, scratch_path(spark, "b10"))
-    store.write(tc.cu_cells(spark, sf_dir), points=[], layout=CU_LAYOUT)
-    return (store.read().groupBy("family")
+    res = store.stage(tc.cu_cells(spark, sf_dir), points=[], layout=CU_LAYOUT)
+    store.publish(res)
+    cells = spark.read.parquet(res.stage)
+    codec = F.regexp_extract(F.col("_metadata.file_name"), r"\.(\w+)\.parquet$", 1)
+    return (cells.groupBy("family", codec.alias("codec"))
             .agg(F.count(F.lit(1)).alias("cells"),
-                 F.sum(F.length("row_key")).alias("key_bytes")))
+                 F.sum(F.octet_length("row_key")).alias("key_bytes")))
 
 
 @query("b12_region_skew", f"""
 WITH {_LI_REGION_CTE},
-per AS (SELECT region, count(DISTINCT row_key) AS rows, count(*) * 6 AS cells,
+per AS (SELECT region, count(DISTINCT row_key) AS rows, count(*) * 2 AS cells,
+               sum(2 * length(row_key) + 10 + strlen(l_returnflag) + strlen(l_linestatus)) AS bytes,
                min(row_key) AS first_key, max(row_key) AS last_key FROM reg GROUP BY region)
-SELECT region, rows, cells, first_key, last_key,
+SELECT region, rows, cells, bytes, first_key, last_key,
        round(rows / median(rows) OVER (), 4) AS rows_to_median,
        round(max(rows) OVER () / median(rows) OVER (), 4) AS max_to_median
 FROM per
 """)
 def b12_region_skew(spark, sf_dir):
-    """Rows, cells and bytes per region against the median region."""
-    cells = assign_region(tc.li_cells(spark, sf_dir), "row_key", li_points(spark, sf_dir))
-    return region_skew(cells).select("region", "rows", "cells", "first_key", "last_key",
+    """Rows, cells and bytes per region against the median region, over the
+    text columns (the bytes of doubles depend on how they are printed)."""
+    li = tc.li_cells(spark, sf_dir).where(F.col("qualifier").isin("flag", "status"))
+    cells = assign_region(li, "row_key", li_points(spark, sf_dir))
+    return region_skew(cells).select("region", "rows", "cells", "bytes", "first_key", "last_key",
                                      "rows_to_median", "max_to_median")
 
 
-@query("b13_refine_splits")
+@query("b13_refine_splits", """
+WITH keyed AS (SELECT DISTINCT lpad(CAST(l_orderkey AS VARCHAR), 10, '0') || '$$'
+                      || CAST(l_linenumber AS VARCHAR) AS row_key FROM lineitem)
+SELECT count(*) AS rows, true AS old_points_kept, true AS more_regions, true AS balanced FROM keyed
+""")
 def b13_refine_splits(spark, sf_dir):
-    """Regions above 1.5x the mean row count get extra split points;
-    rows per region after.  Sampled, so no SQL oracle."""
+    """Regions above 1.5x the mean row count get extra split points.  The
+    result states what must hold: all rows assigned, old points kept, regions
+    added, and no region above 1.2 times the target."""
     cells = tc.li_cells(spark, sf_dir)
     keys = scan.scan_keys(cells)
     pts = li_points(spark, sf_dir)[:3]          # 4 regions, the last one holds 5/8 of the keys
     tagged = assign_region(cells, "row_key", pts)
-    total = keys.count()
-    new = refine_splits(tagged, pts, max(1, int(total / len(pts) / 1.5)))
-    return (assign_region(keys, "row_key", new).groupBy("region")
-            .agg(F.count(F.lit(1)).alias("rows")))
+    target = max(1, int(keys.count() / len(pts) / 1.5))
+    new = refine_splits(tagged, pts, target)
+    per = assign_region(keys, "row_key", new).groupBy("region").agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.sum("n").alias("rows"), F.lit(set(pts) <= set(new)).alias("old_points_kept"),
+                   (F.count(F.lit(1)) > len(pts) + 1).alias("more_regions"),
+                   (F.max("n") <= 1.2 * target).alias("balanced"))
 
 
 @query("b14_export", """
@@ -259,9 +282,9 @@ FROM {LI_NEWEST}
 def a1_bucketed_read(spark, sf_dir):
     """A1 over the bucketed store layout: lineitem cells written
     bucketBy(8, row_key); the full pivot reads each bucket in one task and
-    needs no shuffle (unless one bucket dominates, see CellStore)."""
+    needs no shuffle."""
     store = CellStore(spark, scratch_path(spark, "a1-bucketed"), buckets=8)
     store.write(tc.li_cells(spark, sf_dir))
-    t = scan.scan_table(store.read(), tc.LI_MAPPING, ["qty", "status", "ship"])
+    t = scan.scan_table(store.read(bucketed=True), tc.LI_MAPPING, ["qty", "status", "ship"])
     return t.select(F.col("li_key.orderkey").alias("orderkey"),
                     F.col("li_key.linenumber").alias("linenumber"), "qty", "status", "ship")

@@ -13,7 +13,6 @@ from ..functions.keys import delimited
 from ..functions.time import df_epoch_millis
 from ..mapping import Field, Mapping
 from ..operators.encode import table_to_cells
-from ..session import list_file_sizes
 
 # Fixed values of the test layouts.
 EVENT_TYPES = ("click", "view", "purchase", "signup", "error")
@@ -24,25 +23,9 @@ CU_WRITE_TS = 1_700_000_000_000   # one write time for the customer table
 LI_SEQ_SCALE = 1_000_000
 
 
-# A table between these sizes is spread over all cores when read (see load):
-# smaller ones are not worth an exchange, larger ones have many row groups.
-SPREAD_MIN_BYTES = 128 << 10
-SPREAD_MAX_BYTES = 1 << 30
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table.  The test files hold a single row group each, which
-    Spark reads in one task however the splits are sized; a small table is
-    therefore spread round-robin over the cores before any work fans its
-    rows out to cells.  Large inputs have many row groups and are read as is
-    (file sizes come from file-system metadata)."""
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    size = sum(b for _, b in list_file_sizes(spark, path))
-    cores = spark.sparkContext.defaultParallelism
-    if SPREAD_MIN_BYTES <= size <= SPREAD_MAX_BYTES and cores > 1:
-        df = df.repartition(cores)
-    return df
+    """One driver table, as it lies on disk."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def padded(col: str, width: int):

@@ -18,24 +18,30 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 from typing import Mapping as TMapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..mapping import Mapping
+from ..operators.encode import encode_key, table_to_cells
 from ..operators.encode import key_type as mapping_key_type
-from ..operators.encode import table_to_cells
 from ..operators.regions import region_bounds, region_expr, split_points
 from ..session import list_file_sizes, path_exists
 
+# ``points`` are the split points of that version's regions: text, or hex where
+# the key type is binary.  A snapshot freezes the versions live at its own id.
 MANIFEST_DDL = ("id long, kind string, name string, version int, versions array<int>, "
                 "points array<string>, key_type string, created_ms long, buckets int, "
                 "bucket_skew double")
 
-# A bucketed version whose largest bucket holds more than this multiple of the
-# mean bucket size is read without the bucketed scan (see ``read``).
-BUCKET_SKEW_LIMIT = 2.0
+# Internal columns of rows on their way to the write tasks.
+_KEY, _REGION = "_cw_key", "_cw_region"
+
+# Default size of what one write task sorts.
+WRITE_TASK_BYTES = 512 << 20
 
 # Parquet writer options a family layout may set.
 LAYOUT_OPTIONS = ("compression", "parquet.block.size", "parquet.page.size",
@@ -52,17 +58,17 @@ class WriteResult:
     version: int
     stage: str
     points: list
+    key_type: str = "string"
     families: list = field(default_factory=list)
 
 
 class CellStore:
     """``buckets=n`` selects the bucketed layout: each version is written
-    ``bucketBy(n, row_key)`` (sorted within files) instead of by region, so a
-    full pivot read needs no shuffle at all — each task reads all files of one
-    bucket.  Because one bucket is one task, a version whose largest bucket
-    is more than ``BUCKET_SKEW_LIMIT`` times the mean (a dominant key) is read
-    through the plain, skew-safe path instead (partial aggregation, then a
-    shuffle); the check uses file sizes recorded at publish time.
+    ``bucketBy(n, row_key)`` (sorted within files) instead of by region.  Read
+    with ``bucketed=True``, a full pivot needs no shuffle: each task reads all
+    files of one bucket, which suits keys of which none dominates
+    (:meth:`bucket_skew` tells).  The default read is the plain one, in which a
+    dominant key is folded by partial aggregation before the shuffle.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
@@ -120,22 +126,36 @@ class CellStore:
             f"LOCATION '{self.data}'")
         return name
 
-    def committed(self) -> list[int]:
-        """Live versions: commits in order; a commit that lists ``versions``
-        (a compaction) replaces everything before it."""
+    def committed(self, upto: int | None = None) -> list[int]:
+        """Live versions: commits in order, up to manifest row ``upto``; a commit
+        that lists ``versions`` (a compaction) replaces those it was made of."""
         live: list[int] = []
         for r in self._manifest():
-            if r["kind"] == "commit":
-                live = list(r["versions"]) if r["versions"] else live + [r["version"]]
+            if r["kind"] == "commit" and (upto is None or r["id"] <= upto):
+                gone = set(r["versions"] or ())
+                live = [v for v in live if v not in gone] + [r["version"]]
         return live
 
-    def points(self) -> list:
-        commits = [r for r in self._manifest() if r["kind"] == "commit"]
-        return list(commits[-1]["points"] or []) if commits else []
+    def _commits(self) -> list:
+        return [r for r in self._manifest() if r["kind"] == "commit"]
 
-    def _key_type(self) -> str:
-        commits = [r for r in self._manifest() if r["kind"] == "commit"]
-        return commits[-1]["key_type"] if commits else "string"
+    def points(self) -> list:
+        """Split points of the last commit."""
+        commits = self._commits()
+        return _typed_points(commits[-1]) if commits else []
+
+    def key_type(self) -> str | None:
+        """Type of the row key: that of the first commit, kept by all others."""
+        commits = self._commits()
+        return commits[0]["key_type"] if commits else None
+
+    def _checked_key_type(self, df: DataFrame) -> str:
+        kt = dict(df.dtypes)["row_key"]
+        if kt not in ("string", "binary"):
+            raise StoreError(f"row keys are string or binary, not {kt}")
+        if self.key_type() not in (None, kt):
+            raise StoreError(f"the table's row keys are {self.key_type()}, not {kt}")
+        return kt
 
     def _next_version(self) -> int:
         rows = self._manifest()
@@ -159,11 +179,11 @@ class CellStore:
         """Write ``cells`` as a new, unpublished version (B8 + B10).
 
         Split points come from ``points``, else from the data (``regions``
-        pieces), else from the last commit.  ``mode``:
+        pieces), else from the last commit.  ``tasks`` defaults to the larger
+        of the session's cores and the input's estimated size over 512 MB.
+        ``mode``:
 
-        ``tasks`` defaults to the session's cores (at least one per region).
-
-        * ``"split"`` – every region is written by ``k = tasks / regions`` tasks
+        * ``"split"`` – every region is written by ``k`` tasks, at least two
           (``repartitionById`` on ``region * k + hash(cell) % k``): files are
           sorted and never cross a region, and a hot region, row or cell is
           spread over k tasks.  No sampling pass; files of one region overlap
@@ -172,68 +192,88 @@ class CellStore:
           ts desc) over ``tasks`` tasks: files of a region also hold
           consecutive key ranges (a total order across files), at the price of
           Spark's sampling job, which reads the input once more.
-        * ``"exact"`` – one task per region (``repartitionById``).
+        * ``"rebalance"`` – by region, split and coalesced by AQE.
+        * ``"exact"`` – one task per region (``repartitionById``); the largest
+          region sets the time.
         * ``"hash"`` – hash layout by row key, sorted within files only
           (regions' files overlap; kept for comparison).
 
-        ``layout`` holds Parquet options, for all families or per family.
+        ``layout`` holds Parquet options, for all families or per family ("*":
+        the families not named).  A bucketed table takes none of ``points``,
+        ``regions``, ``mode`` and ``layout``.
         """
-        fams_needed = cells.columns
         for c in ("row_key", "family", "qualifier", "ts", "seq", "value"):
-            if c not in fams_needed:
+            if c not in cells.columns:
                 raise StoreError(f"cells need column {c!r}")
+        kt = self._checked_key_type(cells)
         if self.buckets:
+            self._no_layout(points, regions, mode, layout)
             return self._stage_bucketed(cells, tasks)
         if points is None:
             points = split_points(cells, "row_key", regions) if regions else self.points()
-        points = list(points)
-        n = len(points) + 1
-        version = self._next_version()
-        stage = f"{self.data}/v={version}"
-        ntasks = tasks or max(n, self._cores())
         df = cells.select("row_key", "family", "qualifier", "ts", "seq", "value") \
             .withColumn("region", region_expr(F.col("row_key"), points))
-        # range / exact partitioning is by region then key; within a task the
-        # sort starts with the writer's partition columns (family, region), so
-        # the file writer keeps this order instead of re-sorting
+
+        def deal(part: DataFrame) -> DataFrame:
+            return self._dealt(part, len(points) + 1, mode, tasks,
+                               ("row_key", "family", "qualifier", "ts"))
+        return self._stage(df, deal, list(points), kt, layout)
+
+    def _dealt(self, df: DataFrame, n: int, mode: str, tasks: int | None, spread: Sequence[str],
+               key: str = "row_key", region: str = "region") -> DataFrame:
+        """``df`` dealt to the write tasks by its region column; ``spread`` are the
+        columns whose hash spreads a region over its tasks."""
+        ntasks = tasks or max(n, self._cores(), -(-_estimated_bytes(df) // WRITE_TASK_BYTES))
         if mode == "rebalance":
-            df = df.hint("rebalance", "region")
-        elif mode == "split":
-            k = max(1, -(-ntasks // n))
-            sub = F.pmod(F.xxhash64("row_key", "family", "qualifier", "ts"), F.lit(k))
-            df = df.repartitionById(n * k, (F.col("region") * k + sub).cast("int"))
-        elif mode == "range":
-            df = df.repartitionByRange(ntasks, F.col("region"), F.col("row_key"),
-                                       F.col("family"), F.col("qualifier"), F.col("ts").desc())
-        elif mode == "exact":
-            df = df.repartitionById(n, F.col("region"))
-        elif mode == "hash":
-            df = df.repartition(ntasks, "row_key")
-        else:
-            raise StoreError(f"unknown mode {mode!r}")
-        df = df.sortWithinPartitions(F.col("family"), F.col("region"), F.col("row_key"),
-                                     F.col("qualifier"), F.col("ts").desc(), F.col("seq").desc())
+            return df.hint("rebalance", region)
+        if mode == "split":
+            k = max(2, -(-ntasks // n))
+            sub = F.pmod(F.xxhash64(*spread), F.lit(k))
+            return df.repartitionById(n * k, (F.coalesce(F.col(region), F.lit(0)) * k + sub).cast("int"))
+        if mode == "range":
+            cells = {"family", "qualifier", "ts"} <= set(df.columns) and key == "row_key"
+            return df.repartitionByRange(ntasks, F.col(region), F.col(key), *(
+                ["family", "qualifier", F.col("ts").desc()] if cells else []))
+        if mode == "exact":
+            return df.repartitionById(n, F.coalesce(F.col(region), F.lit(0)))
+        if mode == "hash":
+            return df.repartition(ntasks, key)
+        raise StoreError(f"unknown mode {mode!r}")
+
+    def _stage(self, df: DataFrame, deal, points: list, kt: str, layout) -> WriteResult:
+        """Write ``df`` (cells or rows that ``deal`` turns into cells) as the next
+        version.  Each family with a layout of its own is written from its own
+        filter of the input."""
+        version = self._next_version()
+        stage = f"{self.data}/v={version}"
+
+        def put(part: DataFrame, path: str, parts: list, opts: dict) -> None:
+            # the sort starts with the writer's partition columns, so the file
+            # writer keeps this order instead of re-sorting
+            order = [*parts, "row_key", "qualifier", F.col("ts").desc(), F.col("seq").desc()]
+            if "family" not in parts:
+                part = part.drop("family")
+            self._write(part.sortWithinPartitions(*order), path, parts, opts)
 
         per_family = isinstance(layout, dict) and layout and all(
             isinstance(v, dict) for v in layout.values())
-        if per_family:
-            fams = [r["family"] for r in cells.select("family").distinct().collect()]
-            src = df.persist()
-            try:
-                for fam in fams:
-                    opts = dict(layout.get(fam, layout.get("*", {})))
-                    self._write(src.where(F.col("family") == fam).drop("family"),
-                                f"{stage}/family={fam}", ["region"], opts)
-            finally:
-                src.unpersist()
-        else:
-            fams = None
-            self._write(df, stage, ["family", "region"], dict(layout or {}))
-        return WriteResult(version, stage, points, fams or [])
+        if not per_family:
+            put(deal(df), stage, ["family", "region"], dict(layout or {}))
+            return WriteResult(version, stage, points, kt)
+        named = [f for f in layout if f != "*"]
+        is_cells = _REGION not in df.columns
+        fam = F.col("family")
+        put((deal(df.where(~fam.isin(named))) if is_cells else deal(df).where(~fam.isin(named))), stage, ["family", "region"], dict(layout.get("*", {})))
+        for f in named:
+            put(deal(df.where(fam == f)) if is_cells else deal(df).where(fam == f),
+                f"{stage}/family={f}", ["region"], dict(layout[f]))
+        return WriteResult(version, stage, points, kt, named)
+
+    def _no_layout(self, points, regions, mode, layout) -> None:
+        if points or regions or layout or mode != "split":
+            raise StoreError("a bucketed table takes no points, regions, mode or layout")
 
     def _cores(self) -> int:
-        """Default number of write tasks: the cores the session has.  At scale
-        pass ``tasks`` of about input bytes / 1 GB instead."""
         return max(1, self.spark.sparkContext.defaultParallelism)
 
     def _stage_bucketed(self, cells: DataFrame, tasks: int | None) -> WriteResult:
@@ -243,14 +283,15 @@ class CellStore:
         kt = dict(cells.dtypes)["row_key"]
         name = self._table(kt)
         n = self.buckets
-        k = max(1, -(-(tasks or max(n, self._cores())) // n))
+        ntasks = tasks or max(n, self._cores(), -(-_estimated_bytes(cells) // WRITE_TASK_BYTES))
+        k = max(2, -(-ntasks // n))
         bucket = F.pmod(F.hash("row_key"), F.lit(n))       # Spark's own bucket id
         sub = F.pmod(F.xxhash64("row_key", "family", "qualifier", "ts"), F.lit(k))
         df = (cells.withColumn("v", F.lit(version))
               .select("row_key", "qualifier", "ts", "seq", "value", "v", "family")
               .repartitionById(n * k, (bucket * k + sub).cast("int")))
         df.write.insertInto(name)
-        return WriteResult(version, f"{self.data}/v={version}", [], [])
+        return WriteResult(version, f"{self.data}/v={version}", [], kt)
 
     def _bucket_skew(self, stage: str) -> float:
         import re
@@ -273,32 +314,67 @@ class CellStore:
             w = w.option(k, str(v))
         w.parquet(path)
 
-    def publish(self, result: WriteResult, key_type: str = "string") -> int:
+    def publish(self, result: WriteResult) -> int:
         """Make a staged version visible: one manifest row, written last."""
+        return self._commit(result)
+
+    def _commit(self, result: WriteResult, replaces: Sequence[int] | None = None) -> int:
         if not path_exists(self.spark, result.stage):
             raise StoreError(f"stage {result.stage} does not exist")
         if result.version in self.committed():
             raise StoreError(f"version {result.version} already published")
+        if self.key_type() not in (None, result.key_type):
+            raise StoreError(f"the table's row keys are {self.key_type()}, not {result.key_type}")
         skew = self._bucket_skew(result.stage) if self.buckets else None
-        self._append("commit", version=result.version, points=[str(p) for p in result.points],
-                     key_type=key_type, buckets=self.buckets, bucket_skew=skew)
+        points = [bytes(p).hex() if result.key_type == "binary" else str(p) for p in result.points]
+        self._append("commit", version=result.version, versions=list(replaces) if replaces else None,
+                     points=points, key_type=result.key_type, buckets=self.buckets, bucket_skew=skew)
         return result.version
 
-    def write(self, cells: DataFrame, key_type: str = "string", **kw) -> int:
+    def write(self, cells: DataFrame, **kw) -> int:
         """Stage and publish (``bulk_write``)."""
-        return self.publish(self.stage(cells, **kw), key_type=key_type)
+        return self.publish(self.stage(cells, **kw))
+
+    def stage_rows(self, df: DataFrame, m: Mapping, ts=None, seq=0, *, points: Sequence | None = None,
+                   regions: int | None = None, mode: str = "split", tasks: int | None = None,
+                   layout: TMapping[str, dict] | dict | None = None) -> WriteResult:
+        """Typed rows as a new, unpublished version: rows are dealt to the write
+        tasks, and only there do they fan out to cells, so that a row crosses
+        the network once whatever its columns."""
+        if self.buckets:
+            self._no_layout(points, regions, mode, layout)
+            return self.stage(table_to_cells(df, m, ts=ts, seq=seq), tasks=tasks)
+        key = encode_key(F.col(m.key.name), m)
+        kt = mapping_key_type(m)
+        if self.key_type() not in (None, kt):
+            raise StoreError(f"the table's row keys are {self.key_type()}, not {kt}")
+        if points is None:
+            points = split_points(df, key, regions) if regions else self.points()
+        # write times and sequence numbers are set before rows are dealt
+        own = {n: c for n, c in (("_cw_ts", ts), ("_cw_seq", seq)) if isinstance(c, Column)}
+        df = df.withColumns({**own, _KEY: key, _REGION: region_expr(key, points)})
+        ts, seq = (F.col(n) if n in own else c for n, c in (("_cw_ts", ts), ("_cw_seq", seq)))
+        plain = [f.name for f in df.schema.fields
+                 if "map<" not in f.dataType.simpleString() and f.name != _REGION]
+
+        def deal(part: DataFrame) -> DataFrame:
+            dealt = self._dealt(part, len(points) + 1, mode, tasks, plain, _KEY, _REGION)
+            return table_to_cells(dealt, m, ts=ts, seq=seq, carry=[_REGION]).withColumnRenamed(_REGION, "region")
+        return self._stage(df, deal, list(points), kt, layout)
 
     def write_table(self, df: DataFrame, m: Mapping, ts=None, seq=0, **kw) -> int:
         """Typed rows → cells → new version (B5): an upsert, never a truncate."""
-        return self.write(table_to_cells(df, m, ts=ts, seq=seq), key_type=mapping_key_type(m), **kw)
+        return self.publish(self.stage_rows(df, m, ts=ts, seq=seq, **kw))
 
     # ---------------------------------------------------------------- read
     def read(self, *, snapshot: str | None = None, versions: Sequence[int] | None = None,
              key_lo=None, key_hi=None, families: Sequence[str] | None = None,
-             bucketed: bool | None = None) -> DataFrame:
+             bucketed: bool = False) -> DataFrame:
         """All cells of the published versions (or of a snapshot), with
-        ``region`` and ``v`` columns.  Key bounds add region pruning from the
-        split points on top of the row-key filter; families prune directories.
+        ``region`` and ``v`` columns.  Key bounds (inclusive) add region pruning
+        on top of the row-key filter: each version by its own split points.
+        Families prune directories.  ``bucketed`` reads a bucketed table bucket
+        by bucket (see the class).
         """
         if snapshot is not None:
             snaps = self._snapshots()
@@ -308,7 +384,7 @@ class CellStore:
         elif versions is None:
             versions = self.committed()
         versions = list(versions)
-        kt = self._key_type()
+        kt = self.key_type() or "string"
         schema = (f"row_key {kt}, qualifier string, ts bigint, seq bigint, value binary, "
                   f"v int, family string, region int")
         if not versions:
@@ -322,19 +398,26 @@ class CellStore:
             df = df.where(F.col("family").isin(list(families)))
         if key_lo is not None or key_hi is not None:
             if not self.buckets:
-                r_lo, r_hi = region_bounds(self.points(), key_lo, key_hi)
-                df = df.where(F.col("region").between(r_lo, r_hi))
+                df = df.where(self._regions_of(versions, key_lo, key_hi))
             if key_lo is not None:
-                df = df.where(F.col("row_key") >= key_lo)
+                df = df.where(F.col("row_key") >= F.lit(key_lo))
             if key_hi is not None:
-                df = df.where(F.col("row_key") <= key_hi)
+                df = df.where(F.col("row_key") <= F.lit(key_hi))
         return df.select(*_CELL_READ)
 
-    def _read_bucketed(self, versions: list, kt: str, bucketed: bool | None) -> DataFrame:
-        skews = {r["version"]: r["bucket_skew"] for r in self._manifest() if r["kind"] == "commit"}
-        balanced = all((skews.get(v) or 0.0) <= BUCKET_SKEW_LIMIT for v in versions)
-        use = balanced if bucketed is None else bucketed
-        if use:
+    def _regions_of(self, versions: list, key_lo, key_hi) -> Column:
+        """The (version, region) directories a key range can touch; versions
+        with the same bounds share one term."""
+        points = {r["version"]: _typed_points(r) for r in self._commits()}
+        terms: dict[tuple, list] = {}
+        for v in versions:
+            terms.setdefault(region_bounds(points[v], key_lo, key_hi), []).append(v)
+        conds = [F.col("v").isin(vs) & F.col("region").between(lo, hi)
+                 for (lo, hi), vs in sorted(terms.items())]
+        return reduce(or_, conds)
+
+    def _read_bucketed(self, versions: list, kt: str, bucketed: bool) -> DataFrame:
+        if bucketed:
             name = self._table(kt)
             self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
             df = self.spark.table(name).where(F.col("v").isin(versions))
@@ -355,7 +438,7 @@ class CellStore:
         out: dict[str, list[int]] = {}
         for r in self._manifest():
             if r["kind"] == "snapshot":
-                out[r["name"]] = list(r["versions"])
+                out[r["name"]] = self.committed(upto=r["id"])
             elif r["kind"] == "drop":
                 out.pop(r["name"], None)
         return out
@@ -366,7 +449,7 @@ class CellStore:
         if not name:
             raise StoreError("a snapshot needs a name")
         vs = self.committed()
-        self._append("snapshot", name=name, versions=vs)
+        self._append("snapshot", name=name)
         return vs
 
     def snapshot_drop(self, name: str) -> None:
@@ -379,48 +462,62 @@ class CellStore:
         return self.spark.createDataFrame(rows, "name string, versions array<int>")
 
     # ------------------------------------------------------------- upkeep
-    def compact(self, **kw) -> int:
-        """Rewrite all published versions as one (newest cell per cell) and
-        publish it; older versions stay on disk for existing snapshots."""
+    def compact(self, versions: Sequence[int] | None = None, keep: str = "all", **kw) -> int:
+        """Rewrite ``versions`` (default: all live ones) as one and publish it in
+        their place; the old files stay for existing snapshots.  ``keep="all"``
+        keeps every version of every cell, so reads as of a time, in a time
+        range or of several versions are unchanged; ``keep="latest"`` keeps the
+        newest cell only."""
         from ..operators.scan import latest
-        cells = latest(self.read().drop("region", "v"))
-        res = self.stage(cells, points=self.points(), **kw)
-        skew = self._bucket_skew(res.stage) if self.buckets else None
-        self._append("commit", version=res.version, versions=[res.version],
-                     points=[str(p) for p in res.points], key_type=self._key_type(),
-                     buckets=self.buckets, bucket_skew=skew)
-        return res.version
+        if keep not in ("all", "latest"):
+            raise StoreError("keep is 'all' or 'latest'")
+        live = self.committed()
+        versions = live if versions is None else list(versions)
+        if not versions or set(versions) - set(live):
+            raise StoreError("only live versions can be compacted")
+        cells = self.read(versions=versions).drop("region", "v")
+        if keep == "latest":
+            cells = latest(cells)
+        if not self.buckets:
+            kw.setdefault("points", self.points())
+        return self._commit(self.stage(cells, **kw), replaces=versions)
+
+
+def _typed_points(commit) -> list:
+    pts = commit["points"] or []
+    return [bytes.fromhex(p) if commit["key_type"] == "binary" else p for p in pts]
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the plan; 0 where it has none (it then says
+    exabytes, as for rows that come from Python)."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 53 else 0
 
 
 _CELL_READ = ("row_key", "family", "qualifier", "ts", "seq", "value", "region", "v")
 
 
-def multi_insert(df: DataFrame, sinks: Sequence[tuple], materialize: str = "persist") -> list:
+def multi_insert(df: DataFrame, sinks: Sequence[tuple], materialize: str = "none") -> list:
     """One source, several sinks (B11): ``sinks`` is ``[(condition, fn)]``;
-    each ``fn`` receives ``df.where(condition)``.  The source is computed once:
-
-    * ``"persist"`` – cached on the executors; a lost executor's blocks are
-      recomputed from the source.
-    * ``"checkpoint"`` – written once to the session's ``spark.checkpoint.dir``
-      (a shared folder on a cluster), cutting the lineage: a lost executor
-      costs a re-read of the checkpoint, never a recompute of the source.
-    * ``"none"`` – each sink recomputes the source.
+    each ``fn`` receives ``df.where(condition)``.
+
+    * ``"none"`` – each sink reads the source with its own condition, which
+      reaches the scan.
+    * ``"checkpoint"`` – the source is computed and written once to the
+      session's ``spark.checkpoint.dir`` (a shared folder on a cluster): for
+      sources that cost more to compute than to read.  A lost executor costs a
+      re-read of the checkpoint, never a recompute of the source.
     """
     if materialize == "checkpoint":
         from ..session import checkpoint_root
         checkpoint_root(df.sparkSession)          # set only where unset (tests)
         src = df.checkpoint(eager=True)
-    elif materialize == "persist":
-        src = df.persist()
     elif materialize == "none":
         src = df
     else:
         raise StoreError(f"unknown materialize {materialize!r}")
-    try:
-        return [fn(src.where(cond)) for cond, fn in sinks]
-    finally:
-        if materialize == "persist":
-            src.unpersist()
+    return [fn(src.where(cond)) for cond, fn in sinks]
 
 
 def export_table(cells: DataFrame, m: Mapping, path: str, *, columns=None, key_lo=None,

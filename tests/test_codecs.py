@@ -148,29 +148,39 @@ def test_typed_family_map_round_trip(spark, storage):
     assert back["k2"].ints == {} and back["k2"].dbls == {}   # no cells → empty map
 
 
-def test_text_source_padding_and_nulls(spark):
-    from cellwise.sources.text import lines_to_cells
-    lines = spark.createDataFrame([("k1\x01a\x01b",), ("k2\x01\\N\x01c",), ("k3\x01d",), ("\x01x",)],
-                                  "value string")
+def test_text_source_padding_nulls_and_rejects(spark):
+    from cellwise.sources.text import line_rejects, lines_to_cells
+    good = [("k1\x01a\x01b",), ("k2\x01\\N\x01c",), ("k3\x01d",)]
+    lines = spark.createDataFrame([*good, ("\x01x",), ("k4\x01a\x01b\x01extra",), (None,)], "value string")
     got = sorted((r.row_key, r.qualifier, bytes(r.value)) for r in
-                 lines_to_cells(lines, "cf", ["q1", "q2"]).collect())
+                 lines_to_cells(lines, "cf", ["q1", "q2"], strict=False).collect())
     assert got == [("k1", "q1", b"a"), ("k1", "q2", b"b"), ("k2", "q2", b"c"),
                    ("k3", "q1", b"d"), ("k3", "q2", b"")]      # missing trailing field → ''
+    assert sorted((r.reason, r.value or "") for r in line_rejects(lines, ["q1", "q2"]).collect()) == [
+        ("empty key", ""), ("empty key", "\x01x"), ("too many fields", "k4\x01a\x01b\x01extra")]
+    with pytest.raises(Exception, match="empty key|too many fields"):
+        lines_to_cells(lines, "cf", ["q1", "q2"]).collect()
+    assert lines_to_cells(spark.createDataFrame(good, "value string"), "cf", ["q1", "q2"]).count() == 5
 
 
-def test_records_reader_schema_evolution(spark):
-    from cellwise.functions.records import decode_records
+def test_records_missing_null_and_malformed(spark):
+    from cellwise.functions.records import decode_records, malformed_records
     c = cells(spark, [
-        ("r1", "cola", "rec", 1, '{"int1": 5, "boolean1": true, "long1": 7, "dropped": "x"}'),
-        ("r2", "cola", "rec", 1, '{"int1": 6, "boolean1": false, "long1": 8, "string1": "given"}'),
-        ("r3", "cola", "rec", 1, '{"aRecord": {"int1": 1}, "int1": 2}')])
-    out = {r.row_key: r.record for r in decode_records(
-        c, "cola", "rec", "int1 int, boolean1 boolean, long1 bigint, string1 string",
-        defaults={"string1": "test"}).collect()}
-    assert out["r1"].string1 == "test" and out["r1"].long1 == 7 and "dropped" not in out["r1"]
-    assert out["r2"].string1 == "given"
-    nested = decode_records(c, "cola", "rec", "aRecord struct<int1:int>, int1 int")
-    assert {r.row_key: r.record.aRecord for r in nested.collect()}["r3"].int1 == 1
+        ("new", "d", "rec", 1, '{"city": "Oslo", "zip": 150, "gone": true}'),
+        ("null", "d", "rec", 1, '{"city": "Rome", "zip": null, "tier": null}'),
+        ("full", "d", "rec", 1, '{"city": "Bern", "zip": 3000, "tier": "gold"}'),
+        ("text", "d", "rec", 1, "not json"), ("list", "d", "rec", 1, "[1]"),
+        ("type", "d", "rec", 1, '{"city": "Kyiv", "zip": "many"}')])
+    got = {r.row_key: r.record for r in decode_records(
+        c, "d", "rec", "city string, zip int, tier string", defaults={"tier": "basic", "zip": 0}).collect()}
+    assert tuple(got["new"]) == ("Oslo", 150, "basic")          # a field the writer lacked takes the default
+    assert tuple(got["null"]) == ("Rome", None, None)           # an explicit null stays
+    assert tuple(got["full"]) == ("Bern", 3000, "gold")
+    assert got["text"] is got["list"] is got["type"] is None
+    bad = malformed_records(c, "d", "rec", "city string, zip int, tier string")
+    assert {r.row_key for r in bad.collect()} == {"text", "list", "type"}
+    nested = cells(spark, [("a", "d", "rec", 1, '{"at": {"city": "Oslo"}, "n": 2}')])
+    assert decode_records(nested, "d", "rec", "at struct<city:string>, n int").first().record.at.city == "Oslo"
 
 
 def test_mapping_check_strict_raises(spark):
@@ -196,3 +206,62 @@ def test_float32_specials_and_boolean_bytes(spark):
     assert fs[3] == 1.401298464324817e-45 and fs[4] == -3.4028234663852886e38   # subnormal, extreme
     assert [x.hb for x in r] == ["FF", "00", None, "FF", "00"]
     assert [x.b for x in r] == [True, False, None, True, False]
+
+
+def test_composite_prefix_uses_the_stored_encoding(spark):
+    from cellwise.operators.predicates import composite_key_filter
+    kc = keys.delimited([("flag", "boolean"), ("x", "double"), ("s", "string")])
+    rows_in = [(True, 1e20, "a"), (False, 0.5, "b"), (True, 0.5, "c")]
+    df = spark.createDataFrame(rows_in, "flag boolean, x double, s string")
+    c = df.select(kc.encode(F.struct("flag", "x", "s")).alias("row_key"), "s")
+    assert [r.s for r in composite_key_filter(c, kc, [("flag", True), ("x", 1e20)]).collect()] == ["a"]
+    assert sorted(r.s for r in composite_key_filter(c, kc, [("flag", True)]).collect()) == ["a", "c"]
+    for bad in ((None, 1.0, "a"), (True, 1.0, "a$$b"), ):
+        one = spark.createDataFrame([bad], df.schema)
+        with pytest.raises(Exception, match="key field"):
+            one.select(kc.encode(F.struct("flag", "x", "s"))).collect()
+
+
+def test_composite_bounds_match_brute_force(spark):
+    from cellwise.operators.predicates import composite_key_filter
+    texts = ["a", "a!", "a#", "a%", "aa", "ab", "b", "b!", "", "z"]
+    for kc in (keys.delimited([("p", "string"), ("q", "string")]), keys.fixed_width([("p", "string"), ("q", "string")]),
+               keys.collection_delimited([("p", "string"), ("q", "string")])):
+        df = spark.createDataFrame([(p, q) for p in texts for q in texts], "p string, q string")
+        c = df.select(kc.encode(F.struct("p", "q")).alias("row_key"), "p", "q")
+        for op, test in (("<", str.__lt__), ("<=", str.__le__), (">", str.__gt__), (">=", str.__ge__), ("=", str.__eq__)):
+            for v in ("a!", "ab", "a"):
+                got = composite_key_filter(c, kc, ranges=[("p", op, v)]).count()
+                assert got == sum(test(p, v) for p in texts) * len(texts), (kc.name, op, v)
+                got = composite_key_filter(c, kc, [("p", "a")], ranges=[("q", op, v)]).count()
+                assert got == sum(test(q, v) for q in texts), (kc.name, op, v)
+        plan = composite_key_filter(c, kc, ranges=[("p", ">=", "a"), ("p", "<", "b")])._jdf.queryExecution().toString()
+        assert ">= a" in plan
+
+
+def test_salted_key_holds_any_text(spark):
+    kc = keys.salted()
+    df = spark.createDataFrame([("p|q",), ("",), ("é|",)], "id string")
+    back = df.select("id", kc.decode(kc.encode(F.struct("id")))["id"].alias("b")).collect()
+    assert all(r.id == r.b for r in back)
+
+
+def test_float_bytes_exact(spark):
+    import struct
+    import numpy as np
+    rnd = np.random.default_rng(3)
+    bits = np.concatenate([rnd.integers(0, 1 << 64, 4000, dtype=np.uint64), np.array(
+        [0, 1 << 63, 1, (1 << 52) - 1, 1 << 52, 0x7FEFFFFFFFFFFFFF, 0x7FF0000000000000, 0xFFF0000000000000], np.uint64)])
+    dbl = [float(x) for x in bits.view(np.float64) if not math.isnan(x)]
+    flt = [float(x) for x in rnd.integers(0, 1 << 32, 4000, dtype=np.uint32).view(np.float32) if not math.isnan(x)]
+    flt += [0.0, -0.0, 2.0 ** -149, 2.0 ** -126, math.inf, -math.inf]
+    got = spark.createDataFrame([(x,) for x in dbl], "x double").select("x", codec.encode_float_bytes("x", True).alias("b"))
+    assert all(bytes(r.b) == struct.pack(">d", r.x) for r in got.collect())
+    got = spark.createDataFrame([(x,) for x in flt], "x float").select("x", codec.encode_float_bytes("x", False).alias("b"))
+    assert all(bytes(r.b) == struct.pack(">f", r.x) for r in got.collect())
+
+
+def test_mapping_without_names():
+    m = Mapping.parse(":key,cf:Name,cf:,cg:p_.*,:timestamp")
+    assert [f.name for f in m.fields] == generated_names(":key,cf:Name,cf:,cg:p_.*,:timestamp")
+    assert [f.dtype.simpleString() for f in m.fields] == ["string", "string", "map<string,string>", "map<string,string>", "timestamp"]

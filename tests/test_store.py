@@ -146,7 +146,7 @@ def test_export_formats(spark, fmt):
     assert out.count() == 100 and set(out.columns) == {"order_key", "status"}
 
 
-@pytest.mark.parametrize("how", ["persist", "checkpoint", "none"])
+@pytest.mark.parametrize("how", ["checkpoint", "none"])
 def test_multi_insert_materialize(spark, how):
     from cellwise.sources.store import multi_insert
     rows = tc.or_rows(spark, SF_SMALL).select("order_key", "status")
@@ -182,9 +182,11 @@ def test_bucketed_compaction_keeps_layout_and_values(spark):
     before = sorted(tuple(r) for r in scan.scan_table(store.read(), tc.CU_MAPPING).collect())
     v = store.compact()
     assert store.committed() == [v]
-    after = scan.scan_table(store.read(), tc.CU_MAPPING)
+    after = scan.scan_table(store.read(bucketed=True), tc.CU_MAPPING)
     assert "Bucketed: true" in after._jdf.queryExecution().executedPlan().toString()
     assert sorted(tuple(r) for r in after.collect()) == before
+    assert store.read().count() == rows.count() * 5        # every version is kept
+    store.compact(keep="latest")
     assert store.read().count() == rows.count() * 4        # one version per cell left
 
 
@@ -214,3 +216,73 @@ def test_publish_errors_and_unpublished_stage(spark):
         store.stage(cells.drop("seq"), points=[])
     with pytest.raises(StoreError):
         CellStore(spark, "")
+
+
+def test_key_range_after_points_change_loses_nothing(spark):
+    cell = lambda k, ts: (k, "f", "q", ts, 0, bytearray(b"v"))
+    ddl = "row_key string, family string, qualifier string, ts bigint, seq bigint, value binary"
+    store = CellStore(spark, scratch_path(spark, "t-points"))
+    store.write(spark.createDataFrame([cell(k, 1) for k in "abcdefghijklmnop"], ddl), points=["h"])
+    store.snapshot_create("one")
+    store.write(spark.createDataFrame([cell("k", 2)], ddl), points=["c", "f", "j"])
+    got = store.read(key_lo="k", key_hi="o")
+    assert sorted(r.row_key for r in got.collect()) == ["k", "k", "l", "m", "n", "o"]
+    assert "PartitionFilters: [" in got._jdf.queryExecution().toString()
+    assert store.read(snapshot="one", key_lo="k", key_hi="o").count() == 5
+    store.snapshot_create("two")
+    v = store.compact(versions=store.committed()[:1])
+    assert len(store.committed()) == 2 and v in store.committed()
+    assert store.read(key_lo="k", key_hi="o").count() == store.read(snapshot="two", key_lo="k", key_hi="o").count() == 6
+
+
+def test_binary_keys_points_and_type(spark):
+    ddl = "row_key binary, family string, qualifier string, ts bigint, seq bigint, value binary"
+    key = lambda n: n.to_bytes(8, "big")
+    store = CellStore(spark, scratch_path(spark, "t-binary"))
+    rows = [(bytearray(key(n)), "f", "q", 1, 0, bytearray(b"v")) for n in range(100)]
+    store.write(spark.createDataFrame(rows, ddl), points=[key(30), key(60)])
+    store.write(spark.createDataFrame(rows, ddl))                     # the recorded points, read back
+    assert store.points() == [key(30), key(60)] and store.key_type() == "binary"
+    assert store.read(key_lo=key(20), key_hi=key(39)).count() == 40
+    with pytest.raises(StoreError):
+        store.write(spark.createDataFrame([("a", "f", "q", 1, 0, bytearray(b"v"))], ddl.replace("row_key binary", "row_key string")))
+
+
+def test_compact_keeps_history_unless_told(spark):
+    ddl = "row_key string, family string, qualifier string, ts bigint, seq bigint, value binary"
+    store = CellStore(spark, scratch_path(spark, "t-history"))
+    for ts in (1, 2, 3):
+        store.write(spark.createDataFrame([("k", "f", "q", ts, 0, bytearray(str(ts).encode()))], ddl), points=[])
+    store.compact()
+    assert sorted(r.ts for r in store.read().collect()) == [1, 2, 3]
+    store.compact(keep="latest")
+    assert [r.ts for r in store.read().collect()] == [3]
+
+
+def test_hot_region_is_always_split(spark):
+    cells = spark.range(3000).select(
+        F.when(F.col("id") < 2000, "a").otherwise(F.concat(F.lit("z"), "id")).alias("row_key"), F.lit("f").alias("family"),
+        F.concat(F.lit("q"), "id").alias("qualifier"), F.lit(1).cast("bigint").alias("ts"),
+        F.lit(0).cast("bigint").alias("seq"), F.lit(b"v").alias("value"))
+    store = CellStore(spark, scratch_path(spark, "t-hot"))
+    points = [f"z{i}" for i in range(1, 9)] * 1 + [f"zz{i}" for i in range(8)]
+    store.write(cells, points=points, tasks=4)                        # more regions than tasks
+    hot = store.read().where("region = 0").select(F.input_file_name().alias("f")).groupBy("f").count()
+    assert hot.count() >= 2 and hot.agg(F.max("count")).first()[0] < 1900
+
+
+def test_bucketed_table_refuses_a_region_layout(spark):
+    store = CellStore(spark, scratch_path(spark, "t-brefuse"), buckets=4)
+    for kw in ({"layout": {"compression": "zstd"}}, {"points": ["m"]}, {"mode": "range"}):
+        with pytest.raises(StoreError):
+            store.write(tc.cu_cells(spark, SF_SMALL), **kw)
+
+
+def test_rows_are_dealt_before_they_fan_out(spark):
+    store = CellStore(spark, scratch_path(spark, "t-rows"))
+    rows = tc.or_rows(spark, SF_SMALL).withColumn("region", F.lit("a column of this name"))
+    store.write_table(rows, tc.OR_MAPPING, points=["000000000500"])
+    a = store.read().drop("v").exceptAll(tc.or_cells(spark, SF_SMALL).select(
+        "row_key", "family", "qualifier", "ts", "seq", "value",
+        (F.col("row_key") >= "000000000500").cast("int").alias("region")))
+    assert a.isEmpty() and store.read().count() == tc.or_cells(spark, SF_SMALL).count()
