@@ -1,4 +1,6 @@
 import hashlib
+import os
+import sys
 
 import duckdb
 import pytest
@@ -8,7 +10,9 @@ import corpus_pipeline
 from cellwise.llm import bpe, decontam
 from cellwise.llm.common import materialise
 from cellwise.llm.queries import ORACLE, QUERIES
-from oracle_check import TABLES, digest
+
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "tools"))
+from oracle_check import TABLES, digest  # noqa: E402
 
 from conftest import SF_SMALL
 from helpers_llm import ODD, documents, near_groups
