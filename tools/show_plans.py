@@ -50,10 +50,14 @@ def main():
          scan.scan_table(st.read(key_lo=pts[2], key_hi=pts[3]), tc.LI_MAPPING)),
         ("Full read from the bucketed store (A1, bucketed layout)",
          "Bucketed scan: partial and final aggregation in one stage, no Exchange.",
-         scan.scan_table(stb.read(), tc.LI_MAPPING)),
+         scan.scan_table(stb.read(bucketed=True), tc.LI_MAPPING)),
         ("Composite-key prefix (C6)",
          "Leading-field equality becomes StringStartsWith on row_key in PushedFilters.",
          composite_key_filter(st.read(), tc.LI_KEY, equal=[("orderkey", "0000000042")])),
+        ("Composite-key range (C6, K1)",
+         "Comparisons on the first key field become row_key bounds in PushedFilters.",
+         composite_key_filter(st.read(), tc.LI_KEY, ranges=[("orderkey", ">=", "0000001000"),
+                                                            ("orderkey", "<", "0000003000")])),
         ("Newest 3 versions per cell (A10)",
          "WindowGroupLimit Partial runs before the exchange: at most 3 rows per cell per task.",
          scan.scan_versions(ev, 3)),
