@@ -92,17 +92,22 @@ class _Block:
         tok = _unpack(r["tokens"], np.uint32)
         order = np.argsort(vocab)
         self.words = vocab[order]
-        rank = np.empty(len(vocab), np.int64)
-        rank[order] = np.arange(len(vocab))
+        rank = np.empty(len(vocab), np.int32)
+        rank[order] = np.arange(len(vocab), dtype=np.int32)
         self.word = rank[tok]                                  # sorted place of each token's hash
+        del tok
         starts = np.cumsum(self.sizes) - self.sizes
-        self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        before = np.empty(len(tok), np.uint64)
-        before[1:] = self.words[self.word[:-1]]
+        self.doc = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
+        now = self.words[self.word]
+        before = np.empty_like(now)
+        before[1:] = now[:-1]
         before[starts] = START
-        self.first = np.zeros(len(tok), bool)
+        self.first = np.zeros(len(now), bool)
         self.first[starts] = True
-        self.pairs, self.pair = np.unique(pair_hash(before, self.words[self.word]), return_inverse=True)
+        now = pair_hash(before, now)
+        del before
+        self.pairs, pair = np.unique(now, return_inverse=True)
+        self.pair = pair.astype(np.int32)
         self.learn = self.train[self.doc]
 
     def asked(self):
@@ -185,7 +190,7 @@ def _ratios(pair, context, word, n, known):
     """Bigram and word estimates over the uniform one."""
     with np.errstate(divide="ignore", invalid="ignore"):
         two = np.where(context > 0, pair / np.maximum(context, 1), 0.0) * (known + 1)
-        one = (word / n if n > 0 else np.zeros(len(word))) * (known + 1)
+        one = word / n * (known + 1) if n > 0 else np.ones(len(word))
     return two, one
 
 
@@ -201,7 +206,7 @@ def _counts(block: _Block, words, pairs, n_docs: int):
 def _own(index: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """How often each token's entry occurs in its own document."""
     _, inverse, count = np.unique(index * np.int64(int(doc[-1]) + 1) + doc, return_inverse=True, return_counts=True)
-    return count[inverse]
+    return count.astype(np.int32)[inverse]
 
 
 def _histogram(block: _Block, words, pairs, n: int, known: int, n_docs: int):
@@ -267,7 +272,7 @@ def _scored(block: _Block, words, pairs, weights, n: int, known: int, n_docs: in
 
 
 def lm_scores(docs: DataFrame, train=None, id_col: str = "doc_id", text_col: str = "text",
-              block_tokens: int = 2_000_000, range_keys: int = 1_000_000) -> DataFrame:
+              block_tokens: int = 1_200_000, range_keys: int = 1_000_000) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     ``train`` is a boolean column expression that names the documents the model
@@ -299,6 +304,7 @@ def lm_scores(docs: DataFrame, train=None, id_col: str = "doc_id", text_col: str
         out = []
         for r in left.to_dict("records"):
             words, pairs = _totals(right)
+            right = right.iloc[:0]
             cells, counts = _histogram(_Block(r), words, pairs, n, known, n_docs)
             out.append({**r, "words": _pack(words), "pairs": _pack(pairs), "cells": cells, "cell_counts": counts})
         return pd.DataFrame(out, columns=[*left.columns, "words", "pairs", "cells", "cell_counts"])
