@@ -41,6 +41,16 @@ def _unpack(b: bytes, dtype) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), dtype)
 
 
+def _pack_counts(a: np.ndarray) -> bytes:
+    """Counts as 32-bit integers where they fit, else 64-bit ones."""
+    wide = len(a) and int(a.max()) >= 1 << 32
+    return (b"\x08" if wide else b"\x04") + _pack(a.astype("<i8" if wide else "<u4"))
+
+
+def _unpack_counts(b: bytes) -> np.ndarray:
+    return _unpack(b[1:], "<i8" if b[0] == 8 else "<u4").astype(np.int64)
+
+
 def _block_fn(block_tokens: int):
     def run(batches):
         from pyspark import TaskContext
@@ -194,13 +204,12 @@ def _ratios(pair, context, word, n, known):
     return two, one
 
 
-def _counts(block: _Block, words, pairs, n_docs: int):
-    """Counts of each token's bigram, context and word."""
-    word = words[block.word]
+def _contexts(word: np.ndarray, starts: np.ndarray, n_docs: int) -> np.ndarray:
+    """Count of each token's context: of the word before it, or of the start mark."""
     context = np.empty_like(word)
     context[1:] = word[:-1]
-    context[block.first] = n_docs
-    return pairs[block.pair], context, word
+    context[starts] = n_docs
+    return context
 
 
 def _own(index: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -213,7 +222,8 @@ def _histogram(block: _Block, words, pairs, n: int, known: int, n_docs: int):
     """Training tokens by (context bucket, binned ratios), own document deleted."""
     if not block.learn.any():
         return np.array([], np.int64), np.array([], np.int64)
-    pair, context, word = _counts(block, words, pairs, n_docs)
+    pair, word = pairs[block.pair], words[block.word]
+    context = _contexts(word, np.flatnonzero(block.first), n_docs)
     own = _own(block.word, block.doc)
     own_context = np.empty_like(own)
     own_context[1:] = own[:-1]
@@ -257,16 +267,22 @@ def learn_weights(cells: np.ndarray, counts: np.ndarray, rounds: int = 60) -> np
     return weights
 
 
-def _scored(block: _Block, words, pairs, weights, n: int, known: int, n_docs: int) -> pa.RecordBatch:
-    pair, context, word = _counts(block, words, pairs, n_docs)
+def _scored(r: dict, weights, n: int, known: int, n_docs: int) -> pa.RecordBatch:
+    """Scores of the documents of one counted block."""
+    ids, sizes = _unpack(r["ids"], np.int64), _unpack(r["sizes"], np.uint32).astype(np.int64)
+    train = _unpack(r["train"], np.uint8).astype(bool)
+    pair, word = _unpack_counts(r["pair"]), _unpack_counts(r["word"])
+    starts = np.cumsum(sizes) - sizes
+    context = _contexts(word, starts, n_docs)
     two, one = _ratios(pair, context, word, n, known)
     w = weights[bucket_of(context)]
     score = np.log10((w[:, 0] * two + w[:, 1] * one + w[:, 2]) / (known + 1))
     base = np.log10((word + 1) / (n + (known + 1)))
-    by_doc = lambda x: np.bincount(block.doc, weights=x, minlength=len(block.sizes))
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    by_doc = lambda x: np.bincount(doc, weights=x, minlength=len(sizes))
     return pa.RecordBatch.from_arrays(
-        [pa.array(block.ids, pa.int64(), mask=block.ids == -(1 << 63)), pa.array(~block.train), pa.array(block.sizes),
-         pa.array(by_doc(word > 0).astype(np.int64)), pa.array(np.full(len(block.sizes), n, np.int64)),
+        [pa.array(ids, pa.int64(), mask=ids == -(1 << 63)), pa.array(~train), pa.array(sizes),
+         pa.array(by_doc(word > 0).astype(np.int64)), pa.array(np.full(len(sizes), n, np.int64)),
          pa.array(by_doc(base)), pa.array(by_doc(score))],
         names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
@@ -305,13 +321,17 @@ def lm_scores(docs: DataFrame, train=None, id_col: str = "doc_id", text_col: str
         for r in left.to_dict("records"):
             words, pairs = _totals(right)
             right = right.iloc[:0]
-            cells, counts = _histogram(_Block(r), words, pairs, n, known, n_docs)
-            out.append({**r, "words": _pack(words), "pairs": _pack(pairs), "cells": cells, "cell_counts": counts})
-        return pd.DataFrame(out, columns=[*left.columns, "words", "pairs", "cells", "cell_counts"])
+            block = _Block(r)
+            cells, counts = _histogram(block, words, pairs, n, known, n_docs)
+            out.append({**{c: r[c] for c in ("ids", "sizes", "train")},
+                        "pair": _pack_counts(pairs[block.pair]), "word": _pack_counts(words[block.word]),
+                        "cells": cells, "cell_counts": counts})
+        return pd.DataFrame(out, columns=["ids", "sizes", "train", "pair", "word", "cells", "cell_counts"])
 
     full = materialise(
         blocks.groupBy("block").cogroup(answers.select("block", "kind", "bin", "totals").groupBy("block")).applyInPandas(
-            annotate, BLOCK + ", words binary, pairs binary, cells array<long>, cell_counts array<long>"), "lm-counted")
+            annotate, "ids binary, sizes binary, train binary, pair binary, word binary, cells array<long>, "
+                      "cell_counts array<long>"), "lm-counted")
     # cells are bounded by the bins, whatever the corpus
     hist = (full.select(F.explode(F.arrays_zip("cells", "cell_counts")).alias("c"))
             .groupBy(F.col("c.cells").alias("cell")).agg(F.sum("c.cell_counts").alias("n")).toPandas())
@@ -321,7 +341,7 @@ def lm_scores(docs: DataFrame, train=None, id_col: str = "doc_id", text_col: str
         for b in batches:
             for i in range(b.num_rows):
                 r = b.slice(i, 1).to_pylist()[0]
-                yield _scored(_Block(r), _unpack(r["words"], np.int64), _unpack(r["pairs"], np.int64), weights, n, known, n_docs)
+                yield _scored(r, weights, n, known, n_docs)
 
     return full.drop("cells", "cell_counts").transform(
             map_arrow, score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
