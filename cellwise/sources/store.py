@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..mapping import Mapping
 from ..operators.encode import encode_key, table_to_cells
 from ..operators.encode import key_type as mapping_key_type
+from ..operators.joins import estimated_bytes
 from ..operators.regions import region_bounds, region_expr, split_points
 from ..session import list_file_sizes, path_exists
 
@@ -491,7 +492,7 @@ def _typed_points(commit) -> list:
 def _estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the plan; 0 where it has none (it then says
     exabytes, as for rows that come from Python)."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    size = estimated_bytes(df)
     return size if size < 1 << 53 else 0
 
 
