@@ -39,7 +39,7 @@ def byte_chars() -> list[str]:
 class ByteBPE:
     """Encoder and decoder for one vocabulary file of the tokenizers library."""
 
-    def __init__(self, path: str, cap: int = 800_000):
+    def __init__(self, path: str, cap: int = 300_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         to_byte = {c: b for b, c in enumerate(byte_chars())}
@@ -204,7 +204,7 @@ def encode(docs: DataFrame, vocab: str | None = None, id_col: str = "doc_id", te
     recognised in the text. ``vocab`` is the vocabulary file's path on every
     worker (default: the installed public file, looked up on the worker).
     Map-only: each row is worked on alone, in batches of a few hundred; a worker
-    keeps the ids of its first 800,000 distinct short units.
+    keeps the ids of its first 300,000 distinct short units.
     """
     names = ["doc_id", "ids", *["decoded"] * decoded, *["text"] * source]
 

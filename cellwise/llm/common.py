@@ -84,7 +84,7 @@ class HashCache(dict):
     """word bytes → 64-bit hash. Holds up to ``cap`` words; beyond that, words
     are hashed each time."""
 
-    def __init__(self, cap: int = 400_000):
+    def __init__(self, cap: int = 250_000):
         super().__init__()
         self.cap = cap
 
