@@ -4,10 +4,13 @@ Two lines within ``t`` edits, cut into ``t + 1`` segments, share one segment
 exactly. Each line is indexed under its own segments and length; it probes the
 indexes of its own length and of up to ``t`` characters less with the
 substrings that can align with a segment under ``t`` edits. Lines that meet
-under a key are verified with a banded bit-parallel edit distance.
+under a key are verified with a banded bit-parallel edit distance. ``t`` may grow
+with the length: each length class has indexes and probes of its own.
 """
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +19,28 @@ from .common import components, materialise, prefilter
 #: counted for the filter before verification: an edit changes the counts by two at most
 LETTERS = "etaoinshrdlu "
 
+#: (characters of the shorter line, edits): about one edit in twenty characters, four at most
+EDITS_BY_LENGTH = ((20, 1), (40, 2), (120, 3), (240, 4))
+
+
+def length_classes(max_edits: int | Sequence[tuple[int, int]], min_chars: int) -> list[tuple[int, int | None, int]]:
+    """``(lo, hi, t)``: lines of ``lo`` to below ``hi`` characters (None: no end) allow ``t`` edits."""
+    if isinstance(max_edits, int):
+        return [(min_chars, None, max_edits)]
+    steps = sorted(max_edits)
+    if not steps or steps[0][0] > min_chars:
+        raise ValueError("lengths start above min_chars")
+    ends = [lo for lo, _ in steps[1:]] + [None]
+    return [(max(lo, min_chars), hi, t) for (lo, t), hi in zip(steps, ends) if hi is None or hi > min_chars]
+
+
+def _by_class(length: Column, classes: Sequence[tuple[int, int | None, int]], value) -> Column:
+    """``value(t)`` of the class that ``length`` falls into."""
+    out = value(classes[-1][2])
+    for _, hi, t in reversed(classes[:-1]):
+        out = F.when(length < hi, value(t)).otherwise(out)
+    return out
+
 
 def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
     """(0-based start, size) of segment ``i`` of ``parts`` near-equal ones, the longer ones last."""
@@ -24,30 +49,39 @@ def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
     return start, q + F.when(F.lit(i) >= short, 1).otherwise(0)
 
 
-def index_keys(line: Column, length: Column, t: int) -> Column:
+def index_keys(line: Column, length: Column, classes: Sequence[tuple[int, int | None, int]]) -> Column:
     """Keys of the line's own segments."""
-    keys = []
-    for i in range(t + 1):
-        start, size = _segment(length, i, t + 1)
-        keys.append(F.xxhash64(F.lit(i), length.cast("int"), F.substring(line, (start + 1).cast("int"), size.cast("int"))))
-    return F.array(*keys)
+    def keys(t: int) -> Column:
+        out = []
+        for i in range(t + 1):
+            start, size = _segment(length, i, t + 1)
+            out.append(F.xxhash64(F.lit(i), length.cast("int"), F.substring(line, (start + 1).cast("int"), size.cast("int"))))
+        return F.array(*out)
+    return _by_class(length, classes, keys)
 
 
-def probe_keys(line: Column, length: Column, t: int, min_chars: int) -> Column:
+def probe_keys(line: Column, length: Column, classes: Sequence[tuple[int, int | None, int]]) -> Column:
     """Keys of the substrings that can align with a segment of a line of the same
     length or of up to ``t`` characters less: by the edits left of the segment
-    and those right of it, its place moves by few characters only."""
-    keys = []
-    for d in range(t + 1):
-        other = length - d
-        for i in range(t + 1):
-            start, size = _segment(other, i, t + 1)
-            for o in range(max(-i, d - (t - i)), min(i, d + (t - i)) + 1):
-                at = start + o
-                keys.append(F.when(
-                    (other >= min_chars) & (at >= 0) & (at + size <= length),
-                    F.xxhash64(F.lit(i), other.cast("int"), F.substring(line, (at + 1).cast("int"), size.cast("int")))))
-    return F.filter(F.array(*keys), lambda k: k.isNotNull())
+    and those right of it, its place moves by few characters only. The shorter
+    line's class sets ``t``, so a line just above a class probes that class too."""
+    parts = []
+    for lo, hi, t in classes:
+        keys = []
+        for d in range(t + 1):
+            other = length - d
+            held = (other >= lo) if hi is None else (other >= lo) & (other < hi)
+            for i in range(t + 1):
+                start, size = _segment(other, i, t + 1)
+                for o in range(max(-i, d - (t - i)), min(i, d + (t - i)) + 1):
+                    at = start + o
+                    keys.append(F.when(
+                        held & (at >= 0) & (at + size <= length),
+                        F.xxhash64(F.lit(i), other.cast("int"), F.substring(line, (at + 1).cast("int"), size.cast("int")))))
+        found = F.filter(F.array(*keys), lambda k: k.isNotNull())
+        reached = (length >= lo) if hi is None else (length >= lo) & (length < hi + t)
+        parts.append(found if len(classes) == 1 else F.when(reached, found).otherwise(F.expr("cast(array() as array<bigint>)")))
+    return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
 def edit_distance(a: Column, b: Column, t: int) -> Column:
@@ -100,12 +134,14 @@ def explode_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                        F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("line_no", "line"))
 
 
-def line_classes(docs: DataFrame, max_edits: int = 1, min_chars: int = 20, id_col: str = "doc_id",
+def line_classes(docs: DataFrame, max_edits: int | Sequence[tuple[int, int]] = 1, min_chars: int = 20, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """One row per line: ``doc_id, line_no, class_doc, class_line, n_links, kept``.
 
     Lines (cut at ``\\n``) of at least ``min_chars`` characters are linked when
-    they are within ``max_edits`` character edits. A class holds the lines
+    they are within ``max_edits`` character edits; given as pairs (characters,
+    edits) such as ``EDITS_BY_LENGTH``, the last pair that the shorter line's
+    length reaches counts. A class holds the lines
     reachable over links; its first line by (doc_id, line_no) is kept and named
     in ``class_doc, class_line``. ``n_links`` counts the different texts linked
     to the line's own. Shorter lines are classes of their own and kept. NULL
@@ -117,17 +153,17 @@ def line_classes(docs: DataFrame, max_edits: int = 1, min_chars: int = 20, id_co
     that share a key is fetched once, behind a bounded bucket filter, and pairs
     leave the join only if their letter counts allow ``max_edits`` edits.
     """
-    t = max_edits
+    steps = length_classes(max_edits, min_chars)
     lines = explode_lines(docs, id_col, text_col).withColumn("n", F.char_length("line"))
     long_lines = lines.filter(F.col("n") >= min_chars).withColumn("h", F.unhex(F.md5(F.col("line").cast("binary"))))
     length = F.col("n")
     groups = materialise(
         long_lines.select("h", F.struct("doc_id", "line_no").alias("place"), F.xxhash64("line").alias("x"),
-                          index_keys(F.col("line"), length, t).alias("held"),
-                          probe_keys(F.col("line"), length, t, min_chars).alias("asked"))
+                          index_keys(F.col("line"), length, steps).alias("held"),
+                          probe_keys(F.col("line"), length, steps).alias("asked"))
         .groupBy("h").agg(F.min("place").alias("place"), F.first("x").alias("x"),
                           F.first("held").alias("held"), F.first("asked").alias("asked")), "line-groups")
-    links = _links(groups, long_lines, t)
+    links = _links(groups, long_lines, steps)
     linked = materialise(_class_of(links), "line-linked")
     classes = materialise(
         groups.select("h", "place").join(linked, "h", "left")
@@ -143,7 +179,7 @@ def line_classes(docs: DataFrame, max_edits: int = 1, min_chars: int = 20, id_co
         "kept", F.col("doc_id").eqNullSafe(F.col("class_doc")) & (F.col("line_no") == F.col("class_line")))
 
 
-def _links(groups: DataFrame, long_lines: DataFrame, t: int) -> DataFrame:
+def _links(groups: DataFrame, long_lines: DataFrame, classes: list[tuple[int, int | None, int]]) -> DataFrame:
     """``a, b`` (ids) and the table of candidate lines ``id, h, place``, joined: one row per
     linked pair with both lines' hash and place."""
     rows = (groups.select("x", F.lit(True).alias("is_held"), F.explode("held").alias("k"))
@@ -155,28 +191,31 @@ def _links(groups: DataFrame, long_lines: DataFrame, t: int) -> DataFrame:
     met = materialise(prefilter(rows, F.col("k"), busy).join(busy, "k", "left_semi"), "line-met")
     handles = met.select("x").distinct()
     texts = (prefilter(long_lines.withColumn("x", F.xxhash64("line")), F.col("x"), handles)
-             .join(handles, "x", "left_semi").groupBy("h").agg(F.first("x").alias("x"), F.first("line").alias("line"),
+             .join(handles, "x", "left_semi").groupBy("h").agg(F.first("x").alias("x"), F.first("line").alias("line"), F.first("n").alias("n"),
                                                                F.min(F.struct("doc_id", "line_no")).alias("place")))
     counts = [(F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(c)))).alias(f"c{i}")
               for i, c in enumerate(LETTERS)]
-    table = materialise(texts.select(F.monotonically_increasing_id().alias("id"), "h", "x", "line", "place", *counts),
+    table = materialise(texts.select(F.monotonically_increasing_id().alias("id"), "h", "x", "line", "n", "place", *counts),
                         "line-texts")
-    names = [f"c{i}" for i in range(len(LETTERS))]
+    names = ["n", *(f"c{i}" for i in range(len(LETTERS)))]
     near = met.join(table.select("id", "x", *names), "x").select("k", "is_held", "id", *names)
     near = materialise(near, "line-near")
     a = near.filter("is_held").select("k", F.col("id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in names])
     b = near.filter("not is_held").select("k", F.col("id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in names])
-    apart = sum((F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")) for c in names[1:]), F.abs(F.col("a_c0") - F.col("b_c0")))
+    apart = sum((F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")) for c in names[2:]), F.abs(F.col("a_c0") - F.col("b_c0")))
+    allowed = _by_class(F.least("a_n", "b_n"), classes, F.lit)
     pairs = materialise(
-        a.join(b, (a.k == b.k) & (F.col("a") != F.col("b")) & (apart <= 2 * t))
+        a.join(b, (a.k == b.k) & (F.col("a") != F.col("b")) & (F.abs(F.col("a_n") - F.col("b_n")) <= allowed) & (apart <= 2 * allowed))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
     one = table.select(F.col("id").alias("a"), F.split("line", "").alias("chars_a"), F.col("h").alias("h_a"),
                        F.col("place").alias("place_a"))
     two = table.select(F.col("id").alias("b"), F.split("line", "").alias("chars_b"), F.col("h").alias("h_b"),
                        F.col("place").alias("place_b"))
     both = pairs.join(one, "a").join(two, "b")
-    return materialise(both.filter((F.abs(F.size("chars_a") - F.size("chars_b")) <= t)
-                                   & (edit_distance(F.col("chars_a"), F.col("chars_b"), t) <= t))
+    shorter = F.least(F.size("chars_a"), F.size("chars_b"))
+    linked = _by_class(shorter, classes, lambda t: (F.abs(F.size("chars_a") - F.size("chars_b")) <= t)
+                       & (edit_distance(F.col("chars_a"), F.col("chars_b"), t) <= t))
+    return materialise(both.filter(linked)
                        .select("a", "b", "h_a", "h_b", "place_a", "place_b"), "line-links")
 
 
@@ -190,7 +229,7 @@ def _class_of(links: DataFrame) -> DataFrame:
     return nodes.join(materialise(firsts, "line-firsts"), "component").select("h", "class_place", "n_links")
 
 
-def drop_repeats(docs: DataFrame, max_edits: int = 1, min_chars: int = 20, id_col: str = "doc_id",
+def drop_repeats(docs: DataFrame, max_edits: int | Sequence[tuple[int, int]] = 1, min_chars: int = 20, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """``docs`` without the lines that are not kept, same columns in the same order.
 

@@ -122,6 +122,12 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_classes(read_table(spark, sf_dir, "documents"), max_edits=1, min_chars=20)
 
 
+@query("op7_line_dedup_by_length")
+def op7_line_dedup_by_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of lines over all documents, one to four edits by the length: what the pipeline links."""
+    return line_dedup.line_classes(read_table(spark, sf_dir, "documents"), line_dedup.EDITS_BY_LENGTH, min_chars=20)
+
+
 @query("op4_lm_score")
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probability of every document; a seventh of them is held out."""

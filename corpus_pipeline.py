@@ -1,7 +1,8 @@
 """The corpus pipeline: stages over ``documents``, each reading what the last wrote.
 
 1. Language ID drops documents that no learned language fits.
-2. Line dedup keeps the first of equal or nearly equal lines (one edit).
+2. Line dedup keeps the first of equal or nearly equal lines (one edit from 20
+   characters on, two from 40, three from 120, four from 240).
 3. MinHash near-dedup keeps one document of each group (five-word shingles,
    similarity 0.8).
 4. Decontamination cuts benchmark passages out, and drops documents that mostly
@@ -30,7 +31,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _recounted(line_dedup.drop_repeats(docs, max_edits=1, min_chars=20))
+    return _recounted(line_dedup.drop_repeats(docs, line_dedup.EDITS_BY_LENGTH, min_chars=20))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

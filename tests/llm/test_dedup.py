@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cellwise.llm import exact_dedup, line_dedup, near_dedup
 from cellwise.llm.common import components, prefilter
 
@@ -137,6 +138,39 @@ def test_line_classes_match_brute_force(spark, t):
         assert r.n_links == (sum(where[s] in e for e in links) if s in where else 0)
 
 
+def test_line_edits_grow_with_the_length(spark):
+    """One to four edits by the shorter line's length, class ends included, against brute force."""
+    rnd, texts = random.Random(5), []
+    for n in (22, 39, 40, 41, 44, 118, 119, 120, 122, 239, 240, 241, 300, 700):
+        base = [rnd.choice("abcdé ") for _ in range(n)]
+        for k in (0, 1, 2, 2, 3, 3, 4, 4, 5):
+            s = list(base)
+            for p in sorted(rnd.sample(range(len(s)), k), reverse=True):
+                s[p:p + rnd.randint(0, 1)] = rnd.choice(["x", "xy"[:rnd.randint(0, 1)], "z"])
+            texts.append("".join(s))
+    rnd.shuffle(texts)
+    allowed = lambda a, b: [t for n, t in line_dedup.EDITS_BY_LENGTH if n <= min(len(a), len(b))][-1]
+    long = sorted({s for s in texts if len(s) >= 20})
+    links = [(i, j) for i in range(len(long)) for j in range(i) if abs(len(long[i]) - len(long[j])) <= 4
+             and edits(long[i], long[j]) <= allowed(long[i], long[j])]
+    comp, where, first = component_map(range(len(long)), links), {s: i for i, s in enumerate(long)}, {}
+    for i, s in enumerate(texts):
+        if s in where:
+            first.setdefault(comp[where[s]], i)
+    got = {r.doc_id: r for r in line_dedup.line_classes(documents(spark, texts), line_dedup.EDITS_BY_LENGTH, 20).collect()}
+    for i, s in enumerate(texts):
+        assert got[i].class_doc == (first[comp[where[s]]] if s in where else i)
+        assert got[i].n_links == (sum(where[s] in e for e in links) if s in where else 0)
+
+
+def test_pipeline_drops_a_long_line_with_two_edits(spark):
+    rnd = random.Random(9)
+    line = "".join(rnd.choice("abcdefgh ") for _ in range(300))
+    near = "#" + line[1:150] + "#" + line[151:]
+    out = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, documents(spark, [line, "other\n" + near]), "").collect()}
+    assert out == {0: line, 1: "other"}
+
+
 def test_drop_repeats(spark):
     line, other = "this line is long enough to count", "another line that is long enough too"
     texts = [f"{line}\n{other}", f"{line}!\nshort", line, None, "", "short", f"{other}\n\n"]
