@@ -154,6 +154,23 @@ def b12_region_skew(spark, sf_dir):
                                      "rows_to_median", "max_to_median")
 
 
+@query("b12_region_skew_all", f"""
+WITH {_LI_REGION_CTE},
+per AS (SELECT region, count(DISTINCT row_key) AS rows, count(*) * 6 AS cells,
+               min(row_key) AS first_key, max(row_key) AS last_key FROM reg GROUP BY region)
+SELECT region, rows, cells, first_key, last_key,
+       round(rows / median(rows) OVER (), 4) AS rows_to_median,
+       round(max(rows) OVER () / median(rows) OVER (), 4) AS max_to_median
+FROM per
+""")
+def b12_region_skew_all(spark, sf_dir):
+    """Rows and cells per region over all columns; b12_region_skew checks the
+    bytes, over the text columns."""
+    cells = assign_region(tc.li_cells(spark, sf_dir), "row_key", li_points(spark, sf_dir))
+    return region_skew(cells).select("region", "rows", "cells", "first_key", "last_key",
+                                     "rows_to_median", "max_to_median")
+
+
 @query("b13_refine_splits", """
 WITH keyed AS (SELECT DISTINCT lpad(CAST(l_orderkey AS VARCHAR), 10, '0') || '$$'
                       || CAST(l_linenumber AS VARCHAR) AS row_key FROM lineitem)
