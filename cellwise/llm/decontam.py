@@ -16,11 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, slices
+from .common import map_arrow, materialise, prefilter, slices
 
 # words are runs of 0-9, a-z and bytes from 0x80; all else separates
 _KEEP = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
-OUT = "doc_id long, n_words long, hits array<struct<lo:int,hi:int>>, items array<string>"
+FOUND = "n_words long, hits array<struct<lo:int,hi:int>>, items array<string>"
+OUT = "doc_id long, " + FOUND
 
 
 def item_words(text: str | None) -> list[bytes]:
@@ -135,19 +136,20 @@ class ItemAutomaton:
 
 
 def _scan_fn(held):
+    """The last column is the text; the others are passed on."""
     def run(batches):
         for b in slices(batches):
-            ids, n, hits, items = b.column(0), [], [], []
-            for t in b.column(1).to_pylist():
+            n, hits, items = [], [], []
+            for t in b.column(b.num_columns - 1).to_pylist():
                 ws = item_words(t)
                 spans, found = held.value.scan(ws)
                 n.append(len(ws))
                 hits.append([{"lo": x, "hi": y} for x, y in spans])
                 items.append(sorted(found))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n, pa.int64()),
+                [*b.columns[:-1], pa.array(n, pa.int64()),
                  pa.array(hits, pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))),
-                 pa.array(items, pa.list_(pa.string()))], names=["doc_id", "n_words", "hits", "items"])
+                 pa.array(items, pa.list_(pa.string()))], names=[*b.schema.names[:-1], "n_words", "hits", "items"])
     return run
 
 
@@ -172,20 +174,17 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_c
 
     The benchmark is cut into blocks of about ``max_block_chars`` characters by
     item hash; each block makes one automaton, broadcast at that bounded size,
-    and one map-only pass over the documents. With several blocks the passes are
-    merged per document. An item of fewer words than ``window`` is one window;
+    and one map-only pass over the documents. With several blocks the documents are
+    written with a row number and the passes are merged by it. An item of fewer words than ``window`` is one window;
     an item without words never occurs; a NULL item id reads as ''. NULL or
-    empty texts have no words. Rows that repeat an id come back once each (with
-    several blocks, ids must be unique).
+    empty texts have no words. Rows that repeat an id come back once each.
     """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    passes = [src.transform(map_arrow, _scan_fn(held), OUT)
-              for held in _automata(docs, benchmark, window, item_col, item_text, max_block_chars)]
-    if len(passes) == 1:
-        return passes[0]
-    out = passes[0]
-    for p in passes[1:]:
-        out = out.union(p)
+    automata = _automata(docs, benchmark, window, item_col, item_text, max_block_chars)
+    if len(automata) == 1:
+        return src.transform(map_arrow, _scan_fn(automata[0]), OUT)
+    rows = materialise(src.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "leak-rows")
+    out = _passes(rows, automata, "row long, " + OUT)
     # spans of several blocks: sorted, then overlapping ones joined
     merged = F.aggregate(
         F.array_sort(F.flatten(F.collect_list("hits"))), F.expr("cast(array() as array<struct<lo:int,hi:int>>)"),
@@ -195,8 +194,17 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_c
                      F.array(F.struct(F.element_at(acc, -1)["lo"].alias("lo"),
                                       F.greatest(F.element_at(acc, -1)["hi"], x["hi"]).alias("hi")))))
         .otherwise(F.concat(acc, F.array(x))))
-    return out.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), merged.alias("hits"),
-                                     F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    return out.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), merged.alias("hits"),
+                                  F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).drop("row")
+
+
+def _passes(rows: DataFrame, automata: list, schema: str) -> DataFrame:
+    """One pass over ``rows`` (its last column the text) for each block, one below the other."""
+    out = None
+    for held in automata:
+        p = rows.transform(map_arrow, _scan_fn(held), schema)
+        out = p if out is None else out.union(p)
+    return out
 
 
 def report(scanned: DataFrame) -> DataFrame:
@@ -224,13 +232,18 @@ def cut_text(automaton: ItemAutomaton, text: str | None, min_words: int, max_cov
         total, gone = total or len(words), gone + sum(y - x for x, y in cut)
         if gone > max_cover * total:
             return None
-        raw = text.encode()
-        at = [m.span() for m in _WORD.finditer(raw.lower())]
-        out, pos = [], 0
-        for x, y in cut:
-            out.append(raw[pos:at[x][0]])
-            pos = at[y - 1][1]
-        text = b"".join([*out, raw[pos:]]).decode()
+        text = _without(text, cut)
+
+
+def _without(text: str, cut: list[tuple[int, int]]) -> str:
+    """``text`` without the word spans ``cut``."""
+    raw = text.encode()
+    at = [m.span() for m in _WORD.finditer(raw.lower())]
+    out, pos = [], 0
+    for x, y in cut:
+        out.append(raw[pos:at[x][0]])
+        pos = at[y - 1][1]
+    return b"".join([*out, raw[pos:]]).decode()
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10, min_words: int | None = None,
@@ -240,11 +253,14 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10, min_wo
     """``docs`` with benchmark spans cut out of the text, same columns and order
     of columns. A document whose cut spans cover more than ``max_cover`` of its
     words is dropped; one without a span keeps its row unchanged. Spans shorter
-    than ``min_words`` (default: all occurrences) stay. Repeated for each block
-    of the benchmark, as in :func:`scan_documents`."""
-    for held in _automata(docs, benchmark, window, item_col, item_text, max_block_chars):
-        docs = _cut(docs, held, min_words or 1, max_cover, text_col)
-    return docs
+    than ``min_words`` (default: all occurrences) stay. With several blocks of the
+    benchmark the spans of all blocks are joined before the cover is measured
+    and the text cut, and rows that were cut are scanned by all blocks again, so
+    that the result is that of one block."""
+    automata = _automata(docs, benchmark, window, item_col, item_text, max_block_chars)
+    if len(automata) == 1:
+        return _cut(docs, automata[0], min_words or 1, max_cover, text_col)
+    return _cut_by_blocks(docs, automata, min_words or 1, max_cover, text_col)
 
 
 def _cut(docs: DataFrame, held, min_words: int, max_cover: float, text_col: str) -> DataFrame:
@@ -258,3 +274,63 @@ def _cut(docs: DataFrame, held, min_words: int, max_cover: float, text_col: str)
             keep = pa.array([x is None or y is not None for x, y in zip(was, new)], pa.bool_())
             yield pa.RecordBatch.from_arrays(arrays, schema=b.schema).filter(keep)
     return docs.transform(map_arrow, run, docs.schema)
+
+
+def _cut_by_blocks(docs: DataFrame, automata: list, min_words: int, max_cover: float, text_col: str) -> DataFrame:
+    row = "_row"
+    while row in docs.columns:
+        row = "_" + row
+    base = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "leak-rows")
+    live = base.select(F.col(row).alias("row"), F.lit(0).cast("long").alias("total"),
+                       F.lit(0).cast("long").alias("gone"), F.col(text_col).alias("text"))
+    rounds = []
+    while True:
+        found = _passes(live.select("row", "text"), automata, "row long, " + FOUND).filter(F.size("hits") > 0)
+        found = materialise(found.groupBy("row").agg(F.flatten(F.collect_list("hits")).alias("hits")), "leak-hits")
+        cut = materialise(prefilter(live, F.col("row"), found.select("row")).join(found, "row")
+                          .select("row", "total", "gone", "text", "hits")
+                          .transform(map_arrow, _round_fn(min_words, max_cover),
+                                     "row long, total long, gone long, text string, dropped boolean"), "leak-cut")
+        if cut.isEmpty():
+            break
+        rounds.append(cut.withColumn("round", F.lit(len(rounds))))
+        live = cut.filter("not dropped").drop("dropped")
+    if not rounds:
+        return base.select(*docs.columns)
+    out = rounds[0]
+    for r in rounds[1:]:
+        out = out.union(r)
+    at, new = row + "_at", row + "_new"
+    last = out.groupBy(F.col("row").alias(at)).agg(F.max_by(F.struct("text", "dropped"), "round").alias(new))
+    both = base.join(materialise(last, "leak-new"), F.col(row) == F.col(at), "left").filter(~F.coalesce(F.col(new)["dropped"], F.lit(False)))
+    return both.withColumn(text_col, F.when(F.col(new).isNotNull(), F.col(new)["text"]).otherwise(F.col(text_col))) \
+        .select(*docs.columns)
+
+
+def _round_fn(min_words: int, max_cover: float):
+    """One round of :func:`cut_text` with the spans of all blocks; rows without a cut are left out."""
+    def run(batches):
+        for b in slices(batches):
+            out = []
+            for r in b.to_pylist():
+                cut = [s for s in _joined((h["lo"], h["hi"]) for h in r["hits"]) if s[1] - s[0] >= min_words]
+                if cut:
+                    total = r["total"] or len(item_words(r["text"]))
+                    gone = r["gone"] + sum(y - x for x, y in cut)
+                    dropped = gone > max_cover * total
+                    out.append((r["row"], total, gone, None if dropped else _without(r["text"], cut), dropped))
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[i] for x in out], t) for i, t in enumerate(types)], names=["row", "total", "gone", "text", "dropped"])
+    return run
+
+
+def _joined(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans, those that overlap or touch joined."""
+    out: list[tuple[int, int]] = []
+    for x, y in sorted(spans):
+        if out and out[-1][1] >= x:
+            out[-1] = (out[-1][0], max(out[-1][1], y))
+        else:
+            out.append((x, y))
+    return out

@@ -122,3 +122,25 @@ def test_cut_leaves_no_occurrence(spark):
     assert not any(x[-1] for x in _brute([r.text for r in got.values()], items, 10))
     empty = bench.limit(0)
     assert {r.doc_id: r.text for r in decontam.remove_spans(df, empty).collect()} == dict(enumerate(texts))
+
+
+def test_the_number_of_blocks_does_not_show(spark):
+    items = [" ".join(f"i{j}w{k}" for k in range(12)) for j in range(6)]
+    fill = " ".join(f"f{k}" for k in range(40))
+    pairs = [(a, b) for a in items for b in items if a != b]
+    heavy = [f"{a} f f f f f f f f {b} g g g g g g g g" for a, b in pairs]       # 30 % of either, dropped
+    nested = [f"{a[:29]} {b} {a[30:]} {fill}" for a, b in pairs]                 # the ends of a meet when b is cut
+    leaks, more = _leaks(7)
+    texts = heavy + nested + leaks
+    bench = spark.createDataFrame([*more, *enumerate(items, 200)], "item_id long, text string")
+    ids = [None, 5, 5] * (len(texts) // 3) + list(range(len(texts) % 3))
+    df = documents(spark, texts, ids)
+    rows = lambda d: sorted(map(repr, d.collect()))
+    one, some = (decontam.remove_spans(df, bench, 10, max_block_chars=n) for n in (10 ** 6, 300))
+    assert len(decontam._automata(df, bench, 10, "item_id", "text", 300)) > 2
+    assert one.columns == some.columns and rows(one) == rows(some)
+    assert not {r.h for r in some.collect()} & {f"e{i}" for i in range(len(heavy))}
+    left = {r.h: r.text for r in some.collect()}
+    assert all(left[f"e{i}"].split() == fill.split() for i in range(len(heavy), len(heavy) + len(nested)))
+    one, some = (decontam.scan_documents(df, bench, 10, max_block_chars=n) for n in (10 ** 6, 300))
+    assert one.columns == some.columns and rows(one) == rows(some) and some.count() == len(texts)
