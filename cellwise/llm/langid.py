@@ -100,7 +100,11 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
     A text is rejected below ``margin`` times the ``low`` quantile of the
     sample's own similarities among texts of its length bucket (powers of two
-    of trigrams); buckets with few texts take the least of their neighbours.
+    of trigrams). A bucket takes the least of its own and its two neighbours'
+    quantiles, as far as they hold 20 texts; where none of them does, longer and
+    shorter lengths alike, the nearest buckets that do count, and if no bucket
+    does, all sampled texts together. What a bucket takes from a longer one
+    falls with the root of the length, as similarity does.
     """
     rows = labelled.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")) \
         .filter("lang is not null and text is not null")
@@ -123,11 +127,23 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         langs += [r.lang] * len(c)
         for s, x in zip(r.sizes, r.like):
             by_size.setdefault(s, []).append(x)
-    floor = np.array([margin * min((float(np.quantile(by_size[b], low)) for b in (s - 1, s, s + 1) if len(by_size.get(b, ())) >= 20),
-                                   default=0.0) for s in range(64)])
+    floor = margin * _least_by_bucket(by_size, low)
     return Model(langs, np.concatenate(centres) if centres else np.zeros((0, DIMS), np.float32), idf, floor)
 
 
+def _least_by_bucket(by_size: dict[int, list[float]], low: float, enough: int = 20) -> np.ndarray:
+    """Per length bucket the ``low`` quantile of similarity, from the nearest buckets of ``enough`` texts."""
+    known = {b: float(np.quantile(x, low)) for b, x in by_size.items() if len(x) >= enough}
+    if not known:
+        pooled = [x for xs in by_size.values() for x in xs]
+        return np.full(64, float(np.quantile(pooled, low)) if pooled else 0.0)
+    out = np.zeros(64)
+    for s in range(64):
+        reach = max(1, min(abs(b - s) for b in known))
+        out[s] = min(q * 2 ** (-max(0, b - s - 1) / 2) for b, q in known.items() if abs(b - s) <= reach)
+    return out
+
+
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, lang_pred, score, rejected`` for every whole text.
 

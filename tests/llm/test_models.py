@@ -105,6 +105,20 @@ def test_language_accuracy_and_rejection(spark):
     assert [(r.lang_pred, r.score) for r in langid.identify(odd, nothing).collect()] == [("und", 0.0)] * 5
 
 
+def test_language_rejection_at_lengths_that_the_sample_lacks(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").filter("length(text) > 0")
+    model = langid.fit(docs, per_lang=200)
+    assert (model.floor > 0).all()
+    known = max((r.text for r in docs.select("text").collect()), key=len)
+    odd = documents(spark, ["漢字仮名交文章" * 60_000, "漢字仮名交文章" * 400, known * (2_000_000 // len(known))])
+    assert [r.rejected for r in langid.identify(odd, model).orderBy("doc_id").collect()] == [True, True, False]
+    starts = [r.text[:12] for r in docs.select("text").collect() if langid.LETTER.search(r.text[:12])]
+    assert sum(model.predict(t)[2] for t in starts) <= 0.1 * len(starts)
+    few = langid.fit(docs.limit(15))
+    assert (few.floor > 0).all()
+    assert few.predict("漢字仮名交文章" * 60_000)[2]
+
+
 def test_toxicity_accuracy_and_span(spark):
     docs, labels = (spark.read.parquet(f"{SF_CHECK}/{t}.parquet") for t in ("documents", "labels"))
     got = QUERIES["op2_toxicity"](spark, SF_CHECK).join(labels, "doc_id")
