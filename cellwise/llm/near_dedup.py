@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .common import components, map_arrow, materialise, mix, prefilter, shingles, slices, space_words, word_hashes
 
 DIMS = 128          # of the exact count sketch
+FULL = 65535        # a count of that many or more
 
 
 class Index:
@@ -64,9 +65,16 @@ class Index:
 
 
 def sketch(s: np.ndarray) -> bytes:
-    """Counts of the set's members by hash residue; the sum of the smaller counts
-    of two sketches is never under the size of the intersection."""
-    return np.minimum(np.bincount((s >> np.uint64(7)) % np.uint64(DIMS), minlength=DIMS), 65535).astype("<u2").tobytes()
+    """Counts of the set's members by hash residue, up to ``FULL``."""
+    return np.minimum(np.bincount((s >> np.uint64(7)) % np.uint64(DIMS), minlength=DIMS), FULL).astype("<u2").tobytes()
+
+
+def most_common(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Upper bound of the intersection of sets of ``n_a`` and ``n_b`` members by their
+    sketches: the sum of the smaller counts, unless both are full somewhere."""
+    low = np.minimum(a, b)
+    size = np.minimum(n_a, n_b)
+    return np.where((low == FULL).any(axis=1), size, np.minimum(low.sum(axis=1, dtype=np.int64), size))
 
 
 def _enough(inter, total, percent: int):
@@ -171,8 +179,7 @@ def _cross_fn(ix: Index, percent: int):
         dist, slot = ix.first_slot(g["sig"][i], g["sig"][j])
         ok = (dist <= ix.max_distance) & (slot == g["slot"][i])
         i, j = i[ok], j[ok]
-        inter = np.minimum(g["hist"][i], g["hist"][j]).sum(axis=1, dtype=np.int64)
-        most = np.minimum(inter, np.minimum(g["n"][i], g["n"][j]))
+        most = most_common(g["hist"][i], g["hist"][j], g["n"][i], g["n"][j])
         ok = _enough(most, g["n"][i] + g["n"][j], percent)
         return g["id"][i[ok]], g["id"][j[ok]]
 

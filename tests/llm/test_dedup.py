@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,6 +80,18 @@ def test_near_components_match_brute_force(spark, w, block):
     assert all(r.kept == (r.component_id == i) for i, r in got.items())
 
 
+def test_full_counts_do_not_rule_out_a_pair():
+    """Sets of 10 million members that share nearly all: more than the counts hold."""
+    ix, n = near_dedup.Index(), 10_000_000
+    sig = np.zeros((2, ix.n), "<u2")
+    hist = np.frombuffer(near_dedup.sketch(np.arange(n, dtype=np.uint64) << np.uint64(7)), "<u2")
+    batch = pa.RecordBatch.from_pydict({
+        "k": [1, 1], "slot": [0, 0], "u": [0, 0], "v": [0, 0], "side": [0, 0], "id": [1, 2], "comp": [1, 2],
+        "n": [n, n], "sig": [x.tobytes() for x in sig], "hist": [hist.tobytes()] * 2})
+    out = [x for b in near_dedup._cross_fn(ix, 80)([batch]) for x in b.to_pylist()]
+    assert out == [{"a": 1, "b": 2}]
+
+
 def test_near_null_and_repeated_ids(spark):
     t = "one two three four five six seven"
     got = near_dedup.near_duplicates(documents(spark, [t, t, t, t], [7, 7, 3, None])).collect()
