@@ -66,6 +66,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(hconf).exists(p))
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path, on any Hadoop filesystem."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def rename_path(spark: SparkSession, old: str, new: str) -> None:
+    """Rename one file, on any Hadoop filesystem."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(old).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.rename(path(old), path(new)):
+        raise OSError(f"cannot rename {old}")
+
+
 def list_file_sizes(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """(file, bytes) of every data file below ``path``, from file-system
     metadata only (no data is read)."""
@@ -85,4 +99,4 @@ def list_file_sizes(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return out
 
 
-__all__ = ["get_spark", "checkpoint_root", "scratch_path", "path_exists", "list_file_sizes"]
+__all__ = ["get_spark", "checkpoint_root", "scratch_path", "path_exists", "drop_path", "rename_path", "list_file_sizes"]
