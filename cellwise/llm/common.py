@@ -12,7 +12,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import drop_path, scratch_path
 
 U64 = np.uint64
 _P1, _P2, _P3 = U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0xD6E8FEB86659FD93)
@@ -22,12 +22,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back: cuts the
     lineage, and lost executors do not lose the rows."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete what ``materialise`` wrote for these tables, once no table that is still to be read derives from them."""
+    for t in tables:
+        drop_path(t.sparkSession, t._scratch)
 
 
 def ship(spark: SparkSession) -> None:

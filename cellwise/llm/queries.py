@@ -5,7 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontam, exact_dedup, langid, line_dedup, lm, near_dedup, quality, token_files, toxicity
+from . import (bpe, decontam, divergence, exact_dedup, langid, line_dedup, lm, near_dedup, quality, token_files, toxicity,
+               vector_codes, warc)
 from .common import doc_crc_mod, read_table
 from .registry import ORACLE, QUERIES, query
 
@@ -165,3 +166,77 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, read_table(spark, sf_dir, "labels"), train=~_held_fifth())
     return quality.score(docs, model).select(
         "doc_id", _held_fifth().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "difference")
+
+
+@query("op11_source_divergence", """
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+o AS (SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+v AS (SELECT lang, count(*)::HUGEINT AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM o SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+p AS (SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * (coalesce(c.n, 0) + 5)) // (total + 5 * v) AS p
+      FROM t JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = t.lang AND c.source = t.source AND c.term = k.term),
+q AS (SELECT lang, term, 1 + (1000000000 * (sum(n)::HUGEINT + 5)) // (any_value(total) + 5 * any_value(v)) AS q
+      FROM c JOIN (SELECT lang, sum(total)::HUGEINT AS total FROM t GROUP BY lang) USING (lang) JOIN v USING (lang) GROUP BY lang, term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT p.lang, p.source, 'term', p.term, (p.p - q.q)::BIGINT FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM r)
+WHERE part = 'pair' OR rank <= 50
+""")
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from its language and from each other source, over the terms of all documents."""
+    return divergence.source_divergence(read_table(spark, sf_dir, "documents"), min_docs=30, top=50)
+
+
+@query("op12_warc", """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+f AS (SELECT *, CASE WHEN octet_length(payload) >= 100 THEN min(page_id) OVER (PARTITION BY payload) ELSE page_id END AS first FROM p)
+SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+""")
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages archived, and the archives read back."""
+    path = scratch_path(spark, "warc")
+    pages = read_table(spark, sf_dir, "pages")
+    warc.write_archives(pages, path)
+    kind = pages.schema["page_id"].dataType
+    return warc.read_archives(spark, path).select(
+        F.col("id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"),
+        F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+def _lloyd_sql(rounds: int = 6) -> str:
+    """The rounds one after the other, each a CTE for the assignment and one for its codebook."""
+    square = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))"
+    mean = "list_transform(range(1, w + 1), lambda i: (s[i] - ((s[i] % n) + n) % n) // n)"
+    ctes = ["""k AS (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 4096)::HUGEINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)""",
+            """m AS (SELECT r, p, v[p * (len(v) // 8) + 1:(p + 1) * (len(v) // 8)] AS x FROM k, (SELECT unnest(range(0, 8)) AS p))""",
+            """b0 AS (SELECT p, e, x AS c FROM m JOIN (SELECT r, row_number() OVER (ORDER BY vec_id, v) - 1 AS e FROM k) USING (r) WHERE e < 16)"""]
+    for i in range(rounds + 1):
+        ctes.append(f"""a{i} AS MATERIALIZED (SELECT r, p, any_value(x) AS x, min_by(e, (f, e)) AS e, min(f) AS f
+  FROM (SELECT r, p, x, e, {square} AS f FROM m JOIN b{i} USING (p)) GROUP BY r, p)""")
+        if i < rounds:
+            ctes.append(f"""u{i} AS (SELECT p, e, n, w, list(s ORDER BY j) AS s FROM (
+    SELECT p, e, j, count(*)::HUGEINT AS n, any_value(len(x)) AS w, sum(x[j]) AS s FROM a{i}, LATERAL (SELECT unnest(range(1, len(x) + 1)) AS j) GROUP BY p, e, j)
+  GROUP BY p, e, n, w)""")
+            ctes.append(f"b{i + 1} AS MATERIALIZED (SELECT p, e, CASE WHEN n IS NULL THEN c ELSE {mean} END AS c FROM b{i} LEFT JOIN u{i} USING (p, e))")
+    return "WITH " + ",\n".join(ctes) + f""",
+z AS (SELECT r, string_agg(lower(printf('%02x', e::INTEGER)), '' ORDER BY p) AS code, sum(f)::BIGINT AS error FROM a{rounds} GROUP BY r),
+h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS sha FROM b{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, sha AS codebooks_sha256
+FROM k JOIN z USING (r), h"""
+
+
+@query("op13_vector_codes", _lloyd_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors: 8 parts, 16 entries each, 6 rounds."""
+    return vector_codes.vector_codes(read_table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
