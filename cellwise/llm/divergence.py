@@ -169,9 +169,10 @@ def _tile_sums(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     names, at = np.unique(rows["source"].to_numpy(object), return_inverse=True)
     tile, zero = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
     tile[at], zero[at] = rows["tile"], rows["zero"]
-    found, term = np.unique(rows["term"].to_numpy(object), return_inverse=True)
+    has = rows["term"].notna().to_numpy()           # one row without a term for each source
+    found, term = np.unique(rows["term"].to_numpy(object)[has], return_inverse=True)
     p = np.repeat(zero[:, None], len(found), 1)
-    p[at, term] = rows["p"]
+    p[at[has], term] = rows["p"][has]
     out = []
     for i in range(len(names)):
         if first == second:
@@ -252,9 +253,11 @@ def source_divergence(docs: DataFrame, min_docs: int = 30, top: int = 50, text_c
     by_term = above.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
 
     # part pair: tiles of sources by blocks of terms
-    block = F.pmod(F.xxhash64("term"), F.ceil(F.col("v") / block_terms)).cast("int")
-    sides = rated.select("lang", block.alias("block"), "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"),
-                         "source", "term", "p", "zero")
+    blocks = F.ceil(F.col("v") / block_terms)
+    here = rated.select("lang", F.pmod(F.xxhash64("term"), blocks).cast("int").alias("block"), "tile", "tiles", "source", "term", "p", "zero")
+    every = groups.filter("v > 0").select("lang", F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1)).alias("block"), "tile", "tiles", "source",
+                                          F.lit(None).cast("binary").alias("term"), F.col("zero").alias("p"), "zero")
+    sides = here.union(every).select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
     parts = (sides.groupBy("lang", "block", F.least("tile", "other").alias("first"), F.greatest("tile", "other").alias("second"))
              .applyInPandas(_tile_sums, "lang binary, a binary, b binary, part long")
              .groupBy("lang", "a", "b").agg(F.sum("part").alias("part")))
