@@ -9,7 +9,6 @@ error is counted, and falls at the next level.
 """
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,19 +23,39 @@ from .common import map_arrow, materialise, ship, slices
 BITS = 1 << 23                  # of the bitmap of kept prefixes: one megabyte
 END = b"\x00"                   # ends a complete term; no term holds it
 UNIT = 1_000_000_000
-FIRST_LEVEL = 4                 # bytes of the first level's prefixes
+FIRST_LEVEL = 8                 # bytes of the first level's prefixes: shorter ones are nearly all kept
 
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
-def terms(text: bytes, piece: int = 4 << 20) -> Iterator[list[bytes]]:
-    """Runs of letters and non-ASCII characters with A-Z lower-cased, in pieces of a long text."""
-    text = text.translate(_TABLE)
-    at = 0
+_CODES = np.frombuffer(_TABLE, np.uint8)
+
+
+def terms(texts: list[bytes], above: int = 0) -> tuple[pa.Array, np.ndarray]:
+    """Runs of letters and non-ASCII characters with A-Z lower-cased, those of more than ``above``
+    bytes, of all texts in a row; and the place in ``texts`` of each one's text."""
+    shown = _CODES[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
+    letter = shown != 32
+    edge = np.flatnonzero(letter[1:] != letter[:-1]) + 1
+    if letter[0]:
+        edge = np.concatenate(([0], edge))
+    start, size = edge[::2], edge[1::2] - edge[::2]
+    words = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(np.concatenate(([0], np.cumsum(size))).astype("<i4")),
+                                                            pa.py_buffer(shown[letter])])
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    owner = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(start, ends), prepend=0))
+    if above:
+        words, owner = words.filter(pa.array(size > above)), owner[size > above]
+    return words, owner
+
+
+def pieces(text: bytes, size: int) -> Iterator[bytes]:
+    """A text in pieces of about ``size`` bytes, cut between terms."""
+    shown, at = text.translate(_TABLE), 0
     while at < len(text):
-        end = text.find(b" ", at + piece) if at + piece < len(text) else len(text)
+        end = shown.find(b" ", at + size)
         end = len(text) if end < 0 else end
-        yield text[at:end].split()
+        yield shown[at:end]
         at = end
 
 
@@ -45,83 +64,91 @@ def _bucket(lang: bytes, key: bytes) -> int:
     return xxhash.xxh64_intdigest(lang + END + key, 42) & (BITS - 1)
 
 
-class _Keys(dict):
-    """term → what is counted for it at one level (None: nothing), of one language. Holds up to ``cap`` terms."""
+def _key(lang: bytes, term: bytes, length: int | None, was: int, bitmap: np.ndarray | None) -> bytes | None:
+    """What is counted for a term in one pass, None if nothing is."""
+    def kept(key: bytes) -> bool:
+        at = _bucket(lang, key)
+        return bool(bitmap[at >> 3] >> (at & 7) & 1)
 
-    def __init__(self, lang: bytes, length: int | None, was: int, bits: np.ndarray | None, cap: int = 200_000):
-        super().__init__()
-        self.lang, self.length, self.was, self.bits, self.cap = lang, length, was, bits, cap
+    if length is None:                                              # the last pass: kept terms
+        return term if kept(term + END) else None
+    if bitmap is not None and not kept(term[:was]):
+        return None                                                 # its prefix was discarded
+    return term + END if len(term) <= length else term[:length]
 
-    def _kept(self, key: bytes) -> bool:
-        at = _bucket(self.lang, key)
-        return bool(self.bits[at >> 3] >> (at & 7) & 1)
 
-    def __missing__(self, term: bytes) -> bytes | None:
-        if self.length is None:                         # the last pass: kept terms
-            key = term + END
-            out = term if self._kept(key) else None
-        elif self.bits is not None and (len(term) <= self.was or not self._kept(term[:self.was])):
-            out = None                                  # counted at an earlier level, or its prefix was discarded
-        else:
-            out = term + END if len(term) <= self.length else term[:self.length]
-        if len(self) < self.cap:
-            self[term] = out
-        return out
+def _runs(a: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values of a sorted array begin."""
+    return np.flatnonzero(np.concatenate((np.ones(min(1, len(a)), bool), a[1:] != a[:-1])))
 
 
-def _pass(docs: DataFrame, length: int | None, was: int, bits, flush: int = 400_000) -> DataFrame:
+def _pass(docs: DataFrame, length: int | None, was: int, bits, block_bytes: int = 24 << 20) -> DataFrame:
     """Partial counts of one pass. With ``length``: ``lang, key, n``, the documents that hold a
-    prefix of that length, or a complete term of at most that length. Without: ``lang, source, key, n``,
-    the occurrences of kept terms. ``bits``: the broadcast bitmap of what the last pass kept."""
+    prefix of that length, or a complete term of above ``was`` and at most that length. Without:
+    ``lang, source, key, n``, the occurrences of kept terms. ``bits``: the broadcast bitmap of what
+    the last pass kept. A task counts texts of ``block_bytes`` at a time; a longer text goes in pieces."""
+    names = ["lang", "key", "n"] if length else ["lang", "source", "key", "n"]
+
     def run(batches):
         bitmap = None if bits is None else np.frombuffer(bits.value, np.uint8)
-        keys: dict[bytes, _Keys] = {}
-        held: dict[tuple, Counter] = {}
-        size = 0
-
-        def out():
-            groups, found, n = [], [], []
-            for g, c in held.items():
-                groups += [g] * len(c)
-                found += c.keys()
-                n += c.values()
-                if len(found) > 50_000:
-                    yield batch(groups, found, n)
-                    groups, found, n = [], [], []
-            if found:
-                yield batch(groups, found, n)
-
-        def batch(groups, found, n):
-            names = ["lang"] if length else ["lang", "source"]
-            return pa.RecordBatch.from_arrays([*[pa.array([g[i] for g in groups], pa.binary()) for i in range(len(names))],
-                                               pa.array(found, pa.binary()), pa.array(n, pa.int64())], names=[*names, "key", "n"])
 
-        for b in slices(batches):
-            for text, lang, source in zip(*[c.to_pylist() for c in b.columns]):
-                got = keys.get(lang)
-                if got is None:
-                    if len(keys) >= 256:
-                        keys.clear()
-                    got = keys[lang] = _Keys(lang, length, was, bitmap)
-                group = (lang,) if length else (lang, source)
-                counts = held.setdefault(group, Counter())
-                before = len(counts)
+        def numbered(lang, words):
+            """The keys of the words, and the place of each word's own among them, -1 without one."""
+            coded, keys = words.dictionary_encode(), {}
+            found = [_key(lang, t, length, was, bitmap) for t in coded.dictionary.to_pylist()]
+            to = np.array([-1 if k is None else keys.setdefault(k, len(keys)) for k in found], np.int64)
+            return list(keys), to[coded.indices.to_numpy(zero_copy_only=False)]
+
+        def out(lang, keys, at, n, source=None):
+            keys, lang = pa.array(keys, pa.binary()), pa.scalar(lang, pa.binary())
+            for i in range(0, len(n), 50_000):
+                part = slice(i, i + 50_000)
+                rows = [pa.repeat(lang, len(n[part])), keys.take(pa.array(at[part])), pa.array(n[part])]
+                yield pa.RecordBatch.from_arrays(rows if source is None else [rows[0], source[part], *rows[1:]], names=names)
+
+        def block(lang, texts, sources):
+            words, owner = terms(texts, was)
+            keys, at = numbered(lang, words)
+            k = max(1, len(keys))
+            group = owner
+            if not length:
+                named = {}
+                group = np.array([named.setdefault(s, len(named)) for s in sources], np.int64)[owner]
+            pair = (group * k + at)[at >= 0]
+            pair.sort()
+            first = _runs(pair)
+            if length:
+                yield from out(lang, keys, np.arange(len(keys)), np.bincount(pair[first] % k, minlength=len(keys)))
+            else:
+                n = np.diff(np.append(first, len(pair)))
+                yield from out(lang, keys, pair[first] % k, n, pa.array(list(named), pa.binary()).take(pa.array(pair[first] // k)))
+
+        def long_text(lang, text, source):
+            seen = set()
+            for piece in pieces(text, block_bytes):
                 if length:
-                    mine = set()
-                    for words in terms(text):
-                        mine.update(map(got.__getitem__, set(words)))
-                    mine.discard(None)
-                    counts.update(mine)
+                    seen.update(numbered(lang, terms([piece], was)[0])[0])
                 else:
-                    for words in terms(text):
-                        counts.update(map(got.__getitem__, words))
-                    counts.pop(None, None)
-                size += len(counts) - before
-                if size >= flush:
-                    yield from out()
-                    held.clear()
-                    size = 0
-        yield from out()
+                    yield from block(lang, [piece], [source])
+            if length:
+                yield from out(lang, list(seen), np.arange(len(seen)), np.ones(len(seen), np.int64))
+
+        held, size = {}, 0
+        for b in slices(batches):
+            for text, lang, source in zip(*[c.to_pylist() for c in b.columns]):
+                if len(text) > block_bytes:
+                    yield from long_text(lang, text, source)
+                    continue
+                own = held.setdefault(lang, ([], []))
+                own[0].append(text)
+                own[1].append(source)
+                size += len(text) + 1
+                if size >= block_bytes:
+                    for lang, own in held.items():
+                        yield from block(lang, *own)
+                    held, size = {}, 0
+        for lang, own in held.items():
+            yield from block(lang, *own)
 
     return map_arrow(docs, run, "lang binary, key binary, n long" if length else "lang binary, source binary, key binary, n long")
 

@@ -70,9 +70,27 @@ def test_divergence_of_no_rows(spark):
     assert out.columns == ["lang", "source", "part", "item", "value", "rank"] and out.collect() == []
 
 
-def test_terms_of_a_long_text_are_cut_between_words():
-    text = ("alpha Bravo-" * 1000 + "x" * 300).encode()
-    assert [w for piece in divergence.terms(text, piece=50) for w in piece] == [w.encode() for w in term_list(text.decode())]
+def test_terms_of_texts_and_of_pieces():
+    texts = [None, "", "12", "Aé", "alpha Bravo-" * 1000 + "x" * 300, "É", "é漢", " z", "z"]
+    data = [(t or "").encode() for t in texts]
+    words, owner = divergence.terms(data)
+    want = [(i, w.encode()) for i, t in enumerate(texts) for w in term_list(t)]
+    assert list(zip(owner.tolist(), words.to_pylist())) == want
+    words, owner = divergence.terms(data, 4)
+    assert list(zip(owner.tolist(), words.to_pylist())) == [(i, w) for i, w in want if len(w) > 4]
+    assert [w for p in divergence.pieces(data[4], 50) for w in divergence.terms([p])[0].to_pylist()] == [w for i, w in want if i == 4]
+
+
+def test_long_texts_count_once(spark):
+    rows = [("abcdefgh-abcdefghijk other abcdefgh " * 40, "en", f"s{i}") for i in range(3)]
+    docs = audit_table(spark, rows).select(*[F.col(c).cast("binary").alias(c) for c in ("text", "lang", "source")])
+    for size in (100, 1 << 20):
+        for length, was, want in ((8, 0, {b"abcdefgh\x00": 3, b"abcdefgh": 3, b"other\x00": 3}), (16, 8, {b"abcdefghijk\x00": 3})):
+            got = divergence._pass(docs, length, was, None, block_bytes=size).groupBy("key").agg(F.sum("n").alias("n")).collect()
+            assert {bytes(r["key"]): r["n"] for r in got} == want
+        bits = divergence._bitmap(spark.createDataFrame([(bytearray(b"en"), bytearray(b"abcdefgh\x00"))], "lang binary, key binary"))
+        got = divergence._pass(docs, None, 0, bits, block_bytes=size).groupBy("key", "source").agg(F.sum("n").alias("n")).collect()
+        assert {(bytes(r["key"]), bytes(r["source"]).decode()): r["n"] for r in got} == {(b"abcdefgh", f"s{i}"): 80 for i in range(3)}
 
 
 def test_levels_count_documents_and_refine(spark):
