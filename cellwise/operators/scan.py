@@ -91,26 +91,49 @@ def _map_value(v: Column, f: Field, m: Mapping) -> Column:
     return decode_field(v, vf, m)
 
 
-# ------------------------------------------------------------ version order
-_SIGN = -(1 << 63)
-
-
-def version_key() -> Column:
-    """One binary whose unsigned byte order is the (ts, seq, value) order of
-    a cell's versions: ts and seq as 8 big-endian bytes with the sign bit
-    flipped, then 00 for a NULL value, or 01 and the value bytes.  ``max`` of it
-    picks the newest version (ties by value, NULL lowest) with a single binary
-    aggregate buffer per column."""
-    def part(c: str) -> Column:          # NULL orders first, as in a struct
-        return codec.encode_int_bytes(F.coalesce(F.col(c), F.lit(_SIGN)).bitwiseXOR(F.lit(_SIGN)), 8)
-    value = F.col("value").cast("binary")
-    return F.concat(part("ts"), part("seq"),
-                    F.coalesce(F.concat(F.lit(b"\x01"), value), F.lit(b"\x00")))
-
-
-def version_value(key: Column) -> Column:
-    """The value part of :func:`version_key`."""
-    return F.when(F.substring(key, 17, 1) == F.lit(b"\x01"), F.substring(key, 18, 1 << 30))
+# -------------------------------------------------------------------- slots
+#: mappings of more columns pack a row's cells before they are spread over the columns
+PACK_ABOVE = 16
+
+
+def _slot_of(slots: dict[tuple[str, str], int]) -> Column:
+    """The slot of a cell's (family, qualifier), NULL if it has none: bisection
+    in byte order, so that a cell makes log2(columns) comparisons."""
+    def find(pairs: list[tuple[str, int]]) -> Column:
+        if len(pairs) == 1:
+            return F.when(F.col("qualifier") == F.lit(pairs[0][0]), F.lit(pairs[0][1]))
+        mid = len(pairs) // 2
+        return F.when(F.col("qualifier") < F.lit(pairs[mid][0]), find(pairs[:mid])).otherwise(find(pairs[mid:]))
+
+    out = None
+    for fam in sorted({f for f, _ in slots}):
+        own = sorted(((q, j) for (f, q), j in slots.items() if f == fam), key=lambda p: p[0].encode())
+        cond = F.col("family") == F.lit(fam)
+        out = F.when(cond, find(own)) if out is None else out.when(cond, find(own))
+    return F.lit(None).cast("int") if out is None else out
+
+
+def _packed_rows(pre: DataFrame, n: int) -> DataFrame:
+    """``row_key, _s0 … _s<n-1>, _ts``: one row for each row key and map task that
+    holds cells of it, every slot with the newest version among them.
+
+    Cells are packed into one array per row key and map task (grouped by the
+    task's number, so an array never holds more than one input partition),
+    sorted by slot and version; the last one of a slot is its newest. Their cost
+    does not depend on the number of columns. A full row is then read by
+    position, one with gaps through a small map.
+    """
+    cell = F.when(F.col("_slot").isNotNull(), F.struct("_slot", "ts", "seq", "value"))
+    packed = (pre.select("row_key", "ts", F.spark_partition_id().alias("_task"), cell.alias("_cell"))
+              .groupBy("row_key", "_task").agg(F.collect_list("_cell").alias("_e"), F.max("ts").alias("_ts"))
+              .select("row_key", "_ts", F.sort_array("_e").alias("_e")))
+    last = F.filter("_e", lambda x, i: F.coalesce(F.get("_e", i + 1)["_slot"] != x["_slot"], F.lit(True)))
+    once = F.size(F.array_distinct(F.col("_e._slot"))) == F.size("_e")
+    newest = packed.select("row_key", "_ts", F.when(once, F.col("_e")).otherwise(last).alias("_e"))
+    full = F.size("_e") == n
+    split = newest.select("row_key", "_ts", F.when(full, F.col("_e")).alias("_all"), F.when(~full, F.map_from_entries(
+        F.transform("_e", lambda x: F.struct(x["_slot"], x)))).alias("_some"))
+    return split.select("row_key", "_ts", *[F.expr(f"coalesce(get(_all, {j}), element_at(_some, {j})) AS _s{j}") for j in range(n)])
 
 
 # ---------------------------------------------------------------------- E6
@@ -164,36 +187,23 @@ def scan_table(
     maps = [f for f in data_fields if f.role != "column"]
     scalars = [f for f in data_fields if f.role == "column"]
     if not maps:
-        # One slot per distinct (family, qualifier); a cell finds its slot with
-        # one CASE, and each slot keeps the max of the (ts, seq, value) version
-        # order: the newest version, an exact (ts, seq) tie decided by the
-        # value, so the result never depends on the order tasks meet the cells.
+        # One slot per distinct (family, qualifier). Each slot keeps the max of the
+        # (ts, seq, value) version order: the newest version, an exact (ts, seq)
+        # tie decided by the value, so the result never depends on the order tasks
+        # meet the cells. Few columns are aggregated cell by cell; for many, that
+        # would evaluate every column for each cell, so rows are packed first.
         slots: dict[tuple, int] = {}
         for f in scalars:
             slots.setdefault((f.family, f.qualifier), len(slots))
-        slot = None
-        for (fam, qual), j in slots.items():
-            cond = (F.col("family") == F.lit(fam)) & (F.col("qualifier") == F.lit(qual))
-            slot = F.when(cond, F.lit(j)) if slot is None else slot.when(cond, F.lit(j))
-        # Both version forms pick the same cell.  struct(ts, seq, value) is the
-        # cheaper one while 3 fields per slot fit whole-stage codegen's field
-        # budget; beyond it the single binary key keeps the stage compiled.
-        budget = int(cells.sparkSession.conf.get("spark.sql.codegen.maxFields", "100"))
-        as_struct = 3 * len(slots) + 4 <= budget
-        order = F.struct("ts", "seq", "value") if as_struct else version_key()
-        pre = src.select("row_key", "ts", order.alias("_o"),
-                         (slot if slot is not None else F.lit(None).cast("int")).alias("_slot"))
-        aggs = [F.max(F.when(F.col("_slot") == j, F.col("_o"))).alias(f"_s{j}")
-                for j in range(len(slots))]
-        aggs.append(F.max("ts").alias("_ts"))
-
-        def value_of(j: int) -> Column:
-            c = F.col(f"_s{j}")
-            return c["value"] if as_struct else version_value(c)
-        grouped = pre.groupBy("row_key").agg(*aggs).select(
-            "row_key", "_ts",
-            *[value_of(slots[(f.family, f.qualifier)]).alias(f"_v{i}")
-              for i, f in enumerate(scalars)])
+        pre = src.select("row_key", "ts", "seq", "value", _slot_of(slots).alias("_slot"))
+        if len(slots) > PACK_ABOVE:
+            rows = _packed_rows(pre, len(slots))
+            aggs = [F.expr(f"max(_s{j}) AS _s{j}") for j in range(len(slots))]
+        else:
+            rows = pre.select("row_key", F.col("ts").alias("_ts"), "_slot", F.struct("ts", "seq", "value").alias("_o"))
+            aggs = [F.max(F.when(F.col("_slot") == j, F.col("_o"))).alias(f"_s{j}") for j in range(len(slots))]
+        grouped = rows.groupBy("row_key").agg(*aggs, F.max("_ts").alias("_ts")).select(
+            "row_key", "_ts", *[F.expr(f"_s{slots[(f.family, f.qualifier)]}.value AS _v{i}") for i, f in enumerate(scalars)])
         map_cols: dict[str, Column] = {}
     else:
         newest = latest(src)

@@ -205,3 +205,45 @@ def a1_wide_50_columns(spark, sf_dir):
     """A1 on the reference's benchmark shape: 50 text columns per row, one
     cell each, pivoted back into rows."""
     return scan.scan_table(tc.wide_cells(spark, sf_dir), tc.WIDE_MAPPING)
+
+
+def _very_wide_sql() -> str:
+    cols = ",\n  ".join(
+        f"CASE WHEN c_custkey % 11 = 0 OR (c_custkey + {i}) % 7 <> 0 THEN "
+        f"substr(h, {1 + i % 20}, CAST((c_custkey + {i * 3}) % 12 + 1 AS INTEGER)) END AS q{i:03d}"
+        for i in range(tc.VERY_WIDE_COLUMNS))
+    return f"""
+SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS cust_key,
+  {cols}
+FROM (SELECT c_custkey, md5(concat_ws('|', c_name, CAST(c_custkey AS VARCHAR))) AS h FROM customer)
+"""
+
+
+@query("a1_wide_500_columns", _very_wide_sql())
+def a1_wide_500_columns(spark, sf_dir):
+    """A1 at 500 columns: every customer as a row of 500 text cells with gaps,
+    unpivoted and pivoted back."""
+    from ..operators.encode import table_to_cells
+    cells = table_to_cells(tc.very_wide_rows(spark, sf_dir), tc.VERY_WIDE_MAPPING, ts=tc.CU_WRITE_TS)
+    return scan.scan_table(cells, tc.VERY_WIDE_MAPPING)
+
+
+def _sparse_sql() -> str:
+    cols = ",\n  ".join(f"max(CASE WHEN q = {i} THEN l_orderkey END) AS q{i:03d}" for i in range(tc.VERY_WIDE_COLUMNS))
+    return f"""
+WITH c AS (SELECT o_custkey, l_partkey % 500 AS q, l_orderkey, CAST(l_shipdate AS DATE) AS d,
+  max(CAST(l_shipdate AS DATE)) OVER (PARTITION BY o_custkey) AS newest,
+  row_number() OVER (PARTITION BY o_custkey, l_partkey % 500
+                     ORDER BY CAST(l_shipdate AS DATE) DESC, l_orderkey * 10 + l_linenumber DESC, CAST(l_orderkey AS VARCHAR) DESC) AS rn
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cust_key,
+  {cols},
+  CAST(any_value(newest) AS TIMESTAMP) AS row_ts
+FROM c WHERE rn = 1 GROUP BY o_custkey
+"""
+
+
+@query("a1_sparse_500_columns", _sparse_sql())
+def a1_sparse_500_columns(spark, sf_dir):
+    """A1 at 500 columns, most of them empty, with several versions per cell."""
+    return scan.scan_table(tc.sparse_cells(spark, sf_dir), tc.SPARSE_MAPPING)

@@ -168,3 +168,44 @@ def wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def wide_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_to_cells(wide_rows(spark, sf_dir), WIDE_MAPPING, ts=CU_WRITE_TS,
                           seq=F.col("li_seq"))
+
+
+# ------------------------------------------- V: 500 text columns per row
+VERY_WIDE_COLUMNS = 500
+VERY_WIDE_MAPPING = Mapping(
+    (Field("cust_key", "string", "key"),)
+    + tuple(Field(f"q{i:03d}", "string", "column", "a" if i % 2 else "b", f"q{i:03d}") for i in range(VERY_WIDE_COLUMNS))
+)
+
+
+def very_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key and 500 text columns per customer, every seventh one NULL (which one
+    varies by row; every eleventh row has all of them)."""
+    c = load(spark, sf_dir, "customer")
+    hashed = c.select("c_custkey", F.md5(F.concat_ws("|", "c_name", "c_custkey")).alias("_h"))
+
+    return hashed.select(padded("c_custkey", CUST_KEY_WIDTH).alias("cust_key"), *[
+        F.expr(f"IF(c_custkey % 11 = 0 OR (c_custkey + {i}) % 7 <> 0, "
+               f"substring(_h, {1 + i % 20}, CAST((c_custkey + {i * 3}) % 12 + 1 AS INT)), NULL) AS q{i:03d}")
+        for i in range(VERY_WIDE_COLUMNS)])
+
+
+SPARSE_MAPPING = Mapping(
+    (Field("cust_key", "string", "key"),)
+    + tuple(Field(f"q{i:03d}", "bigint", "column", "o", f"q{i:03d}") for i in range(VERY_WIDE_COLUMNS))
+    + (Field("row_ts", "timestamp_ntz", "timestamp"),)
+)
+
+
+def sparse_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One cell per lineitem: key = the order's customer, one of 500 qualifiers by
+    part, version = ship date, then order and line; value = order key as text."""
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    li = load(spark, sf_dir, "lineitem")
+    shipped = F.col("l_shipdate").cast("date")
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+        padded("o_custkey", CUST_KEY_WIDTH).alias("row_key"), F.lit("o").alias("family"),
+        F.format_string("q%03d", F.col("l_partkey") % VERY_WIDE_COLUMNS).alias("qualifier"),
+        (F.unix_date(shipped).cast("long") * 86_400_000).alias("ts"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
+        F.col("l_orderkey").cast("string").cast("binary").alias("value"))
