@@ -72,17 +72,27 @@ def uniform_split_points(df: DataFrame, key: str, n: int, width: int) -> list[st
 
 
 # ---------------------------------------------------------------------- B7
+#: up to so many split points the bisection is unrolled into compiled comparisons
+UNROLL_POINTS = 512
+
+
 def region_expr(key: Column, points: Sequence) -> Column:
     """Region number of ``key``: the split points that are not above it, NULL
-    for a NULL key.  The points are one array literal, searched by bisection:
-    log2(n) comparisons per key for any number of regions, no join and no
-    broadcast."""
+    for a NULL key.  Found by bisection: log2(regions) comparisons per key, no
+    join and no broadcast; as nested CASE branches, or over one array literal
+    where there are more than ``UNROLL_POINTS``.  ``key`` had better be a column
+    (each comparison evaluates it)."""
     pts = [_plain(p) for p in points]
     if any(pts[i] >= pts[i + 1] for i in range(len(pts) - 1)):
         raise ValueError("split points must be strictly increasing")
     n = len(pts)
-    if not n:
-        return F.when(key.isNotNull(), F.lit(0)).cast("int")
+    if n <= UNROLL_POINTS:
+        def find(lo: int, hi: int) -> Column:
+            if lo == hi:
+                return F.lit(lo)
+            mid = (lo + hi) // 2
+            return F.when(key < F.lit(pts[mid]), find(lo, mid)).otherwise(find(mid + 1, hi))
+        return F.when(key.isNotNull(), find(0, n)).cast("int")
     arr = F.array(*[F.lit(p) for p in pts])
 
     def step(acc, _):
@@ -98,6 +108,20 @@ def region_expr(key: Column, points: Sequence) -> Column:
     return F.when(key.isNotNull(), found).cast("int")
 
 
+def region_weights(df: DataFrame, region: str = "region") -> dict[int, int]:
+    """Rows per region: one aggregate that reads the key column only; one row per
+    region reaches the driver."""
+    counts = df.groupBy(F.coalesce(F.col(region), F.lit(0)).alias("r")).count().collect()
+    return {r["r"]: r["count"] for r in counts}
+
+
+def task_shares(weights: dict[int, int], n: int, tasks: int) -> list[int]:
+    """Write tasks of each of ``n`` regions: its share of ``tasks`` by weight,
+    rounded up, at least one."""
+    total = max(1, sum(weights.values()))
+    return [max(1, -(-tasks * weights.get(r, 0) // total)) for r in range(n)]
+
+
 def assign_region(df: DataFrame, key: str | Column, points: Sequence,
                   name: str = "region") -> DataFrame:
     return df.withColumn(name, region_expr(_key_col(df, key), points))
@@ -172,4 +196,4 @@ def refine_splits(cells: DataFrame, points: Sequence, max_rows: int,
 
 
 __all__ = ["split_points", "uniform_split_points", "region_expr", "assign_region", "region_of",
-           "region_bounds", "region_skew", "refine_splits"]
+           "region_bounds", "region_weights", "task_shares", "region_skew", "refine_splits"]

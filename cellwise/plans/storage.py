@@ -84,6 +84,38 @@ def b8_bulk_write(spark, sf_dir):
                  F.min("row_key").alias("first_key"), F.max("row_key").alias("last_key")))
 
 
+MANY_REGIONS, WRITE_TASKS = 1000, 200
+
+
+@query("b8_weighted_regions", f"""
+WITH b AS (SELECT min(l_orderkey) AS lo, max(l_orderkey) AS hi FROM lineitem),
+pts AS (SELECT DISTINCT lpad(CAST(lo + ((hi - lo + 1) * i) // {3 * MANY_REGIONS} AS VARCHAR), 10, '0') AS p FROM b, range(1, {MANY_REGIONS + 1}) t(i)),
+cut AS (SELECT max(p) AS p FROM pts WHERE p > (SELECT lpad(CAST(lo AS VARCHAR), 10, '0') FROM b)),
+keyed AS (SELECT lpad(CAST(l_orderkey AS VARCHAR), 10, '0') || '$$' || CAST(l_linenumber AS VARCHAR) AS row_key FROM lineitem)
+SELECT (SELECT count(*) + 1 FROM pts WHERE p > (SELECT lpad(CAST(lo AS VARCHAR), 10, '0') FROM b)) AS regions,
+       count(*) * 6 AS cells, count(*) FILTER (WHERE row_key >= cut.p) * 6 AS cells_of_last,
+       true AS balanced, true AS regions_kept_apart
+FROM keyed, cut
+""")
+def b8_weighted_regions(spark, sf_dir):
+    """A thousand regions of which the last holds two thirds of the keys. Tasks go
+    to regions by size: no file is above twice the cells that a task should write,
+    and none holds cells of two regions."""
+    li = tc.load(spark, sf_dir, "lineitem")
+    lo, hi = (int(x) for x in li.agg(F.min("l_orderkey"), F.max("l_orderkey")).first())
+    points = sorted({lo + (hi - lo + 1) * i // (3 * MANY_REGIONS) for i in range(1, MANY_REGIONS + 1)} - {lo})
+    store = CellStore(spark, scratch_path(spark, "b8w"))
+    res = store.stage_rows(tc.li_rows(spark, sf_dir), tc.LI_MAPPING, ts=tc.CU_WRITE_TS, seq=F.col("li_seq"),
+                           points=[str(p).zfill(10) for p in points], tasks=WRITE_TASKS)
+    store.publish(res)
+    files = (spark.read.parquet(res.stage).withColumn("file", F.col("_metadata.file_name"))
+             .groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("region").alias("lo"), F.max("region").alias("hi")))
+    last = F.sum(F.when(F.col("lo") == len(points), F.col("n")).otherwise(0))
+    return files.agg(F.lit(len(points) + 1).cast("bigint").alias("regions"), F.sum("n").alias("cells"), last.alias("cells_of_last"),
+                     (F.max("n") <= 2 * F.sum("n") / WRITE_TASKS).alias("balanced"),
+                     F.bool_and(F.col("lo") == F.col("hi")).alias("regions_kept_apart"))
+
+
 @query("b9_publish", """
 SELECT 'staged' AS phase, 0::BIGINT AS visible_cells,
        count(o_custkey) + count(o_orderstatus) + count(o_totalprice) + count(o_orderpriority)
@@ -116,23 +148,38 @@ CU_LAYOUT = {
 }
 
 
-@query("b10_layout", """
-SELECT 'p' AS family, 'zstd' AS codec, count(*) * 2 AS cells, sum(10) * 2 AS key_bytes FROM customer
+_LAYOUT_SQL = """
+SELECT 'p' AS family, 'zstd' AS codec, false AS key_bloom_filter, true AS dictionary,
+       count(*) * 2 AS cells, sum(10) * 2 AS key_bytes FROM customer
 UNION ALL
-SELECT 'n', 'snappy', count(*) * 2, sum(10) * 2 FROM customer
-""")
+SELECT 'n', 'snappy', true, false, count(*) * 2, sum(10) * 2 FROM customer
+"""
+
+
+def _layout_report(spark, store, res):
+    """Per family, codec, bloom filter and dictionary by the footers of the files its cells are read from."""
+    store.publish(res)
+    cells = spark.read.parquet(res.stage).withColumn("file", F.col("_metadata.file_name"))
+    facts = store.layout_facts(res.version).drop("family")
+    return (cells.join(facts, "file").groupBy("family", "codec", "key_bloom_filter", "dictionary")
+            .agg(F.count(F.lit(1)).alias("cells"), F.sum(F.octet_length("row_key")).alias("key_bytes")))
+
+
+@query("b10_layout", _LAYOUT_SQL)
 def b10_layout(spark, sf_dir):
     """Per-family physical layout (codec, row-group size, bloom filter on
-    the key, dictionary) on write; the codec of the files the cells are read
-    from, and the data, which is the same."""
+    the key, dictionary) on write; what the footers of the files say, and the
+    data, which is the same."""
     store = CellStore(spark, scratch_path(spark, "b10"))
-    res = store.stage(tc.cu_cells(spark, sf_dir), points=[], layout=CU_LAYOUT)
-    store.publish(res)
-    cells = spark.read.parquet(res.stage)
-    codec = F.regexp_extract(F.col("_metadata.file_name"), r"\.(\w+)\.parquet$", 1)
-    return (cells.groupBy("family", codec.alias("codec"))
-            .agg(F.count(F.lit(1)).alias("cells"),
-                 F.sum(F.octet_length("row_key")).alias("key_bytes")))
+    return _layout_report(spark, store, store.stage(tc.cu_cells(spark, sf_dir), points=[], layout=CU_LAYOUT))
+
+
+@query("b10_layout_rows", _LAYOUT_SQL)
+def b10_layout_rows(spark, sf_dir):
+    """B10 from typed rows: each family's shuffle takes that family's columns only."""
+    store = CellStore(spark, scratch_path(spark, "b10"))
+    return _layout_report(spark, store, store.stage_rows(tc.cu_rows(spark, sf_dir), tc.CU_MAPPING, ts=tc.CU_WRITE_TS,
+                                                         points=[], layout=CU_LAYOUT))
 
 
 @query("b12_region_skew", f"""

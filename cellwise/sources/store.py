@@ -19,6 +19,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import accumulate
 from operator import or_
 from typing import Mapping as TMapping, Sequence
 
@@ -29,7 +30,7 @@ from ..mapping import Mapping
 from ..operators.encode import encode_key, table_to_cells
 from ..operators.encode import key_type as mapping_key_type
 from ..operators.joins import estimated_bytes
-from ..operators.regions import region_bounds, region_expr, split_points
+from ..operators.regions import region_bounds, region_expr, region_weights, split_points, task_shares
 from ..session import list_file_sizes, path_exists
 
 # ``points`` are the split points of that version's regions: text, or hex where
@@ -184,11 +185,13 @@ class CellStore:
         of the session's cores and the input's estimated size over 512 MB.
         ``mode``:
 
-        * ``"split"`` – every region is written by ``k`` tasks, at least two
-          (``repartitionById`` on ``region * k + hash(cell) % k``): files are
-          sorted and never cross a region, and a hot region, row or cell is
-          spread over k tasks.  No sampling pass; files of one region overlap
-          in key range (reads merge them anyway).
+        * ``"split"`` – every region is written by its share of the tasks, by
+          its number of cells (``repartitionById`` on the region's first task +
+          ``hash(cell) % its tasks``): files are sorted and never cross a
+          region, and a hot region, row or cell is spread over as many tasks as
+          its size asks for.  One count by region goes before, over the key
+          column only; files of one region overlap in key range (reads merge
+          them anyway).
         * ``"range"`` – range-partition on (region, row_key, family, qualifier,
           ts desc) over ``tasks`` tasks: files of a region also hold
           consecutive key ranges (a total order across files), at the price of
@@ -215,10 +218,11 @@ class CellStore:
         df = cells.select("row_key", "family", "qualifier", "ts", "seq", "value") \
             .withColumn("region", region_expr(F.col("row_key"), points))
 
-        def deal(part: DataFrame) -> DataFrame:
+        def deal(families) -> DataFrame:
+            part = df if families is None else df.where(families(F.col("family")))
             return self._dealt(part, len(points) + 1, mode, tasks,
                                ("row_key", "family", "qualifier", "ts"))
-        return self._stage(df, deal, list(points), kt, layout)
+        return self._stage(deal, list(points), kt, layout)
 
     def _dealt(self, df: DataFrame, n: int, mode: str, tasks: int | None, spread: Sequence[str],
                key: str = "row_key", region: str = "region") -> DataFrame:
@@ -228,9 +232,12 @@ class CellStore:
         if mode == "rebalance":
             return df.hint("rebalance", region)
         if mode == "split":
-            k = max(2, -(-ntasks // n))
-            sub = F.pmod(F.xxhash64(*spread), F.lit(k))
-            return df.repartitionById(n * k, (F.coalesce(F.col(region), F.lit(0)) * k + sub).cast("int"))
+            shares = task_shares(region_weights(df, region), n, ntasks)
+            first = [0, *accumulate(shares)]
+            place = F.coalesce(F.col(region), F.lit(0)) + 1
+            sub = F.pmod(F.xxhash64(*spread), F.element_at(F.expr(f"array({','.join(map(str, shares))})"), place))
+            start = F.element_at(F.expr(f"array({','.join(map(str, first[:-1]))})"), place)
+            return df.repartitionById(first[-1], (start + sub).cast("int"))
         if mode == "range":
             cells = {"family", "qualifier", "ts"} <= set(df.columns) and key == "row_key"
             return df.repartitionByRange(ntasks, F.col(region), F.col(key), *(
@@ -241,10 +248,11 @@ class CellStore:
             return df.repartition(ntasks, key)
         raise StoreError(f"unknown mode {mode!r}")
 
-    def _stage(self, df: DataFrame, deal, points: list, kt: str, layout) -> WriteResult:
-        """Write ``df`` (cells or rows that ``deal`` turns into cells) as the next
-        version.  Each family with a layout of its own is written from its own
-        filter of the input."""
+    def _stage(self, deal, points: list, kt: str, layout) -> WriteResult:
+        """Write the next version.  ``deal(families)`` gives the dealt cells of
+        the families for which the condition holds (None: of all).  Each family
+        with a layout of its own is dealt and written alone: only its own cells,
+        or its own columns of the rows, go through the shuffle."""
         version = self._next_version()
         stage = f"{self.data}/v={version}"
 
@@ -259,15 +267,16 @@ class CellStore:
         per_family = isinstance(layout, dict) and layout and all(
             isinstance(v, dict) for v in layout.values())
         if not per_family:
-            put(deal(df), stage, ["family", "region"], dict(layout or {}))
+            put(deal(None), stage, ["family", "region"], dict(layout or {}))
             return WriteResult(version, stage, points, kt)
         named = [f for f in layout if f != "*"]
-        is_cells = _REGION not in df.columns
-        fam = F.col("family")
-        put((deal(df.where(~fam.isin(named))) if is_cells else deal(df).where(~fam.isin(named))), stage, ["family", "region"], dict(layout.get("*", {})))
+        rest = deal(lambda fam: ~fam.isin(named) if isinstance(fam, Column) else fam not in named)
+        if rest is not None:
+            put(rest, stage, ["family", "region"], dict(layout.get("*", {})))
         for f in named:
-            put(deal(df.where(fam == f)) if is_cells else deal(df).where(fam == f),
-                f"{stage}/family={f}", ["region"], dict(layout[f]))
+            part = deal(lambda fam, f=f: fam == f)
+            if part is not None:
+                put(part, f"{stage}/family={f}", ["region"], dict(layout[f]))
         return WriteResult(version, stage, points, kt, named)
 
     def _no_layout(self, points, regions, mode, layout) -> None:
@@ -351,22 +360,54 @@ class CellStore:
             raise StoreError(f"the table's row keys are {self.key_type()}, not {kt}")
         if points is None:
             points = split_points(df, key, regions) if regions else self.points()
-        # write times and sequence numbers are set before rows are dealt
+        # write times and sequence numbers are set before rows are dealt; the key is a
+        # column before its region is searched
         own = {n: c for n, c in (("_cw_ts", ts), ("_cw_seq", seq)) if isinstance(c, Column)}
-        df = df.withColumns({**own, _KEY: key, _REGION: region_expr(key, points)})
+        df = df.withColumns({**own, _KEY: key}).withColumn(_REGION, region_expr(F.col(_KEY), points))
         ts, seq = (F.col(n) if n in own else c for n, c in (("_cw_ts", ts), ("_cw_seq", seq)))
-        plain = [f.name for f in df.schema.fields
-                 if "map<" not in f.dataType.simpleString() and f.name != _REGION]
 
-        def deal(part: DataFrame) -> DataFrame:
+        def deal(families) -> DataFrame | None:
+            part, mm = df, m
+            if families is not None:
+                fields = [f for f in m.fields if f.family is not None and families(f.family)]
+                if not fields:
+                    return None
+                gone = {f.name for f in m.fields if f.family is not None} - {f.name for f in fields}
+                part, mm = df.drop(*gone), m.select([f.name for f in m.fields if f.name not in gone])
+            plain = [f.name for f in part.schema.fields
+                     if "map<" not in f.dataType.simpleString() and f.name != _REGION]
             dealt = self._dealt(part, len(points) + 1, mode, tasks, plain, _KEY, _REGION)
-            return table_to_cells(dealt, m, ts=ts, seq=seq, carry=[_REGION]).withColumnRenamed(_REGION, "region")
-        return self._stage(df, deal, list(points), kt, layout)
+            return table_to_cells(dealt, mm, ts=ts, seq=seq, carry=[_REGION]).withColumnRenamed(_REGION, "region")
+        return self._stage(deal, list(points), kt, layout)
 
     def write_table(self, df: DataFrame, m: Mapping, ts=None, seq=0, **kw) -> int:
         """Typed rows → cells → new version (B5): an upsert, never a truncate."""
         return self.publish(self.stage_rows(df, m, ts=ts, seq=seq, **kw))
 
+    def layout_facts(self, version: int) -> DataFrame:
+        """What the Parquet footers of a version say, one row per file: ``family,
+        file, codec, row_groups, rows, key_bloom_filter, dictionary`` (of any of
+        its column chunks).  A diagnostic: footers only, read by the driver."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        rows = []
+        for name, _ in list_file_sizes(self.spark, f"{self.data}/v={version}"):
+            if not name.endswith(".parquet"):
+                continue
+            source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(name), conf)
+            reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+            try:
+                blocks = list(reader.getFooter().getBlocks())
+                chunks = [c for b in blocks for c in b.getColumns()]
+                keys = [c for c in chunks if c.getPath().toDotString() == "row_key"]
+                rows.append((name.partition("/family=")[2].partition("/")[0], name.rsplit("/", 1)[-1],
+                             ",".join(sorted({c.getCodec().toString().lower() for c in chunks})), len(blocks),
+                             sum(b.getRowCount() for b in blocks), bool(keys) and all(c.getBloomFilterOffset() > 0 for c in keys),
+                             any(c.hasDictionaryPage() for c in chunks)))
+            finally:
+                reader.close()
+        return self.spark.createDataFrame(rows, "family string, file string, codec string, row_groups int, rows bigint, "
+                                                "key_bloom_filter boolean, dictionary boolean")
+
     # ---------------------------------------------------------------- read
     def read(self, *, snapshot: str | None = None, versions: Sequence[int] | None = None,
              key_lo=None, key_hi=None, families: Sequence[str] | None = None,
