@@ -165,18 +165,61 @@ def decode_text(
     timestamp_formats: Sequence[str] = (),
     separators: Sequence[str] = DEFAULT_SEPARATORS,
     level: int = 1,
+    escape: str | None = None,
 ) -> Column:
-    """Text cell → typed value; undecodable text → NULL (never an error)."""
+    """Text cell → typed value; undecodable text → NULL (never an error).
+
+    With ``escape``, a separator or an escape that follows the escape character is
+    text. The null sequence is looked for before escapes are taken off, so that
+    an escaped one is text too."""
     dt = as_type(dt)
     if isinstance(dt, T.BinaryType):
         return _c(col).cast("binary")
     s = to_text(col)
     if null_format is not None:
         s = F.when(s != F.lit(null_format), s)
-    return _text_value(s, dt, null_format, tuple(timestamp_formats), tuple(separators), level)
+    if escape:
+        s = _guarded(s, escape, separators, null_format)
+    return _text_value(s, dt, null_format, tuple(timestamp_formats), tuple(separators), level, escape)
+
+
+# Escaped text on its way through the splits: each escaped character stands as the
+# escape and a letter, so that all separators left are real ones. "a" is the escape
+# itself, "b" the first separator, and so on.
+def _escaped(escape: str, separators) -> list[tuple[str, str]]:
+    return [(c, escape + chr(ord("a") + i)) for i, c in enumerate((escape, *separators))]
+
+
+def _guarded(s: Column, escape: str, separators, null_format: str | None) -> Column:
+    """Escaped characters behind their letters; an escape before any other
+    character falls away, but for one that begins the null sequence."""
+    keep = "".join((escape, *separators))
+    if null_format and null_format[:1] == escape:
+        keep += null_format[1:2]
+    kept = "".join("\\" + c if not c.isalnum() else c for c in keep)
+    s = F.regexp_replace(s, f"(?s)(\\{escape}[{kept}])|\\{escape}(.)", "$1$2")
+    for c, mark in _escaped(escape, separators):
+        s = F.replace(s, F.lit(escape + c), F.lit(mark))
+    return s
+
+
+def _unguarded(s: Column, escape: str, separators, null_format: str | None) -> Column:
+    if null_format and null_format[:1] == escape and len(null_format) > 1:
+        s = F.replace(s, F.lit(null_format[:2]), F.lit(null_format[1:2]))
+    for c, mark in reversed(_escaped(escape, separators)):
+        s = F.replace(s, F.lit(mark), F.lit(c))
+    return s
+
+
+def _with_escapes(s: Column, escape: str, separators) -> Column:
+    for c in (escape, *separators):
+        s = F.replace(s, F.lit(c), F.lit(escape + c))
+    return s
 
 
-def _text_value(s: Column, dt, null_format, ts_formats, seps, level) -> Column:
+def _text_value(s: Column, dt, null_format, ts_formats, seps, level, escape=None) -> Column:
+    if escape and not isinstance(dt, _COMPLEX):
+        s = _unguarded(s, escape, seps, null_format)
     if isinstance(dt, T.StringType):
         return s
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
@@ -188,11 +231,11 @@ def _text_value(s: Column, dt, null_format, ts_formats, seps, level) -> Column:
         low = F.lower(s)
         return F.when(low == "true", F.lit(True)).when(low == "false", F.lit(False))
     if isinstance(dt, _COMPLEX):
-        return _complex_from_text(s, dt, null_format, ts_formats, seps, level)
+        return _complex_from_text(s, dt, null_format, ts_formats, seps, level, escape)
     return s.try_cast(dt)
 
 
-def _complex_from_text(s, dt, null_format, ts_formats, seps, level) -> Column:
+def _complex_from_text(s, dt, null_format, ts_formats, seps, level, escape=None) -> Column:
     if level + 1 >= len(seps):
         raise ValueError("nesting deeper than the separator list")
     sep = seps[level]
@@ -200,7 +243,7 @@ def _complex_from_text(s, dt, null_format, ts_formats, seps, level) -> Column:
     def elem(x: Column, t, lvl):
         if null_format is not None:
             x = F.when(x != F.lit(null_format), x)
-        return _text_value(x, t, null_format, ts_formats, seps, lvl)
+        return _text_value(x, t, null_format, ts_formats, seps, lvl, escape)
 
     if isinstance(dt, T.ArrayType):
         parts = F.split(s, _lit_regex(sep), -1)
@@ -249,26 +292,28 @@ def encode_text(
     null_format: str = DEFAULT_NULL_FORMAT,
     separators: Sequence[str] = DEFAULT_SEPARATORS,
     level: int = 1,
+    escape: str | None = None,
 ) -> Column:
-    """Typed value → UTF-8 text bytes (NULL stays NULL: no cell is written)."""
+    """Typed value → UTF-8 text bytes (NULL stays NULL: no cell is written).
+    With ``escape``, separators and escapes inside text are written behind it."""
     dt = as_type(dt)
     c = _c(col)
     if isinstance(dt, T.BinaryType):
         return c
-    return _value_text(c, dt, null_format, tuple(separators), level).cast("binary")
+    return _value_text(c, dt, null_format, tuple(separators), level, escape).cast("binary")
 
 
-def _value_text(c: Column, dt, null_format, seps, level) -> Column:
+def _value_text(c: Column, dt, null_format, seps, level, escape=None) -> Column:
     if isinstance(dt, T.BooleanType):
         return F.when(c, F.lit("true")).when(~c, F.lit("false"))
     if not isinstance(dt, _COMPLEX):
-        return c.cast("string")
+        return _with_escapes(c.cast("string"), escape, seps) if escape else c.cast("string")
     sep = seps[level]
     if isinstance(dt, T.ArrayType):
         # a NULL element is written as the empty string
         return F.array_join(
             F.transform(c, lambda x: F.coalesce(_value_text(x, dt.elementType, null_format, seps,
-                                                            level + 1), F.lit(""))),
+                                                            level + 1, escape), F.lit(""))),
             sep,
         )
     if isinstance(dt, T.MapType):
@@ -277,8 +322,8 @@ def _value_text(c: Column, dt, null_format, seps, level) -> Column:
             F.transform(
                 F.map_entries(c),
                 lambda e: F.concat(
-                    _value_text(e["key"], dt.keyType, null_format, seps, level + 2), F.lit(kv),
-                    F.coalesce(_value_text(e["value"], dt.valueType, null_format, seps, level + 2),
+                    _value_text(e["key"], dt.keyType, null_format, seps, level + 2, escape), F.lit(kv),
+                    F.coalesce(_value_text(e["value"], dt.valueType, null_format, seps, level + 2, escape),
                                F.lit(null_format)),
                 ),
             ),
@@ -286,7 +331,7 @@ def _value_text(c: Column, dt, null_format, seps, level) -> Column:
         )
     if isinstance(dt, T.StructType):
         parts = [
-            F.coalesce(_value_text(c[f.name], f.dataType, null_format, seps, level + 1),
+            F.coalesce(_value_text(c[f.name], f.dataType, null_format, seps, level + 1, escape),
                        F.lit(null_format))
             for f in dt.fields
         ]

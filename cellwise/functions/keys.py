@@ -6,7 +6,9 @@ decoded key fields can also prune on the stored key.
 """
 from __future__ import annotations
 
+import math
 import re
+import struct
 from dataclasses import dataclass
 from typing import Callable, Sequence
 
@@ -15,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..mapping import as_type
+from .codec import (INT_WIDTH, decode_float_bytes, decode_int_bytes, encode_float_bytes, encode_int_bytes,
+                    width_of)
 
 # Fixed values of the sample key layouts.
 DOLLAR_DELIMITER = "$$"          # delimited composite key
@@ -36,7 +40,8 @@ class KeyCodec:
     allows no such prefix.  ``bounds`` maps leading equal values and the
     comparisons ``(op, value)`` on the next field to inclusive row-key bounds
     ``(lo, hi)`` (constant Columns or ``None``) that hold every matching key;
-    it may give bounds that are too wide, never too narrow.
+    it may give bounds that are too wide, never too narrow.  ``key_type`` is
+    the row key's type, "string" or "binary".
     """
     struct_type: T.StructType
     encode: Callable[[Column], Column]
@@ -45,6 +50,7 @@ class KeyCodec:
     name: str = "custom"
     bounds: Callable[[Sequence[object], Sequence[tuple[str, object]]],
                      tuple[Column | None, Column | None]] | None = None
+    key_type: str = "string"
 
 
 def _text(value, dtype: T.DataType) -> Column:
@@ -201,5 +207,130 @@ def salted(inner_width: int = 12, buckets_hex: int = 2) -> KeyCodec:
     return KeyCodec(st, enc, dec, prefix, "salted")
 
 
-__all__ = ["KeyCodec", "delimited", "collection_delimited", "fixed_width", "one_byte_fields",
+# ------------------------------------------------------------- ordered fields
+# End of a text field and the mark of a NUL inside one: U+0000 is always followed
+# by one of the two, and the end sorts first.
+_END, _INNER = "\x00\x01", "\x00\x02"
+_ORDERED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.TimestampType, T.FloatType, T.DoubleType,
+            T.BooleanType, T.StringType)
+_SIGN64 = -(1 << 63)
+
+
+def _width(dt: T.DataType) -> int:
+    """Bytes of a field that is not text."""
+    return 8 if isinstance(dt, T.TimestampType) else 4 if isinstance(dt, T.DateType) else width_of(dt)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once, however often it is used there."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _ordered_bytes(c: Column, dt: T.DataType) -> Column:
+    """Bytes whose unsigned order is that of the values: integers with the sign
+    bit flipped; floats by their bits, all of them flipped below zero (-0.0 is
+    0.0, NaN comes last); text with its NULs marked and an end."""
+    if isinstance(dt, T.StringType):
+        return F.concat(F.replace(c, F.lit("\x00"), F.lit(_INNER)), F.lit(_END)).cast("binary")
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        return _let(decode_int_bytes(encode_float_bytes(c.cast("double") + F.lit(0.0), True), 8), lambda bits: encode_int_bytes(
+            F.when(bits < 0, F.bitwise_not(bits)).otherwise(bits.bitwiseXOR(F.lit(_SIGN64))), 8))
+    if isinstance(dt, T.BooleanType):
+        return encode_int_bytes(c.cast("int"), 1)
+    w = _width(dt)
+    n = F.unix_date(c) if isinstance(dt, T.DateType) else F.unix_micros(c) if isinstance(dt, T.TimestampType) else c
+    n = n.cast("bigint")
+    return encode_int_bytes(n.bitwiseXOR(F.lit(_SIGN64 if w == 8 else 1 << (8 * w - 1)).cast("bigint")), w)
+
+
+def _ordered_value(h: Column, dt: T.DataType) -> Column:
+    """Inverse of :func:`_ordered_bytes`, from hexadecimal digits (text: without its end)."""
+    b = F.unhex(h)
+    if isinstance(dt, T.StringType):
+        return F.replace(b.cast("string"), F.lit(_INNER), F.lit("\x00"))
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        flip = lambda bits: encode_int_bytes(
+            F.when(bits < 0, bits.bitwiseXOR(F.lit(_SIGN64))).otherwise(F.bitwise_not(bits)), 8)
+        return _let(_let(decode_int_bytes(b, 8), flip), lambda x: decode_float_bytes(x, True)).cast(dt)
+    if isinstance(dt, T.BooleanType):
+        return decode_int_bytes(b, 1).cast("boolean")
+    w = _width(dt)
+    n = decode_int_bytes(b, w).cast("bigint")
+    # the flipped sign bit is back after an addition of half the range, modulo the range
+    n = n.bitwiseXOR(F.lit(_SIGN64)) if w == 8 else F.when(n < 0, n + (1 << (8 * w - 1))).otherwise(n - (1 << (8 * w - 1)))
+    if isinstance(dt, T.DateType):
+        return F.date_from_unix_date(n.cast("int"))
+    return F.timestamp_micros(n) if isinstance(dt, T.TimestampType) else n.cast(dt)
+
+
+def _within(value, dt: T.DataType):
+    """A bound for an integer field, moved into its range."""
+    w = INT_WIDTH.get(type(dt))
+    if w is None or isinstance(value, bool) or value != value:
+        return value
+    half = 1 << (8 * w - 1)
+    return int(min(max(value, -half), half - 1))
+
+
+def ordered(fields) -> KeyCodec:
+    """Binary keys whose byte order is the order of the fields' values: integers,
+    dates, timestamps, floats, booleans and text, in any order. Equal leading
+    fields and a range on the next one become bounds on the stored key. A NULL
+    field raises on encode; a key that does not parse decodes to NULL fields."""
+    st = _struct_type(fields)
+    for f in st.fields:
+        if not isinstance(f.dataType, _ORDERED):
+            raise TypeError(f"no ordered form for key field {f.name}: {f.dataType.simpleString()}")
+    # longer than any run of FF bytes in a key: above every key that starts with what comes before it
+    above = F.lit(b"\xff" * (8 * len(st.fields) + 1))
+
+    def present(c: Column, f: T.StructField) -> Column:
+        null = F.raise_error(F.lit(f"NULL key field {f.name}")).cast(f.dataType)
+        return F.when(c.isNotNull(), c).otherwise(null)
+
+    def enc(c: Column) -> Column:
+        return F.concat(*[_ordered_bytes(present(c[f.name], f), f.dataType) for f in st.fields])
+
+    def field(i: int, rest: Column, done: list) -> Column:
+        if i == len(st.fields):
+            return F.struct(*done)
+        f, tail = st.fields[i], F.lit(1 << 30)
+
+        def then(value: Column, at: Column) -> Column:
+            return _let(F.substring(rest, at, tail), lambda r: field(i + 1, r, [*done, _ordered_value(value, f.dataType).alias(f.name)]))
+
+        if not isinstance(f.dataType, T.StringType):
+            size = 16 if isinstance(f.dataType, T.FloatType) else 2 * _width(f.dataType)
+            head = F.substring(rest, 1, size)
+            return then(F.when(F.length(head) == size, head), F.lit(size + 1))
+        # whole bytes up to the end mark; possessive, so that long text needs no stack
+        return _let(F.regexp_extract(rest, "^((?:(?!0001)[0-9A-F]{2})*+0001)", 1), lambda x: then(
+            F.when(x != "", F.substring(x, F.lit(1), F.length(x) - 4)), F.length(x) + 1))
+
+    def dec(k: Column) -> Column:
+        return _let(F.hex(k.cast("binary")), lambda h: field(0, h, []))
+
+    def constant(value, f: T.StructField) -> Column:
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):     # a literal, which the scan takes
+            bits = int.from_bytes(struct.pack(">d", math.nan if value != value else float(value) + 0.0), "big")
+            return F.lit((bits ^ ((1 << 64) - 1) if bits >> 63 else bits | 1 << 63).to_bytes(8, "big"))
+        return _ordered_bytes(F.lit(_within(value, f.dataType)).cast(f.dataType), f.dataType)
+
+    def prefix(vals):
+        return F.concat(*[constant(v, f) for v, f in zip(vals, st.fields)])
+
+    def bounds(equal, ops):
+        i = len(equal)
+        head = [prefix(equal)] if equal else []
+        if i >= len(st.fields):
+            ops = []
+        lows = [F.concat(*head, constant(v, st.fields[i])) for op, v in ops if op in (">", ">=", "=")] or head
+        highs = [F.concat(*head, constant(v, st.fields[i]), above) for op, v in ops if op in ("<", "<=", "=")]
+        highs = highs or [F.concat(*head, above) for _ in head]
+        return _extreme(lows, F.greatest), _extreme(highs, F.least)
+
+    return KeyCodec(st, enc, dec, prefix, "ordered", bounds, "binary")
+
+
+__all__ = ["KeyCodec", "ordered", "delimited", "collection_delimited", "fixed_width", "one_byte_fields",
            "salted"]

@@ -148,10 +148,13 @@ class Mapping:
     null_format: str = DEFAULT_NULL_FORMAT
     timestamp_formats: tuple[str, ...] = ()
     separators: tuple[str, ...] = DEFAULT_SEPARATORS
+    escape: str | None = None         # escape character of text storage; None: nothing is escaped
     key_codec: object | None = None   # functions.keys.KeyCodec
     default_storage: str = "string"
 
     def __post_init__(self):
+        if self.escape is not None and (len(self.escape) != 1 or self.escape in self.separators or self.escape.isalnum()):
+            raise MappingError("the escape is one character, no letter, digit or separator")
         keys = [f for f in self.fields if f.role == "key"]
         if len(keys) != 1:
             raise MappingError("a mapping needs exactly one :key column")

@@ -26,7 +26,7 @@ def encode_field(col: Column, f: Field, m: Mapping, src_type: T.DataType | None
     if src_type is not None and isinstance(src_type, _COMPLEX) and not isinstance(f.dtype, _COMPLEX):
         return codec.encode_json(col)          # complex value into a primitive column
     return codec.encode_value(col, f.dtype, f.storage,
-                              null_format=m.null_format, separators=m.separators)
+                              null_format=m.null_format, separators=m.separators, escape=m.escape)
 
 
 def encode_key(col: Column, m: Mapping) -> Column:
@@ -154,10 +154,9 @@ def _unpivot_cells(df, m, fields, key, ts_col, seq_col, schema, strict_keys, car
 
 def key_type(m: Mapping) -> str:
     k = m.key
-    if m.key_codec is None and (
-        (k.storage == "binary" and not isinstance(k.dtype, T.StringType))
-        or isinstance(k.dtype, T.BinaryType)
-    ):
+    if m.key_codec is not None:
+        return m.key_codec.key_type
+    if (k.storage == "binary" and not isinstance(k.dtype, T.StringType)) or isinstance(k.dtype, T.BinaryType):
         return "binary"
     return "string"
 

@@ -139,7 +139,7 @@ def composite_key_filter(cells: DataFrame, key_codec: KeyCodec,
             out = out.where(F.col("row_key").startswith(p))
     following = names[len(equal)] if len(equal) < len(names) else None
     ops = [(op, v) for n, op, v in ranges if n == following]
-    if ops and key_codec.bounds is not None:
+    if (ops or equal) and key_codec.bounds is not None:
         lo, hi = key_codec.bounds(values, ops)
         if lo is not None:
             out = out.where(F.col("row_key") >= lo)

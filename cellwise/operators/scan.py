@@ -63,6 +63,7 @@ def decode_field(value: Column, f: Field, m: Mapping) -> Column:
         null_format=m.null_format,
         timestamp_formats=m.timestamp_formats,
         separators=m.separators,
+        escape=m.escape,
     )
 
 

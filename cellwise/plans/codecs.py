@@ -150,6 +150,47 @@ def i5_delimited(spark, sf_dir):
                     "info.size", "info.price", "info.brand")
 
 
+# ------------------------------------------------- escapes in delimited text
+PART_ESCAPED = Mapping(
+    (Field("part_key", "string", "key"),
+     Field("words", "array<string>", "column", "x", "words"),
+     Field("attrs", "map<string,string>", "column", "x", "attrs"),
+     Field("nested", "array<array<string>>", "column", "x", "nested"),
+     Field("info", "struct<a:string,b:array<string>,n:int>", "column", "x", "info"),
+     Field("plain", "string", "column", "x", "plain")),
+    escape="\\")
+
+
+@query("i5_escaped", f"""
+SELECT {_PKEY} AS part_key, p_name || chr(2) || p_brand || '|' || chr(92) || '|' || chr(92) || chr(92) || chr(2) || p_type || '|' || '' || '|' || chr(92) || 'N' AS words,
+       5 AS n_words,
+       'k' || chr(3) || p_brand || '=' || p_type || chr(2) || chr(92) || ',z=' || chr(4) AS attrs,
+       'a' || chr(3) || p_size || '/' || chr(92) || 'b' || '|' || chr(2) || chr(92) AS nested,
+       p_name || chr(2) AS info_a, chr(3) || '|' || chr(92) || chr(3) || p_brand AS info_b, p_size AS info_n,
+       chr(1) || chr(92) || 'x' || chr(2) || p_name AS plain
+FROM part
+""")
+def i5_escaped(spark, sf_dir):
+    """Text that holds separators, escapes and the null sequence, in arrays,
+    maps, nested arrays and structs, reads back as it was written."""
+    p = tc.load(spark, sf_dir, "part")
+    esc, s2, s3 = F.lit("\\"), F.lit("\x02"), F.lit("\x03")
+    rows = p.select(
+        tc.padded("p_partkey", 10).alias("part_key"),
+        F.array(F.concat("p_name", s2, "p_brand"), esc, F.concat(esc, esc, s2, "p_type"), F.lit(""), F.lit("\\N")).alias("words"),
+        F.create_map(F.concat(F.lit("k"), s3, "p_brand"), F.concat("p_type", s2, esc), F.lit("z"), F.lit("\x04")).alias("attrs"),
+        F.array(F.array(F.concat(F.lit("a"), s3, F.col("p_size").cast("string")), F.concat(esc, F.lit("b"))),
+                F.array(F.concat(s2, esc))).alias("nested"),
+        F.struct(F.concat("p_name", s2).alias("a"), F.array(s3, F.concat(esc, s3, "p_brand")).alias("b"),
+                 F.col("p_size").cast("int").alias("n")).alias("info"),
+        F.concat(F.lit("\x01"), esc, F.lit("x"), s2, "p_name").alias("plain"))
+    t = scan.scan_table(table_to_cells(rows, PART_ESCAPED, ts=tc.CU_WRITE_TS), PART_ESCAPED)
+    return t.select("part_key", F.array_join("words", "|").alias("words"), F.size("words").alias("n_words"),
+                    map_text(F.col("attrs")).alias("attrs"),
+                    F.array_join(F.transform("nested", lambda a: F.array_join(a, "/")), "|").alias("nested"),
+                    F.col("info.a").alias("info_a"), F.array_join("info.b", "|").alias("info_b"), F.col("info.n").alias("info_n"), "plain")
+
+
 PART_JSON = Mapping.parse(":key,x:info", ["part_key", "info"], ["string", "string"])
 
 

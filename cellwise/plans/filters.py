@@ -5,10 +5,13 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from ..mapping import Mapping
+from ..functions import keys
+from ..mapping import Field, Mapping
 from ..operators import predicates as P
 from ..operators import scan
 from ..operators.encode import table_to_cells
+from ..session import scratch_path
+from ..sources.store import CellStore
 from . import testcells as tc
 from .reads import LI_NEWEST, _EV_RANKED
 from .registry import query
@@ -29,6 +32,36 @@ def c1_point_lookup(spark, sf_dir):
     return _or_scan(P.key_eq(tc.or_cells(spark, sf_dir), "000000000042"))
 
 
+def _two_version_orders(spark, sf_dir):
+    """Orders in a store: the even keys, cut into 4 regions, then the others, cut into 9."""
+    store = CellStore(spark, scratch_path(spark, "c1"))
+    cells = tc.or_cells(spark, sf_dir)
+    even = F.substring("row_key", -1, 1).cast("int") % 2 == 0
+    layout = {"parquet.bloom.filter.enabled#row_key": "true"}
+    store.write(cells.where(even), regions=4, layout=layout)
+    store.write(cells.where(~even), regions=9, layout=layout)
+    return store
+
+
+C1_KEYS = ["000000000007", "000000000042", "000000000043", "000000000999", "000000001200", "no such key"]
+
+
+@query("c1_store_lookup", f"SELECT {_OR_ROW} FROM orders WHERE {_OKEY} IN ({', '.join(repr(k) for k in C1_KEYS)})")
+def c1_store_lookup(spark, sf_dir):
+    """C1 on a store: several keys at once; only the regions that can hold one of
+    them are listed, in each version by its own split points."""
+    return scan.scan_table(_two_version_orders(spark, sf_dir).read(keys=C1_KEYS), tc.OR_MAPPING)
+
+
+@query("c1_store_semi_join", f"SELECT {_OR_ROW} FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_nationkey = 3)")
+def c1_store_semi_join(spark, sf_dir):
+    """C1 with the keys in a table: the orders of one nation's customers."""
+    c = tc.load(spark, sf_dir, "customer").where("c_nationkey = 3")
+    o = tc.load(spark, sf_dir, "orders")
+    wanted = o.join(c, o.o_custkey == c.c_custkey).select(tc.padded("o_orderkey", tc.ORDER_KEY_WIDTH).alias("k"))
+    return scan.scan_table(_two_version_orders(spark, sf_dir).lookup(wanted, "k"), tc.OR_MAPPING)
+
+
 @query("c2_key_range", f"""
 SELECT {_OR_ROW} FROM orders
 WHERE {_OKEY} >= '000000001000' AND {_OKEY} < '000000002000'
@@ -180,6 +213,35 @@ def c6_composite_key_prefix(spark, sf_dir):
                     F.col("li_key.linenumber").alias("linenumber"), "qty", "status")
 
 
+ORDERED_KEY = keys.ordered([("supp", "int"), ("price", "double"), ("flag", "string"), ("orderkey", "bigint"), ("line", "int")])
+ORDERED_MAPPING = Mapping((Field("k", ORDERED_KEY.struct_type, "key"), Field("qty", "int", "column", "l", "qty")),
+                          key_codec=ORDERED_KEY)
+
+
+@query("c6_ordered_range", """
+WITH r AS (SELECT l_suppkey - 5 AS supp, l_extendedprice - 20000 AS price, l_returnflag AS flag, l_orderkey AS orderkey,
+                  l_linenumber AS line, max(CAST(l_quantity AS INTEGER)) AS qty
+           FROM lineitem GROUP BY ALL)
+SELECT CAST(supp AS INTEGER) AS supp, price, flag, orderkey, CAST(line AS INTEGER) AS line, qty FROM r
+WHERE (supp = -2 AND price > -1500.5 AND price <= 12000) OR (supp < -3 AND supp >= -5)
+""")
+def c6_ordered_range(spark, sf_dir):
+    """C6 on an order-preserving key in a store: an equal number and a range on a
+    float after it, and a range on the leading number, negative values too; both
+    as bounds on the stored key."""
+    li = tc.load(spark, sf_dir, "lineitem")
+    rows = li.select(
+        F.struct((F.col("l_suppkey") - 5).cast("int").alias("supp"), (F.col("l_extendedprice") - 20000).alias("price"),
+                 F.col("l_returnflag").alias("flag"), F.col("l_orderkey").cast("bigint").alias("orderkey"),
+                 F.col("l_linenumber").cast("int").alias("line")).alias("k"),
+        F.col("l_quantity").cast("int").alias("qty"))
+    store = CellStore(spark, scratch_path(spark, "c6"))
+    store.write_table(rows, ORDERED_MAPPING, ts=tc.CU_WRITE_TS, seq=F.col("qty"), regions=8)
+    one = P.composite_key_filter(store.read(), ORDERED_KEY, [("supp", -2)], ranges=[("price", ">", -1500.5), ("price", "<=", 12000)])
+    two = P.composite_key_filter(store.read(), ORDERED_KEY, ranges=[("supp", "<", -3), ("supp", ">=", -5)])
+    return scan.scan_table(one.unionByName(two), ORDERED_MAPPING).select("k.*", "qty")
+
+
 @query("c7_row_filter", f"""
 SELECT {_OR_ROW} FROM orders
 WHERE {_OKEY} LIKE '0000000%' AND NOT ({_OKEY} LIKE '%7') AND {_OKEY} >= '000000000100'

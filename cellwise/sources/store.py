@@ -30,7 +30,8 @@ from ..mapping import Mapping
 from ..operators.encode import encode_key, table_to_cells
 from ..operators.encode import key_type as mapping_key_type
 from ..operators.joins import estimated_bytes
-from ..operators.regions import region_bounds, region_expr, region_weights, split_points, task_shares
+from ..operators.regions import (_plain, region_bounds, region_expr, region_of, region_weights, split_points,
+                                 task_shares)
 from ..session import list_file_sizes, path_exists
 
 # ``points`` are the split points of that version's regions: text, or hex where
@@ -410,11 +411,14 @@ class CellStore:
 
     # ---------------------------------------------------------------- read
     def read(self, *, snapshot: str | None = None, versions: Sequence[int] | None = None,
-             key_lo=None, key_hi=None, families: Sequence[str] | None = None,
+             key_lo=None, key_hi=None, keys: Sequence | None = None, families: Sequence[str] | None = None,
              bucketed: bool = False) -> DataFrame:
         """All cells of the published versions (or of a snapshot), with
-        ``region`` and ``v`` columns.  Key bounds (inclusive) add region pruning
-        on top of the row-key filter: each version by its own split points.
+        ``region`` and ``v`` columns.  Key bounds (inclusive) and ``keys`` (a
+        point lookup; for many, see :meth:`lookup`) add region pruning on top of
+        the row-key filter: each version by its own split points, down to the
+        regions that can hold one of the keys.  The keys reach the scan, where
+        row-group statistics, page indexes and bloom filters skip the rest.
         Families prune directories.  ``bucketed`` reads a bucketed table bucket
         by bucket (see the class).
         """
@@ -445,8 +449,30 @@ class CellStore:
                 df = df.where(F.col("row_key") >= F.lit(key_lo))
             if key_hi is not None:
                 df = df.where(F.col("row_key") <= F.lit(key_hi))
+        if keys is not None:
+            keys = sorted({_plain(k) for k in keys})
+            if not self.buckets:
+                df = df.where(self._regions_with(versions, keys))
+            df = df.where(F.col("row_key").isin(keys) if keys else F.lit(False))
         return df.select(*_CELL_READ)
 
+    def lookup(self, keys: DataFrame, key: str = "row_key", **read) -> DataFrame:
+        """The cells whose row key is in column ``key`` of ``keys``, of any
+        number of rows: a semi-join, for which Spark pushes a runtime filter
+        (bloom filter or key set) into the scan where that pays."""
+        wanted = keys.select(F.col(key).alias("_cw_key")).distinct()
+        cells = self.read(**read)
+        return cells.join(wanted, cells["row_key"] == wanted["_cw_key"], "left_semi")
+
+    def _regions_with(self, versions: list, keys: list) -> Column:
+        """The (version, region) directories that can hold one of ``keys``."""
+        points = {r["version"]: _typed_points(r) for r in self._commits()}
+        terms: dict[tuple, list] = {}
+        for v in versions:
+            terms.setdefault(tuple(sorted({region_of(points[v], k) for k in keys})), []).append(v)
+        return reduce(or_, [F.col("v").isin(vs) & F.col("region").isin(list(regions))
+                            for regions, vs in sorted(terms.items())])
+
     def _regions_of(self, versions: list, key_lo, key_hi) -> Column:
         """The (version, region) directories a key range can touch; versions
         with the same bounds share one term."""
