@@ -282,7 +282,7 @@ def ordered(fields) -> KeyCodec:
         if not isinstance(f.dataType, _ORDERED):
             raise TypeError(f"no ordered form for key field {f.name}: {f.dataType.simpleString()}")
     # longer than any run of FF bytes in a key: above every key that starts with what comes before it
-    above = F.lit(b"\xff" * (8 * len(st.fields) + 1))
+    above = b"\xff" * (8 * len(st.fields) + 1)
 
     def present(c: Column, f: T.StructField) -> Column:
         null = F.raise_error(F.lit(f"NULL key field {f.name}")).cast(f.dataType)
@@ -325,8 +325,8 @@ def ordered(fields) -> KeyCodec:
         if i >= len(st.fields):
             ops = []
         lows = [F.concat(*head, constant(v, st.fields[i])) for op, v in ops if op in (">", ">=", "=")] or head
-        highs = [F.concat(*head, constant(v, st.fields[i]), above) for op, v in ops if op in ("<", "<=", "=")]
-        highs = highs or [F.concat(*head, above) for _ in head]
+        highs = [F.concat(*head, constant(v, st.fields[i]), F.lit(above)) for op, v in ops if op in ("<", "<=", "=")]
+        highs = highs or [F.concat(*head, F.lit(above)) for _ in head]
         return _extreme(lows, F.greatest), _extreme(highs, F.least)
 
     return KeyCodec(st, enc, dec, prefix, "ordered", bounds, "binary")
