@@ -14,10 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialise, prefilter
+from .common import components, materialise, prefilter, release
 
-#: counted for the filter before verification: an edit changes the counts by two at most
-LETTERS = "etaoinshrdlu "
+#: counted for the filter before verification, digits too, as lines of one template often differ in
+#: numbers only: an edit changes the counts by two at most
+LETTERS = "etaoinshrdlu 0123456789"
 
 #: (characters of the shorter line, edits): about one edit in twenty characters, four at most
 EDITS_BY_LENGTH = ((20, 1), (40, 2), (120, 3), (240, 4))
@@ -60,28 +61,26 @@ def index_keys(line: Column, length: Column, classes: Sequence[tuple[int, int |
     return _by_class(length, classes, keys)
 
 
-def probe_keys(line: Column, length: Column, classes: Sequence[tuple[int, int | None, int]]) -> Column:
-    """Keys of the substrings that can align with a segment of a line of the same
-    length or of up to ``t`` characters less: by the edits left of the segment
-    and those right of it, its place moves by few characters only. The shorter
-    line's class sets ``t``, so a line just above a class probes that class too."""
-    parts = []
-    for lo, hi, t in classes:
-        keys = []
-        for d in range(t + 1):
-            other = length - d
-            held = (other >= lo) if hi is None else (other >= lo) & (other < hi)
-            for i in range(t + 1):
-                start, size = _segment(other, i, t + 1)
-                for o in range(max(-i, d - (t - i)), min(i, d + (t - i)) + 1):
-                    at = start + o
+def probe_keys(line: Column, length: Column, lo: int, hi: int | None, t: int) -> Column:
+    """Of one class of lengths: keys of the substrings that can align with a segment
+    of a line of the same length or of up to ``t`` characters less, NULLs among them.
+    By the edits left of the segment and those right of it, its place moves by few
+    characters only. The line's own segments are left out: it is indexed under them.
+    The shorter line's class sets ``t``, so a line just above a class probes that
+    class too."""
+    keys = []
+    for d in range(t + 1):
+        other = length - d
+        held = (other >= lo) if hi is None else (other >= lo) & (other < hi)
+        for i in range(t + 1):
+            start, size = _segment(other, i, t + 1)
+            for o in range(max(-i, d - (t - i)), min(i, d + (t - i)) + 1):
+                at = start + o
+                if d or o:
                     keys.append(F.when(
                         held & (at >= 0) & (at + size <= length),
                         F.xxhash64(F.lit(i), other.cast("int"), F.substring(line, (at + 1).cast("int"), size.cast("int")))))
-        found = F.filter(F.array(*keys), lambda k: k.isNotNull())
-        reached = (length >= lo) if hi is None else (length >= lo) & (length < hi + t)
-        parts.append(found if len(classes) == 1 else F.when(reached, found).otherwise(F.expr("cast(array() as array<bigint>)")))
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+    return F.array(*keys)
 
 
 def edit_distance(a: Column, b: Column, t: int) -> Column:
@@ -148,27 +147,26 @@ def line_classes(docs: DataFrame, max_edits: int | Sequence[tuple[int, int]] = 1
     texts have no lines and an empty text has one empty line; NULL ids come
     first in the order; rows that repeat an id and line number are all kept.
 
-    Equal lines meet by their 128-bit hash, with partial aggregates. Of the
-    distinct lines only keys and 64-bit handles are shuffled; the text of lines
-    that share a key is fetched once, behind a bounded bucket filter, and pairs
-    leave the join only if their letter counts allow ``max_edits`` edits.
+    Equal lines meet by their 128-bit hash, with partial aggregates, and each different
+    text is written once. Of these only keys and numbers are shuffled: all keys under
+    which lines are indexed, and of those that lines ask for the ones that pass a
+    bitmap of the former, of fixed size. Pairs leave the join only if their counts of
+    letters and digits allow the edits. Tables are deleted when nothing reads them any more.
     """
     steps = length_classes(max_edits, min_chars)
     lines = explode_lines(docs, id_col, text_col).withColumn("n", F.char_length("line"))
     long_lines = lines.filter(F.col("n") >= min_chars).withColumn("h", F.unhex(F.md5(F.col("line").cast("binary"))))
-    length = F.col("n")
     groups = materialise(
-        long_lines.select("h", F.struct("doc_id", "line_no").alias("place"), F.xxhash64("line").alias("x"),
-                          index_keys(F.col("line"), length, steps).alias("held"),
-                          probe_keys(F.col("line"), length, steps).alias("asked"))
-        .groupBy("h").agg(F.min("place").alias("place"), F.first("x").alias("x"),
-                          F.first("held").alias("held"), F.first("asked").alias("asked")), "line-groups")
-    links = _links(groups, long_lines, steps)
+        long_lines.select("h", F.struct("doc_id", "line_no").alias("place"), "line", "n")
+        .groupBy("h").agg(F.min("place").alias("place"), F.first("line").alias("line"), F.first("n").alias("n"))
+        .select(F.monotonically_increasing_id().alias("id"), "h", "place", "line", "n"), "line-groups")
+    links = _links(groups, steps)
     linked = materialise(_class_of(links), "line-linked")
     classes = materialise(
         groups.select("h", "place").join(linked, "h", "left")
         .select("h", F.coalesce("class_place", "place").alias("class_place"),
                 F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")), "line-classes")
+    release(groups, links, linked)
     out = (long_lines.select("doc_id", "line_no", "h").join(classes, "h")
            .select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.col("class_place.doc_id").alias("class_doc"),
                    F.col("class_place.line_no").cast("long").alias("class_line"), "n_links"))
@@ -179,34 +177,44 @@ def line_classes(docs: DataFrame, max_edits: int | Sequence[tuple[int, int]] = 1
         "kept", F.col("doc_id").eqNullSafe(F.col("class_doc")) & (F.col("line_no") == F.col("class_line")))
 
 
-def _links(groups: DataFrame, long_lines: DataFrame, classes: list[tuple[int, int | None, int]]) -> DataFrame:
-    """``a, b`` (ids) and the table of candidate lines ``id, h, place``, joined: one row per
-    linked pair with both lines' hash and place."""
-    rows = (groups.select("x", F.lit(True).alias("is_held"), F.explode("held").alias("k"))
-            .union(groups.select("x", F.lit(False).alias("is_held"), F.explode("asked").alias("k"))))
-    # keys under which one line is held and another one asks
-    busy = materialise(rows.groupBy("k").agg(F.min("x").alias("lo"), F.max("x").alias("hi"),
-                                             F.bool_or("is_held").alias("held"), F.bool_and("is_held").alias("only"))
-                       .filter("lo <> hi and held and not only").select("k"), "line-keys")
+def _links(groups: DataFrame, classes: list[tuple[int, int | None, int]]) -> DataFrame:
+    """One row per linked pair: ``a, b`` (ids of ``groups``) with both lines' hash and place."""
+    length = F.col("n")
+    held = groups.select("id", F.lit(True).alias("is_held"), F.explode(index_keys(F.col("line"), length, classes)).alias("k"))
+    asked = None
+    for lo, hi, t in classes:
+        reached = (length >= lo) if hi is None else (length >= lo) & (length < hi + t)
+        own = (groups.filter(reached).select("id", F.lit(False).alias("is_held"), F.explode(probe_keys(F.col("line"), length, lo, hi, t)).alias("k"))
+               .filter(F.col("k").isNotNull()))
+        asked = own if asked is None else asked.union(own)
+    rows = materialise(held.union(_may_be_held(asked, held)), "line-rows")
+    # keys under which one line is held and another one is held or asks
+    busy = materialise(rows.groupBy("k").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.bool_or("is_held").alias("held"))
+                       .filter("lo <> hi and held").select("k"), "line-keys")
     met = materialise(prefilter(rows, F.col("k"), busy).join(busy, "k", "left_semi"), "line-met")
-    handles = met.select("x").distinct()
-    texts = (prefilter(long_lines.withColumn("x", F.xxhash64("line")), F.col("x"), handles)
-             .join(handles, "x", "left_semi").groupBy("h").agg(F.first("x").alias("x"), F.first("line").alias("line"), F.first("n").alias("n"),
-                                                               F.min(F.struct("doc_id", "line_no")).alias("place")))
+    release(rows, busy)
+    handles = materialise(met.select("id").distinct(), "line-handles")
     counts = [(F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(c)))).alias(f"c{i}")
               for i, c in enumerate(LETTERS)]
-    table = materialise(texts.select(F.monotonically_increasing_id().alias("id"), "h", "x", "line", "n", "place", *counts),
-                        "line-texts")
-    names = ["n", *(f"c{i}" for i in range(len(LETTERS)))]
-    near = met.join(table.select("id", "x", *names), "x").select("k", "is_held", "id", *names)
-    near = materialise(near, "line-near")
+    table = materialise(prefilter(groups, F.col("id"), handles).join(handles, "id", "left_semi")
+                        .select("id", "h", "line", "n", "place", *counts), "line-texts")
+    # the counts' parities: an edit changes two of them at most, and one comparison rules out most pairs
+    odd = sum((F.call_function("shiftleft", F.col(f"c{i}").bitwiseAND(1), F.lit(i)) for i in range(1, len(LETTERS))),
+              F.col("c0").bitwiseAND(1)).alias("odd")
+    names = ["n", "odd", *(f"c{i}" for i in range(len(LETTERS)))]
+    near = materialise(met.join(table.select("id", "n", odd, *names[2:]), "id").select("k", "is_held", "id", *names), "line-near")
+    release(met, handles)
     a = near.filter("is_held").select("k", F.col("id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in names])
-    b = near.filter("not is_held").select("k", F.col("id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in names])
-    apart = sum((F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")) for c in names[2:]), F.abs(F.col("a_c0") - F.col("b_c0")))
+    b = near.select("k", F.col("id").alias("b"), F.col("is_held").alias("b_held"), *[F.col(c).alias(f"b_{c}") for c in names])
+    apart = sum((F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")) for c in names[3:]), F.abs(F.col("a_c0") - F.col("b_c0")))
     allowed = _by_class(F.least("a_n", "b_n"), classes, F.lit)
+    # of two lines held under a key, the one with the smaller number is the first
+    once = F.when(F.col("b_held"), F.col("a") < F.col("b")).otherwise(F.col("a") != F.col("b"))
     pairs = materialise(
-        a.join(b, (a.k == b.k) & (F.col("a") != F.col("b")) & (F.abs(F.col("a_n") - F.col("b_n")) <= allowed) & (apart <= 2 * allowed))
+        a.join(b, (a.k == b.k) & once & (F.bit_count(F.col("a_odd").bitwiseXOR(F.col("b_odd"))) <= 2 * allowed)
+               & (F.abs(F.col("a_n") - F.col("b_n")) <= allowed) & (apart <= 2 * allowed))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
+    release(near)
     one = table.select(F.col("id").alias("a"), F.split("line", "").alias("chars_a"), F.col("h").alias("h_a"),
                        F.col("place").alias("place_a"))
     two = table.select(F.col("id").alias("b"), F.split("line", "").alias("chars_b"), F.col("h").alias("h_b"),
@@ -215,8 +223,22 @@ def _links(groups: DataFrame, long_lines: DataFrame, classes: list[tuple[int, in
     shorter = F.least(F.size("chars_a"), F.size("chars_b"))
     linked = _by_class(shorter, classes, lambda t: (F.abs(F.size("chars_a") - F.size("chars_b")) <= t)
                        & (edit_distance(F.col("chars_a"), F.col("chars_b"), t) <= t))
-    return materialise(both.filter(linked)
-                       .select("a", "b", "h_a", "h_b", "place_a", "place_b"), "line-links")
+    links = materialise(both.filter(linked)
+                        .select("a", "b", "h_a", "h_b", "place_a", "place_b"), "line-links")
+    release(table, pairs)
+    return links
+
+
+def _may_be_held(asked: DataFrame, held: DataFrame, words: int = 1 << 20) -> DataFrame:
+    """Rows of ``asked`` whose key may be one of ``held``: a bitmap of ``words`` times 64
+    bits, never more than ``words`` rows, is broadcast. No row with a held key is lost."""
+    word = F.pmod("k", F.lit(words))
+    bit = F.call_function("shiftright", F.col("k"), F.lit(40)).bitwiseAND(63).cast("int")
+    seen = (held.select(word.alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("_bit"))
+            .groupBy("_word").agg(F.bit_or("_bit").alias("_bits")))
+    found = asked.withColumn("_word", word).withColumn("_bit", F.call_function("shiftleft", F.lit(1).cast("long"), bit))
+    return (found.join(F.broadcast(seen), "_word").filter(F.col("_bits").bitwiseAND(F.col("_bit")) != 0)
+            .select("id", "is_held", "k"))
 
 
 def _class_of(links: DataFrame) -> DataFrame:

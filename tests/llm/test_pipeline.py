@@ -1,13 +1,14 @@
 import hashlib
 import os
 import sys
+from collections import Counter
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cellwise.llm import bpe, decontam
+from cellwise.llm import bpe, decontam, line_dedup
 from cellwise.llm.common import materialise
 from cellwise.llm.queries import ORACLE, QUERIES
 
@@ -15,7 +16,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(
 from oracle_check import TABLES, digest  # noqa: E402
 
 from conftest import SF_SMALL
-from helpers_llm import ODD, documents, near_groups
+from helpers_llm import ODD, component_map, documents, edits, near_groups
 
 
 @pytest.fixture(scope="module")
@@ -35,20 +36,36 @@ def test_query_matches_oracle(spark, duck, name):
     assert digest(df.columns, [tuple(r) for r in df.collect()], None)[0] == digest(cols, cur.fetchall(), None)[0]
 
 
+def _edits_allowed(n):
+    return max((t for lo, t in line_dedup.EDITS_BY_LENGTH if n >= lo), default=0)
+
+
 def _drop_lines(texts):
-    seen, out = [], {}
+    """Without the lines that are not the first of their class: equal lines, and those within the
+    edits that the shorter one's length allows, over any number of links."""
+    first = {}
     for i, t in texts:
-        if t is None:
-            out[i] = t
-            continue
-        left = []
-        for s in t.split("\n"):
+        for j, s in enumerate((t or "").split("\n")):
             if len(s) >= 20:
-                if s in seen:
-                    continue
-                seen.append(s)
-            left.append(s)
-        if len(left) == len(t.split("\n")):
+                first.setdefault(s, (i, j))
+    bags = {s: Counter(s) for s in first}
+    by_length = {}
+    for s in first:
+        by_length.setdefault(len(s), []).append(s)
+    links = []
+    for n, own in by_length.items():
+        t = _edits_allowed(n)
+        for d in range(t + 1):
+            for x in own:
+                for y in by_length.get(n + d, ()):
+                    if (d or x < y) and max((bags[x] - bags[y]).total(), (bags[y] - bags[x]).total()) <= t and edits(x, y) <= t:
+                        links.append((first[x], first[y]))
+    top = component_map(first.values(), links)
+    out = {}
+    for i, t in texts:
+        ls = (t or "").split("\n")
+        left = [s for j, s in enumerate(ls) if len(s) < 20 or top[first[s]] == (i, j)]
+        if len(left) == len(ls):
             out[i] = t
         elif "\n".join(left).strip():
             out[i] = "\n".join(left)
@@ -56,8 +73,7 @@ def _drop_lines(texts):
 
 
 def test_stages_by_brute_force(spark):
-    """Every stage against its own input; lines here differ by far more than one
-    edit or not at all, so that equality decides."""
+    """Every stage against its own input."""
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     odd = documents(spark, ODD, range(10_000, 10_000 + len(ODD)), ["en"] * len(ODD)).select(*docs.columns)
     table, rows = materialise(docs.union(odd), "test"), {}
@@ -101,4 +117,4 @@ def test_run_is_the_stages(spark):
 def test_registered():
     import __spark_entry__ as E
     names = set(E.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
