@@ -231,13 +231,15 @@ def _links(groups: DataFrame, classes: list[tuple[int, int | None, int]]) -> Dat
 
 def _may_be_held(asked: DataFrame, held: DataFrame, words: int = 1 << 20) -> DataFrame:
     """Rows of ``asked`` whose key may be one of ``held``: a bitmap of ``words`` times 64
-    bits, never more than ``words`` rows, is broadcast. No row with a held key is lost."""
+    bits, never more than ``words`` rows, is broadcast; a key sets three bits of its
+    word. No row with a held key is lost."""
     word = F.pmod("k", F.lit(words))
-    bit = F.call_function("shiftright", F.col("k"), F.lit(40)).bitwiseAND(63).cast("int")
-    seen = (held.select(word.alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("_bit"))
-            .groupBy("_word").agg(F.bit_or("_bit").alias("_bits")))
-    found = asked.withColumn("_word", word).withColumn("_bit", F.call_function("shiftleft", F.lit(1).cast("long"), bit))
-    return (found.join(F.broadcast(seen), "_word").filter(F.col("_bits").bitwiseAND(F.col("_bit")) != 0)
+    one = lambda at: F.call_function("shiftleft", F.lit(1).cast("long"), F.call_function(
+        "shiftright", F.col("k"), F.lit(at)).bitwiseAND(63).cast("int"))
+    mask = one(58).bitwiseOR(one(46)).bitwiseOR(one(34))
+    seen = held.select(word.alias("_word"), mask.alias("_mask")).groupBy("_word").agg(F.bit_or("_mask").alias("_bits"))
+    found = asked.withColumn("_word", word).withColumn("_mask", mask)
+    return (found.join(F.broadcast(seen), "_word").filter(F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask"))
             .select("id", "is_held", "k"))
 
 
@@ -264,7 +266,13 @@ def drop_repeats(docs: DataFrame, max_edits: int | Sequence[tuple[int, int]] = 1
     gone = materialise(gone.withColumnRenamed("doc_id", "_gone_id"), "line-gone")
     left = F.filter(F.split(F.col(text_col), "\n", -1),
                     lambda line, i: ~F.array_contains(F.col("_gone"), i.cast("long")))
+    # documents that lose nothing are not shuffled: their ids' buckets, 2^20 at most, are known to all tasks
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 20)).alias("_line_bucket")
+    seen = F.broadcast(gone.select(bucket("_gone_id")).distinct())
+    dealt = docs.select("*", bucket(id_col))
+    whole = dealt.join(seen, "_line_bucket", "left_anti").select(*docs.columns)
+    docs = dealt.join(seen, "_line_bucket", "left_semi").select(*docs.columns)
     cut = docs.join(gone, docs[id_col] == gone["_gone_id"], "left").withColumn(
         "_left", F.when(F.col("_gone").isNotNull(), F.array_join(left, "\n")))
     cut = cut.filter(F.col("_left").isNull() | F.col("_left").rlike(r"\S"))
-    return cut.withColumn(text_col, F.coalesce(F.col("_left"), F.col(text_col))).select(*docs.columns)
+    return whole.union(cut.withColumn(text_col, F.coalesce(F.col("_left"), F.col(text_col))).select(*docs.columns))
