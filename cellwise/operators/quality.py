@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import codec
 from ..mapping import Field, Mapping
 from .encode import _map_key_text, encode_field, encode_key
-from .scan import _map_key, _map_value, _match, cell_filter, decode_field, decode_key, scan_table
+from .scan import _map_key, _map_value, _match, cell_filter, decode_field, decode_key
 
 
 # ---------------------------------------------------------------------- B3
@@ -75,19 +75,20 @@ def validate_keys(df: DataFrame, key: str, *, strict: bool = False):
 # ---------------------------------------------------------------------- E7
 def table_stats(cells: DataFrame, m: Mapping) -> DataFrame:
     """rows, cells, bytes, and per mapped scalar column its non-null count and
-    null rate, as one row."""
-    scanned = scan_table(cells, m)
-    cols = [f for f in m.cell_fields]
-    cstats = cells.where(cell_filter(m.cell_fields + m.map_fields)).agg(
-        F.count(F.lit(1)).alias("cells"),
-        F.sum(F.octet_length("value") + F.octet_length("row_key") + F.octet_length("qualifier"))
-        .alias("bytes"))
-    rstats = scanned.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count(f.name).alias(f"{f.name}_nonnull") for f in cols])
-    # two one-row results folded into one row (no join needed)
-    both = rstats.unionByName(cstats, allowMissingColumns=True)
-    out = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    null rate, as one row.
+
+    One scan and no pivot: the newest version of each cell (with the number and
+    bytes of all its versions), then one count of distinct keys beside plain sums
+    and conditional counts, which Spark plans as numbers per row key, folded in
+    each map task.
+    """
+    cols = list(m.cell_fields)
+    per = (cells.where(cell_filter(m.cell_fields + m.map_fields)).groupBy("row_key", "family", "qualifier")
+           .agg(F.max(F.struct("ts", "seq", "value"))["value"].alias("value"), F.count(F.lit(1)).alias("n"),
+                F.sum(F.octet_length("value") + F.octet_length("row_key") + F.octet_length("qualifier")).alias("b")))
+    held = [F.count(F.when(_match(f), decode_field(F.col("value"), f, m))).alias(f"{f.name}_nonnull") for f in cols]
+    out = per.agg(F.count_distinct("row_key").alias("rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("cells"),
+                  F.sum("b").alias("bytes"), *held)
     return out.select(
         "rows", "cells", "bytes",
         *[F.col(f"{f.name}_nonnull") for f in cols],

@@ -71,6 +71,16 @@ def e8_qualifier_profile(spark, sf_dir):
         tc.cu_rows(spark, sf_dir).select("cust_key", "name", "segment", "nation"), CU_TEXT, ts=tc.CU_WRITE_TS))
 
 
+@query("e8_qualifier_profile_all", "\nUNION ALL\n".join(
+    f"SELECT '{fam}' AS family, '{q}' AS qualifier, count({c}) AS rows, count({c}) AS cells, 1700000000000 AS first_ts, "
+    f"1700000000000 AS last_ts FROM customer"
+    for fam, q, c in (("p", "name", "c_name"), ("p", "segment", "c_mktsegment"), ("n", "nation", "c_nationkey"), ("n", "acctbal", "c_acctbal"))))
+def e8_qualifier_profile_all(spark, sf_dir):
+    """Qualifier census of all customer cells (the bytes of doubles depend on
+    how they are printed; e8_qualifier_profile compares those of the others)."""
+    return quality.qualifier_profile(tc.cu_cells(spark, sf_dir)).drop("bytes")
+
+
 @query("e8_event_profile", """
 SELECT 'e' AS family, event_type AS qualifier, count(DISTINCT user_id) AS rows,
        count(*) AS cells, min(epoch_us(ts) // 1000) AS first_ts, max(epoch_us(ts) // 1000) AS last_ts
