@@ -36,19 +36,21 @@ def key_report(df: DataFrame, key: str) -> DataFrame:
 def tag_keys(df: DataFrame, key: str) -> DataFrame:
     """``df`` with a ``reason``: null, empty, duplicate, or NULL for a good key.
 
-    Rows without a key are set apart first, so that they do not meet in one
-    task; duplicates are found with a grouped count joined back on the key, and
-    AQE's skew join splits a hot key's partition.
+    Two scans: a grouped count, which reads the key column only, and the rows,
+    joined with the duplicate keys once. Rows without a key go through that
+    join too, spread by a salt that no duplicate key has, so that they do not
+    meet in one task; AQE's skew join splits a hot key's partition.
     """
     k = F.col(key)
-    keyed = k.isNotNull() & (k.cast("string") != "")
+    keyed = F.coalesce(k.isNotNull() & (k.cast("string") != ""), F.lit(False))
+    # the salt depends on the count, so that it is a join key and no constant
     dup = (df.where(keyed).groupBy(k.alias("_cw_k")).agg(F.count(F.lit(1)).alias("_cw_n"))
-           .where(F.col("_cw_n") > 1))
-    held = df.where(keyed).join(dup, k == F.col("_cw_k"), "left")
-    tagged = held.withColumn("reason", F.when(F.col("_cw_n").isNotNull(), "duplicate")).drop("_cw_k", "_cw_n")
-    lacking = df.where(F.coalesce(~keyed, F.lit(True))).withColumn(
-        "reason", F.when(k.isNull(), "null").otherwise("empty"))
-    return tagged.unionByName(lacking)
+           .where(F.col("_cw_n") > 1).withColumn("_cw_z", F.when(F.col("_cw_n") > 0, F.lit(0))))
+    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    salt = F.when(keyed, F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*plain), F.lit(1 << 20)).cast("int"))
+    joined = df.withColumn("_cw_salt", salt).join(dup, (k == F.col("_cw_k")) & (F.col("_cw_salt") == F.col("_cw_z")), "left")
+    reason = F.when(F.col("_cw_n").isNotNull(), "duplicate").when(k.isNull(), "null").when(~keyed, "empty")
+    return joined.withColumn("reason", reason).drop("_cw_k", "_cw_n", "_cw_z", "_cw_salt")
 
 
 def validate_keys(df: DataFrame, key: str, *, strict: bool = False):
