@@ -1,10 +1,7 @@
-"""Join helpers: a broadcast only behind a checked size bound."""
+"""Join helpers: Catalyst's size estimate of a DataFrame."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -13,26 +10,4 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when its estimated size is at most ``max_bytes``
-    (default: the session's ``spark.sql.autoBroadcastJoinThreshold``, else
-    64 MB); otherwise ``df`` unchanged, so the join shuffles both sides."""
-    if max_bytes is None:
-        conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
-        max_bytes = DEFAULT_BROADCAST_BYTES
-        if conf:
-            v = conf.strip().lower()
-            mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-            for suffix in ("kb", "mb", "gb", "k", "m", "g", "b"):
-                if v.endswith(suffix):
-                    num = float(v[: -len(suffix)])
-                    max_bytes = int(num * mult.get(suffix[0], 1))
-                    break
-            else:
-                max_bytes = int(float(v))
-    if max_bytes > 0 and estimated_bytes(df) <= max_bytes:
-        return F.broadcast(df)
-    return df
-
-
-__all__ = ["broadcast_if_small", "estimated_bytes"]
+__all__ = ["estimated_bytes"]

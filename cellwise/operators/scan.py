@@ -137,6 +137,62 @@ def _packed_rows(pre: DataFrame, n: int) -> DataFrame:
     return split.select("row_key", "_ts", *[F.expr(f"coalesce(get(_all, {j}), element_at(_some, {j})) AS _s{j}") for j in range(n)])
 
 
+#: rows of more cells (all versions) are put together from pieces of about this size
+HOT_ROW_CELLS = 100_000
+#: hash values that mark rows of many cells: the most rows of a broadcast
+HOT_BUCKETS = 1 << 16
+
+
+def _map_rows(src: DataFrame, scalars: Sequence[Field], maps: Sequence[Field], hot_cells: int) -> DataFrame:
+    """``row_key, _e, _v0 ..., _ts``: the newest cells that the map fields read, as one
+    array per row, and the newest value of each scalar field.
+
+    Cells are packed by row within each map task and cross the network once. A row
+    key of more than ``hot_cells`` cells would make one array of all its versions, so
+    the cells are counted by key first (the key column only) and such a row is cut by
+    a hash of the cell into pieces of about ``hot_cells``; every piece keeps its newest
+    cells, and only these pieces are put together in a second exchange. Rows with
+    many cells are marked by one of ``HOT_BUCKETS`` hash values: that bounds the
+    broadcast, and another row with the same mark only takes the longer way.
+    """
+    bucket = F.pmod(F.xxhash64("row_key"), F.lit(HOT_BUCKETS))
+    hot = (src.groupBy("row_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_cells)
+           .groupBy(bucket.alias("_bucket")).agg(F.max(F.ceil(F.col("_n") / hot_cells)).alias("_pieces")))
+    tagged = src.withColumn("_bucket", bucket).join(F.broadcast(hot), "_bucket", "left")
+    # the task's number spreads repeats of one and the same cell
+    piece = F.pmod(F.xxhash64("family", "qualifier", "ts", "seq", "value", F.spark_partition_id()), F.col("_pieces"))
+    cell = F.when(reduce(or_, [_match(f) for f in maps]), F.struct("family", "qualifier", "ts", "seq", "value"))
+    slots = [F.when(_match(f), F.struct("ts", "seq", "value")).alias(f"_v{i}") for i, f in enumerate(scalars)]
+    most = [F.max(f"_v{i}").alias(f"_v{i}") for i in range(len(scalars))] + [F.max("_ts").alias("_ts")]
+    packed = (tagged.select("row_key", piece.alias("_piece"), "_pieces", F.col("ts").alias("_ts"), cell.alias("_cell"), *slots)
+              .groupBy("row_key", "_piece")
+              .agg(F.collect_list("_cell").alias("_e"), *most, F.max("_pieces").alias("_pieces")))
+    pieces = _newest_entries(packed)
+    # the mark is an aggregate, so neither filter moves below the exchange that both branches share
+    whole = pieces.where(F.col("_pieces").isNull()).drop("_piece", "_pieces")
+    joined = pieces.where(F.col("_pieces").isNotNull()).groupBy("row_key").agg(F.flatten(F.collect_list("_e")).alias("_e"), *most)
+    rows = whole.unionByName(_newest_entries(joined))
+    return rows.select("row_key", "_e", "_ts", *[F.col(f"_v{i}.value").alias(f"_v{i}") for i in range(len(scalars))])
+
+
+def _newest_entries(rows: DataFrame) -> DataFrame:
+    """``_e`` with the newest version of each cell only, in order of family and qualifier."""
+    last = F.filter("_e", lambda x, i: F.coalesce(
+        (F.get("_e", i + 1)["qualifier"] != x["qualifier"]) | (F.get("_e", i + 1)["family"] != x["family"]), F.lit(True)))
+    return rows.withColumn("_e", F.sort_array("_e")).withColumn("_e", last)
+
+
+def _entries(cells: Column, f: Field, m: Mapping) -> Column:
+    """Decoded entries of map field ``f`` among a row's newest cells; empty values are dropped."""
+    def read(x):
+        mine = (x["family"] == F.lit(f.family)) & (F.length(x["value"]) > 0)
+        return mine & x["qualifier"].startswith(f.qualifier) if f.role == "prefix" else mine
+
+    return F.transform(F.filter(cells, read), lambda x: F.struct(
+        _map_key(x["qualifier"], f, m).alias("key"), x["ts"].alias("ts"), x["seq"].alias("seq"),
+        x["value"].alias("raw"), _map_value(x["value"], f, m).alias("value")))
+
+
 # ---------------------------------------------------------------------- E6
 def latest(cells: DataFrame, by: Sequence[str] = ("row_key", "family", "qualifier")) -> DataFrame:
     """Newest version of every cell: max of (ts, seq), value as last tie break."""
@@ -167,6 +223,7 @@ def scan_table(
     *,
     projected_only: bool = False,
     raw_key: bool = False,
+    hot_cells: int = HOT_ROW_CELLS,
 ) -> DataFrame:
     """Typed rows from cells under mapping ``m``.
 
@@ -174,7 +231,8 @@ def scan_table(
     ahead of the pivot, as a filter Parquet can push down.  A row is returned
     when it has a cell in any mapped column; with ``projected_only=True`` only
     when it has a cell in a *requested* column (the wide-column store's own
-    rule, which reads fewer cells).
+    rule, which reads fewer cells).  Mappings with map columns put the cells of a
+    row together in arrays of about ``hot_cells`` cells (:func:`_map_rows`).
     """
     wanted = [f for f in m.fields if columns is None or f.name in columns or f.role == "key"]
     data_fields = [f for f in wanted if f.role in ("column", "family", "prefix")]
@@ -207,19 +265,9 @@ def scan_table(
             "row_key", "_ts", *[F.expr(f"_s{slots[(f.family, f.qualifier)]}.value AS _v{i}") for i, f in enumerate(scalars)])
         map_cols: dict[str, Column] = {}
     else:
-        newest = latest(src)
-        aggs = [F.max(F.when(_match(f), F.col("value"))).alias(f"_v{i}")
-                for i, f in enumerate(scalars)]
+        grouped = _map_rows(src, scalars, maps, hot_cells)
         for j, f in enumerate(maps):
-            entry = F.struct(
-                _map_key(F.col("qualifier"), f, m).alias("key"),
-                F.col("ts"), F.col("seq"), F.col("value").alias("raw"),
-                _map_value(F.col("value"), f, m).alias("value"),
-            )
-            keep = _match(f) & (F.length("value") > 0)      # empty values are dropped
-            aggs.append(F.collect_list(F.when(keep, entry)).alias(f"_m{j}"))
-        aggs.append(F.max("ts").alias("_ts"))
-        grouped = newest.groupBy("row_key").agg(*aggs)
+            grouped = grouped.withColumn(f"_m{j}", _entries(F.col("_e"), f, m))
         # sort first in its own projection: the dedup below reads the sorted
         # array once per element and must not re-sort it each time
         for j, f in enumerate(maps):
@@ -287,13 +335,13 @@ def row_count(cells: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- A4 / A5
 def scan_family_map(cells: DataFrame, family: str, key_type="string", value_type="string",
                     *, key_storage="string", value_storage="string", name="value",
-                    m: Mapping | None = None) -> DataFrame:
+                    m: Mapping | None = None, hot_cells: int = HOT_ROW_CELLS) -> DataFrame:
     """(row_key, map) of the newest cell per qualifier of ``family``."""
     f = Field(name, f"map<{_tn(key_type)},{_tn(value_type)}>", "family", family,
               storage=value_storage, key_storage=key_storage)
     mm = Mapping((Field("row_key", "string", "key"), f),
                  null_format=m.null_format if m else "\\N")
-    return scan_table(cells, mm, raw_key=True)
+    return scan_table(cells, mm, raw_key=True, hot_cells=hot_cells)
 
 
 def scan_prefix_map(cells: DataFrame, family: str, prefix: str, hide: bool = False,

@@ -113,6 +113,36 @@ def map_text(m, fmt=lambda v: v):
                                                        fmt(e["value"]).cast("string"))), ",")
 
 
+_HOT_KEY_SQL = "CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE lpad(CAST(l_orderkey AS VARCHAR), 10, '0') END"
+
+
+@query("a4_hot_row_map", f"""
+WITH c AS (
+  SELECT {_HOT_KEY_SQL} AS row_key, l_partkey AS part, l_orderkey AS o,
+         row_number() OVER (PARTITION BY {_HOT_KEY_SQL}, l_partkey
+                            ORDER BY CAST(l_shipdate AS DATE) DESC, l_orderkey * 10 + l_linenumber DESC) AS rn
+  FROM lineitem)
+SELECT row_key, count(*) AS n_entries, CAST(sum(part) AS BIGINT) AS sum_parts,
+       CAST(sum(part * 7 + o) AS BIGINT) AS sum_pairs
+FROM c WHERE rn = 1 GROUP BY row_key
+""")
+def a4_hot_row_map(spark, sf_dir):
+    """A4: family maps where one row holds a third of all cells; rows of more than
+    1,000 cells are put together from pieces."""
+    li = tc.load(spark, sf_dir, "lineitem")
+    cells = li.select(
+        F.when(F.col("l_orderkey") % 3 == 0, "hot").otherwise(tc.padded("l_orderkey", tc.CUST_KEY_WIDTH)).alias("row_key"),
+        F.lit("o").alias("family"), F.col("l_partkey").cast("string").alias("qualifier"),
+        (F.unix_date(F.col("l_shipdate").cast("date")).cast("long") * 86_400_000).alias("ts"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
+        F.col("l_orderkey").cast("string").cast("binary").alias("value"))
+    m = scan.scan_family_map(cells, "o", "bigint", "bigint", name="orders", hot_cells=1_000)
+    total = lambda of: F.aggregate(F.map_entries("orders"), F.lit(0).cast("long"), lambda a, e: a + of(e))
+    return m.select("row_key", F.size("orders").alias("n_entries"),
+                    total(lambda e: e["key"]).alias("sum_parts"),
+                    total(lambda e: e["key"] * 7 + e["value"]).alias("sum_pairs"))
+
+
 _LI_KEY_SQL = "lpad(CAST(l_orderkey AS VARCHAR), 10, '0') || '$$' || CAST(l_linenumber AS VARCHAR)"
 # lineitem as stored: of copies sharing (orderkey, linenumber) the newest wins
 LI_NEWEST = """(SELECT * FROM (SELECT *, row_number() OVER (

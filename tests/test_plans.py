@@ -51,16 +51,24 @@ def test_composite_prefix_pushed_to_parquet(spark, tmp_path):
     assert "StringStartsWith(row_key,0000000042$$)" in pushed
 
 
-def test_broadcast_only_under_the_bound(spark):
-    from cellwise.operators.joins import broadcast_if_small, estimated_bytes
-    c = tc.cu_rows(spark, SF_SMALL)
-    o = tc.or_rows(spark, SF_SMALL)
-    assert estimated_bytes(c) > 0
-    small = o.join(broadcast_if_small(c, 1 << 40), o["cust"] == c["nation"])
-    assert "BroadcastHashJoin" in plan(small)
+def test_d4_broadcasts_only_under_the_session_bound(spark):
+    from cellwise.plans.relational import d4_join_strategies
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        big = o.join(broadcast_if_small(c, 1), o["cust"] == c["nation"])
-        assert "BroadcastHashJoin" not in plan(big)
+        p = plan(d4_join_strategies(spark, SF_SMALL))
+        assert "BroadcastHashJoin" not in p and p.count("SortMergeJoin") >= 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_map_cells_cross_one_exchange(spark):
+    def final(df):
+        df.collect()
+        return plan(df).split("Initial Plan")[0]
+
+    ev = tc.ev_cells(spark, SF_SMALL)
+    p = final(scan.scan_family_map(ev, "e", "string", "double"))
+    assert p.count("Exchange hashpartitioning") == 1 and "partial_collect_list(_cell" in p
+    # with rows above the bound, both ways read the same exchange of packed cells
+    p = final(scan.scan_family_map(ev, "e", "string", "double", hot_cells=5))
+    assert "ReusedExchange" in p and p.count("partial_collect_list(_cell") == 1

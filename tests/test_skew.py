@@ -84,3 +84,29 @@ def test_default_read_of_a_bucketed_store_is_skew_safe(spark):
     assert "Exchange" in p and "partial_max(" in p     # skew-safe path
     hot = t.where("key = 'hot'").first()
     assert (hot.a, hot.b) == (29994, 29997) and t.count() == 20001
+
+
+def test_hot_row_map_from_pieces(spark):
+    """A third of all cells in one row, one of its cells with half of them: the same
+    maps whatever the size of the pieces, newest values by brute force."""
+    n = 9000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.format_string("k%04d", F.col("id") % 40)).alias("row_key"),
+        F.lit("f").alias("family"),
+        F.when(F.col("id") % 2 == 0, F.lit("x")).otherwise(F.format_string("q%d", F.col("id") % 500)).alias("qualifier"),
+        (F.col("id") * 7919 % 1000).alias("ts"), (F.col("id") % 5).cast("bigint").alias("seq"),
+        F.when(F.col("id") % 11 == 0, F.lit("")).otherwise(F.col("id").cast("string")).cast("binary").alias("value"))
+    df = df.union(df)                       # each cell twice
+    m = Mapping.parse(":key,f:,f:x,f:q1.*,:timestamp", ["key", "all", "x", "some", "at"],
+                      ["string", "map<string,bigint>", "bigint", "map<string,string>", "timestamp_ntz"])
+    want, newest = {}, {}
+    for r in df.collect():
+        cell = newest.setdefault(r.row_key, {})
+        cell[r.qualifier] = max(cell.get(r.qualifier, (-1, 0, b"")), (r.ts, r.seq, bytes(r.value)))
+    for k, cell in newest.items():
+        text = {q: v[2].decode() for q, v in cell.items() if v[2]}
+        want[k] = ({q: int(v) for q, v in text.items()}, int(text["x"]) if "x" in text else None,
+                   {q: v for q, v in text.items() if q.startswith("q1")}, max(v[0] for v in cell.values()))
+    for pieces_of in (100, 1000, 100_000):
+        got = scan.scan_table(df, m, hot_cells=pieces_of).select("*", F.expr("timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01', at)").alias("ms"))
+        assert {r.key: (r["all"], r.x, r.some, r.ms) for r in got.collect()} == want
