@@ -9,6 +9,7 @@ end them.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
@@ -30,61 +31,96 @@ def item_words(text: str | None) -> list[bytes]:
 
 
 class ItemAutomaton:
-    """Generalised suffix automaton of the word sequences of ``items``."""
+    """Generalised suffix automaton of the word sequences of ``items``.
+
+    Nearly every state has one transition: it lies in two flat arrays (word and
+    target; word 0 is none), and only the further ones of a state in ``more``.
+    """
 
     def __init__(self, items: Iterable[tuple[str, list[bytes]]], window: int):
         self.window = window
         self.vocab: dict[bytes, int] = {}
-        self.next: list[dict[int, int]] = [{}]
-        self.link, self.length = [-1], [0]
-        seqs = [(k, [self.vocab.setdefault(w, len(self.vocab) + 1) for w in ws]) for k, ws in items if ws]
-        for _, s in seqs:
+        self.word, self.to = array("i", [0]), array("i", [0])
+        self.more: dict[int, dict[int, int]] = {}
+        self.link, self.length = array("i", [-1]), array("i", [0])
+        names: list[str] = []
+        seqs: list[array] = []
+        for k, ws in items:
+            if ws:
+                names.append(k)
+                seqs.append(array("i", [self.vocab.setdefault(w, len(self.vocab) + 1) for w in ws]))
+        for s in seqs:
             last = 0
             for c in s:
                 last = self._extend(last, c)
-        self.shortest = min([window, *(len(s) for _, s in seqs)]) if seqs else window
-        self.windows: dict[int, list[str]] = {}      # state of a full window → items
-        self.ends: dict[int, list[tuple[int, str]]] = {}    # state of a short item → (words, item)
-        for k, s in seqs:
+        self.shortest = min([window, *(len(s) for s in seqs)]) if seqs else window
+        self.names = names
+        # items of the full window that ends at a state: 0 none, i + 1 the item i,
+        # -1 - k the set k of several; and the short items with their words
+        self.windows, self.several = array("i", bytes(4 * len(self.length))), []
+        self.ends: dict[int, set[tuple[int, int]]] = {}
+        for j, s in enumerate(seqs):
             state, size = 0, 0
             for c in s:
-                state, size = self.next[state][c], size + 1
+                state, size = self._step(state, c), size + 1
                 if size >= window:
-                    held = self.windows.setdefault(self._at(state, window), [])
-                    if k not in held:
-                        held.append(k)
+                    self._hold(self._at(state, window), j)
             if len(s) < window:
-                self.ends.setdefault(self._at(state, len(s)), []).append((len(s), k))
+                self.ends.setdefault(self._at(state, len(s)), set()).add((len(s), j))
+
+    def _hold(self, state: int, item: int) -> None:
+        """Adds an item to those of the window that ends at ``state``."""
+        held = self.windows[state]
+        if held < 0:
+            self.several[-1 - held].add(item)
+        elif held == 0:
+            self.windows[state] = item + 1
+        elif held != item + 1:
+            self.several.append({held - 1, item})
+            self.windows[state] = -len(self.several)
+
+    def _step(self, state: int, c: int) -> int:
+        """The state after word ``c``, -1 if there is none."""
+        if self.word[state] == c:
+            return self.to[state]
+        return self.more[state].get(c, -1) if state in self.more else -1
+
+    def _point(self, state: int, c: int, target: int) -> None:
+        """Sets the transition of ``state`` by ``c``."""
+        if self.word[state] in (0, c):
+            self.word[state], self.to[state] = c, target
+        else:
+            self.more.setdefault(state, {})[c] = target
 
     def _extend(self, last: int, c: int) -> int:
-        nxt, link, length = self.next, self.link, self.length
-        if c in nxt[last]:
-            q = nxt[last][c]
+        link, length = self.link, self.length
+        q = self._step(last, c)
+        if q >= 0:
             return q if length[q] == length[last] + 1 else self._clone(last, c, q)
-        cur = self._new(length[last] + 1, {})
+        cur = self._new(length[last] + 1)
         p = last
-        while p >= 0 and c not in nxt[p]:
-            nxt[p][c] = cur
+        while p >= 0 and (q := self._step(p, c)) < 0:
+            self._point(p, c, cur)
             p = link[p]
         if p < 0:
             link[cur] = 0
         else:
-            q = nxt[p][c]
             link[cur] = q if length[q] == length[p] + 1 else self._clone(p, c, q)
         return cur
 
-    def _new(self, length: int, nxt: dict) -> int:
-        self.next.append(nxt)
-        self.link.append(0)
-        self.length.append(length)
+    def _new(self, length: int) -> int:
+        for held, v in ((self.word, 0), (self.to, 0), (self.link, 0), (self.length, length)):
+            held.append(v)
         return len(self.length) - 1
 
     def _clone(self, p: int, c: int, q: int) -> int:
-        twin = self._new(self.length[p] + 1, dict(self.next[q]))
-        self.link[twin] = self.link[q]
+        twin = self._new(self.length[p] + 1)
+        self.word[twin], self.to[twin], self.link[twin] = self.word[q], self.to[q], self.link[q]
+        if q in self.more:
+            self.more[twin] = dict(self.more[q])
         self.link[q] = twin
-        while p >= 0 and self.next[p].get(c) == q:
-            self.next[p][c] = twin
+        while p >= 0 and self._step(p, c) == q:
+            self._point(p, c, twin)
             p = self.link[p]
         return twin
 
@@ -97,28 +133,36 @@ class ItemAutomaton:
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Merged hit spans ``[lo, hi)`` and the items that have an occurrence."""
         spans: list[tuple[int, int]] = []
-        found: set[str] = set()
+        found: set[int] = set()
         if len(words) < self.shortest or not self.vocab:
-            return spans, found
+            return spans, set()
         ids = np.fromiter((self.vocab.get(w, 0) for w in words), np.int32, len(words))
         # only runs of known words that are long enough can hold an occurrence
         edge = np.flatnonzero(np.diff(np.concatenate(([0], ids != 0, [0]))))
-        nxt, link, length, window, at = self.next, self.link, self.length, self.window, self._at
+        first, to, more, link, length = self.word, self.to, self.more, self.link, self.length
+        window, at, none = self.window, self._at, {}
         for lo, hi in zip(edge[::2].tolist(), edge[1::2].tolist()):
             if hi - lo < self.shortest:
                 continue
             state = size = 0
             for i, c in enumerate(ids[lo:hi].tolist(), lo + 1):
-                while state and c not in nxt[state]:
+                while True:
+                    q = to[state] if first[state] == c else more.get(state, none).get(c, -1)
+                    if q >= 0 or not state:
+                        break
                     state = link[state]
                     size = length[state]
-                if c in nxt[state]:
-                    state = nxt[state][c]
+                if q >= 0:
+                    state = q
                     size += 1
                 got = 0
                 if size >= window:
                     got = window
-                    found.update(self.windows[at(state, window)])
+                    held = self.windows[at(state, window)]
+                    if held > 0:
+                        found.add(held - 1)
+                    else:
+                        found.update(self.several[-1 - held])
                 if self.ends and size >= self.shortest:
                     s = state
                     while s:
@@ -132,7 +176,7 @@ class ItemAutomaton:
                     while spans and spans[-1][1] >= a:
                         a = min(a, spans.pop()[0])
                     spans.append((a, i))
-        return spans, found
+        return spans, {self.names[j] for j in found}
 
 
 def _scan_fn(held):
@@ -154,26 +198,30 @@ def _scan_fn(held):
 
 
 def _automata(docs: DataFrame, benchmark: DataFrame, window: int, item_col: str, item_text: str, max_block_chars: int) -> list:
-    """Broadcast automata of the benchmark's blocks, each of a bounded size."""
+    """Broadcast automata of the benchmark's blocks, each of a bounded size.
+
+    Items are dealt by a hash of id and text, so a repeated or NULL id does not fill
+    one block. A worker holds the automaton of the pass it runs, about 25 bytes for
+    each character of the block. Copies of one item in a block are read once."""
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("k"), F.col(item_text).alias("t"))
     chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = max(1, -(-int(chars) // max_block_chars))
     out = []
     for i in range(blocks):
-        part = items.filter("t is not null").filter(F.pmod(F.xxhash64("k"), F.lit(blocks)) == i)
-        rows = sorted((r.k, r.t) for r in part.toLocalIterator())
+        part = items.filter("t is not null").filter(F.pmod(F.xxhash64("k", "t"), F.lit(blocks)) == i)
+        rows = sorted((r.k, r.t) for r in part.distinct().toLocalIterator())
         out.append(docs.sparkSession.sparkContext.broadcast(ItemAutomaton(((k, item_words(t)) for k, t in rows), window)))
     return out
 
 
 def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id",
                    text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-                   max_block_chars: int = 16_000_000) -> DataFrame:
+                   max_block_chars: int = 4_000_000) -> DataFrame:
     """``doc_id, n_words, hits, items``: the word spans of each document inside
     any occurrence of a benchmark window, and the items (as text) they come from.
 
     The benchmark is cut into blocks of about ``max_block_chars`` characters by
-    item hash; each block makes one automaton, broadcast at that bounded size,
+    a hash of item id and text; each block makes one automaton, broadcast at that bounded size,
     and one map-only pass over the documents. With several blocks the documents are
     written with a row number and the passes are merged by it. An item of fewer words than ``window`` is one window;
     an item without words never occurs; a NULL item id reads as ''. NULL or
@@ -249,7 +297,7 @@ def _without(text: str, cut: list[tuple[int, int]]) -> str:
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10, min_words: int | None = None,
                  max_cover: float = 0.5, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text: str = "text",
-                 max_block_chars: int = 16_000_000) -> DataFrame:
+                 max_block_chars: int = 4_000_000) -> DataFrame:
     """``docs`` with benchmark spans cut out of the text, same columns and order
     of columns. A document whose cut spans cover more than ``max_cover`` of its
     words is dropped; one without a span keeps its row unchanged. Spans shorter

@@ -106,6 +106,28 @@ def test_leaks_match_brute_force(spark, seed, window, block):
     assert [got[i] for i in range(len(texts))] == _brute(texts, items, window)
 
 
+@pytest.mark.parametrize("ids", [[None], [7], ["7", "8"]])
+def test_leaks_of_items_that_share_an_id(spark, ids):
+    """NULL and repeated item ids are dealt over the blocks; the result is that of the brute force."""
+    texts, items = _leaks(4)
+    named = [(ids[j % len(ids)], t) for j, (_, t) in enumerate(items)]
+    bench = spark.createDataFrame([(None if k is None else str(k), t) for k, t in named], "item_id string, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in decontam.report(decontam.scan_documents(
+        documents(spark, texts), bench, 10, max_block_chars=100)).collect()}
+    assert [got[i] for i in range(len(texts))] == _brute(texts, [("" if k is None else k, t) for k, t in named], 10)
+
+
+def test_automaton_of_many_items_of_one_template():
+    head = [b"t%d" % i for i in range(30)]
+    items = [(f"i{j}", head + [b"x%d" % j]) for j in range(5000)]
+    a = decontam.ItemAutomaton(items, 10)
+    spans, found = a.scan(head[5:20] + [b"other"])
+    assert spans == [(0, 15)] and found == {k for k, _ in items}
+    assert a.scan(head[25:] + [b"x77"])[1] == set()
+    assert a.scan(head[20:] + [b"x77"])[1] == {k for k, _ in items}     # its first ten words are all items'
+    assert a.scan(head[21:] + [b"x77"]) == ([(0, 10)], {"i77"})
+
+
 def test_cut_leaves_no_occurrence(spark):
     texts, items = _leaks(7)
     bench = spark.createDataFrame(items, "item_id long, text string")
