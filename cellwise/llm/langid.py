@@ -104,12 +104,13 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     quantiles, as far as they hold 20 texts; where none of them does, longer and
     shorter lengths alike, the nearest buckets that do count, and if no bucket
     does, all sampled texts together. What a bucket takes from a longer one
-    falls with the root of the length, as similarity does.
+    falls with the root of the length, as similarity does. Rows without an id
+    teach nothing; rows that share an id are ranked by their text's hash.
     """
     rows = labelled.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")) \
-        .filter("lang is not null and text is not null")
+        .filter("doc_id is not null and lang is not null and text is not null")
     rows = rows.filter(F.col("text").rlike(r"\p{L}"))
-    sample = materialise(per_class(rows, "lang", "doc_id", per_lang).select("lang", "text")
+    sample = materialise(per_class(rows, "lang", "doc_id", per_lang, F.xxhash64("text")).select("lang", "text")
                          .transform(map_arrow, _sample_fn, "lang string, at array<int>, n array<int>"), "lang-sample")
     total = sample.count()
     seen = sample.select(F.explode("at").alias("d")).groupBy("d").count().toPandas()      # DIMS rows at most

@@ -13,8 +13,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_crc_mod, map_arrow, slices
-from .sampling import per_class
+from .common import doc_crc_mod, map_arrow, materialise, slices
+from .sampling import per_class, single_labels
 
 
 def pieces(text: str | None, size: int) -> list[bytes]:
@@ -88,12 +88,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     ``train`` (a boolean column over the id) limits the rows learned from. By a
     hash of the id, half of the sampled texts build the dictionaries (at most
-    ``dict_pieces`` pieces for each) and half the calibration.
+    ``dict_pieces`` pieces for each) and half the calibration. A document without
+    an id, or with both labels, teaches neither; one that is labelled twice alike counts
+    once. Without labels the score is 0.5 everywhere, with one label the share of it.
     """
-    mine = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y")).filter("y in (0, 1)")
-    if train is not None:
-        mine = mine.filter(train)
-    chosen = per_class(mine.dropDuplicates(["doc_id"]), "y", "doc_id", per_label)
+    mine = single_labels(labels, id_col, label_col, train)
+    chosen = per_class(mine, "y", "doc_id", per_label)
     rows = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
             .filter("text is not null").withColumn("half", doc_crc_mod(F.concat(F.lit("half"), F.col("doc_id").cast("string")), 2)))
 
@@ -105,7 +105,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                     y.append(label), p.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(p, pa.binary())], names=["y", "piece"])
 
-    cutting = rows.filter("half = 0").select("y", "text").transform(map_arrow, cut, "y int, piece binary")
+    cutting = materialise(rows.filter("half = 0").select("y", "text").transform(map_arrow, cut, "y int, piece binary"), "quality-pieces")
     got = per_class(cutting.withColumn("k", F.xxhash64("piece")).dropDuplicates(["y", "k"]), "y", "k", dict_pieces) \
         .orderBy("y", "k").select("y", "piece").collect()
     good, bad = (train_dictionary([bytes(r.piece) for r in got if r.y == v], dict_bytes) for v in (1, 0))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow, materialise, slices
-from .sampling import per_class
+from .sampling import per_class, single_labels
 
 SENTENCE = regex.compile(r"[^.!?\n]+")
 WORD = regex.compile(r"\w+")
@@ -116,11 +116,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     end of the smoothed log-odds, in ``least`` or more of them) can carry weight;
     all other words are neutral. ``train`` (a boolean column over the id) limits the rows
     learned from. Without toxic or without clean texts, everything scores 0.
+    A document without an id, or with both labels, teaches neither; one that is labelled
+    twice alike counts once. Rows of ``docs`` that repeat an id are all read.
     """
-    mine = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y")).filter("y in (0, 1)")
-    if train is not None:
-        mine = mine.filter(train)
-    chosen = per_class(mine.dropDuplicates(["doc_id"]), "y", "doc_id", per_label)
+    mine = single_labels(labels, id_col, label_col, train)
+    chosen = per_class(mine, "y", "doc_id", per_label)
     bags = materialise(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
                        .join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text"), "tox-bags")
     sizes = {r["y"]: r["count"] for r in bags.groupBy("y").count().collect()}

@@ -1,16 +1,19 @@
 import collections
 import math
+import re
 import zlib
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from cellwise.llm import langid, lm, quality, toxicity
 from cellwise.llm.common import doc_crc_mod
 from cellwise.llm.queries import QUERIES
+from cellwise.llm.sampling import per_class, single_labels
 
-from conftest import SF_CHECK
+from conftest import SF_CHECK, SF_SMALL
 from helpers_llm import ODD, documents, families, words
 
 
@@ -161,3 +164,67 @@ def test_calibration_is_monotone():
     x = rnd.normal(size=2000)
     at, p = quality.calibrate(x, (rnd.random(2000) < 1 / (1 + np.exp(3 * x))).astype(int))
     assert (np.diff(at) > 0).all() and (np.diff(p) <= 1e-9).all() and p[0] > 0.9 > 0.1 > p[-1]
+
+
+def test_documents_with_both_labels_teach_neither(spark):
+    rows = [(1, 1), (1, 0), (2, 1), (2, 1), (3, 0), (None, 1), (4, None), (5, 2), (6, 0), (6, 2)]
+    labels = spark.createDataFrame(rows, "doc_id long, toxic int")
+    got = single_labels(labels, "doc_id", "toxic").collect()
+    assert sorted((r.doc_id, r.y) for r in got) == [(2, 1), (3, 0), (6, 0)]
+    assert [r.doc_id for r in single_labels(labels, "doc_id", "toxic", F.col("doc_id") < 3).collect()] == [2]
+
+
+def test_samples_do_not_depend_on_the_order_of_rows(spark):
+    rows = [(i % 7, "a", f"t{i}") for i in range(200)]
+    picks = [{r.text for r in per_class(spark.createDataFrame(part, "id long, label string, text string").repartition(n), "label", "id", 20,
+                                        F.xxhash64("text")).collect()} for part, n in ((rows, 3), (rows[::-1], 5))]
+    assert picks[0] == picks[1] and len(picks[0]) == 20
+
+
+def _models(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    return [(langid.identify, langid.fit(docs)), (toxicity.score, toxicity.fit(docs, labels)), (quality.score, quality.fit(docs, labels))]
+
+
+def test_models_score_every_row(spark):
+    """No rows, NULL ids and repeated ids: one result per row, equal for equal texts."""
+    texts = ["Some words here. And more of them.", None, "", "Some words here. And more of them."]
+    some = documents(spark, texts, ids=[None, 5, 5, 5])
+    for apply, model in _models(spark):
+        assert apply(documents(spark, ["x"]).limit(0), model).count() == 0
+        got = [tuple(r) for r in apply(some, model).collect()]
+        assert sorted((r[0] for r in got), key=str) == [5, 5, 5, None]
+        assert next(r for r in got if r[0] is None)[1:] in [r[1:] for r in got if r[0] == 5]
+
+
+def test_scores_by_brute_force(spark):
+    """Cosine, noisy-or and size difference of whole texts, written out plainly."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(60)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    (identify, lang), (toxic, bags), (good, sizes) = _models(spark)
+    for r in identify(docs, lang).collect():
+        at, n = langid.trigram_counts(texts[r.doc_id])
+        v = {int(d): math.log(1 + c) * float(lang.idf[d]) for d, c in zip(at, n)}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        like = [(sum(x * float(c[d]) for d, x in v.items()) / norm, name) for c, name in zip(lang.centres, lang.langs)]
+        if r.lang_pred != "und":
+            assert r.score == pytest.approx(max(like)[0], abs=1e-4) and r.lang_pred in [b for a, b in like if a > max(like)[0] - 1e-5]
+    for r in toxic(docs, bags).collect():
+        clean = 1.0
+        for sentence in re.findall(r"[^.!?\n]+", texts[r.doc_id] or ""):
+            ws = set(re.findall(r"\w+", sentence.lower()))
+            z = bags.bias + sum(bags.weights.get(f, 0.0) for f in ws | {w[:5] + "*" for w in ws if len(w) > 5})
+            clean *= 1 - 1 / (1 + math.exp(-z))
+        assert r.score == pytest.approx(1 - clean, abs=1e-6)
+    one, other, piece, level = sizes.args
+    for r in good(docs, sizes).collect():
+        raw = (texts[r.doc_id] or "").encode()
+        total = [0, 0]
+        for i, d in enumerate((one, other)):
+            c = zstandard.ZstdCompressionDict(d)
+            c.precompute_compress(level=level)
+            z = zstandard.ZstdCompressor(dict_data=c, write_checksum=False, write_content_size=False, write_dict_id=False)
+            total[i] = sum(len(z.compress(raw[k:k + piece])) for k in range(0, len(raw), piece))
+        assert r.difference == pytest.approx((total[0] - total[1]) / len(raw) if raw else 0.0)
+        assert r.score == pytest.approx(float(np.interp(r.difference, sizes.at, sizes.p)))
