@@ -87,7 +87,7 @@ def _null_newest(spark, sf_dir, n):
     of column 3 holds NULL."""
     m = Mapping((Field("k", "string", "key"),) + tuple(Field(f"c{i}", "string", "column", "f", f"c{i}") for i in range(n)))
     rows = tc.cu_rows(spark, sf_dir)
-    old = table_to_cells(rows.select(F.col("cust_key").alias("k"), *[F.concat("name", F.lit(f"/{i}")).alias(f"c{i}")
+    old = table_to_cells(tc.dealt(rows, n, "cust_key", "name").select(F.col("cust_key").alias("k"), *[F.concat("name", F.lit(f"/{i}")).alias(f"c{i}")
                                                                      for i in range(n)]), m, ts=1)
     new = rows.where("nation % 3 = 0").select(
         F.col("cust_key").alias("row_key"), F.lit("f").alias("family"), F.lit("c3").alias("qualifier"),

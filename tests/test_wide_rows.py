@@ -49,3 +49,16 @@ def test_rows_of_many_cells_are_dealt(spark, monkeypatch, tmp_path):
     many = tc.wide_rows(spark, str(tmp_path))
     assert few.rdd.getNumPartitions() == 1 and many.rdd.getNumPartitions() == 15
     assert sorted(few.collect()) == sorted(many.collect())
+
+
+def test_wide_customer_cells_come_from_many_tasks(spark, monkeypatch, tmp_path):
+    """Cells of few bytes on disk are not made and sorted by one task."""
+    from cellwise.plans import edges
+    spark.range(2000).select(
+        F.col("id").alias("c_custkey"), F.format_string("Customer#%d", "id").alias("c_name"), (F.col("id") % 25).cast("int").alias("c_nationkey"),
+        F.col("id").cast("double").alias("c_acctbal"), F.lit("X").alias("c_mktsegment")).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    monkeypatch.setattr(tc, "TASK_CELLS", 4_000)
+    t = edges._null_newest(spark, str(tmp_path), 10)
+    assert "REPARTITION_BY_NUM" in t._jdf.queryExecution().executedPlan().toString()
+    got = {r.k: (r.c0, r.c3, r.c9) for r in t.collect()}
+    assert got == {f"{i:010d}": (f"Customer#{i}/0", None if i % 25 % 3 == 0 else f"Customer#{i}/3", f"Customer#{i}/9") for i in range(2000)}
