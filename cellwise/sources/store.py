@@ -46,6 +46,10 @@ _KEY, _REGION = "_cw_key", "_cw_region"
 # Default size of what one write task sorts.
 WRITE_TASK_BYTES = 512 << 20
 
+# Cells that one write task sorts, and one bucket holds, by default: files of cells pack
+# well, so that their bytes say little about the memory of a sort.
+TASK_CELLS = 4_000_000
+
 # Parquet writer options a family layout may set.
 LAYOUT_OPTIONS = ("compression", "parquet.block.size", "parquet.page.size",
                   "parquet.enable.dictionary", "parquet.bloom.filter.enabled#row_key",
@@ -182,8 +186,10 @@ class CellStore:
         """Write ``cells`` as a new, unpublished version (B8 + B10).
 
         Split points come from ``points``, else from the data (``regions``
-        pieces), else from the last commit.  ``tasks`` defaults to the larger
-        of the session's cores and the input's estimated size over 512 MB.
+        pieces), else from the last commit.  ``tasks`` defaults to the largest
+        of the session's cores, the input's estimated size over 512 MB and its
+        cells over ``TASK_CELLS`` (counted; ``"range"`` and ``"hash"`` read the
+        input once more for that).
         ``mode``:
 
         * ``"split"`` – every region is written by its share of the tasks, by
@@ -226,14 +232,19 @@ class CellStore:
         return self._stage(deal, list(points), kt, layout)
 
     def _dealt(self, df: DataFrame, n: int, mode: str, tasks: int | None, spread: Sequence[str],
-               key: str = "row_key", region: str = "region") -> DataFrame:
+               key: str = "row_key", region: str = "region", fan: int = 1) -> DataFrame:
         """``df`` dealt to the write tasks by its region column; ``spread`` are the
-        columns whose hash spreads a region over its tasks."""
-        ntasks = tasks or max(n, self._cores(), -(-_estimated_bytes(df) // WRITE_TASK_BYTES))
+        columns whose hash spreads a region over its tasks, ``fan`` the cells that
+        each row becomes."""
         if mode == "rebalance":
             return df.hint("rebalance", region)
+        weights = region_weights(df, region) if mode == "split" else None
+        ntasks = tasks
+        if not tasks and mode in ("split", "range", "hash"):
+            rows = sum(weights.values()) if weights is not None else df.count()
+            ntasks = max(n, self._cores(), -(-_estimated_bytes(df) // WRITE_TASK_BYTES), -(-rows * fan // TASK_CELLS))
         if mode == "split":
-            shares = task_shares(region_weights(df, region), n, ntasks)
+            shares = task_shares(weights, n, ntasks)
             first = [0, *accumulate(shares)]
             place = F.coalesce(F.col(region), F.lit(0)) + 1
             sub = F.pmod(F.xxhash64(*spread), F.element_at(F.expr(f"array({','.join(map(str, shares))})"), place))
@@ -377,7 +388,8 @@ class CellStore:
                 part, mm = df.drop(*gone), m.select([f.name for f in m.fields if f.name not in gone])
             plain = [f.name for f in part.schema.fields
                      if "map<" not in f.dataType.simpleString() and f.name != _REGION]
-            dealt = self._dealt(part, len(points) + 1, mode, tasks, plain, _KEY, _REGION)
+            fan = max(1, len([f for f in mm.fields if f.family is not None]))
+            dealt = self._dealt(part, len(points) + 1, mode, tasks, plain, _KEY, _REGION, fan)
             return table_to_cells(dealt, mm, ts=ts, seq=seq, carry=[_REGION]).withColumnRenamed(_REGION, "region")
         return self._stage(deal, list(points), kt, layout)
 
@@ -551,6 +563,11 @@ class CellStore:
         return self._commit(self.stage(cells, **kw), replaces=versions)
 
 
+def buckets_for(cells: int, least: int = 8) -> int:
+    """Buckets of a table that is to hold so many cells: a bucket is read by one task."""
+    return max(least, -(-cells // TASK_CELLS))
+
+
 def _typed_points(commit) -> list:
     pts = commit["points"] or []
     return [bytes.fromhex(p) if commit["key_type"] == "binary" else p for p in pts]

@@ -62,3 +62,18 @@ def test_wide_customer_cells_come_from_many_tasks(spark, monkeypatch, tmp_path):
     assert "REPARTITION_BY_NUM" in t._jdf.queryExecution().executedPlan().toString()
     got = {r.k: (r.c0, r.c3, r.c9) for r in t.collect()}
     assert got == {f"{i:010d}": (f"Customer#{i}/0", None if i % 25 % 3 == 0 else f"Customer#{i}/3", f"Customer#{i}/9") for i in range(2000)}
+
+
+def test_write_tasks_and_buckets_grow_with_cells(spark, monkeypatch, tmp_path):
+    """Files of cells are small on disk: tasks and buckets go by the number of cells."""
+    from cellwise.sources import store as st
+    monkeypatch.setattr(st, "TASK_CELLS", 500)
+    assert st.buckets_for(100) == 8 and st.buckets_for(500 * 20 + 1) == 21
+    rows = spark.range(4000).select(F.format_string("k%05d", "id").alias("key"), F.col("id").alias("a"), (F.col("id") * 2).alias("b"))
+    m = Mapping.parse(":key,f:a,f:b", ["key", "a", "b"], ["string", "bigint", "bigint"])
+    for mode in ("split", "range"):
+        store = st.CellStore(spark, f"{tmp_path}/{mode}")
+        store.write_table(rows, m, ts=1, points=[], mode=mode)
+        files = store.read().select(F.input_file_name().alias("f")).groupBy("f").count().collect()
+        assert len(files) >= 14 and max(r["count"] for r in files) <= 1000
+        assert sorted((r.key, r.a, r.b) for r in scan.scan_table(store.read(), m).collect()) == [(f"k{i:05d}", i, 2 * i) for i in range(4000)]
