@@ -64,6 +64,25 @@ def test_wide_customer_cells_come_from_many_tasks(spark, monkeypatch, tmp_path):
     assert got == {f"{i:010d}": (f"Customer#{i}/0", None if i % 25 % 3 == 0 else f"Customer#{i}/3", f"Customer#{i}/9") for i in range(2000)}
 
 
+def test_hot_row_takes_each_cell_once(spark):
+    """Versions of one cell in several pieces meet before the row is put together; scalars
+    and rows without map cells stay."""
+    cells = spark.range(6000).repartition(6, "id").select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise("only").alias("row_key"),
+        F.when(F.col("id") % 2 == 0, "m").otherwise("s").alias("family"),
+        F.when(F.col("id") % 2 == 0, F.format_string("q%d", F.col("id") % 14)).otherwise(F.lit("x")).alias("qualifier"),
+        F.col("id").alias("ts"), F.lit(0).cast("bigint").alias("seq"), F.col("id").cast("string").cast("binary").alias("value"))
+    m = Mapping.parse(":key,m:,s:x", ["key", "all", "x"], ["string", "map<string,bigint>", "bigint"])
+    t = scan.scan_table(cells, m, hot_cells=100)
+    got = {r.key: (r["all"], r.x) for r in t.collect()}
+    want = {}
+    for i in range(0, 6000, 2):
+        want[f"q{i % 14}"] = i
+    assert got == {"hot": (want, None), "only": ({}, 5999)}
+    plan = t._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" in plan and "max(_c" in plan
+
+
 def test_write_tasks_and_buckets_grow_with_cells(spark, monkeypatch, tmp_path):
     """Files of cells are small on disk: tasks and buckets go by the number of cells."""
     from cellwise.sources import store as st
