@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialise, prefilter, release
+from .common import components, materialise, release
 
 #: counted for the filter before verification, digits too, as lines of one template often differ in
 #: numbers only: an edit changes the counts by two at most
@@ -153,14 +153,21 @@ def line_classes(docs: DataFrame, max_edits: int | Sequence[tuple[int, int]] = 1
     bitmap of the former, of fixed size. Pairs leave the join only if their counts of
     letters and digits allow the edits. Tables are deleted when nothing reads them any more.
     """
+    return _line_classes(docs, max_edits, min_chars, id_col, text_col, _links)
+
+
+def _line_classes(docs: DataFrame, max_edits: int | Sequence[tuple[int, int]], min_chars: int, id_col: str, text_col: str,
+                  find) -> DataFrame:
+    """``line_classes`` over the links that ``find`` returns: ``_links`` or ``_joining_links``."""
     steps = length_classes(max_edits, min_chars)
     lines = explode_lines(docs, id_col, text_col).withColumn("n", F.char_length("line"))
     long_lines = lines.filter(F.col("n") >= min_chars).withColumn("h", F.unhex(F.md5(F.col("line").cast("binary"))))
     groups = materialise(
         long_lines.select("h", F.struct("doc_id", "line_no").alias("place"), "line", "n")
-        .groupBy("h").agg(F.min("place").alias("place"), F.first("line").alias("line"), F.first("n").alias("n"))
-        .select(F.monotonically_increasing_id().alias("id"), "h", "place", "line", "n"), "line-groups")
-    links = _links(groups, steps)
+        .groupBy("h").agg(F.min("place").alias("place"), F.first("line").alias("line"), F.first("n").alias("n"),
+                          F.count(F.lit(1)).alias("copies"))
+        .select(F.monotonically_increasing_id().alias("id"), "h", "place", "line", "n", "copies"), "line-groups")
+    links = find(groups, steps)
     linked = materialise(_class_of(links), "line-linked")
     classes = materialise(
         groups.select("h", "place").join(linked, "h", "left")
@@ -177,70 +184,121 @@ def line_classes(docs: DataFrame, max_edits: int | Sequence[tuple[int, int]] = 1
         "kept", F.col("doc_id").eqNullSafe(F.col("class_doc")) & (F.col("line_no") == F.col("class_line")))
 
 
-def _links(groups: DataFrame, classes: list[tuple[int, int | None, int]]) -> DataFrame:
-    """One row per linked pair: ``a, b`` (ids of ``groups``) with both lines' hash and place."""
+#: columns of a line that rule out pairs before its text is read
+COUNTS = ["n", "odd", *(f"c{i}" for i in range(len(LETTERS)))]
+
+
+def _meetings(groups: DataFrame, classes: list[tuple[int, int | None, int]]) -> tuple[DataFrame, DataFrame]:
+    """``k, is_held, id, copies`` and ``COUNTS`` of the lines that meet another line under a
+    key, and the texts of these lines: ``id, h, line, n, place``, counts."""
     length = F.col("n")
-    held = groups.select("id", F.lit(True).alias("is_held"), F.explode(index_keys(F.col("line"), length, classes)).alias("k"))
+    # explode_outer: before explode Spark puts a filter on the array's size, which makes all keys a second time
+    held = groups.select("id", F.lit(True).alias("is_held"), F.explode_outer(index_keys(F.col("line"), length, classes)).alias("k"))
     asked = None
     for lo, hi, t in classes:
         reached = (length >= lo) if hi is None else (length >= lo) & (length < hi + t)
-        own = (groups.filter(reached).select("id", F.lit(False).alias("is_held"), F.explode(probe_keys(F.col("line"), length, lo, hi, t)).alias("k"))
+        own = (groups.filter(reached).select("id", F.lit(False).alias("is_held"), F.explode_outer(probe_keys(F.col("line"), length, lo, hi, t)).alias("k"))
                .filter(F.col("k").isNotNull()))
         asked = own if asked is None else asked.union(own)
-    rows = materialise(held.union(_may_be_held(asked, held)), "line-rows")
+    # one exchange by key serves both the count and the join (an inner one: a semi join would be moved below it)
+    rows = held.union(_may_be_held(asked, "k", held)).repartition("k")
     # keys under which one line is held and another one is held or asks
-    busy = materialise(rows.groupBy("k").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.bool_or("is_held").alias("held"))
-                       .filter("lo <> hi and held").select("k"), "line-keys")
-    met = materialise(prefilter(rows, F.col("k"), busy).join(busy, "k", "left_semi"), "line-met")
-    release(rows, busy)
+    busy = (rows.groupBy("k").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.bool_or("is_held").alias("held"))
+            .filter("lo <> hi and held").select("k"))
+    met = materialise(rows.join(busy, "k"), "line-met")
     handles = materialise(met.select("id").distinct(), "line-handles")
     counts = [(F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(c)))).alias(f"c{i}")
               for i, c in enumerate(LETTERS)]
-    table = materialise(prefilter(groups, F.col("id"), handles).join(handles, "id", "left_semi")
-                        .select("id", "h", "line", "n", "place", *counts), "line-texts")
+    table = materialise(_may_be_held(groups, "id", handles.withColumnRenamed("id", "k"), 1 << 18).join(handles, "id", "left_semi")
+                        .select("id", "h", "line", "n", "place", "copies", *counts), "line-texts")
     # the counts' parities: an edit changes two of them at most, and one comparison rules out most pairs
     odd = sum((F.call_function("shiftleft", F.col(f"c{i}").bitwiseAND(1), F.lit(i)) for i in range(1, len(LETTERS))),
               F.col("c0").bitwiseAND(1)).alias("odd")
-    names = ["n", "odd", *(f"c{i}" for i in range(len(LETTERS)))]
-    near = materialise(met.join(table.select("id", "n", odd, *names[2:]), "id").select("k", "is_held", "id", *names), "line-near")
+    near = materialise(met.join(table.select("id", "copies", "n", odd, *COUNTS[2:]), "id")
+                       .select("k", "is_held", "id", "copies", *COUNTS), "line-near")
     release(met, handles)
-    a = near.filter("is_held").select("k", F.col("id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in names])
-    b = near.select("k", F.col("id").alias("b"), F.col("is_held").alias("b_held"), *[F.col(c).alias(f"b_{c}") for c in names])
-    apart = sum((F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")) for c in names[3:]), F.abs(F.col("a_c0") - F.col("b_c0")))
+    return near, table
+
+
+def _pairs(a: DataFrame, b: DataFrame, classes: list[tuple[int, int | None, int]], *also: str, both_ways: bool = True) -> DataFrame:
+    """``a, b``: lines of ``a``, all held, that meet lines of ``b`` under a key and whose counts
+    allow the edits; columns ``also`` differ. ``both_ways``: all held lines of ``b`` are in ``a`` too."""
+    names = [*COUNTS, *also]
+    a = a.select("k", F.col("id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in names])
+    b = b.select("k", F.col("id").alias("b"), F.col("is_held").alias("b_held"), *[F.col(c).alias(f"b_{c}") for c in names])
+    apart = sum((F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")) for c in COUNTS[3:]), F.abs(F.col("a_c0") - F.col("b_c0")))
     allowed = _by_class(F.least("a_n", "b_n"), classes, F.lit)
+    wanted = ((F.bit_count(F.col("a_odd").bitwiseXOR(F.col("b_odd"))) <= 2 * allowed)
+              & (F.abs(F.col("a_n") - F.col("b_n")) <= allowed) & (apart <= 2 * allowed))
+    for c in also:
+        wanted = wanted & (F.col(f"a_{c}") != F.col(f"b_{c}"))
     # of two lines held under a key, the one with the smaller number is the first
-    once = F.when(F.col("b_held"), F.col("a") < F.col("b")).otherwise(F.col("a") != F.col("b"))
-    pairs = materialise(
-        a.join(b, (a.k == b.k) & once & (F.bit_count(F.col("a_odd").bitwiseXOR(F.col("b_odd"))) <= 2 * allowed)
-               & (F.abs(F.col("a_n") - F.col("b_n")) <= allowed) & (apart <= 2 * allowed))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
+    once = F.when(F.lit(both_ways) & F.col("b_held"), F.col("a") < F.col("b")).otherwise(F.col("a") != F.col("b"))
+    return (a.join(b, (a.k == b.k) & once & wanted)
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def _verified(pairs: DataFrame, table: DataFrame, classes: list[tuple[int, int | None, int]]) -> DataFrame:
+    """The linked ones of ``pairs``, with both lines' hash and place. Texts go through
+    the joins as they are; their characters are set apart next to the comparison."""
+    one = table.select(F.col("id").alias("a"), F.col("line").alias("line_a"), F.col("h").alias("h_a"), F.col("place").alias("place_a"))
+    two = table.select(F.col("id").alias("b"), F.col("line").alias("line_b"), F.col("h").alias("h_b"), F.col("place").alias("place_b"))
+
+    def linked(x: Column) -> Column:
+        a, b = x["a"], x["b"]
+        return _by_class(F.least(F.size(a), F.size(b)), classes, lambda t: (F.abs(F.size(a) - F.size(b)) <= t)
+                         & (edit_distance(a, b, t) <= t))
+
+    chars = F.array(F.struct(F.split("line_a", "").alias("a"), F.split("line_b", "").alias("b")))
+    return (pairs.join(one, "a").join(two, "b").filter(F.get(F.transform(chars, linked), F.lit(0)))
+            .select("a", "b", "h_a", "h_b", "place_a", "place_b"))
+
+
+def _links(groups: DataFrame, classes: list[tuple[int, int | None, int]]) -> DataFrame:
+    """One row per linked pair: ``a, b`` (ids of ``groups``) with both lines' hash and place."""
+    near, table = _meetings(groups, classes)
+    pairs = materialise(_pairs(near.filter("is_held"), near, classes), "line-pairs")
     release(near)
-    one = table.select(F.col("id").alias("a"), F.split("line", "").alias("chars_a"), F.col("h").alias("h_a"),
-                       F.col("place").alias("place_a"))
-    two = table.select(F.col("id").alias("b"), F.split("line", "").alias("chars_b"), F.col("h").alias("h_b"),
-                       F.col("place").alias("place_b"))
-    both = pairs.join(one, "a").join(two, "b")
-    shorter = F.least(F.size("chars_a"), F.size("chars_b"))
-    linked = _by_class(shorter, classes, lambda t: (F.abs(F.size("chars_a") - F.size("chars_b")) <= t)
-                       & (edit_distance(F.col("chars_a"), F.col("chars_b"), t) <= t))
-    links = materialise(both.filter(linked)
-                        .select("a", "b", "h_a", "h_b", "place_a", "place_b"), "line-links")
+    links = materialise(_verified(pairs, table, classes), "line-links")
     release(table, pairs)
     return links
 
 
-def _may_be_held(asked: DataFrame, held: DataFrame, words: int = 1 << 20) -> DataFrame:
-    """Rows of ``asked`` whose key may be one of ``held``: a bitmap of ``words`` times 64
+def _joining_links(groups: DataFrame, classes: list[tuple[int, int | None, int]]) -> DataFrame:
+    """Of ``_links``, enough to reach the same lines over them. Under each key all lines
+    are first compared with the held one of most copies; then only lines that these
+    links leave in different components are compared with each other. A group of near
+    copies takes a comparison for each line and key, not one for each pair."""
+    near, table = _meetings(groups, classes)
+    middle = near.filter("is_held").groupBy("k").agg(F.max(F.struct("copies", "id", *COUNTS)).alias("_m")).select("k", "_m.*")
+    first = materialise(_pairs(middle, near, classes, both_ways=False), "line-pairs")
+    star = materialise(_verified(first, table, classes), "line-links")
+    reached = materialise(components(star.select("a", "b")), "line-reached")
+    placed = near.join(reached, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    apart = placed.groupBy("k").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("k")
+    left = materialise(placed.join(apart, "k", "left_semi"), "line-apart")
+    release(near, reached)
+    rest = materialise(_pairs(left.filter("is_held"), left, classes, "component"), "line-pairs")
+    rest_links = materialise(_verified(rest, table, classes), "line-links")
+    release(left, first)
+    links = materialise(star.union(rest_links), "line-links")
+    release(table, rest, star, rest_links)
+    return links
+
+
+def _may_be_held(asked: DataFrame, key: str, held: DataFrame, words: int = 1 << 20) -> DataFrame:
+    """Rows of ``asked`` whose column ``key`` may be among ``k`` of ``held``: a bitmap of ``words`` times 64
     bits, never more than ``words`` rows, is broadcast; a key sets three bits of its
     word. No row with a held key is lost."""
-    word = F.pmod("k", F.lit(words))
-    one = lambda at: F.call_function("shiftleft", F.lit(1).cast("long"), F.call_function(
-        "shiftright", F.col("k"), F.lit(at)).bitwiseAND(63).cast("int"))
-    mask = one(58).bitwiseOR(one(46)).bitwiseOR(one(34))
-    seen = held.select(word.alias("_word"), mask.alias("_mask")).groupBy("_word").agg(F.bit_or("_mask").alias("_bits"))
-    found = asked.withColumn("_word", word).withColumn("_mask", mask)
+    def at(c: Column) -> tuple[Column, Column]:
+        one = lambda by: F.call_function("shiftleft", F.lit(1).cast("long"), F.call_function(
+            "shiftright", c, F.lit(by)).bitwiseAND(63).cast("int"))
+        return F.pmod(c, F.lit(words)).alias("_word"), one(58).bitwiseOR(one(46)).bitwiseOR(one(34)).alias("_mask")
+
+    seen = held.select(*at(F.xxhash64("k"))).groupBy("_word").agg(F.bit_or("_mask").alias("_bits"))
+    found = asked.select("*", *at(F.xxhash64(key)))
     return (found.join(F.broadcast(seen), "_word").filter(F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask"))
-            .select("id", "is_held", "k"))
+            .select(*asked.columns))
 
 
 def _class_of(links: DataFrame) -> DataFrame:
@@ -261,7 +319,7 @@ def drop_repeats(docs: DataFrame, max_edits: int | Sequence[tuple[int, int]] = 1
     goes; one from which nothing is dropped keeps its row unchanged (NULL and
     empty texts too). ``id_col`` is unique; rows with a NULL id are unchanged.
     """
-    gone = (line_classes(docs, max_edits, min_chars, id_col, text_col).filter("not kept and doc_id is not null")
+    gone = (_line_classes(docs, max_edits, min_chars, id_col, text_col, _joining_links).filter("not kept and doc_id is not null")
             .groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone")))
     gone = materialise(gone.withColumnRenamed("doc_id", "_gone_id"), "line-gone")
     left = F.filter(F.split(F.col(text_col), "\n", -1),

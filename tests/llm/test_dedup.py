@@ -176,6 +176,23 @@ def test_line_edits_grow_with_the_length(spark):
         assert got[i].n_links == (sum(where[s] in e for e in links) if s in where else 0)
 
 
+def test_near_copies_of_a_line_are_not_compared_in_pairs(spark, monkeypatch):
+    """A line of many copies and 150 lines with one edit each: dropped as line_classes says, with
+    a few comparisons for each line. Lines that only meet over others are dropped too."""
+    rnd = random.Random(3)
+    line = "".join(rnd.choice("abcdefgh ") for _ in range(30))
+    texts = [line] * 3 + [line[:i % 30] + "xyzuvw"[i // 30] + line[i % 30 + 1:] for i in range(150)]
+    texts = [f"{t}\n{i}" for i, t in enumerate(texts)] + [f"#{s}" for s in _lines(4)]
+    df, compared, verified = documents(spark, texts), [], line_dedup._verified
+    monkeypatch.setattr(line_dedup, "_verified", lambda pairs, *rest: (compared.append(pairs.count()), verified(pairs, *rest))[1])
+    kept = {(r.doc_id, r.line_no) for r in line_dedup.line_classes(df, 1, 20).filter("kept").collect()}
+    all_pairs = compared.pop()
+    got = {r.doc_id: r.text for r in line_dedup.drop_repeats(df, 1, 20).collect()}
+    lines = {i: "\n".join(s for j, s in enumerate(t.split("\n")) if (i, j) in kept) for i, t in enumerate(texts)}
+    assert got == {i: t for i, t in lines.items() if t.strip()}
+    assert all_pairs > 2_000 and sum(compared) < 1_000
+
+
 def test_pipeline_drops_a_long_line_with_two_edits(spark):
     rnd = random.Random(9)
     line = "".join(rnd.choice("abcdefgh ") for _ in range(300))
