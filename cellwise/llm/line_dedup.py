@@ -1,11 +1,12 @@
 """Line deduplication by a segment-partition edit join, in DataFrame functions.
 
 Two lines within ``t`` edits, cut into ``t + 1`` segments, share one segment
-exactly. Each line is indexed under its own segments and length; it probes the
-indexes of its own length and of up to ``t`` characters less with the
-substrings that can align with a segment under ``t`` edits. Lines that meet
-under a key are verified with a banded bit-parallel edit distance. ``t`` may grow
-with the length: each length class has indexes and probes of its own.
+exactly. Each line is indexed under its own segments and a range of lengths; it
+probes the indexes of its own range, and of the one that lines of up to ``t``
+characters less fall into, with the substrings that can align with a segment
+under ``t`` edits. Lines that meet under a key are verified with a banded
+bit-parallel edit distance. ``t`` may grow with the length: each length class
+has indexes and probes of its own.
 """
 from __future__ import annotations
 
@@ -43,44 +44,42 @@ def _by_class(length: Column, classes: Sequence[tuple[int, int | None, int]], va
     return out
 
 
-def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """(0-based start, size) of segment ``i`` of ``parts`` near-equal ones, the longer ones last."""
-    q, short = F.floor(length / parts), F.lit(parts) - length % parts
-    start = F.lit(i) * q + F.greatest(F.lit(0), F.lit(i) - short)
-    return start, q + F.when(F.lit(i) >= short, 1).otherwise(0)
-
-
-def index_keys(line: Column, length: Column, classes: Sequence[tuple[int, int | None, int]]) -> Column:
-    """Keys of the line's own segments."""
-    def keys(t: int) -> Column:
-        out = []
-        for i in range(t + 1):
-            start, size = _segment(length, i, t + 1)
-            out.append(F.xxhash64(F.lit(i), length.cast("int"), F.substring(line, (start + 1).cast("int"), size.cast("int"))))
-        return F.array(*out)
-    return _by_class(length, classes, keys)
-
-
-def probe_keys(line: Column, length: Column, lo: int, hi: int | None, t: int) -> Column:
-    """Of one class of lengths: keys of the substrings that can align with a segment
-    of a line of the same length or of up to ``t`` characters less, NULLs among them.
-    By the edits left of the segment and those right of it, its place moves by few
-    characters only. The line's own segments are left out: it is indexed under them.
-    The shorter line's class sets ``t``, so a line just above a class probes that
-    class too."""
-    keys = []
-    for d in range(t + 1):
-        other = length - d
-        held = (other >= lo) if hi is None else (other >= lo) & (other < hi)
-        for i in range(t + 1):
-            start, size = _segment(other, i, t + 1)
-            for o in range(max(-i, d - (t - i)), min(i, d + (t - i)) + 1):
-                at = start + o
-                if d or o:
-                    keys.append(F.when(
-                        held & (at >= 0) & (at + size <= length),
-                        F.xxhash64(F.lit(i), other.cast("int"), F.substring(line, (at + 1).cast("int"), size.cast("int")))))
-    return F.array(*keys)
+def _windows(t: int) -> list[tuple[int, int]]:
+    """``(i, o)``: segments of ``t + 1`` and how far each may lie from its own place, counted from
+    the line's nearer end. Of lines within ``t`` edits one segment ``i`` is shared with ``i`` edits left
+    of it and ``t - i`` right of it at most, and each edit moves it by one character at most."""
+    return [(i, o) for i in range(t + 1) for o in range(-min(i, t - i), min(i, t - i) + 1)]
+
+
+def line_keys(lines: DataFrame, classes: Sequence[tuple[int, int | None, int]]) -> DataFrame:
+    """``k, who``: one row per line (``id, line, n``) and key, ``who`` is ``2 * id``, plus 1 where
+    the line is held under the key.
+
+    Lengths are cut into ranges of ``4 t`` from each class's first one. All lines of a range have
+    segments of one size: the first half counted from the line's start, the others from its end, so
+    that few places match. A line is held under its own segments, and asks for the other windows; one
+    less than ``t`` characters above a range, or a class, asks for all windows of that one too. The
+    shorter line's class sets ``t``.
+    """
+    ints = lambda rows, *names: F.array(*[F.struct(*[F.lit(v).cast("int").alias(c) for v, c in zip(r, names)]) for r in rows])
+    ranges = ints([(lo, hi if hi is not None else (1 << 31) - 1, t, max(1, 4 * t), d) for lo, hi, t in classes for d in range(t + 1)],
+                  "lo", "hi", "t", "width", "d")
+    edits = sorted({t for _, _, t in classes})
+    t, other = F.col("r.t"), F.col("n") - F.col("r.d")
+    last = ((other + 1 - F.col("r.lo")) % F.col("r.width") == 0) | (other + 1 == F.col("r.hi"))
+    of_range = (lines.select("id", "line", F.col("n").cast("int").alias("n"), F.explode_outer(ranges).alias("r"))
+                .filter((other >= F.col("r.lo")) & (other < F.col("r.hi")) & ((F.col("r.d") == 0) | last))
+                .select("id", "line", "n", "r.d", t.alias("t"), (other - (other - F.col("r.lo")) % F.col("r.width")).alias("least")))
+    windows = ints(_windows(edits[-1]), "i", "o")
+    for e in edits[-2::-1]:
+        windows = F.when(F.col("t") == e, ints(_windows(e), "i", "o")).otherwise(windows)
+    t, i, o = F.col("t"), F.col("w.i"), F.col("w.o")
+    size = ((F.col("least") - F.col("least") % (t + 1)) / (t + 1)).cast("int")
+    at = F.when(2 * i <= t, i * size + o).otherwise(F.col("n") - (t - i + 1) * size + o)
+    key = F.xxhash64("t", "least", i, F.substring("line", at + 1, size))
+    return (of_range.select("id", "line", "n", "d", "t", "least", F.explode_outer(windows).alias("w"))
+            .filter((at >= 0) & (at + size <= F.col("n")))
+            .select(key.alias("k"), (F.col("id") * 2 + F.when((F.col("d") == 0) & (o == 0), 1).otherwise(0)).alias("who")))
 
 
 def edit_distance(a: Column, b: Column, t: int) -> Column:
@@ -191,21 +190,13 @@ COUNTS = ["n", "odd", *(f"c{i}" for i in range(len(LETTERS)))]
 def _meetings(groups: DataFrame, classes: list[tuple[int, int | None, int]]) -> tuple[DataFrame, DataFrame]:
     """``k, is_held, id, copies`` and ``COUNTS`` of the lines that meet another line under a
     key, and the texts of these lines: ``id, h, line, n, place``, counts."""
-    length = F.col("n")
-    # explode_outer: before explode Spark puts a filter on the array's size, which makes all keys a second time
-    held = groups.select("id", F.lit(True).alias("is_held"), F.explode_outer(index_keys(F.col("line"), length, classes)).alias("k"))
-    asked = None
-    for lo, hi, t in classes:
-        reached = (length >= lo) if hi is None else (length >= lo) & (length < hi + t)
-        own = (groups.filter(reached).select("id", F.lit(False).alias("is_held"), F.explode_outer(probe_keys(F.col("line"), length, lo, hi, t)).alias("k"))
-               .filter(F.col("k").isNotNull()))
-        asked = own if asked is None else asked.union(own)
     # one exchange by key serves both the count and the join (an inner one: a semi join would be moved below it)
-    rows = held.union(_may_be_held(asked, "k", held)).repartition("k")
+    rows = line_keys(groups, classes).repartition("k")
     # keys under which one line is held and another one is held or asks
-    busy = (rows.groupBy("k").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.bool_or("is_held").alias("held"))
-            .filter("lo <> hi and held").select("k"))
-    met = materialise(rows.join(busy, "k"), "line-met")
+    busy = (rows.groupBy("k").agg(F.min("who").alias("lo"), F.max("who").alias("hi"), F.max(F.col("who") % 2).alias("held"))
+            .filter("shiftright(lo, 1) <> shiftright(hi, 1) and held = 1").select("k"))
+    met = materialise(rows.join(busy, "k").select("k", (F.col("who") % 2 == 1).alias("is_held"), F.shiftright("who", 1).alias("id")),
+                      "line-met")
     handles = materialise(met.select("id").distinct(), "line-handles")
     counts = [(F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(c)))).alias(f"c{i}")
               for i, c in enumerate(LETTERS)]

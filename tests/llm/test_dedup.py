@@ -176,6 +176,42 @@ def test_line_edits_grow_with_the_length(spark):
         assert got[i].n_links == (sum(where[s] in e for e in links) if s in where else 0)
 
 
+@pytest.mark.parametrize("edits_allowed", [1, 2, 3, 4, line_dedup.EDITS_BY_LENGTH])
+def test_lines_within_the_edits_meet_under_a_held_key(spark, edits_allowed):
+    """Also where edits move a line over the end of a range or class of lengths; few keys for each line."""
+    rnd = random.Random(str(edits_allowed))
+    classes = line_dedup.length_classes(edits_allowed, 20)
+    rows, allowed = [], lambda n: next(t for lo, hi, t in classes[::-1] if n >= lo)
+    for _ in range(1500):
+        line = "".join(rnd.choice("abcdefgh ") for _ in range(rnd.choice([rnd.randint(24, 90), rnd.randint(110, 130), rnd.randint(230, 275)])))
+        other = line
+        for _ in range(rnd.randint(1, allowed(len(line) - 4 if len(line) > 24 else 20))):
+            i, how = rnd.randrange(len(other) + 1), rnd.randrange(3)
+            other = other[:i] + ("#" if how else "") + other[i + (how != 1):]
+        rows += [(line, len(line)), (other, len(other))]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id long, line string, n int")
+    keys = {}
+    for r in line_dedup.line_keys(df, classes).collect():
+        keys.setdefault(r.who >> 1, {}).setdefault(r.k, set()).add(r.who & 1)
+    for i in range(0, len(rows), 2):
+        a, b = keys[i], keys[i + 1]
+        assert any(1 in a[k] | b[k] for k in a.keys() & b.keys()), rows[i:i + 2]
+    assert sum(map(len, keys.values())) <= 20 * len(rows)
+
+
+def test_no_map_of_fixed_size_is_filled_by_line_keys(spark, monkeypatch):
+    """Which keys meet is found by key, not by a bitmap that lets all pass once the lines are many; and
+    the code made for it stays small."""
+    made, write = [], line_dedup.materialise
+    def noted(df, name, *by):
+        if name == "line-met":
+            made.append(df._jdf.queryExecution().toString())
+        return write(df, name, *by)
+    monkeypatch.setattr(line_dedup, "materialise", noted)
+    assert line_dedup.drop_repeats(documents(spark, _lines(3)), line_dedup.EDITS_BY_LENGTH).count()
+    assert made and "_bits" not in made[0] and len(made[0]) < 100_000
+
+
 def test_near_copies_of_a_line_are_not_compared_in_pairs(spark, monkeypatch):
     """A line of many copies and 150 lines with one edit each: dropped as line_classes says, with
     a few comparisons for each line. Lines that only meet over others are dropped too."""
