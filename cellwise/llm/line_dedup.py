@@ -21,6 +21,9 @@ from .common import components, materialise, release
 #: numbers only: an edit changes the counts by two at most
 LETTERS = "etaoinshrdlu 0123456789"
 
+#: of these only whether the count is odd: more columns make the join's code too long to be compiled
+RARE = "wcmfgypbvkxjqz.,"
+
 #: (characters of the shorter line, edits): about one edit in twenty characters, four at most
 EDITS_BY_LENGTH = ((20, 1), (40, 2), (120, 3), (240, 4))
 
@@ -199,12 +202,12 @@ def _meetings(groups: DataFrame, classes: list[tuple[int, int | None, int]]) ->
                       "line-met")
     handles = materialise(met.select("id").distinct(), "line-handles")
     counts = [(F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(c)))).alias(f"c{i}")
-              for i, c in enumerate(LETTERS)]
+              for i, c in enumerate(LETTERS + RARE)]
     table = materialise(_may_be_held(groups, "id", handles.withColumnRenamed("id", "k"), 1 << 18).join(handles, "id", "left_semi")
                         .select("id", "h", "line", "n", "place", "copies", *counts), "line-texts")
     # the counts' parities: an edit changes two of them at most, and one comparison rules out most pairs
-    odd = sum((F.call_function("shiftleft", F.col(f"c{i}").bitwiseAND(1), F.lit(i)) for i in range(1, len(LETTERS))),
-              F.col("c0").bitwiseAND(1)).alias("odd")
+    odd = sum((F.call_function("shiftleft", F.col(f"c{i}").bitwiseAND(1).cast("long"), F.lit(i)) for i in range(1, len(LETTERS + RARE))),
+              F.col("c0").bitwiseAND(1).cast("long")).alias("odd")
     near = materialise(met.join(table.select("id", "copies", "n", odd, *COUNTS[2:]), "id")
                        .select("k", "is_held", "id", "copies", *COUNTS), "line-near")
     release(met, handles)
@@ -218,8 +221,10 @@ def _pairs(a: DataFrame, b: DataFrame, classes: list[tuple[int, int | None, int]
     a = a.select("k", F.col("id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in names])
     b = b.select("k", F.col("id").alias("b"), F.col("is_held").alias("b_held"), *[F.col(c).alias(f"b_{c}") for c in names])
     apart = sum((F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")) for c in COUNTS[3:]), F.abs(F.col("a_c0") - F.col("b_c0")))
+    odd = F.col("a_odd").bitwiseXOR(F.col("b_odd"))
+    apart = apart + F.bit_count(F.shiftrightunsigned(odd, len(LETTERS)))
     allowed = _by_class(F.least("a_n", "b_n"), classes, F.lit)
-    wanted = ((F.bit_count(F.col("a_odd").bitwiseXOR(F.col("b_odd"))) <= 2 * allowed)
+    wanted = ((F.bit_count(odd) <= 2 * allowed)
               & (F.abs(F.col("a_n") - F.col("b_n")) <= allowed) & (apart <= 2 * allowed))
     for c in also:
         wanted = wanted & (F.col(f"a_{c}") != F.col(f"b_{c}"))

@@ -212,6 +212,16 @@ def test_no_map_of_fixed_size_is_filled_by_line_keys(spark, monkeypatch):
     assert made and "_bits" not in made[0] and len(made[0]) < 100_000
 
 
+def test_lines_that_differ_in_rare_letters_are_not_compared(spark, monkeypatch):
+    """150 lines of one start whose ends differ by more edits than allowed, all in letters that are not counted."""
+    rnd = random.Random(11)
+    texts = ["the same start of all these lines, " + "".join(rnd.sample("wcmfgypbvkxjqz", 7)) + " end" for _ in range(150)]
+    compared, verified = [], line_dedup._verified
+    monkeypatch.setattr(line_dedup, "_verified", lambda pairs, *rest: (compared.append(pairs.count()), verified(pairs, *rest))[1])
+    assert line_dedup.drop_repeats(documents(spark, texts), 1, 20).count() <= 150
+    assert compared and sum(compared) < 150 * 149 // 20
+
+
 def test_near_copies_of_a_line_are_not_compared_in_pairs(spark, monkeypatch):
     """A line of many copies and 150 lines with one edit each: dropped as line_classes says, with
     a few comparisons for each line. Lines that only meet over others are dropped too."""
